@@ -2,12 +2,46 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reachspark.llm.session import discard, materialise
 
 
+#: Up to so many distinct edges (some MB) one task finds the components; more of them take the distributed rounds.
+ONE_TASK_EDGES = 200_000
+
+
+def least_labels(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of edges a-b, sorted, and the least node that each reaches."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    i, j = ends[: len(a)], ends[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        was = label.copy()
+        low = np.minimum(label[i], label[j])
+        np.minimum.at(label, label[i], low)
+        np.minimum.at(label, label[j], low)
+        while True:
+            up = label[label]
+            if (up == label).all():
+                break
+            label = up
+        if (label == was).all():
+            return nodes, nodes[label]
+
+
+def _in_one_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    got = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if b.num_rows]
+    if got:
+        nodes, root = least_labels(np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got]))
+        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(root)], ["node", "root"])
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """Components of the graph of edges (a long, b long).
 
@@ -23,6 +57,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         .distinct()
     )
     e = materialise(e, "cc")
+    if e.count() <= ONE_TASK_EDGES:
+        return e.coalesce(1).mapInArrow(_in_one_task, "node long, root long")
     state = None
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -28,7 +28,7 @@ def _described(shingles: K.Shingles, width: int, with_text: bool):
     return run
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: float = 1e-6, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: float = 1e-5, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Components of near-duplicate documents.
 
     docs: doc_id long, text string; other columns are not read. A document's set holds its distinct shingles of

@@ -19,6 +19,8 @@ from reachspark.llm.session import discard, materialise, partitions, small
 SEGMENT = 100_000
 #: Rows of a side of a tile of the exhaustive round.
 TILE = 256
+#: Texts of a block in which pairs are verified.
+BLOCK = 64
 
 
 def stop_rule(k: int, step: int, percent: int, miss: float) -> list[tuple[int, int]]:
@@ -56,10 +58,13 @@ class Linker:
     fetch(sids): (sid, text), one row for each of the given distinct sids.
     """
 
-    def __init__(self, spark: SparkSession, nodes: DataFrame, fetch: Callable[[DataFrame], DataFrame], shingles: K.Shingles, percent: int, bands: int, rows: int, miss: float | None, rounds: int = 3):
+    def __init__(self, spark: SparkSession, nodes: DataFrame, fetch: Callable[[DataFrame], DataFrame], shingles: K.Shingles, percent: int, bands: int, rows: int, miss: float, rounds: int = 4):
         self.spark, self.nodes, self.fetch, self.shingles, self.percent = spark, nodes, fetch, shingles, percent
         self.bands, self.rows, self.rounds = bands, rows, rounds
-        self.rule = stop_rule(bands * rows, 20, percent, miss) if miss else None
+        self.rule = stop_rule(bands * rows, 20, percent, miss)
+        #: (sid, sig) of given sids, where nodes are not materialised.
+        self.describe: Callable[[DataFrame], DataFrame] = lambda sids: self.nodes.select("sid", "sig").join(sids, "sid", "left_semi").dropDuplicates(["sid"])
+        self.leftover: DataFrame | None = None
 
     def centre_pairs(self) -> DataFrame:
         """For each band bucket the pairs of its least member with each other one, each pair once.
@@ -84,6 +89,7 @@ class Linker:
                 order = np.argsort(shard, kind="stable")
                 cut = np.searchsorted(shard[order], np.arange(shards + 1))
                 k1, w1 = key[first][order], who[first][order]
+                k1 = (k1 >> np.uint64(32)).astype(np.uint32)  # with the shard, about 40 bits or more of a key
                 out = [(s, 0, k1[a:b].tobytes(), w1[a:b].tobytes()) for s, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())) if b > a]
                 spot = pair[:, 0].view(np.uint64) % np.uint64(shards)
                 for s in np.unique(spot).tolist():
@@ -107,12 +113,13 @@ class Linker:
         def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys, whos = [], []
             for b in batches:
-                for kind, x, y in zip(b.column(1).to_pylist(), b.column(2), b.column(3)):
-                    x, y = np.frombuffer(x.as_buffer(), np.int64), np.frombuffer(y.as_buffer(), np.int64)
+                for shard, kind, x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3)):
+                    y = np.frombuffer(y.as_buffer(), np.int64)
                     if kind:
+                        x = np.frombuffer(x.as_buffer(), np.int64)
                         yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["a", "b"])
                     else:
-                        keys.append(x.copy())
+                        keys.append(np.frombuffer(x.as_buffer(), np.uint32).astype(np.uint64) | np.uint64(shard << 32))
                         whos.append(y.copy())
             if not keys:
                 return
@@ -166,7 +173,7 @@ class Linker:
                         ok[r] = 100 * inter >= percent * (len(x) + len(y) - inter)
                     yield b.select(["a", "b"]).filter(pa.array(ok))
 
-        if signatures is not None and rule:
+        if signatures is not None:
             s = signatures
             pairs = (
                 pairs.join(s.select(F.col("sid").alias("b"), F.col("sig").alias("sb")), "b")
@@ -203,60 +210,161 @@ class Linker:
         several = rows_.groupBy("bkey").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("bkey")
         return rows_.join(several, "bkey")
 
-    def tiles(self, members: DataFrame, nodes: DataFrame) -> DataFrame:
-        """Every pair of members of a bucket in different components that the signatures leave, from tiles of at most about TILE x TILE."""
-        rule, width = self.rule or [(self.bands * self.rows, 0)], self.bands * self.rows
+    def tiles(self, members: DataFrame, nodes: DataFrame, blocks: DataFrame | None = None) -> DataFrame:
+        """Pairs of members of a bucket in different components, compared by signature in tiles of at most about TILE x TILE.
+
+        Without blocks: for each component of a tile the pair whose signatures agree most, (a, b). With blocks (sid, block):
+        all pairs that the signatures leave, one row (bx, by, pairs) for each two blocks of a tile."""
+        rule, width, bands, rows = self.rule, self.bands * self.rows, self.bands, self.rows
         size = members.groupBy("bkey").agg(F.expr(f"int(ceil(count(*) / {TILE}))").alias("n"))
-        block = (
-            members.join(size, "bkey")
-            .join(nodes.select("sid", "sig"), "sid")
-            .withColumn("t", F.expr("int(pmod(xxhash64(sid), n))"))
-            .groupBy("bkey", "t")
-            .agg(F.collect_list(F.struct("sid", "comp", "sig")).alias("m"))
-        )
-        x, y = block.alias("x"), block.alias("y")
-        both = x.join(y, (F.col("x.bkey") == F.col("y.bkey")) & (F.col("x.t") <= F.col("y.t"))).select(F.col("x.m").alias("mx"), F.col("y.m").alias("my"))
+        placed = members.join(size, "bkey").join(nodes.select("sid", "sig"), "sid").withColumn("t", F.expr("int(pmod(xxhash64(sid), n))"))
+        if blocks is not None:
+            placed = placed.join(blocks, "sid")
+        item = ["sid", "comp", "sig"] + ["block"] * (blocks is not None)
+        tile = placed.groupBy("bkey", "t").agg(F.collect_list(F.struct(*item)).alias("m"))
+        x, y = tile.alias("x"), tile.alias("y")
+        both = x.join(y, (F.col("x.bkey") == F.col("y.bkey")) & (F.col("x.t") <= F.col("y.t"))).select(F.col("x.bkey").alias("bkey"), F.col("x.m").alias("mx"), F.col("y.m").alias("my"))
+
+        def sides(b: pa.RecordBatch, r: int) -> list[list[np.ndarray]]:
+            out = []
+            for c in (1, 2):
+                m = b.column(c)[r].values
+                out.append([m.field(0).to_numpy(zero_copy_only=False), m.field(1).to_numpy(zero_copy_only=False), K.matrix(m.field(2), width)] + [m.field(q).to_numpy(zero_copy_only=False) for q in range(3, m.type.num_fields)])
+            return out
 
-        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 for r in range(b.num_rows):
-                    side = []
-                    for c in (0, 1):
-                        m = b.column(c)[r].values
-                        side.append((m.field(0).to_numpy(zero_copy_only=False), m.field(1).to_numpy(zero_copy_only=False), K.matrix(m.field(2), width)))
-                    (sx, cx, gx), (sy, cy, gy) = side
+                    (sx, cx, gx), (sy, cy, gy) = sides(b, r)
                     i, j = np.nonzero(cx[:, None] != cy[None, :])
                     left = survives(gx[i], gy[j], rule)
-                    p, q = sx[i[left]], sy[j[left]]
+                    i, j = i[left], j[left]
+                    if not len(i):
+                        continue
+                    same = np.zeros(len(i), np.int32)
+                    for h in range(width):
+                        same += gx[i, h] == gy[j, h]
+                    comp, pair = np.concatenate([cx[i], cy[j]]), np.concatenate([np.arange(len(i))] * 2)
+                    order = np.lexsort((pair, -same[pair], comp))
+                    first = np.ones(len(order), bool)
+                    first[1:] = comp[order][1:] != comp[order][:-1]
+                    pick = np.unique(pair[order][first])
+                    p, q = sx[i[pick]], sy[j[pick]]
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], ["a", "b"])
 
-        return both.mapInArrow(compare, "a long, b long").distinct()
+        def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for r in range(b.num_rows):
+                    key = b.column(0)[r].as_py() & ((1 << 64) - 1)
+                    (sx, cx, gx, bx), (sy, cy, gy, by) = sides(b, r)
+                    i, j = np.nonzero(cx[:, None] != cy[None, :])
+                    left = survives(gx[i], gy[j], rule)
+                    i, j = i[left], j[left]
+                    # a pair is listed in the first bucket that it shares
+                    kx, ky = K.band_keys(gx, bands, rows), K.band_keys(gy, bands, rows)
+                    own = np.flatnonzero((kx == np.uint64(key)).any(0)).min(initial=bands)
+                    ok = np.ones(len(i), bool)
+                    for h in range(int(own)):
+                        ok &= kx[i, h] != ky[j, h]
+                    i, j = i[ok], j[ok]
+                    if not len(i):
+                        continue
+                    swap = bx[i] > by[j]
+                    u, v = np.where(swap, by[j], bx[i]), np.where(swap, bx[i], by[j])
+                    p, q = np.where(swap, sy[j], sx[i]), np.where(swap, sx[i], sy[j])
+                    order = np.lexsort((v, u))
+                    u, v, pq = u[order], v[order], np.stack([p, q], 1)[order]
+                    cut = np.flatnonzero(np.concatenate([[True], (u[1:] != u[:-1]) | (v[1:] != v[:-1]), [True]]))
+                    yield pa.RecordBatch.from_arrays([pa.array(u[cut[:-1]]), pa.array(v[cut[:-1]]), pa.array([pq[c:d].tobytes() for c, d in zip(cut[:-1], cut[1:])], pa.binary())], ["bx", "by", "pairs"])
+
+        if blocks is None:
+            return both.mapInArrow(best, "a long, b long").distinct()
+        return both.mapInArrow(every, "bx long, by long, pairs binary")
+
+    def exhausted(self, members: DataFrame, nodes: DataFrame) -> DataFrame:
+        """Links (a, b) between components from all candidate pairs that are left, verified exactly.
+
+        Members of one large bucket share blocks of about BLOCK texts. The pairs of two blocks are verified in one tile, to which
+        each text comes once, and of each tile leave only links that join components not joined in it yet:
+        neither pairs nor links of a large group are ever rows."""
+        percent, shingles = self.percent, self.shingles
+        size = members.groupBy("bkey").agg(F.count("*").alias("n"))
+        home = members.join(size, "bkey").groupBy("sid").agg(F.max_by("bkey", F.struct("n", "bkey")).alias("home"), F.any_value("comp").alias("comp"))
+        many = home.groupBy("home").agg(F.expr(f"int(ceil(count(*) / {BLOCK}))").alias("n"))
+        blocks = materialise(home.join(many, "home").select("sid", "comp", F.expr("xxhash64(home, pmod(xxhash64(sid, 5), n))").alias("block")), "blocks")
+        tiles = self.tiles(members, nodes, blocks.select("sid", "block")).groupBy("bx", "by").agg(F.collect_list("pairs").alias("pairs"))
+        tiles = materialise(tiles, "tiles")
+        used = tiles.select(F.explode(F.array("bx", "by")).alias("block")).distinct()
+        wanted = materialise(blocks.join(used, "block", "left_semi"), "wanted")
+        texts = self.fetch(small(wanted.select("sid")))
+        content = materialise(wanted.join(texts, "sid").groupBy("block").agg(F.collect_list(F.struct("sid", "comp", "text")).alias("m")), "content")
+        x, y = content.select(F.col("block").alias("bx"), F.col("m").alias("mx")), content.select(F.col("block").alias("by"), F.col("m").alias("my"))
+        both = tiles.join(x, "bx").join(y, "by").select("pairs", "mx", F.when(F.col("bx") != F.col("by"), F.col("my")).alias("my"))
+
+        def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for r in range(b.num_rows):
+                    sets: dict[int, np.ndarray] = {}
+                    top: dict[int, int] = {}  # component, and what it is joined with in this tile
+                    comp: dict[int, int] = {}
+                    for c in (1, 2):
+                        if b.column(c)[r].is_valid:
+                            m = b.column(c)[r].values
+                            ids = m.field(0).to_pylist()
+                            comp.update(zip(ids, m.field(1).to_pylist()))
+                            sets.update(zip(ids, shingles.all_sets(m.field(2))))
+
+                    def root(v: int) -> int:
+                        while top.get(v, v) != v:
+                            v = top[v]
+                        return v
+
+                    out = []
+                    for blob in b.column(0)[r].as_py():
+                        for p, q in np.frombuffer(blob, np.int64).reshape(-1, 2).tolist():
+                            u, v = root(comp[p]), root(comp[q])
+                            if u == v:
+                                continue
+                            x, y = sets[p], sets[q]
+                            if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+                                continue
+                            both = np.concatenate([x, y])
+                            both.sort()
+                            inter = int((both[1:] == both[:-1]).sum())
+                            if 100 * inter >= percent * (len(x) + len(y) - inter):
+                                out.append((p, q))
+                                top[max(u, v)] = min(u, v)
+                    yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+        links = materialise(both.mapInArrow(verify, "a long, b long"), "links")
+        for d in (blocks, tiles, wanted, content):
+            discard(d)
+        return links
 
     def components(self) -> DataFrame:
         """(node, root) of every sid that is linked with another.
 
-        Round 0 links each bucket's members with its least one. Later rounds take another member of
-        each bucket that is still in several components. Last, every pair of members of a bucket that
+        Round 0 pairs each bucket's least member with its others. Later rounds pair each component of a bucket with the member of
+        another one that is likest by signature, as long as that links any. Last, every pair of members of a bucket that
         are still in different components is compared, in tiles: no candidate pair between components is left out."""
         pairs = materialise(self.centre_pairs(), "centres")
         sids = small(materialise(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), "sids"))
-        nodes = materialise(self.nodes.select("sid", "sig").join(sids, "sid", "left_semi").dropDuplicates(["sid"]), "nodes")
+        nodes = self.leftover = materialise(self.describe(sids), "nodes")
         links = self.verified(pairs, nodes)
         discard(pairs)
         comps = connected_components(links)
+        last = False
         for r in range(1, self.rounds + 1):
+            last = last or r == self.rounds
             members = materialise(self.members(nodes, comps), "members")
-            if r < self.rounds:
-                centre = members.groupBy("bkey").agg(F.min_by(F.struct("sid", "comp"), F.xxhash64("sid", F.lit(r))).alias("c"))
-                new = members.join(centre, "bkey").where("comp != c.comp").select(F.least("sid", "c.sid").alias("a"), F.greatest("sid", "c.sid").alias("b")).distinct()
-            else:
-                new = self.tiles(members, nodes)
-            found = self.verified(new, nodes if r < self.rounds else None)
+            found = self.exhausted(members, nodes) if last else self.verified(self.tiles(members, nodes), None)
             discard(members)
-            if found.isEmpty():
-                if r < self.rounds:
-                    continue
+            if not found.isEmpty():
+                links = links.unionByName(found)
+                comps = connected_components(links)
+            elif not last:
+                last = True
+                continue
+            if last:
                 break
-            links = links.unionByName(found)
-            comps = connected_components(links)
         return comps
