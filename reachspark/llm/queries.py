@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from reachspark.llm.line_dedup import dedup_lines
 from reachspark.llm.minhash_dedup import near_duplicates
 
 
@@ -11,6 +14,10 @@ def op4_minhash_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), words=2, percent=80)
 
 
+def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("row.doc_id", "n_lines", "n_kept", F.col("clean").alias("text"))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
 
