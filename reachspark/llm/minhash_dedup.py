@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from reachspark.llm import textkernel as K
 from reachspark.llm.neardup import Linker
-from reachspark.llm.session import materialise
+from reachspark.llm.session import materialise, small
 
 BANDS, ROWS = 28, 5  # at similarity 0.8 a pair shares no band once in 65,000
 
@@ -54,19 +54,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
     def fetch(sids: DataFrame) -> DataFrame:
         ids = first.join(sids, "sid", "left_semi").select("least")
         # both sides of an equality of nulls: documents without an id can be candidates too
-        own = docs.join(_small_ids(ids), F.col("doc_id").eqNullSafe(F.col("least")), "left_semi")
+        own = docs.join(small(materialise(ids, "least")), F.col("doc_id").eqNullSafe(F.col("least")), "left_semi")
         return own.select("doc_id", "text").mapInArrow(_described(shingles, 0, True), "sid long, text string").join(sids, "sid", "left_semi").dropDuplicates(["sid"])
 
-    comps = Linker(spark, full, fetch, shingles, percent, bands, rows, miss).components()
+    def describe(texts: DataFrame) -> DataFrame:
+        return full.select("sid", "sig").join(small(texts.select("sid")), "sid", "left_semi").dropDuplicates(["sid"])
+
+    comps = Linker(spark, full, fetch, shingles, percent, bands, rows, miss, describe).components()
     rooted = first.join(comps.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(least, "root").select("sid", "component_id")
     blank = base.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
     linked = full.select("doc_id", "n_shingles", "sid").join(named, "sid")
     return linked.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept")).unionByName(blank)
-
-
-def _small_ids(ids: DataFrame) -> DataFrame:
-    from reachspark.llm.session import small
-
-    return small(materialise(ids, "least"))

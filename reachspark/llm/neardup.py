@@ -16,7 +16,7 @@ from reachspark.llm.components import connected_components
 from reachspark.llm.session import discard, materialise, partitions, small
 
 #: Signatures whose band keys are held at once before they are grouped.
-SEGMENT = 100_000
+SEGMENT = 40_000
 #: Rows of a side of a tile of the exhaustive round.
 TILE = 256
 #: Texts of a block in which pairs are verified.
@@ -51,20 +51,31 @@ def survives(sa: np.ndarray, sb: np.ndarray, rule: list[tuple[int, int]]) -> np.
     return left
 
 
+def grouped(key: np.ndarray, who: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows in order of key: keys, members, where a key begins, and the least member of each row's key."""
+    order = np.argsort(key)
+    key, who = key[order], who[order]
+    first = np.ones(len(key), bool)
+    first[1:] = key[1:] != key[:-1]
+    at = np.flatnonzero(first)
+    return key, who, first, np.repeat(np.minimum.reduceat(who, at), np.diff(np.append(at, len(key)))) if len(at) else who
+
+
 class Linker:
     """Finds the components of nodes (sid long, sig binary) whose shingle sets have Jaccard similarity of at least percent/100.
 
-    nodes: materialised; equal sids stand for equal texts and may repeat.
-    fetch(sids): (sid, text), one row for each of the given distinct sids.
+    nodes are read once; equal sids stand for equal texts and may repeat.
+    fetch(sids): (sid, text), one row for each of the given distinct sids. It is called once, for all candidates.
+    describe(texts): (sid, sig) of such texts.
     """
 
-    def __init__(self, spark: SparkSession, nodes: DataFrame, fetch: Callable[[DataFrame], DataFrame], shingles: K.Shingles, percent: int, bands: int, rows: int, miss: float, rounds: int = 4):
+    def __init__(self, spark: SparkSession, nodes: DataFrame, fetch: Callable[[DataFrame], DataFrame], shingles: K.Shingles, percent: int, bands: int, rows: int, miss: float | None, describe: Callable[[DataFrame], DataFrame]):
         self.spark, self.nodes, self.fetch, self.shingles, self.percent = spark, nodes, fetch, shingles, percent
-        self.bands, self.rows, self.rounds = bands, rows, rounds
-        self.rule = stop_rule(bands * rows, 20, percent, miss)
-        #: (sid, sig) of given sids, where nodes are not materialised.
-        self.describe: Callable[[DataFrame], DataFrame] = lambda sids: self.nodes.select("sid", "sig").join(sids, "sid", "left_semi").dropDuplicates(["sid"])
-        self.leftover: DataFrame | None = None
+        self.bands, self.rows = bands, rows
+        #: Without a miss chance signatures are not used to prune.
+        self.rule = stop_rule(bands * rows, 20, percent, miss) if miss else [(bands * rows, 0)]
+        self.prunes, self.width = bool(miss), bands * rows + (not miss)
+        self.describe = describe
 
     def centre_pairs(self) -> DataFrame:
         """For each band bucket the pairs of its least member with each other one, each pair once.
@@ -72,23 +83,20 @@ class Linker:
         Every task groups its own rows by bucket first: it sends a bucket's least member and pairs the
         others with that one, so a bucket with very many members sends one row for each task. What is
         sent are blobs of sorted (bucket, member) for each shard, not a row for each."""
-        width, bands, rows, shards = self.bands * self.rows, self.bands, self.rows, 4 * partitions(self.spark)
+        width, bands, rows, shards = self.width, self.bands, self.rows, 4 * partitions(self.spark)
 
         def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             def flush(sids: np.ndarray, sig: np.ndarray) -> pa.RecordBatch:
-                sids, at = np.unique(sids, return_index=True)
-                key = K.band_keys(sig[at], bands, rows).ravel()
-                who = np.repeat(sids, bands)
-                order = np.lexsort((who, key))
-                key, who = key[order], who[order]
-                first = np.ones(len(key), bool)
-                first[1:] = key[1:] != key[:-1]
-                lead = who[first][np.cumsum(first) - 1]
-                pair = np.unique(np.stack([lead[~first], who[~first]], 1), axis=0)
+                kind = sig[:, bands * rows :].sum(1, dtype=np.int64)  # a sid may have a signature of each kind
+                _, at = np.unique(sids ^ (kind << 56), return_index=True)
+                sids = sids[at]
+                key, who, first, lead = grouped(K.band_keys(sig[at], bands, rows).ravel(), np.repeat(sids, bands))
+                rest = lead != who
+                pair = np.unique(np.stack([lead[rest], who[rest]], 1), axis=0)
                 shard = (key[first] % np.uint64(shards)).astype(np.int64)
                 order = np.argsort(shard, kind="stable")
                 cut = np.searchsorted(shard[order], np.arange(shards + 1))
-                k1, w1 = key[first][order], who[first][order]
+                k1, w1 = key[first][order], lead[first][order]
                 k1 = (k1 >> np.uint64(32)).astype(np.uint32)  # with the shard, about 40 bits or more of a key
                 out = [(s, 0, k1[a:b].tobytes(), w1[a:b].tobytes()) for s, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())) if b > a]
                 spot = pair[:, 0].view(np.uint64) % np.uint64(shards)
@@ -126,11 +134,7 @@ class Linker:
             key, who = np.concatenate(keys), np.concatenate(whos)
             keys.clear()
             whos.clear()
-            order = np.lexsort((who, key))
-            key, who = key[order], who[order]
-            first = np.ones(len(key), bool)
-            first[1:] = key[1:] != key[:-1]
-            lead = who[first][np.cumsum(first) - 1]
+            key, who, first, lead = grouped(key, who)
             rest = lead != who
             pair = np.unique(np.stack([lead[rest], who[rest]], 1), axis=0)
             for i in range(0, len(pair), 50_000):
@@ -139,9 +143,9 @@ class Linker:
         blobs = self.nodes.select("sid", "sig").mapInArrow(group, "shard int, kind int, x binary, y binary")
         return blobs.repartition(partitions(self.spark), "shard").mapInArrow(merge, "a long, b long").distinct()
 
-    def verified(self, pairs: DataFrame, signatures: DataFrame | None) -> DataFrame:
-        """Of pairs (a, b), those whose sets are similar enough; materialised. Signatures (sid, sig) prune first where given."""
-        rule, width, percent, shingles = self.rule, self.bands * self.rows, self.percent, self.shingles
+    def verified(self, pairs: DataFrame, prune_first: bool) -> DataFrame:
+        """Of pairs (a, b), those whose sets are similar enough; materialised. Signatures prune first if that is asked for."""
+        rule, width, percent, shingles = self.rule, self.width, self.percent, self.shingles
 
         def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
@@ -173,17 +177,18 @@ class Linker:
                         ok[r] = 100 * inter >= percent * (len(x) + len(y) - inter)
                     yield b.select(["a", "b"]).filter(pa.array(ok))
 
-        if signatures is not None:
-            s = signatures
+        if prune_first and self.prunes:
+            sig = small(self.nodes.select("sid", "sig"), self.n_nodes, self.width + 32)
             pairs = (
-                pairs.join(s.select(F.col("sid").alias("b"), F.col("sig").alias("sb")), "b")
-                .join(s.select(F.col("sid").alias("a"), F.col("sig").alias("sa")), "a")
+                pairs.join(sig.select(F.col("sid").alias("b"), F.col("sig").alias("sb")), "b")
+                .join(sig.select(F.col("sid").alias("a"), F.col("sig").alias("sa")), "a")
                 .select("a", "b", "sa", "sb")
                 .mapInArrow(prune, "a long, b long")
             )
         pairs = materialise(pairs, "pairs")
         ids = materialise(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), "ids")
-        texts = self.fetch(small(ids))
+        texts = self.texts.join(small(ids), "sid", "left_semi").select("sid", "text")
+        texts = small(texts, ids.count(), self.text_bytes)
         links = (
             pairs.join(texts.select(F.col("sid").alias("b"), F.col("text").alias("tb")), "b")
             .join(texts.select(F.col("sid").alias("a"), F.col("text").alias("ta")), "a")
@@ -195,35 +200,41 @@ class Linker:
         discard(ids)
         return links
 
-    def members(self, nodes: DataFrame, comps: DataFrame) -> DataFrame:
-        """(bkey, sid, comp, sig) of the buckets whose members are in two or more components so far."""
-        width, bands, rows = self.bands * self.rows, self.bands, self.rows
+    def shared_buckets(self) -> DataFrame:
+        """(bkey, sid) of the buckets that hold two or more candidates; the same in every round."""
+        width, bands, rows = self.width, self.bands, self.rows
 
         def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                sig = K.matrix(b.column(1), width)
-                key = K.band_keys(sig, bands, rows)
-                yield pa.RecordBatch.from_arrays([K.longs(key.ravel()), pa.array(np.repeat(b.column(0).to_numpy(zero_copy_only=False), bands)), pa.array(np.repeat(b.column(2).to_numpy(zero_copy_only=False), bands))], ["bkey", "sid", "comp"])
+                key = K.band_keys(K.matrix(b.column(1), width), bands, rows)
+                yield pa.RecordBatch.from_arrays([K.longs(key.ravel()), pa.array(np.repeat(b.column(0).to_numpy(zero_copy_only=False), bands))], ["bkey", "sid"])
+
+        every = self.nodes.select("sid", "sig").mapInArrow(keyed, "bkey long, sid long")
+        several = every.groupBy("bkey").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo != hi").select("bkey")
+        return every.join(several, "bkey")
 
-        with_comp = nodes.join(comps.select(F.col("node").alias("sid"), "root"), "sid", "left").select("sid", "sig", F.coalesce("root", "sid").alias("comp"))
-        rows_ = with_comp.mapInArrow(keyed, "bkey long, sid long, comp long")
-        several = rows_.groupBy("bkey").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("bkey")
-        return rows_.join(several, "bkey")
+    def members(self, buckets: DataFrame, comps: DataFrame) -> DataFrame:
+        """(bkey, sid, comp) of the buckets whose members are in two or more components so far."""
+        placed = buckets.join(small(comps.select(F.col("node").alias("sid"), "root")), "sid", "left").select("bkey", "sid", F.coalesce("root", "sid").alias("comp"))
+        several = materialise(placed.groupBy("bkey").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).where("lo != hi").select("bkey", "n"), "several")
+        return placed.join(small(several), "bkey")
 
-    def tiles(self, members: DataFrame, nodes: DataFrame, blocks: DataFrame | None = None) -> DataFrame:
+    def tiles(self, members: DataFrame, blocks: DataFrame | None = None) -> DataFrame:
         """Pairs of members of a bucket in different components, compared by signature in tiles of at most about TILE x TILE.
 
         Without blocks: for each component of a tile the pair whose signatures agree most, (a, b). With blocks (sid, block):
         all pairs that the signatures leave, one row (bx, by, pairs) for each two blocks of a tile."""
-        rule, width, bands, rows = self.rule, self.bands * self.rows, self.bands, self.rows
-        size = members.groupBy("bkey").agg(F.expr(f"int(ceil(count(*) / {TILE}))").alias("n"))
-        placed = members.join(size, "bkey").join(nodes.select("sid", "sig"), "sid").withColumn("t", F.expr("int(pmod(xxhash64(sid), n))"))
+        rule, width, bands, rows = self.rule, self.width, self.bands, self.rows
+        placed = members.join(small(self.nodes.select("sid", "sig"), self.n_nodes, width + 32), "sid")
         if blocks is not None:
-            placed = placed.join(blocks, "sid")
+            placed = placed.join(small(blocks), "sid")
         item = ["sid", "comp", "sig"] + ["block"] * (blocks is not None)
-        tile = placed.groupBy("bkey", "t").agg(F.collect_list(F.struct(*item)).alias("m"))
-        x, y = tile.alias("x"), tile.alias("y")
-        both = x.join(y, (F.col("x.bkey") == F.col("y.bkey")) & (F.col("x.t") <= F.col("y.t"))).select(F.col("x.bkey").alias("bkey"), F.col("x.m").alias("mx"), F.col("y.m").alias("my"))
+        # a member of tile t of n meets tiles x <= y with x = t or y = t
+        placed = placed.withColumn("n", F.expr(f"int(ceil(n / {TILE}))")).withColumn("t", F.expr("int(pmod(xxhash64(sid), n))")).withColumn("o", F.explode(F.expr("sequence(0, n - 1)")))
+        side = F.when(F.col("t") == F.col("o"), 0).when(F.col("t") < F.col("o"), 1).otherwise(2)
+        tile = placed.groupBy("bkey", F.least("t", "o").alias("x"), F.greatest("t", "o").alias("y")).agg(F.collect_list(F.struct(*item, side.alias("side"))).alias("m"))
+        pick = lambda *k: F.transform(F.filter("m", lambda v: v["side"].isin(*k)), lambda v: F.struct(*[v[c].alias(c) for c in item]))
+        both = tile.select("bkey", pick(0, 1).alias("mx"), F.when(F.col("x") == F.col("y"), pick(0)).otherwise(pick(2)).alias("my"))
 
         def sides(b: pa.RecordBatch, r: int) -> list[list[np.ndarray]]:
             out = []
@@ -281,25 +292,24 @@ class Linker:
             return both.mapInArrow(best, "a long, b long").distinct()
         return both.mapInArrow(every, "bx long, by long, pairs binary")
 
-    def exhausted(self, members: DataFrame, nodes: DataFrame) -> DataFrame:
+    def exhausted(self, members: DataFrame) -> DataFrame:
         """Links (a, b) between components from all candidate pairs that are left, verified exactly.
 
         Members of one large bucket share blocks of about BLOCK texts. The pairs of two blocks are verified in one tile, to which
         each text comes once, and of each tile leave only links that join components not joined in it yet:
         neither pairs nor links of a large group are ever rows."""
         percent, shingles = self.percent, self.shingles
-        size = members.groupBy("bkey").agg(F.count("*").alias("n"))
-        home = members.join(size, "bkey").groupBy("sid").agg(F.max_by("bkey", F.struct("n", "bkey")).alias("home"), F.any_value("comp").alias("comp"))
+        home = materialise(members.groupBy("sid").agg(F.max_by("bkey", F.struct("n", "bkey")).alias("home"), F.any_value("comp").alias("comp")), "home")
         many = home.groupBy("home").agg(F.expr(f"int(ceil(count(*) / {BLOCK}))").alias("n"))
         blocks = materialise(home.join(many, "home").select("sid", "comp", F.expr("xxhash64(home, pmod(xxhash64(sid, 5), n))").alias("block")), "blocks")
-        tiles = self.tiles(members, nodes, blocks.select("sid", "block")).groupBy("bx", "by").agg(F.collect_list("pairs").alias("pairs"))
-        tiles = materialise(tiles, "tiles")
-        used = tiles.select(F.explode(F.array("bx", "by")).alias("block")).distinct()
-        wanted = materialise(blocks.join(used, "block", "left_semi"), "wanted")
-        texts = self.fetch(small(wanted.select("sid")))
-        content = materialise(wanted.join(texts, "sid").groupBy("block").agg(F.collect_list(F.struct("sid", "comp", "text")).alias("m")), "content")
+        tiles = materialise(self.tiles(members, blocks.select("sid", "block")).groupBy("bx", "by").agg(F.collect_list("pairs").alias("pairs")), "tiles")
+        used = materialise(tiles.select(F.explode(F.array("bx", "by")).alias("block")).distinct(), "used")
+        wanted = materialise(blocks.join(small(used), "block", "left_semi"), "wanted")
+        n = wanted.count()
+        texts = self.texts.join(small(wanted, n, 40), "sid").groupBy("block").agg(F.collect_list(F.struct("sid", "comp", "text")).alias("m"))
+        content = small(materialise(texts, "content"), n, self.text_bytes)
         x, y = content.select(F.col("block").alias("bx"), F.col("m").alias("mx")), content.select(F.col("block").alias("by"), F.col("m").alias("my"))
-        both = tiles.join(x, "bx").join(y, "by").select("pairs", "mx", F.when(F.col("bx") != F.col("by"), F.col("my")).alias("my"))
+        both = tiles.repartition(partitions(self.spark)).join(x, "bx").join(y, "by").select("pairs", "mx", F.when(F.col("bx") != F.col("by"), F.col("my")).alias("my"))
 
         def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
@@ -337,34 +347,30 @@ class Linker:
                     yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in (0, 1)], ["a", "b"])
 
         links = materialise(both.mapInArrow(verify, "a long, b long"), "links")
-        for d in (blocks, tiles, wanted, content):
-            discard(d)
         return links
 
     def components(self) -> DataFrame:
         """(node, root) of every sid that is linked with another.
 
-        Round 0 pairs each bucket's least member with its others. Later rounds pair each component of a bucket with the member of
-        another one that is likest by signature, as long as that links any. Last, every pair of members of a bucket that
+        Round 0 pairs each bucket's least member with its others; a second round pairs each component of a bucket with the member of
+        another one that is likest by signature. Last, every pair of members of a bucket that
         are still in different components is compared, in tiles: no candidate pair between components is left out."""
         pairs = materialise(self.centre_pairs(), "centres")
-        sids = small(materialise(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), "sids"))
-        nodes = self.leftover = materialise(self.describe(sids), "nodes")
-        links = self.verified(pairs, nodes)
+        sids = materialise(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), "sids")
+        self.texts = materialise(self.fetch(sids), "texts")
+        size = self.texts.agg(F.count("*"), F.coalesce(F.avg(F.octet_length("text")), F.lit(0.0))).first()
+        self.text_bytes = int(size[1]) + 64
+        self.nodes = materialise(self.describe(self.texts), "nodes")
+        self.n_nodes = self.nodes.count()
+        links = self.verified(pairs, True)
         discard(pairs)
         comps = connected_components(links)
-        last = False
-        for r in range(1, self.rounds + 1):
-            last = last or r == self.rounds
-            members = materialise(self.members(nodes, comps), "members")
-            found = self.exhausted(members, nodes) if last else self.verified(self.tiles(members, nodes), None)
-            discard(members)
+        buckets = materialise(self.shared_buckets(), "buckets")
+        for last in (False, True):
+            members = materialise(self.members(buckets, comps), "members")
+            found = self.exhausted(members) if last else self.verified(self.tiles(members), False)
             if not found.isEmpty():
                 links = links.unionByName(found)
                 comps = connected_components(links)
-            elif not last:
-                last = True
-                continue
-            if last:
-                break
+            discard(members)
         return comps

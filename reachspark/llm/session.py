@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 #: A side is broadcast only after its rows are counted and found to be at most this many (of a few longs each).
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 32_000_000
 
 _local: dict[str, str] = {}
 
@@ -50,10 +51,38 @@ def discard(df: DataFrame | None) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def small(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """df with a broadcast hint if it has at most BROADCAST_ROWS rows, else df as it is (a shuffled join follows)."""
-    n = df.limit(BROADCAST_ROWS + 1).count() if rows is None else rows
-    return F.broadcast(df) if n <= BROADCAST_ROWS else df
+def small(df: DataFrame, rows: int | None = None, width: int = 16) -> DataFrame:
+    """df with a broadcast hint if it is known to be small, else df as it is (a shuffled join follows).
+
+    Small: at most BROADCAST_ROWS rows and BROADCAST_BYTES bytes, of rows of about ``width`` bytes. Counted here unless rows are given; df should be materialised."""
+    n = df.count() if rows is None else rows
+    return F.broadcast(df) if n <= BROADCAST_ROWS and n * width <= BROADCAST_BYTES else df
+
+
+def bloom_filter(ids: DataFrame) -> tuple[bytes, int]:
+    """A Bloom filter of the one long column of ids, and the binary logarithm of its bits: 16 bits an id, of 2^16 to 2^27 (16 MB).
+
+    Tasks fill filters of that fixed size and the driver unites them; false positives are left to the join that follows."""
+    import numpy as np
+    import pyarrow as pa
+
+    from reachspark.llm.textkernel import bloom
+
+    n = ids.count()
+    bits = min(27, max(16, int(16 * n).bit_length()))
+
+    def fill(batches):
+        out = np.zeros(1 << bits, bool)
+        for b in batches:
+            for at in bloom(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64), bits):
+                out[at] = True
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(out).tobytes()], pa.binary())], ["bits"])
+
+    got = ids.coalesce(4).mapInArrow(fill, "bits binary").collect()
+    total = np.zeros((1 << bits) // 8, np.uint8)
+    for r in got:
+        total |= np.frombuffer(r[0], np.uint8)
+    return total.tobytes(), bits
 
 
 def partitions(spark: SparkSession) -> int:
