@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 
 from reachspark.llm import textkernel as K
 from reachspark.llm.neardup import Linker
-from reachspark.llm.session import BROADCAST_ROWS, discard, materialise, small
+from reachspark.llm.session import BROADCAST_ROWS, bloom_filter, materialise, small
 
 CHARS = 5
-BANDS, ROWS = 22, 6  # at similarity 0.8 a pair of lines shares no band once in 800, at 0.85 once in 33,000
-#: Candidate pairs whose signatures leave less than this chance of similarity are not verified.
-MISS = 1e-6
+BANDS, ROWS = 30, 6  # at similarity 0.8 a pair of lines shares no band once in 9,000, at 0.85 once in 1,500,000
+#: Lines of up to so many shingles have MinHash values of independent hashes: one permutation varies too much for them.
+SHORT = 64
+#: Bytes of text whose signatures are made at once.
+SIGNED = 1 << 19
 LOW = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 
 
@@ -60,20 +62,39 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _signed(k: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, flat, bound, _, _ in _each(batches, 0):
-            ids, at = np.unique(_line_ids(flat, bound), return_index=True)
-            g, gb = K.char_grams(flat.tobytes(), bound, k)
-            sig = K.signatures(g, gb, width)
-            yield pa.RecordBatch.from_arrays([K.longs(ids), K.binary(sig[at])], ["sid", "sig"])
+        for b in batches:
+            data, off = K.raw(b.column(0))
+            for i, j in K.chunks(off, SIGNED):
+                flat, bound, text, _ = _lines(data, off, i, j)
+                if not len(text):
+                    continue
+                ids = _line_ids(flat, bound)
+                g, gb = K.char_grams(flat.tobytes(), bound, k)
+                size = np.diff(gb)
+                # short lines get independent hashes, others one permutation; sizes between get both, so
+                # that two lines with sizes within a quarter of each other have one kind in common
+                for kind, pick in ((0, size <= SHORT * 5 // 4), (1, size > SHORT)):
+                    rows = np.flatnonzero(pick)
+                    if len(rows):
+                        rows = rows[np.unique(ids[rows], return_index=True)[1]]
+                        sub, sb = K.take_sets(g, gb, rows)
+                        sig = K.one_permutation(sub, sb, width) if kind else K.signatures(sub, sb, width)
+                        yield pa.RecordBatch.from_arrays([K.longs(ids[rows]), K.binary(np.hstack([sig, np.full((len(rows), 1), kind, np.uint8)]))], ["sid", "sig"])
 
     return run
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for _, _, flat, bound, _, _ in _each(batches, 0):
-        ids, at = np.unique(_line_ids(flat, bound), return_index=True)
-        text = pa.Array.from_buffers(pa.string(), len(bound) - 1, [None, pa.py_buffer(bound.astype(np.int32)), pa.py_buffer(flat)])
-        yield pa.RecordBatch.from_arrays([K.longs(ids), text.take(pa.array(at))], ["sid", "text"])
+def _texts(wanted: bytes | None, bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have = np.unpackbits(np.frombuffer(wanted, np.uint8)).view(bool)
+        for _, _, flat, bound, _, _ in _each(batches, 0):
+            ids, at = np.unique(_line_ids(flat, bound), return_index=True)
+            p, q = K.bloom(ids, bits)
+            ok = have[p] & have[q]
+            text = pa.Array.from_buffers(pa.string(), len(bound) - 1, [None, pa.py_buffer(bound.astype(np.int32)), pa.py_buffer(flat)])
+            yield pa.RecordBatch.from_arrays([K.longs(ids[ok]), text.take(pa.array(at[ok]))], ["sid", "text"])
+
+    return run
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,11 +138,13 @@ def dedup_lines(docs: DataFrame, percent: int = 80, chars: int = CHARS, bands: i
     shingles, width = K.Shingles("chars", chars), bands * rows
 
     def fetch(sids: DataFrame) -> DataFrame:
-        return only.mapInArrow(_texts, "sid long, text string").join(sids, "sid", "left_semi").dropDuplicates(["sid"])
+        # a Bloom filter of fixed size keeps most other lines inside the scan; the join decides
+        return only.mapInArrow(_texts(*bloom_filter(sids)), "sid long, text string").join(small(sids), "sid", "left_semi").dropDuplicates(["sid"])
+
+    def signed(texts: DataFrame) -> DataFrame:
+        return texts.select("text").mapInArrow(_signed(chars, width), "sid long, sig binary")
 
-    linker = Linker(spark, only.mapInArrow(_signed(chars, width), "sid long, sig binary"), fetch, shingles, percent, bands, rows, MISS)
-    linker.describe = lambda sids: fetch(sids).select("text").mapInArrow(_signed(chars, width), "sid long, sig binary")
-    comps = linker.components()
+    comps = Linker(spark, signed(only), fetch, shingles, percent, bands, rows, None, signed).components()
     place = F.struct(F.col("doc_id").isNull().alias("last"), F.coalesce("doc_id", F.lit(0)).alias("doc"), "thash", "line")
     first = seen.groupBy("sid").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     rooted = first.join(comps.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
@@ -134,5 +157,4 @@ def dedup_lines(docs: DataFrame, percent: int = 80, chars: int = CHARS, bands: i
     gone = small(gone.drop("n"), min(lost, BROADCAST_ROWS + 1)).withColumnRenamed("doc_id", "gone_id").withColumnRenamed("thash", "gone_hash")
     keyed = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("thash"), text.alias("text"))
     with_gone = keyed.join(gone, (keyed.thash == gone.gone_hash) & keyed.doc_id.eqNullSafe(gone.gone_id), "left").select("row", "text", "gone")
-    discard(linker.leftover)
     return with_gone.mapInArrow(_cut, with_gone.select("row").schema.add("clean", "string").add("n_lines", "long").add("n_kept", "long"))

@@ -19,6 +19,7 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _COMB = _rng.integers(1, 1 << 63, 64, dtype=np.uint64) * U64(2) + U64(1)
 _MINA = _rng.integers(1, 1 << 31, 1024, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _MINB = _rng.integers(0, 1 << 32, 1024, dtype=np.uint32)
+_probe: dict[int, np.ndarray] = {}
 _pow = {"p": np.ones(1, np.uint64), "i": np.ones(1, np.uint64)}
 
 #: Word bytes for the pattern [^\x20\x09-\x0D]+, and for [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ after lower-casing.
@@ -135,6 +136,13 @@ def unique_sets(g: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return g[keep], np.concatenate([[0], np.cumsum(keep)])[bound]
 
 
+def take_sets(x: np.ndarray, bound: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The given sets alone, and their bounds."""
+    size = bound[rows + 1] - bound[rows]
+    out = np.concatenate([[0], np.cumsum(size)])
+    return x[np.repeat(bound[rows] - out[:-1], size) + np.arange(out[-1])], out
+
+
 def set_ids(u: np.ndarray, bound: np.ndarray) -> np.ndarray:
     """A 64-bit id of each set."""
     total = np.zeros(len(u) + 1, np.uint64)
@@ -164,14 +172,58 @@ def signatures(x: np.ndarray, bound: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
+def one_permutation(x: np.ndarray, bound: np.ndarray, k: int) -> np.ndarray:
+    """k MinHash values (low bytes) of each set by one hash: its low bits choose one of k bins, each bin keeps its least value.
+
+    An empty bin takes the value of another bin of its set, the first filled one in a sequence that
+    depends on the bin alone (optimal densification), so two sets agree in a place as often as their similarity.
+    Work for each item doesn't depend on k. Repeats in x do no harm; rows of zeros for empty sets."""
+    n = len(bound) - 1
+    if k not in _probe:
+        _probe[k] = np.random.default_rng(k).integers(0, k, (k, 256)).astype(np.int32)
+    probe = _probe[k]
+    least = np.full(n * k, np.iinfo(np.uint64).max, np.uint64)
+    row = np.repeat(np.arange(n, dtype=np.uint64), np.diff(bound))
+    spot = row * U64(k) + (x & U64(0xFFFFFFFF)) % U64(k)
+    # bin in the upper half, value in the lower: one sort brings each bin's least first
+    key = np.sort((spot << U64(32)) | (x >> U64(32)))
+    if len(key):
+        at = (key >> U64(32)).astype(np.int64)
+        first = np.ones(len(at), bool)
+        first[1:] = at[1:] != at[:-1]
+        least[at[first]] = key[first] & U64(0xFFFFFFFF)
+    least = least.reshape(n, k)
+    have = least != np.iinfo(np.uint64).max
+    out = np.where(have, mix(least), U64(0)).astype(np.uint8)
+    r, c = np.nonzero(~have & have.any(1)[:, None])
+    for t in range(probe.shape[1]):
+        if not len(r):
+            break
+        donor = probe[c, t]
+        ok = have[r, donor]
+        # the place is part of the value: a donor's other borrowers are not the same place
+        out[r[ok], c[ok]] = mix(least[r[ok], donor[ok]] + (c[ok].astype(np.uint64) << U64(40))).astype(np.uint8)
+        r, c = r[~ok], c[~ok]
+    if len(r):  # after so many misses: the least value of the whole set
+        out[r, c] = mix(least.min(1)[r] + (c.astype(np.uint64) << U64(40))).astype(np.uint8)
+    return out
+
+
+def bloom(x: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two places of each 64-bit id in a filter of 2^bits bits."""
+    h = mix(x ^ U64(0x1234ABCD))
+    return (h >> U64(64 - bits)).astype(np.int64), (h & U64((1 << bits) - 1)).astype(np.int64)
+
+
 def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """A 64-bit key for each signature and band."""
     v = sig[:, : bands * rows].reshape(len(sig), bands, rows).astype(np.uint64)
+    kind = sig[:, bands * rows :].sum(1, dtype=np.uint64)[:, None]  # signatures of different kinds share no key
     key = np.zeros((len(sig), bands), np.uint64)
     for r in range(rows):
         key |= v[:, :, r] << U64(8 * r)
     with np.errstate(over="ignore"):
-        return mix(mix(key) + np.arange(1, bands + 1, dtype=np.uint64) * U64(_BASE))
+        return mix(mix(key) + (np.arange(1, bands + 1, dtype=np.uint64) + kind * U64(1000)) * U64(_BASE))
 
 
 def line_spans(d: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
