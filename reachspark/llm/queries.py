@@ -3,19 +3,52 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
+from reachspark.llm.embedding_forest import link_embeddings
+from reachspark.llm.exact_topk import exact_top_k
+from reachspark.llm.language_id import languages
+from reachspark.llm.license_scan import scan_licenses
 from reachspark.llm.line_dedup import dedup_lines
 from reachspark.llm.minhash_dedup import near_duplicates
+from reachspark.llm.mixing import mix
+from reachspark.llm.vector_packing import document_examples, pack
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def op1_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_embeddings(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), cosine=0.98)
+
+
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_documents(spark, sf_dir), weights=(1, 2, 3), share=1.0, most=3)
 
 
 def op4_minhash_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), words=2, percent=80)
+    return near_duplicates(_documents(spark, sf_dir), words=2, percent=80)
+
+
+def op5_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(document_examples(_documents(spark, sf_dir)), capacity=1024, with_ids=False)
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(_documents(spark, sf_dir))
+
+
+def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=5, every=50)
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_documents(spark, sf_dir)).drop("spans")
 
 
 def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("row.doc_id", "n_lines", "n_kept", F.col("clean").alias("text"))
+    return dedup_lines(_documents(spark, sf_dir)).select("row.doc_id", "n_lines", "n_kept", F.col("clean").alias("text"))
 
 
 def queries() -> dict:
