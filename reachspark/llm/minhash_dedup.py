@@ -67,3 +67,23 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
     blank = base.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
     linked = full.select("doc_id", "n_shingles", "sid").join(named, "sid")
     return linked.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept")).unionByName(blank)
+
+
+def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """Rows of docs, with their own columns, without those that near_duplicates() doesn't keep.
+
+    Of rows equal in doc_id and text one stays. Rows of one doc_id with different texts are one document to this decision: they stay or go together."""
+    text = F.col("text").cast("string")
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    result = materialise(near_duplicates(slim, words, percent), "decided")
+    gone = materialise(result.where("not kept and doc_id is not null").select(F.col("doc_id").alias("gone")).distinct(), "gone")
+    row = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("thash"))
+    # documents without an id go by their own text: only the first of equal ones can stay
+    left = row.join(small(gone), F.col("doc_id") == F.col("gone"), "left_anti")
+    again = row.select("doc_id", "thash").groupBy("doc_id", "thash").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("id"), F.col("thash").alias("th"))
+    again = materialise(again, "again")
+    if again.isEmpty():
+        return left.select("row.*")
+    same = (F.col("doc_id").eqNullSafe(F.col("id"))) & (F.col("thash") == F.col("th"))
+    few = small(again)
+    return left.join(few, same, "left_anti").select("row.*").unionByName(left.join(few, same, "left_semi").dropDuplicates(["doc_id", "thash"]).select("row.*"))

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reachspark.llm.bfd_packing import pack_ids
 from reachspark.llm.embedding_forest import link_embeddings
 from reachspark.llm.exact_topk import exact_top_k
+from reachspark.llm.kneser_ney import score_documents
 from reachspark.llm.language_id import languages
 from reachspark.llm.license_scan import scan_licenses
 from reachspark.llm.line_dedup import dedup_lines
@@ -23,6 +25,10 @@ def op1_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_embeddings(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), cosine=0.98)
 
 
+def op2_bfd_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_ids(_documents(spark, sf_dir), capacity=2048).select("sequence_id", "n_tokens", "ids_crc32", "doc_ids", "starts", F.size("doc_ids").alias("n_segments"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_documents(spark, sf_dir), weights=(1, 2, 3), share=1.0, most=3)
 
@@ -35,6 +41,10 @@ def op5_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(document_examples(_documents(spark, sf_dir)), capacity=1024, with_ids=False)
 
 
+def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(_documents(spark, sf_dir))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(_documents(spark, sf_dir))
 
