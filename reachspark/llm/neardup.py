@@ -8,6 +8,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,9 +17,11 @@ from reachspark.llm.components import connected_components
 from reachspark.llm.session import discard, materialise, partitions, small
 
 #: Signatures whose band keys are held at once before they are grouped.
-SEGMENT = 40_000
+SEGMENT = 20_000
 #: Rows of a side of a tile of the exhaustive round.
-TILE = 256
+TILE = 1024
+#: Pairs of signatures that are compared at once.
+PAIRS = 300_000
 #: Texts of a block in which pairs are verified.
 BLOCK = 64
 
@@ -236,50 +239,57 @@ class Linker:
         pick = lambda *k: F.transform(F.filter("m", lambda v: v["side"].isin(*k)), lambda v: F.struct(*[v[c].alias(c) for c in item]))
         both = tile.select("bkey", pick(0, 1).alias("mx"), F.when(F.col("x") == F.col("y"), pick(0)).otherwise(pick(2)).alias("my"))
 
-        def sides(b: pa.RecordBatch, r: int) -> list[list[np.ndarray]]:
-            out = []
+        def crossed(b: pa.RecordBatch) -> Iterator[tuple]:
+            """For some rows at a time: columns of both sides, and row, x and y of every pair of members in different components."""
+            flat = []
             for c in (1, 2):
-                m = b.column(c)[r].values
-                out.append([m.field(0).to_numpy(zero_copy_only=False), m.field(1).to_numpy(zero_copy_only=False), K.matrix(m.field(2), width)] + [m.field(q).to_numpy(zero_copy_only=False) for q in range(3, m.type.num_fields)])
-            return out
+                m = b.column(c).flatten()
+                flat.append([m.field(0).to_numpy(zero_copy_only=False), m.field(1).to_numpy(zero_copy_only=False), K.matrix(m.field(2), width)] + [m.field(q).to_numpy(zero_copy_only=False) for q in range(3, m.type.num_fields)])
+            nx, ny = (b.column(c).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64) for c in (1, 2))
+            ox, oy, upto = np.cumsum(nx) - nx, np.cumsum(ny) - ny, np.concatenate([[0], np.cumsum(nx * ny)])
+            r = 0
+            while r < b.num_rows:
+                e = max(r + 1, int(np.searchsorted(upto, upto[r] + PAIRS, side="right")) - 1)
+                row = np.repeat(np.arange(r, e), np.diff(upto[r : e + 1]))
+                k = np.arange(upto[r], upto[e]) - upto[row]
+                i, j = ox[row] + k // ny[row], oy[row] + k % ny[row]
+                ok = flat[0][1][i] != flat[1][1][j]
+                yield flat[0], flat[1], row[ok], i[ok], j[ok]
+                r = e
 
         def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                for r in range(b.num_rows):
-                    (sx, cx, gx), (sy, cy, gy) = sides(b, r)
-                    i, j = np.nonzero(cx[:, None] != cy[None, :])
-                    left = survives(gx[i], gy[j], rule)
-                    i, j = i[left], j[left]
+                for x, y, row, i, j in crossed(b):
+                    left = survives(x[2][i], y[2][j], rule)
+                    row, i, j = row[left], i[left], j[left]
                     if not len(i):
                         continue
-                    same = np.zeros(len(i), np.int32)
-                    for h in range(width):
-                        same += gx[i, h] == gy[j, h]
-                    comp, pair = np.concatenate([cx[i], cy[j]]), np.concatenate([np.arange(len(i))] * 2)
-                    order = np.lexsort((pair, -same[pair], comp))
+                    same = np.concatenate([(x[2][i[s : s + 50_000]] == y[2][j[s : s + 50_000]]).sum(1) for s in range(0, len(i), 50_000)])
+                    comp, pair = np.concatenate([x[1][i], y[1][j]]), np.concatenate([np.arange(len(i))] * 2)
+                    order = np.lexsort((pair, -same[pair], comp, row[pair]))
                     first = np.ones(len(order), bool)
-                    first[1:] = comp[order][1:] != comp[order][:-1]
+                    first[1:] = (comp[order][1:] != comp[order][:-1]) | (row[pair[order]][1:] != row[pair[order]][:-1])
                     pick = np.unique(pair[order][first])
-                    p, q = sx[i[pick]], sy[j[pick]]
+                    p, q = x[0][i[pick]], y[0][j[pick]]
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], ["a", "b"])
 
         def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                for r in range(b.num_rows):
-                    key = b.column(0)[r].as_py() & ((1 << 64) - 1)
-                    (sx, cx, gx, bx), (sy, cy, gy, by) = sides(b, r)
-                    i, j = np.nonzero(cx[:, None] != cy[None, :])
-                    left = survives(gx[i], gy[j], rule)
-                    i, j = i[left], j[left]
+                bkey = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+                for x, y, row, i, j in crossed(b):
+                    left = survives(x[2][i], y[2][j], rule)
+                    row, i, j = row[left], i[left], j[left]
                     # a pair is listed in the first bucket that it shares
-                    kx, ky = K.band_keys(gx, bands, rows), K.band_keys(gy, bands, rows)
-                    own = np.flatnonzero((kx == np.uint64(key)).any(0)).min(initial=bands)
+                    kx, ky = K.band_keys(x[2], bands, rows), K.band_keys(y[2], bands, rows)
                     ok = np.ones(len(i), bool)
-                    for h in range(int(own)):
-                        ok &= kx[i, h] != ky[j, h]
+                    for s in range(0, len(i), 50_000):
+                        part = slice(s, s + 50_000)
+                        both_ = kx[i[part]] == ky[j[part]]
+                        ok[part] = kx[i[part], both_.argmax(1)] == bkey[row[part]]
                     i, j = i[ok], j[ok]
                     if not len(i):
                         continue
+                    (sx, _, _, bx), (sy, _, _, by) = x, y
                     swap = bx[i] > by[j]
                     u, v = np.where(swap, by[j], bx[i]), np.where(swap, bx[i], by[j])
                     p, q = np.where(swap, sy[j], sx[i]), np.where(swap, sx[i], sy[j])
@@ -312,17 +322,19 @@ class Linker:
         both = tiles.repartition(partitions(self.spark)).join(x, "bx").join(y, "by").select("pairs", "mx", F.when(F.col("bx") != F.col("by"), F.col("my")).alias("my"))
 
         def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
+            for b in (whole.slice(s, 100) for whole in batches for s in range(0, whole.num_rows, 100)):
+                side = []
+                for c in (1, 2):
+                    m = b.column(c).flatten()
+                    n = pc.fill_null(b.column(c).value_lengths(), 0).to_numpy(zero_copy_only=False)
+                    side.append((np.concatenate([[0], np.cumsum(n)]).tolist(), m.field(0).to_pylist(), m.field(1).to_pylist(), shingles.all_sets(m.field(2))))
                 for r in range(b.num_rows):
                     sets: dict[int, np.ndarray] = {}
                     top: dict[int, int] = {}  # component, and what it is joined with in this tile
                     comp: dict[int, int] = {}
-                    for c in (1, 2):
-                        if b.column(c)[r].is_valid:
-                            m = b.column(c)[r].values
-                            ids = m.field(0).to_pylist()
-                            comp.update(zip(ids, m.field(1).to_pylist()))
-                            sets.update(zip(ids, shingles.all_sets(m.field(2))))
+                    for at, ids, comps_, own in side:
+                        comp.update(zip(ids[at[r] : at[r + 1]], comps_[at[r] : at[r + 1]]))
+                        sets.update(zip(ids[at[r] : at[r + 1]], own[at[r] : at[r + 1]]))
 
                     def root(v: int) -> int:
                         while top.get(v, v) != v:
