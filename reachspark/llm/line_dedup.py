@@ -18,7 +18,7 @@ BANDS, ROWS = 30, 6  # at similarity 0.8 a pair of lines shares no band once in
 #: Lines of up to so many shingles have MinHash values of independent hashes: one permutation varies too much for them.
 SHORT = 64
 #: Bytes of text whose signatures are made at once.
-SIGNED = 1 << 19
+SIGNED = 1 << 18
 LOW = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 
 

@@ -181,20 +181,14 @@ def one_permutation(x: np.ndarray, bound: np.ndarray, k: int) -> np.ndarray:
     n = len(bound) - 1
     if k not in _probe:
         _probe[k] = np.random.default_rng(k).integers(0, k, (k, 256)).astype(np.int32)
-    probe = _probe[k]
-    least = np.full(n * k, np.iinfo(np.uint64).max, np.uint64)
-    row = np.repeat(np.arange(n, dtype=np.uint64), np.diff(bound))
-    spot = row * U64(k) + (x & U64(0xFFFFFFFF)) % U64(k)
-    # bin in the upper half, value in the lower: one sort brings each bin's least first
-    key = np.sort((spot << U64(32)) | (x >> U64(32)))
-    if len(key):
-        at = (key >> U64(32)).astype(np.int64)
-        first = np.ones(len(at), bool)
-        first[1:] = at[1:] != at[:-1]
-        least[at[first]] = key[first] & U64(0xFFFFFFFF)
+    probe, none = _probe[k], np.uint32(0xFFFFFFFF)
+    least = np.full(n * k, none, np.uint32)
+    row = np.repeat(np.arange(n) * k, np.diff(bound))
+    np.minimum.at(least, row + (((x & U64(0xFFFFFFFF)) * U64(k)) >> U64(32)).astype(np.int64), (x >> U64(32)).astype(np.uint32))
     least = least.reshape(n, k)
-    have = least != np.iinfo(np.uint64).max
-    out = np.where(have, mix(least), U64(0)).astype(np.uint8)
+    have = least != none
+    out = least.astype(np.uint8)
+    out[~have] = 0
     r, c = np.nonzero(~have & have.any(1)[:, None])
     for t in range(probe.shape[1]):
         if not len(r):
@@ -202,10 +196,10 @@ def one_permutation(x: np.ndarray, bound: np.ndarray, k: int) -> np.ndarray:
         donor = probe[c, t]
         ok = have[r, donor]
         # the place is part of the value: a donor's other borrowers are not the same place
-        out[r[ok], c[ok]] = mix(least[r[ok], donor[ok]] + (c[ok].astype(np.uint64) << U64(40))).astype(np.uint8)
+        out[r[ok], c[ok]] = least[r[ok], donor[ok]] * np.uint32(2654435769) + c[ok].astype(np.uint32) * np.uint32(37) >> np.uint32(7)
         r, c = r[~ok], c[~ok]
     if len(r):  # after so many misses: the least value of the whole set
-        out[r, c] = mix(least.min(1)[r] + (c.astype(np.uint64) << U64(40))).astype(np.uint8)
+        out[r, c] = least.min(1)[r] * np.uint32(2654435769) + c.astype(np.uint32) * np.uint32(37) >> np.uint32(7)
     return out
 
 
