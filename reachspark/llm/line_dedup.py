@@ -14,7 +14,7 @@ from reachspark.llm.neardup import Linker
 from reachspark.llm.session import BROADCAST_ROWS, bloom_filter, materialise, small
 
 CHARS = 5
-BANDS, ROWS = 30, 6  # at similarity 0.8 a pair of lines shares no band once in 9,000, at 0.85 once in 1,500,000
+BANDS, ROWS = 36, 7  # at similarity 0.8 a pair of lines shares no band once in 4,800, at 0.85 once in 1,300,000
 #: Lines of up to so many shingles have MinHash values of independent hashes: one permutation varies too much for them.
 SHORT = 64
 #: Bytes of text whose signatures are made at once.
@@ -144,13 +144,14 @@ def dedup_lines(docs: DataFrame, percent: int = 80, chars: int = CHARS, bands: i
     def signed(texts: DataFrame) -> DataFrame:
         return texts.select("text").mapInArrow(_signed(chars, width), "sid long, sig binary")
 
-    comps = Linker(spark, signed(only), fetch, shingles, percent, bands, rows, None, signed).components()
+    comps = Linker(spark, signed(only), fetch, shingles, percent, bands, rows, None, signed, likeliest=False).components()
     place = F.struct(F.col("doc_id").isNull().alias("last"), F.coalesce("doc_id", F.lit(0)).alias("doc"), "thash", "line")
     first = seen.groupBy("sid").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    rooted = first.join(comps.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     # lines that are alone lose nothing and need no second look
-    root = rooted.groupBy("root").agg(F.min("first").alias("keep"), F.sum("n").alias("total")).where("total > 1").drop("total")
-    keep = rooted.join(root, "root").select("sid", "keep")
+    rooted = first.join(small(comps.withColumnRenamed("node", "sid")), "sid", "left").where("n > 1 or root is not null").withColumn("root", F.coalesce("root", "sid"))
+    rooted = materialise(rooted, "rooted")
+    root = rooted.groupBy("root").agg(F.min("first").alias("keep"))
+    keep = small(rooted.join(root, "root").select("sid", "keep"), rooted.count(), 64)
     gone = seen.join(keep, "sid").where(place != F.col("keep")).groupBy("doc_id", "thash").agg(F.collect_set("line").alias("gone"), F.count("*").alias("n"))
     gone = materialise(gone, "gone")
     lost = gone.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

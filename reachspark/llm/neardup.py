@@ -72,12 +72,14 @@ class Linker:
     describe(texts): (sid, sig) of such texts.
     """
 
-    def __init__(self, spark: SparkSession, nodes: DataFrame, fetch: Callable[[DataFrame], DataFrame], shingles: K.Shingles, percent: int, bands: int, rows: int, miss: float | None, describe: Callable[[DataFrame], DataFrame]):
+    def __init__(self, spark: SparkSession, nodes: DataFrame, fetch: Callable[[DataFrame], DataFrame], shingles: K.Shingles, percent: int, bands: int, rows: int, miss: float | None, describe: Callable[[DataFrame], DataFrame], likeliest: bool = True):
         self.spark, self.nodes, self.fetch, self.shingles, self.percent = spark, nodes, fetch, shingles, percent
         self.bands, self.rows = bands, rows
-        #: Without a miss chance signatures are not used to prune.
-        self.rule = stop_rule(bands * rows, 20, percent, miss) if miss else [(bands * rows, 0)]
-        self.prunes, self.width = bool(miss), bands * rows + (not miss)
+        #: Without a miss chance, signatures carry their kind, and only pairs that agree in less than half of their places are pruned:
+        #: more than six standard deviations off at a similarity of 0.8, for either kind.
+        k = bands * rows
+        self.rule = stop_rule(k, 20, percent, miss) if miss else [(k // 4, k // 12), (k, k * (percent - 30) // 100)]
+        self.width, self.likeliest = k + (not miss), likeliest
         self.describe = describe
 
     def centre_pairs(self) -> DataFrame:
@@ -152,7 +154,9 @@ class Linker:
 
         def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                left = survives(K.matrix(b.column(2), width), K.matrix(b.column(3), width), rule)
+                sa, sb = K.matrix(b.column(2), width), K.matrix(b.column(3), width)
+                left = survives(sa, sb, rule)
+                left = left[(sa[left, rule[-1][0] :] == sb[left, rule[-1][0] :]).all(1)]  # of one kind
                 yield b.select(["a", "b"]).take(pa.array(left))
 
         def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,7 +184,7 @@ class Linker:
                         ok[r] = 100 * inter >= percent * (len(x) + len(y) - inter)
                     yield b.select(["a", "b"]).filter(pa.array(ok))
 
-        if prune_first and self.prunes:
+        if prune_first:
             sig = small(self.nodes.select("sid", "sig"), self.n_nodes, self.width + 32)
             pairs = (
                 pairs.join(sig.select(F.col("sid").alias("b"), F.col("sig").alias("sb")), "b")
@@ -378,7 +382,7 @@ class Linker:
         discard(pairs)
         comps = connected_components(links)
         buckets = materialise(self.shared_buckets(), "buckets")
-        for last in (False, True):
+        for last in (False, True) if self.likeliest else (True,):
             members = materialise(self.members(buckets, comps), "members")
             found = self.exhausted(members) if last else self.verified(self.tiles(members), False)
             if not found.isEmpty():

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 #: A side is broadcast only after its rows are counted and found to be at most this many (of a few longs each).
 BROADCAST_ROWS = 500_000
-BROADCAST_BYTES = 32_000_000
+BROADCAST_BYTES = 16_000_000
+#: Bytes of a batch between Spark and a Python worker while something is written here; a task holds a few of them outside the heap.
+BATCH = "16m"
 
 _local: dict[str, str] = {}
 
@@ -35,8 +37,13 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df once to the shared folder and read it back: lineage ends there and a lost executor costs nothing."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    path, conf, key = new_path(df.sparkSession, name), df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    was = conf.get(key)
+    conf.set(key, BATCH)
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(key, was)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._reachspark_path = path  # type: ignore[attr-defined]
     return out
