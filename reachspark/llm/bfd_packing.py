@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reachspark.llm.session import bounded_batches, thrifty
+
 from reachspark.llm.tokens import encoder
 
 #: Ids (not documents) that are packed together; a task holds no more than these and one document.
@@ -123,8 +125,9 @@ def pack_ids(docs: DataFrame, capacity: int = 2048, tokenizer_folder: str | None
     from 0 to n_tokens), position_ids (binary, 32-bit, from 0 again in each segment; 0 in the padding), doc_ids and starts (for each segment: its document
     and the ids before it there), n_tokens, ids_crc32 (of the ids that aren't padding). Null or empty text: end_id alone. Repeated rows are documents of their own.
     An empty table gives an empty result."""
+    bounded_batches(docs.sparkSession)
     schema = "sequence_id long, ids binary, cu_seqlens binary, position_ids binary, doc_ids array<long>, starts array<long>, n_tokens int, ids_crc32 long"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_packed(capacity, tokenizer_folder, end_id, pad_id), schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(thrifty(_packed(capacity, tokenizer_folder, end_id, pad_id)), schema)
 
 
 def write_packed(packed: DataFrame, path: str) -> None:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reachspark.llm import textkernel as K
-from reachspark.llm.session import new_path, partitions
+from reachspark.llm.session import new_path, partitions, thrifty
 
 START, END = np.uint64(0x1234567), np.uint64(0x7654321)
 #: Bigrams that a task counts together before it sends them.
@@ -272,8 +272,8 @@ def train(texts: DataFrame, shards: int | None = None) -> Model:
         yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (*facts.tolist(), *cont.tolist(), n)], names)
 
     names = ["n1", "n2", "n3", "n4", "bigrams", "total", "m1", "m2", "m3", "m4", "tokens"]
-    blobs = texts.mapInArrow(count, "shard int, u binary, run binary, w binary, many binary, n binary").repartition(shards, "shard")
-    sums = blobs.mapInArrow(shard_model, "shard int, t binary, kinds binary, raw binary").repartition(shards, "shard").mapInArrow(tokens, ", ".join(f"{c} long" for c in names))
+    blobs = texts.mapInArrow(thrifty(count), "shard int, u binary, run binary, w binary, many binary, n binary").repartition(shards, "shard")
+    sums = blobs.mapInArrow(thrifty(shard_model), "shard int, t binary, kinds binary, raw binary").repartition(shards, "shard").mapInArrow(thrifty(tokens), ", ".join(f"{c} long" for c in names))
     f = sums.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]).first().asDict()
     for s in range(shards):  # shards that no row came to are empty arrays
         for name, kind in (("c{}-h", np.uint64), ("b{}-h", np.uint64), ("u{}-h", np.uint64)):
@@ -323,5 +323,5 @@ def score_documents(docs: DataFrame) -> DataFrame:
     rows are each counted and each scored. An empty table gives an empty result."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     model = train(own.where(~held_out()).select("text"))
-    got = own.mapInArrow(_scored(model), "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    got = own.mapInArrow(thrifty(_scored(model)), "doc_id long, n_tokens long, n_known long, base_score double, score double")
     return got.select("doc_id", held_out().alias("held_out"), "n_tokens", "n_known", F.lit(model.about["total"]).cast("long").alias("train_tokens"), "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reachspark.llm.session import bounded_batches, thrifty
+
 from reachspark.llm import textkernel as K
 
 #: Feature buckets, and the most labelled documents that a model is fitted on.
@@ -162,7 +164,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
                 x = features(data, off, i, j).astype(np.float16)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), K.binary(x.view(np.uint8))], ["lang", "x"])
 
-    got = picked.mapInArrow(made, "lang string, x binary").limit(2 * sample).toArrow()
+    got = picked.mapInArrow(thrifty(made), "lang string, x binary").limit(2 * sample).toArrow()
     x = K.matrix(got.column("x"), 2 * BUCKETS).view(np.float16).astype(np.float32)
     langs = got.column("lang").to_pylist()
     if not langs:
@@ -193,8 +195,9 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     """(row, lang_pred, score) for each row of docs, row a struct of its columns; only text is an input. Whole texts are read.
 
     Null text, or one without a letter: und, score 0; without a model every row is und. Empty tables give empty results; repeated rows get equal predictions."""
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_predicted(model), rows.select("row").schema.add("lang_pred", "string").add("score", "double"))
+    return rows.mapInArrow(thrifty(_predicted(model)), rows.select("row").schema.add("lang_pred", "string").add("score", "double"))
 
 
 def languages(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:

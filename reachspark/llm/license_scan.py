@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reachspark.llm import textkernel as K
-from reachspark.llm.session import materialise
+from reachspark.llm.session import materialise, thrifty
 
 K_WORDS = 4
 
@@ -143,7 +143,7 @@ def scan_licenses(docs: DataFrame, phrases: dict[str, str] | None = None, templa
     rows = template_positions(templates, k)
     known = np.unique(np.array([r[0] for r in rows], np.int64).view(np.uint64))
     schema = "row_no long, doc_id long, n_words long, n_base long, first_word long, last_word long, base array<string>, hits array<struct<h:long,p:long>>"
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_scan(phrases, known, k), schema)
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(thrifty(_scan(phrases, known, k)), schema)
     found = materialise(found, "scan")
     # a row for each word of the fixed templates: a proven bound, so broadcast
     positions = F.broadcast(spark.createDataFrame(rows or [(0, -1, 0, "", 1)], "h long, template int, q int, label string, size int"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from reachspark.llm import textkernel as K
 from reachspark.llm.neardup import Linker
-from reachspark.llm.session import BROADCAST_ROWS, bloom_filter, materialise, small
+from reachspark.llm.session import bloom_filter, BROADCAST_ROWS, materialise, small, thrifty
 
 CHARS = 5
 BANDS, ROWS = 36, 7  # at similarity 0.8 a pair of lines shares no band once in 4,800, at 0.85 once in 1,300,000
@@ -126,7 +126,7 @@ def dedup_lines(docs: DataFrame, percent: int = 80, chars: int = CHARS, bands: i
     the Jaccard similarity is at least percent/100; candidates share a band of MinHash signatures and all are
     verified exactly. Of each component the first line stays (by doc_id, nulls last; then hash of the text; then line number), the others go.
 
-    Returns (row, clean, n_lines, n_kept), a row for each of docs: row a struct of its columns, clean the text left
+    Returns (row, clean, n_lines, n_kept), a row for each of docs: row a struct of its other columns, clean the text left
     (lines that stay are unchanged), n_lines and n_kept the numbers of lines before and after. Blank lines stay. Null
     text stays null, with 0 lines; an empty one has one blank line. Rows equal in
     doc_id and text are one occurrence and lose the same lines. Columns of any name pass through inside row."""
@@ -134,15 +134,15 @@ def dedup_lines(docs: DataFrame, percent: int = 80, chars: int = CHARS, bands: i
     text = F.col("text").cast("string")
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("thash"), text.alias("text"))
     only = own.select("text")
-    seen = materialise(own.mapInArrow(_occurrences, "doc_id long, thash long, line int, sid long"), "lines")
+    seen = materialise(own.mapInArrow(thrifty(_occurrences), "doc_id long, thash long, line int, sid long"), "lines")
     shingles, width = K.Shingles("chars", chars), bands * rows
 
     def fetch(sids: DataFrame) -> DataFrame:
         # a Bloom filter of fixed size keeps most other lines inside the scan; the join decides
-        return only.mapInArrow(_texts(*bloom_filter(sids)), "sid long, text string").join(small(sids), "sid", "left_semi").dropDuplicates(["sid"])
+        return only.mapInArrow(thrifty(_texts(*bloom_filter(sids))), "sid long, text string").join(small(sids), "sid", "left_semi").dropDuplicates(["sid"])
 
     def signed(texts: DataFrame) -> DataFrame:
-        return texts.select("text").mapInArrow(_signed(chars, width), "sid long, sig binary")
+        return texts.select("text").mapInArrow(thrifty(_signed(chars, width)), "sid long, sig binary")
 
     comps = Linker(spark, signed(only), fetch, shingles, percent, bands, rows, None, signed, likeliest=False).components()
     place = F.struct(F.col("doc_id").isNull().alias("last"), F.coalesce("doc_id", F.lit(0)).alias("doc"), "thash", "line")
@@ -156,6 +156,6 @@ def dedup_lines(docs: DataFrame, percent: int = 80, chars: int = CHARS, bands: i
     gone = materialise(gone, "gone")
     lost = gone.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     gone = small(gone.drop("n"), min(lost, BROADCAST_ROWS + 1)).withColumnRenamed("doc_id", "gone_id").withColumnRenamed("thash", "gone_hash")
-    keyed = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("thash"), text.alias("text"))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("thash"), text.alias("text"))
     with_gone = keyed.join(gone, (keyed.thash == gone.gone_hash) & keyed.doc_id.eqNullSafe(gone.gone_id), "left").select("row", "text", "gone")
-    return with_gone.mapInArrow(_cut, with_gone.select("row").schema.add("clean", "string").add("n_lines", "long").add("n_kept", "long"))
+    return with_gone.mapInArrow(thrifty(_cut), with_gone.select("row").schema.add("clean", "string").add("n_lines", "long").add("n_kept", "long"))

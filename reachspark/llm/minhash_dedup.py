@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from reachspark.llm import textkernel as K
 from reachspark.llm.neardup import Linker
-from reachspark.llm.session import materialise, small
+from reachspark.llm.session import materialise, small, thrifty
 
 BANDS, ROWS = 28, 5  # at similarity 0.8 a pair shares no band once in 65,000
 
@@ -47,7 +47,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     shingles = K.Shingles("words", words)
-    base = materialise(docs.mapInArrow(_described(shingles, bands * rows, False), "doc_id long, sid long, n_shingles long, sig binary"), "docs")
+    base = materialise(docs.mapInArrow(thrifty(_described(shingles, bands * rows, False)), "doc_id long, sid long, n_shingles long, sig binary"), "docs")
     full = base.where("n_shingles > 0")
     first = full.groupBy("sid").agg(F.min("doc_id").alias("least"))
 
@@ -55,7 +55,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
         ids = first.join(sids, "sid", "left_semi").select("least")
         # both sides of an equality of nulls: documents without an id can be candidates too
         own = docs.join(small(materialise(ids, "least")), F.col("doc_id").eqNullSafe(F.col("least")), "left_semi")
-        return own.select("doc_id", "text").mapInArrow(_described(shingles, 0, True), "sid long, text string").join(sids, "sid", "left_semi").dropDuplicates(["sid"])
+        return own.select("doc_id", "text").mapInArrow(thrifty(_described(shingles, 0, True)), "sid long, text string").join(sids, "sid", "left_semi").dropDuplicates(["sid"])
 
     def describe(texts: DataFrame) -> DataFrame:
         return full.select("sid", "sig").join(small(texts.select("sid")), "sid", "left_semi").dropDuplicates(["sid"])

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from reachspark.llm import textkernel as K
 from reachspark.llm.components import connected_components
-from reachspark.llm.session import discard, materialise, partitions, small
+from reachspark.llm.session import discard, materialise, partitions, small, thrifty
 
 #: Signatures whose band keys are held at once before they are grouped.
 SEGMENT = 20_000
@@ -145,8 +145,8 @@ class Linker:
             for i in range(0, len(pair), 50_000):
                 yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pair[i : i + 50_000, c])) for c in (0, 1)], ["a", "b"])
 
-        blobs = self.nodes.select("sid", "sig").mapInArrow(group, "shard int, kind int, x binary, y binary")
-        return blobs.repartition(partitions(self.spark), "shard").mapInArrow(merge, "a long, b long").distinct()
+        blobs = self.nodes.select("sid", "sig").mapInArrow(thrifty(group), "shard int, kind int, x binary, y binary")
+        return blobs.repartition(partitions(self.spark), "shard").mapInArrow(thrifty(merge), "a long, b long").distinct()
 
     def verified(self, pairs: DataFrame, prune_first: bool) -> DataFrame:
         """Of pairs (a, b), those whose sets are similar enough; materialised. Signatures prune first if that is asked for."""
@@ -200,29 +200,24 @@ class Linker:
             pairs.join(texts.select(F.col("sid").alias("b"), F.col("text").alias("tb")), "b")
             .join(texts.select(F.col("sid").alias("a"), F.col("text").alias("ta")), "a")
             .select("a", "b", "ta", "tb")
-            .mapInArrow(exact, "a long, b long")
+            .mapInArrow(thrifty(exact), "a long, b long")
         )
         links = materialise(links, "links")
         discard(pairs)
         discard(ids)
         return links
 
-    def shared_buckets(self) -> DataFrame:
-        """(bkey, sid) of the buckets that hold two or more candidates; the same in every round."""
+    def members(self, comps: DataFrame) -> DataFrame:
+        """(bkey, sid, comp, n) of the buckets whose n members are in two or more components so far."""
         width, bands, rows = self.width, self.bands, self.rows
 
         def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 key = K.band_keys(K.matrix(b.column(1), width), bands, rows)
-                yield pa.RecordBatch.from_arrays([K.longs(key.ravel()), pa.array(np.repeat(b.column(0).to_numpy(zero_copy_only=False), bands))], ["bkey", "sid"])
+                yield pa.RecordBatch.from_arrays([K.longs(key.ravel())] + [pa.array(np.repeat(b.column(c).to_numpy(zero_copy_only=False), bands)) for c in (0, 2)], ["bkey", "sid", "comp"])
 
-        every = self.nodes.select("sid", "sig").mapInArrow(keyed, "bkey long, sid long")
-        several = every.groupBy("bkey").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo != hi").select("bkey")
-        return every.join(several, "bkey")
-
-    def members(self, buckets: DataFrame, comps: DataFrame) -> DataFrame:
-        """(bkey, sid, comp) of the buckets whose members are in two or more components so far."""
-        placed = buckets.join(small(comps.select(F.col("node").alias("sid"), "root")), "sid", "left").select("bkey", "sid", F.coalesce("root", "sid").alias("comp"))
+        own = self.nodes.join(small(comps.select(F.col("node").alias("sid"), "root")), "sid", "left").select("sid", "sig", F.coalesce("root", "sid").alias("comp"))
+        placed = own.mapInArrow(thrifty(keyed), "bkey long, sid long, comp long")
         several = materialise(placed.groupBy("bkey").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).where("lo != hi").select("bkey", "n"), "several")
         return placed.join(small(several), "bkey")
 
@@ -303,8 +298,8 @@ class Linker:
                     yield pa.RecordBatch.from_arrays([pa.array(u[cut[:-1]]), pa.array(v[cut[:-1]]), pa.array([pq[c:d].tobytes() for c, d in zip(cut[:-1], cut[1:])], pa.binary())], ["bx", "by", "pairs"])
 
         if blocks is None:
-            return both.mapInArrow(best, "a long, b long").distinct()
-        return both.mapInArrow(every, "bx long, by long, pairs binary")
+            return both.mapInArrow(thrifty(best), "a long, b long").distinct()
+        return both.mapInArrow(thrifty(every), "bx long, by long, pairs binary")
 
     def exhausted(self, members: DataFrame) -> DataFrame:
         """Links (a, b) between components from all candidate pairs that are left, verified exactly.
@@ -362,7 +357,7 @@ class Linker:
                                 top[max(u, v)] = min(u, v)
                     yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in (0, 1)], ["a", "b"])
 
-        links = materialise(both.mapInArrow(verify, "a long, b long"), "links")
+        links = materialise(both.mapInArrow(thrifty(verify), "a long, b long"), "links")
         return links
 
     def components(self) -> DataFrame:
@@ -381,9 +376,8 @@ class Linker:
         links = self.verified(pairs, True)
         discard(pairs)
         comps = connected_components(links)
-        buckets = materialise(self.shared_buckets(), "buckets")
         for last in (False, True) if self.likeliest else (True,):
-            members = materialise(self.members(buckets, comps), "members")
+            members = materialise(self.members(comps), "members")
             found = self.exhausted(members) if last else self.verified(self.tiles(members), False)
             if not found.isEmpty():
                 links = links.unionByName(found)

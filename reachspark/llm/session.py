@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 #: A side is broadcast only after its rows are counted and found to be at most this many (of a few longs each).
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 16_000_000
-#: Bytes of a batch between Spark and a Python worker while something is written here; a task holds a few of them outside the heap.
-BATCH = "16m"
+#: Bytes of a batch between Spark and a Python worker; a task holds a few of them outside the heap, and the worker some copies.
+BATCH = 8_000_000
 
 _local: dict[str, str] = {}
 
@@ -35,15 +35,46 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Sees to it that batches are bounded by bytes, not by rows alone: texts can be very long."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key)
+    if not str(now).isdigit() or not 0 < int(now) <= BATCH:
+        spark.conf.set(key, str(BATCH))
+
+
+def release() -> None:
+    """Gives memory that a worker has freed back to the system: idle workers stay, and keep what they don't return."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
+def thrifty(run):
+    """A batch function that releases its worker's memory when a task's rows are done."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df once to the shared folder and read it back: lineage ends there and a lost executor costs nothing."""
-    path, conf, key = new_path(df.sparkSession, name), df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
-    was = conf.get(key)
-    conf.set(key, BATCH)
-    try:
-        df.write.parquet(path)
-    finally:
-        conf.set(key, was)
+    bounded_batches(df.sparkSession)
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._reachspark_path = path  # type: ignore[attr-defined]
     return out

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 U64 = np.uint64
 _rng = np.random.default_rng(0x5EED)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)

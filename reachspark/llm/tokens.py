@@ -30,14 +30,21 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
-        whole, ranks = paths(folder)
-        self.slow = Tokenizer.from_file(whole)
+        self.whole, ranks = paths(folder)
+        self._slow = None
         with open(ranks, "rb") as f:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.fast = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
 
+    @property
+    def slow(self):
+        if self._slow is None:
+            from tokenizers import Tokenizer
+
+            self._slow = Tokenizer.from_file(self.whole)
+        return self._slow
+
     def ids(self, text: str) -> np.ndarray:
         if _OTHER.search(text):
             return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reachspark.llm.session import bounded_batches, thrifty
+
 from reachspark.llm.tokens import encoder
 
 #: Pieces that wait to be placed: packing starts at the first number and goes on down to the second.
@@ -185,8 +187,9 @@ def pack(examples: DataFrame, capacity: int = 1024, segments: int = 64, loss: in
     Returns a row for each piece: doc_id, start (ids of the example before it), length, ids_crc32 (of its ids as little-endian
     unsigned 32-bit), doc_tokens (ids of the example), sequence_id (task and number in it), offset (in the sequence, gapless),
     loss_tokens and, if asked for, ids. Null or empty text: end_id alone. Repeated rows are examples of their own. An empty table gives an empty result."""
+    bounded_batches(examples.sparkSession)
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long" + (", ids array<int>" if with_ids else "")
-    return examples.select("doc_id", "parts").mapInArrow(_packed((capacity, segments, loss or capacity), tokenizer_folder, end_id, with_ids), schema)
+    return examples.select("doc_id", "parts").mapInArrow(thrifty(_packed((capacity, segments, loss or capacity), tokenizer_folder, end_id, with_ids)), schema)
 
 
 def document_examples(docs: DataFrame) -> DataFrame:
