@@ -16,7 +16,7 @@ from reachspark.llm.session import materialise
 from reachspark.llm.vector_packing import document_examples, pack
 
 #: A document whose predicted language has a lower score is not taken for text of any learned language.
-LEAST_SCORE = 0.3
+LEAST_SCORE = 0.1
 
 #: No stage is expressible in SQL as a whole (models, MinHash, hash functions of the engine, a tokenizer): tested against brute force instead.
 ORACLE_SQL = None
