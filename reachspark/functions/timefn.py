@@ -22,7 +22,7 @@ def seconds(text: Column) -> Column:
 
 def valid_date(text: Column) -> Column:
     """Whether YYYYMMDD names a day, year 0 not being one."""
-    return F.coalesce(text.rlike(r"^\d{8}$") & (F.substring(text, 1, 4) != "0000") & F.try_to_date(text, F.lit("yyyyMMdd")).isNotNull(), F.lit(False))
+    return F.coalesce(text.rlike(r"^\d{8}$") & (F.substring(text, 1, 4) != "0000") & F.try_to_date(text, "yyyyMMdd").isNotNull(), F.lit(False))
 
 
 def clock(text: str) -> int:
