@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from reachspark.llm import textkernel as K
 from reachspark.llm.neardup import Linker
-from reachspark.llm.session import bloom_filter, BROADCAST_ROWS, materialise, small, thrifty
+from reachspark.llm.session import BROADCAST_ROWS, materialise, small, thrifty
 
 CHARS = 5
-BANDS, ROWS = 36, 7  # at similarity 0.8 a pair of lines shares no band once in 4,800, at 0.85 once in 1,300,000
+BANDS, ROWS = 30, 7  # at similarity 0.8 a pair of lines shares no band once in 1,200, at 0.85 once in 100,000
 #: Lines of up to so many shingles have MinHash values of independent hashes: one permutation varies too much for them.
 SHORT = 64
 #: Bytes of text whose signatures are made at once.
@@ -57,7 +57,8 @@ def _each(batches: Iterator[pa.RecordBatch], column: int):
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b, i, flat, bound, text, number in _each(batches, 2):
         at = pa.array(text + i)
-        yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(number.astype(np.int32)), K.longs(_line_ids(flat, bound))], ["doc_id", "thash", "line", "sid"])
+        lines = pa.Array.from_buffers(pa.string(), len(text), [None, pa.py_buffer(bound.astype(np.int32)), pa.py_buffer(flat)])
+        yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(number.astype(np.int32)), K.longs(_line_ids(flat, bound)), lines], ["doc_id", "thash", "line", "sid", "text"])
 
 
 def _signed(k: int, width: int):
@@ -84,19 +85,6 @@ def _signed(k: int, width: int):
     return run
 
 
-def _texts(wanted: bytes | None, bits: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have = np.unpackbits(np.frombuffer(wanted, np.uint8)).view(bool)
-        for _, _, flat, bound, _, _ in _each(batches, 0):
-            ids, at = np.unique(_line_ids(flat, bound), return_index=True)
-            p, q = K.bloom(ids, bits)
-            ok = have[p] & have[q]
-            text = pa.Array.from_buffers(pa.string(), len(bound) - 1, [None, pa.py_buffer(bound.astype(np.int32)), pa.py_buffer(flat)])
-            yield pa.RecordBatch.from_arrays([K.longs(ids[ok]), text.take(pa.array(at[ok]))], ["sid", "text"])
-
-    return run
-
-
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts, gone = b.column(1).to_pylist(), b.column(2).to_pylist()
@@ -134,12 +122,11 @@ def dedup_lines(docs: DataFrame, percent: int = 80, chars: int = CHARS, bands: i
     text = F.col("text").cast("string")
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("thash"), text.alias("text"))
     only = own.select("text")
-    seen = materialise(own.mapInArrow(thrifty(_occurrences), "doc_id long, thash long, line int, sid long"), "lines")
+    seen = materialise(own.mapInArrow(thrifty(_occurrences), "doc_id long, thash long, line int, sid long, text string"), "lines")
     shingles, width = K.Shingles("chars", chars), bands * rows
 
     def fetch(sids: DataFrame) -> DataFrame:
-        # a Bloom filter of fixed size keeps most other lines inside the scan; the join decides
-        return only.mapInArrow(thrifty(_texts(*bloom_filter(sids))), "sid long, text string").join(small(sids), "sid", "left_semi").dropDuplicates(["sid"])
+        return seen.select("sid", "text").join(small(sids), "sid", "left_semi").dropDuplicates(["sid"])
 
     def signed(texts: DataFrame) -> DataFrame:
         return texts.select("text").mapInArrow(thrifty(_signed(chars, width)), "sid long, sig binary")

@@ -75,11 +75,15 @@ class Linker:
     def __init__(self, spark: SparkSession, nodes: DataFrame, fetch: Callable[[DataFrame], DataFrame], shingles: K.Shingles, percent: int, bands: int, rows: int, miss: float | None, describe: Callable[[DataFrame], DataFrame], likeliest: bool = True):
         self.spark, self.nodes, self.fetch, self.shingles, self.percent = spark, nodes, fetch, shingles, percent
         self.bands, self.rows = bands, rows
-        #: Without a miss chance, signatures carry their kind, and only pairs that agree in less than half of their places are pruned:
-        #: more than six standard deviations off at a similarity of 0.8, for either kind.
+        #: Without a miss chance, signatures carry their kind, and only pairs that agree in less than a third of a quarter of the places
+        #: are pruned: more than seven standard deviations off at a similarity of 0.8, for either kind.
         k = bands * rows
-        self.rule = stop_rule(k, 20, percent, miss) if miss else [(k // 4, k // 12), (k, k * (percent - 30) // 100)]
+        self.rule = stop_rule(k, 20, percent, miss) if miss else []
         self.width, self.likeliest = k + (not miss), likeliest
+        #: Places of a signature that pairs are pruned by: with kinds, the kind and the first quarter suffice.
+        self.head = self.width if miss else k // 4 + 1
+        if not miss:
+            self.rule = [(k // 4, k // 12)]
         self.describe = describe
 
     def centre_pairs(self) -> DataFrame:
@@ -150,7 +154,7 @@ class Linker:
 
     def verified(self, pairs: DataFrame, prune_first: bool) -> DataFrame:
         """Of pairs (a, b), those whose sets are similar enough; materialised. Signatures prune first if that is asked for."""
-        rule, width, percent, shingles = self.rule, self.width, self.percent, self.shingles
+        rule, width, percent, shingles = self.rule, self.head, self.percent, self.shingles
 
         def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
@@ -185,7 +189,7 @@ class Linker:
                     yield b.select(["a", "b"]).filter(pa.array(ok))
 
         if prune_first:
-            sig = small(self.nodes.select("sid", "sig"), self.n_nodes, self.width + 32)
+            sig = small(self.heads(), self.n_nodes, self.head + 32)
             pairs = (
                 pairs.join(sig.select(F.col("sid").alias("b"), F.col("sig").alias("sb")), "b")
                 .join(sig.select(F.col("sid").alias("a"), F.col("sig").alias("sa")), "a")
@@ -207,6 +211,12 @@ class Linker:
         discard(ids)
         return links
 
+    def heads(self) -> DataFrame:
+        """(sid, sig): what pairs are pruned by; the kind, if there is one, comes last."""
+        if self.head == self.width:
+            return self.nodes.select("sid", "sig")
+        return self.nodes.select("sid", F.concat(F.substring("sig", 1, self.head - 1), F.substring("sig", self.width, 1)).alias("sig"))
+
     def members(self, comps: DataFrame) -> DataFrame:
         """(bkey, sid, comp, n) of the buckets whose n members are in two or more components so far."""
         width, bands, rows = self.width, self.bands, self.rows
@@ -226,8 +236,8 @@ class Linker:
 
         Without blocks: for each component of a tile the pair whose signatures agree most, (a, b). With blocks (sid, block):
         all pairs that the signatures leave, one row (bx, by, pairs) for each two blocks of a tile."""
-        rule, width, bands, rows = self.rule, self.width, self.bands, self.rows
-        placed = members.join(small(self.nodes.select("sid", "sig"), self.n_nodes, width + 32), "sid")
+        rule, width, bands, rows, whole = self.rule, self.head, self.bands, self.rows, self.head == self.width
+        placed = members.join(small(self.heads(), self.n_nodes, width + 32), "sid")
         if blocks is not None:
             placed = placed.join(small(blocks), "sid")
         item = ["sid", "comp", "sig"] + ["block"] * (blocks is not None)
@@ -278,13 +288,13 @@ class Linker:
                 for x, y, row, i, j in crossed(b):
                     left = survives(x[2][i], y[2][j], rule)
                     row, i, j = row[left], i[left], j[left]
-                    # a pair is listed in the first bucket that it shares
-                    kx, ky = K.band_keys(x[2], bands, rows), K.band_keys(y[2], bands, rows)
                     ok = np.ones(len(i), bool)
-                    for s in range(0, len(i), 50_000):
-                        part = slice(s, s + 50_000)
-                        both_ = kx[i[part]] == ky[j[part]]
-                        ok[part] = kx[i[part], both_.argmax(1)] == bkey[row[part]]
+                    if whole:  # a pair is listed in the first bucket that it shares; else once for each, and verified once for each two blocks
+                        kx, ky = K.band_keys(x[2], bands, rows), K.band_keys(y[2], bands, rows)
+                        for s in range(0, len(i), 50_000):
+                            part = slice(s, s + 50_000)
+                            both_ = kx[i[part]] == ky[j[part]]
+                            ok[part] = kx[i[part], both_.argmax(1)] == bkey[row[part]]
                     i, j = i[ok], j[ok]
                     if not len(i):
                         continue
@@ -341,20 +351,20 @@ class Linker:
                         return v
 
                     out = []
-                    for blob in b.column(0)[r].as_py():
-                        for p, q in np.frombuffer(blob, np.int64).reshape(-1, 2).tolist():
-                            u, v = root(comp[p]), root(comp[q])
-                            if u == v:
-                                continue
-                            x, y = sets[p], sets[q]
-                            if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                                continue
-                            both = np.concatenate([x, y])
-                            both.sort()
-                            inter = int((both[1:] == both[:-1]).sum())
-                            if 100 * inter >= percent * (len(x) + len(y) - inter):
-                                out.append((p, q))
-                                top[max(u, v)] = min(u, v)
+                    pairs = np.frombuffer(b"".join(b.column(0)[r].as_py()), np.int64).reshape(-1, 2)
+                    for p, q in (np.unique(pairs, axis=0) if len(pairs) > 1 else pairs).tolist():
+                        u, v = root(comp[p]), root(comp[q])
+                        if u == v:
+                            continue
+                        x, y = sets[p], sets[q]
+                        if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+                            continue
+                        both = np.concatenate([x, y])
+                        both.sort()
+                        inter = int((both[1:] == both[:-1]).sum())
+                        if 100 * inter >= percent * (len(x) + len(y) - inter):
+                            out.append((p, q))
+                            top[max(u, v)] = min(u, v)
                     yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in (0, 1)], ["a", "b"])
 
         links = materialise(both.mapInArrow(thrifty(verify), "a long, b long"), "links")
