@@ -75,4 +75,4 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if tuple(now) == state:
             break
         state = tuple(now)
-    return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(e.select("v", "v").distinct())

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 #: A side is broadcast only after its rows are counted and found to be at most this many (of a few longs each).
 BROADCAST_ROWS = 500_000
-BROADCAST_BYTES = 16_000_000
+BROADCAST_BYTES = 24_000_000
 #: Bytes of a batch between Spark and a Python worker; a task holds a few of them outside the heap, and the worker some copies.
 BATCH = 8_000_000
 
