@@ -199,7 +199,6 @@ class Linker:
         pairs = materialise(pairs, "pairs")
         ids = materialise(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), "ids")
         texts = self.texts.join(small(ids), "sid", "left_semi").select("sid", "text")
-        texts = small(texts, ids.count(), self.text_bytes)
         links = (
             pairs.join(texts.select(F.col("sid").alias("b"), F.col("text").alias("tb")), "b")
             .join(texts.select(F.col("sid").alias("a"), F.col("text").alias("ta")), "a")
@@ -324,9 +323,8 @@ class Linker:
         tiles = materialise(self.tiles(members, blocks.select("sid", "block")).groupBy("bx", "by").agg(F.collect_list("pairs").alias("pairs")), "tiles")
         used = materialise(tiles.select(F.explode(F.array("bx", "by")).alias("block")).distinct(), "used")
         wanted = materialise(blocks.join(small(used), "block", "left_semi"), "wanted")
-        n = wanted.count()
-        texts = self.texts.join(small(wanted, n, 40), "sid").groupBy("block").agg(F.collect_list(F.struct("sid", "comp", "text")).alias("m"))
-        content = small(materialise(texts, "content"), n, self.text_bytes)
+        texts = self.texts.join(small(wanted, width=40), "sid").groupBy("block").agg(F.collect_list(F.struct("sid", "comp", "text")).alias("m"))
+        content = materialise(texts, "content")
         x, y = content.select(F.col("block").alias("bx"), F.col("m").alias("mx")), content.select(F.col("block").alias("by"), F.col("m").alias("my"))
         both = tiles.repartition(partitions(self.spark)).join(x, "bx").join(y, "by").select("pairs", "mx", F.when(F.col("bx") != F.col("by"), F.col("my")).alias("my"))
 
@@ -379,8 +377,6 @@ class Linker:
         pairs = materialise(self.centre_pairs(), "centres")
         sids = materialise(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), "sids")
         self.texts = materialise(self.fetch(sids), "texts")
-        size = self.texts.agg(F.count("*"), F.coalesce(F.avg(F.octet_length("text")), F.lit(0.0))).first()
-        self.text_bytes = int(size[1]) + 64
         self.nodes = materialise(self.describe(self.texts), "nodes")
         self.n_nodes = self.nodes.count()
         links = self.verified(pairs, True)
