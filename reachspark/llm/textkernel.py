@@ -26,7 +26,6 @@ _pow = {"p": np.ones(1, np.uint64), "i": np.ones(1, np.uint64)}
 SPACED = np.array([b not in b"\x20\x09\x0a\x0b\x0c\x0d" for b in range(256)])
 ALNUM = np.array([48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128 for b in range(256)])
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)])
-_VALUE = {id(t): np.where(t, _BYTE[_LOWER], U64(0)) for t in (SPACED, ALNUM)}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -88,8 +87,9 @@ def words(data: np.ndarray, off: np.ndarray, i: int, j: int, table: np.ndarray =
     if not len(s):
         return np.zeros(0, np.uint64), s, at
     p, inv = powers(n)
+    value = np.where(table, _BYTE[_LOWER], U64(0))
     with np.errstate(over="ignore"):
-        h = np.add.reduceat(_VALUE[id(table)][d] * p[:n], s) * inv[s]
+        h = np.add.reduceat(value[d] * p[:n], s) * inv[s]
     return mix(h), s, at
 
 
