@@ -131,7 +131,7 @@ def dedup_lines(docs: DataFrame, percent: int = 80, chars: int = CHARS, bands: i
     def signed(texts: DataFrame) -> DataFrame:
         return texts.select("text").mapInArrow(thrifty(_signed(chars, width)), "sid long, sig binary")
 
-    comps = Linker(spark, signed(only), fetch, shingles, percent, bands, rows, None, signed, likeliest=False).components()
+    comps = Linker(spark, only, fetch, shingles, percent, bands, rows, None, signed, likeliest=False, prepare=_signed(chars, width)).components()
     place = F.struct(F.col("doc_id").isNull().alias("last"), F.coalesce("doc_id", F.lit(0)).alias("doc"), "thash", "line")
     first = seen.groupBy("sid").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     # lines that are alone lose nothing and need no second look

@@ -60,7 +60,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
     def describe(texts: DataFrame) -> DataFrame:
         return full.select("sid", "sig").join(small(texts.select("sid")), "sid", "left_semi").dropDuplicates(["sid"])
 
-    comps = Linker(spark, full, fetch, shingles, percent, bands, rows, miss, describe).components()
+    comps = Linker(spark, full.select("sid", "sig"), fetch, shingles, percent, bands, rows, miss, describe).components()
     rooted = first.join(comps.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(least, "root").select("sid", "component_id")

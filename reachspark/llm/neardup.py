@@ -67,12 +67,12 @@ def grouped(key: np.ndarray, who: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 class Linker:
     """Finds the components of nodes (sid long, sig binary) whose shingle sets have Jaccard similarity of at least percent/100.
 
-    nodes are read once; equal sids stand for equal texts and may repeat.
+    nodes are read once; equal sids stand for equal texts and may repeat. With prepare, nodes are other rows, of which it makes batches of (sid, sig) in the same worker.
     fetch(sids): (sid, text), one row for each of the given distinct sids. It is called once, for all candidates.
     describe(texts): (sid, sig) of such texts.
     """
 
-    def __init__(self, spark: SparkSession, nodes: DataFrame, fetch: Callable[[DataFrame], DataFrame], shingles: K.Shingles, percent: int, bands: int, rows: int, miss: float | None, describe: Callable[[DataFrame], DataFrame], likeliest: bool = True):
+    def __init__(self, spark: SparkSession, nodes: DataFrame, fetch: Callable[[DataFrame], DataFrame], shingles: K.Shingles, percent: int, bands: int, rows: int, miss: float | None, describe: Callable[[DataFrame], DataFrame], likeliest: bool = True, prepare: Callable | None = None):
         self.spark, self.nodes, self.fetch, self.shingles, self.percent = spark, nodes, fetch, shingles, percent
         self.bands, self.rows = bands, rows
         #: Without a miss chance, signatures carry their kind, and only pairs that agree in less than a third of a quarter of the places
@@ -84,7 +84,7 @@ class Linker:
         self.head = self.width if miss else k // 4 + 1
         if not miss:
             self.rule = [(k // 4, k // 12)]
-        self.describe = describe
+        self.describe, self.prepare = describe, prepare
 
     def centre_pairs(self) -> DataFrame:
         """For each band bucket the pairs of its least member with each other one, each pair once.
@@ -149,7 +149,8 @@ class Linker:
             for i in range(0, len(pair), 50_000):
                 yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pair[i : i + 50_000, c])) for c in (0, 1)], ["a", "b"])
 
-        blobs = self.nodes.select("sid", "sig").mapInArrow(thrifty(group), "shard int, kind int, x binary, y binary")
+        prepare = self.prepare
+        blobs = self.nodes.mapInArrow(thrifty((lambda batches: group(prepare(batches))) if prepare else group), "shard int, kind int, x binary, y binary")
         return blobs.repartition(partitions(self.spark), "shard").mapInArrow(thrifty(merge), "a long, b long").distinct()
 
     def verified(self, pairs: DataFrame, prune_first: bool) -> DataFrame:
