@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from reachspark.llm.components import ONE_TASK_EDGES, connected_components
 from reachspark.llm.embedding_forest import link_embeddings
-from reachspark.llm.line_dedup import dedup_lines
+from reachspark.llm import textkernel as K
+from reachspark.llm.line_dedup import BANDS, ROWS, dedup_lines
 from reachspark.llm.minhash_dedup import keep_first, near_duplicates
 from reachspark.llm.neardup import stop_rule
 
@@ -118,6 +119,16 @@ def test_lines(spark):
     assert dedup_lines(df.limit(0)).count() == 0
 
 
+def test_line_bands_find_pairs_at_the_threshold():
+    n, k = 40_000, BANDS * ROWS  # of 45 shingles on either side 40 are common: similarity 0.8
+    rng = np.random.default_rng(11)
+    x = rng.integers(0, 1 << 63, (n, 50), dtype=np.int64).view(np.uint64)
+    bound = np.arange(n + 1) * 45
+    keys = [K.band_keys(K.signatures(np.ascontiguousarray(part).ravel(), bound, k), BANDS, ROWS) for part in (x[:, :45], x[:, 5:])]
+    missed = n - int((keys[0] == keys[1]).any(1).sum())
+    assert (1 - 0.8**ROWS) ** BANDS < 1 / 4700 and missed < 20, missed
+
+
 def vectors(spark):
     rng = np.random.default_rng(5)
     base = rng.standard_normal((150, 16))
