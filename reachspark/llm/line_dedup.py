@@ -15,7 +15,7 @@ from reachspark.llm.session import BROADCAST_ROWS, materialise, small, thrifty
 
 CHARS = 5
 BANDS, ROWS = 36, 7  # at similarity 0.8 a pair of lines shares no band once in 4,800, at 0.85 once in 1,300,000
-#: Lines of up to so many shingles have MinHash values of independent hashes: one permutation varies too much for them.
+#: Lines of up to so many distinct shingles have MinHash values of independent hashes: one permutation varies too much for them.
 SHORT = 64
 #: Bytes of text whose signatures are made at once.
 SIGNED = 1 << 18
@@ -72,8 +72,14 @@ def _signed(k: int, width: int):
                 ids = _line_ids(flat, bound)
                 g, gb = K.char_grams(flat.tobytes(), bound, k)
                 size = np.diff(gb)
-                # short lines get independent hashes, others one permutation; sizes between get both, so
-                # that two lines with sizes within a quarter of each other have one kind in common
+                long = np.flatnonzero(size > SHORT)
+                if len(long):  # repeats don't count: lines with equal sets are of one size, however long they are
+                    long = long[np.unique(ids[long], return_index=True)[1]]
+                    own = np.diff(K.unique_sets(*K.take_sets(g, gb, long))[1])
+                    again = np.flatnonzero(size > SHORT)
+                    size[again] = own[np.searchsorted(ids[long], ids[again])]
+                # sets of few shingles get independent hashes, others one permutation; sizes between get both, so
+                # that two sets with sizes within a quarter of each other have one kind in common
                 for kind, pick in ((0, size <= SHORT * 5 // 4), (1, size > SHORT)):
                     rows = np.flatnonzero(pick)
                     if len(rows):

@@ -129,6 +129,12 @@ def test_line_bands_find_pairs_at_the_threshold():
     assert (1 - 0.8**ROWS) ** BANDS < 1 / 4700 and missed < 20, missed
 
 
+def test_repetitive_lines_of_unequal_length(spark):
+    docs = [(1, "-" * 60), (2, "-" * 100), (3, "ab" * 30 + "\n" + "xyz" * 20), (4, "ab" * 200), (5, "xyz" * 50), (6, "=" * 100)]
+    got = {r.row.doc_id: (r.clean, r.n_kept) for r in dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {1: ("-" * 60, 1), 2: ("", 0), 3: (docs[2][1], 2), 4: ("", 0), 5: ("", 0), 6: ("=" * 100, 1)}
+
+
 def vectors(spark):
     rng = np.random.default_rng(5)
     base = rng.standard_normal((150, 16))
