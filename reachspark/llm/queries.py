@@ -26,7 +26,7 @@ def op1_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_bfd_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_ids(_documents(spark, sf_dir), capacity=2048).select("sequence_id", "n_tokens", "ids_crc32", "doc_ids", "starts", F.size("doc_ids").alias("n_segments"))
+    return pack_ids(_documents(spark, sf_dir), capacity=2048).withColumn("n_segments", F.size("doc_ids"))
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -111,6 +111,15 @@ def test_id_matrices(spark, tmp_path):
     assert isinstance(t, pa.RecordBatch)
 
 
+def test_packed_query_returns_the_matrices(spark):
+    t = queries.op2_bfd_packing(spark, SMALL).toArrow().combine_chunks().to_batches()[0]
+    ids, bounds, pos = bfd_packing.matrices(t, 2048)
+    crc, used, segments = (t.column(c).to_pylist() for c in ("ids_crc32", "n_tokens", "n_segments"))
+    for r in range(len(ids)):
+        assert zlib.crc32(ids[r][: used[r]].tobytes()) == crc[r] and len(bounds[r]) == segments[r] + 1 and bounds[r][-1] == used[r]
+        assert pos[r][: used[r]].tolist() == [i for a, b in zip(bounds[r][:-1], bounds[r][1:]) for i in range(b - a)]
+
+
 def test_mixing(spark):
     docs = documents(spark)
     rows = mix(docs).toPandas()
