@@ -7,15 +7,17 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reachspark.llm.session import bounded_batches, thrifty
+from reachspark.llm.session import bounded_batches, materialise, small, thrifty
 
 from reachspark.llm import textkernel as K
 
-#: Feature buckets, and the most labelled documents that a model is fitted on.
+#: Feature buckets, and the labelled documents that a model is fitted on (more only if LEAST of each language are).
 BUCKETS, SAMPLE = 2048, 4000
+#: Documents of each language that a model is fitted on at least, and bits of a hash that documents are drawn by first.
+LEAST, BITS = 8, 16
 UNKNOWN = "und"
 
 # Language families of ISO 639-1 codes. Codes that are not here form one family.
@@ -146,16 +148,22 @@ def remainder() -> object:
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     """A model from documents with text and lang whose remainder is not 0; the only columns read.
 
-    It is fitted on a sample bounded by ``sample`` rows (chosen by hash, about equally many of each language): the counts are of all rows,
-    the bound holds at every size. Only the sample's features reach the driver. None if there is nothing to learn from."""
+    Every language is learned. Of each the rows with the least hashes are taken, ``sample`` shared out equally but no fewer than LEAST of each
+    (or all that it has); copies of a row count once. Only the sample's features reach the driver. There is a classifier for every two languages of a family, so time and
+    the model's size grow with the square of their number. None if there is nothing to learn from."""
     train = docs.where(remainder() != 0).where("text is not null and lang is not null").select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    counts = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n")).limit(200).collect()}
-    if not counts:
+    train = train.withColumn("draw", F.xxhash64("doc_id", "text", F.lit(5)))
+    # rows of each language by the first bits of their hash: up to which bits there are enough
+    cell = materialise(train.groupBy("lang", F.shiftrightunsigned("draw", 64 - BITS).alias("cell")).agg(F.count_distinct("draw").alias("n")), "cells")
+    by = Window.partitionBy("lang").orderBy("cell")
+    n = cell.select("lang").distinct().count()
+    if not n:
         return None
-    each = max(1, sample // len(counts))
-    chance = F.create_map(*[v for k, n in counts.items() for v in (F.lit(k), F.lit(min(1.0, each / n)))])
-    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit(5)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    picked = train.where(F.col("lang").isin(list(counts))).where(draw < F.element_at(chance, F.col("lang"))).select("lang", "text")
+    each = max(LEAST, sample // n)
+    upto = cell.withColumn("before", F.sum("n").over(by) - F.col("n")).where(F.col("before") < each).groupBy("lang").agg(F.max("cell").alias("upto"))
+    drawn = train.join(small(upto, n), "lang").where(F.shiftrightunsigned("draw", 64 - BITS) <= F.col("upto")).groupBy("lang", "draw").agg(F.min("text").alias("text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.shiftrightunsigned("draw", 64 - BITS), "draw", "text"))
+    picked = drawn.withColumn("place", place).where(F.col("place") <= each).select("lang", "text")
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -164,7 +172,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
                 x = features(data, off, i, j).astype(np.float16)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), K.binary(x.view(np.uint8))], ["lang", "x"])
 
-    got = picked.mapInArrow(thrifty(made), "lang string, x binary").limit(2 * sample).toArrow()
+    got = picked.mapInArrow(thrifty(made), "lang string, x binary").toArrow()
     x = K.matrix(got.column("x"), 2 * BUCKETS).view(np.float16).astype(np.float32)
     langs = got.column("lang").to_pylist()
     if not langs:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from reachspark.llm import bfd_packing, kneser_ney, queries
 from reachspark.llm.exact_topk import exact_top_k
-from reachspark.llm.language_id import languages
+from reachspark.llm.language_id import LEAST, fit, languages
 from reachspark.llm.license_scan import scan_licenses
 from reachspark.llm.mixing import mix, mixed
 from reachspark.llm.tokens import encoder
@@ -201,6 +201,18 @@ def test_languages(spark):
     assert languages(strange.limit(0)).count() == 0 and {r.lang_pred for r in languages(strange.where("lang is null")).collect()} == {"und"}
 
 
+def test_every_language_is_learned(spark):
+    codes = [f"{c}-{k:02}" for c in ("en", "fr", "ru", "fi", "tr", "ar", "hi", "zh") for k in range(27)]
+    rows = [(i, f"{c} w{i} {i * 7919 % 1000}", c) for i, c in enumerate(codes * 4)] + [(10_000 + i, f"common words {i}", "en-00") for i in range(3000)]
+    rows += [(20_000, "one text, very often", "en-01")] * 3000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = {c for i, _, c in rows if zlib.crc32(str(i).encode()) % 5}
+    model = fit(docs.repartition(3), sample=400)
+    assert len(learned) > 200 and set(model.langs) == learned and LEAST > 400 // len(learned)
+    again = fit(docs.repartition(7), sample=400)
+    assert all((again.pair_w[k] == w).all() for k, w in model.pair_w.items()) and (again.family_w == model.family_w).all()
+
+
 def test_licenses(spark):
     long = "x y z " * 500 + "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and, well, associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute"
     cases = [(1, "This is under the MIT License, under the mit license."), (2, None), (3, ""), (4, "This work is licensed under the GNU General Public License, version 3."), (5, long), (6, "Apache License Version 20, not 2"), (7, "licensed works of the general public"), (1, "CC BY-NC"), (None, "Apache License, Version 2.0!")]
