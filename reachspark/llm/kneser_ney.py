@@ -1,4 +1,4 @@
-"""Interpolated modified Kneser-Ney bigram model, counted in Spark, kept as sorted hash arrays that workers map into memory."""
+"""Interpolated modified Kneser-Ney model of n-grams, counted in Spark, kept as sorted hash arrays that workers map into memory."""
 
 from __future__ import annotations
 
@@ -17,7 +17,7 @@ from reachspark.llm import textkernel as K
 from reachspark.llm.session import new_path, partitions, thrifty
 
 START, END = np.uint64(0x1234567), np.uint64(0x7654321)
-#: Bigrams that a task counts together before it sends them.
+#: N-grams that a task counts together before it sends them.
 SEGMENT = 3_000_000
 
 
@@ -26,8 +26,8 @@ def pair_hash(u: np.ndarray, w: np.ndarray) -> np.ndarray:
         return K.mix(u * np.uint64(0x9E3779B97F4A7C15) + w)
 
 
-def bigrams(data: np.ndarray, off: np.ndarray, i: int, j: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Context and token hashes of texts i to j-1 (each text's words, then its end; the first word's context is the start), and where each text's begin."""
+def ngrams(data: np.ndarray, off: np.ndarray, i: int, j: int, order: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Hashes of the contexts of 1 to order-1 words and of the tokens of texts i to j-1 (each text's words, then its end; before its first word are order-1 starts), and where each text's begin."""
     h, _, at = K.words(data, off, i, j)
     n = j - i
     last = at[1:] + np.arange(n)
@@ -36,10 +36,13 @@ def bigrams(data: np.ndarray, off: np.ndarray, i: int, j: int) -> tuple[np.ndarr
     word[last] = False
     w[word], w[last] = h, END
     bound = at + np.arange(n + 1)
-    u = np.empty(len(w), np.uint64)
-    u[1:] = w[:-1]
-    u[bound[:-1]] = START
-    return u, w, bound
+    place = np.arange(len(w)) - np.repeat(bound[:-1], np.diff(bound))
+    contexts = []
+    for k in range(1, order):
+        u = np.full(len(w), START)
+        u[k:] = np.where(place[k:] >= k, w[:-k], START)
+        contexts.append(pair_hash(contexts[-1], u) if contexts else u)
+    return contexts, w, bound
 
 
 def _summed(keys: list[np.ndarray], *values: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -121,8 +124,9 @@ def find(names: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 class Model:
-    """Sorted hash arrays in shards. b: bigrams of contexts of the shard (hashes; their counts as 16 bits, with the few larger
-    ones in a list of their own); c: contexts with totals and numbers of bigrams seen once, twice, more often; u: tokens with raw and continuation counts."""
+    """Sorted hash arrays in shards. For each length k of contexts: b{k}: n-grams of contexts of the shard (hashes; their counts as 16 bits, with the few larger
+    ones in a list of their own); c{k}: contexts with totals and numbers of n-grams of count 1, 2, more. u: tokens with raw and continuation counts. The longest n-grams have
+    raw counts, shorter ones the number of distinct words before them."""
 
     def __init__(self, store: Store, shards: int, about: dict):
         self.store, self.shards, self.about = store, shards, about
@@ -137,10 +141,10 @@ class Model:
                 pick = order[cut[s] : cut[s + 1]]
                 yield s, pick, value[pick]
 
-    def log_probs(self, u: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """log10 P(w|u), and the raw training count of w."""
+    def log_probs(self, contexts: list[np.ndarray], w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 P(w|context), and the raw training count of w; contexts from the shortest on."""
         a, load = self.about, self.store.load
-        d1, d2 = a["d1"], a["d2"]
+        d1 = a["d1"]
         tokens, back = np.unique(w, return_inverse=True)
         cont, raw = np.zeros(len(tokens), np.int64), np.zeros(len(tokens), np.int64)
         for s, pick, q in self._by_shard(tokens, tokens):
@@ -150,114 +154,144 @@ class Model:
         kinds = max(1, a["bigrams"])
         rest = (d1[0] * a["cont"][0] + d1[1] * a["cont"][1] + d1[2] * a["cont"][2]) / kinds if a["bigrams"] else 1.0
         low = np.maximum(cont - np.take([0.0, *d1], np.minimum(cont, 3)), 0) / kinds + rest / (a["tokens"] + 1)
-        low, raw = low[back], raw[back]
+        p, raw = low[back], raw[back]
+        for k, (u, d) in enumerate(zip(contexts, a["d"]), 1):
+            p = self._raised(k, d, u, w, p)
+        return np.log10(np.maximum(p, 1e-300)), raw
+
+    def _raised(self, k: int, d: list[float], u: np.ndarray, w: np.ndarray, low: np.ndarray) -> np.ndarray:
+        """P(w|u) of contexts u of k words from those of one word less."""
+        load = self.store.load
         contexts, of = np.unique(u, return_inverse=True)
         total, gamma = np.zeros(len(contexts)), np.ones(len(contexts))
         for s, pick, q in self._by_shard(contexts, contexts):
-            names = load(f"c{s}-h")
+            names = load(f"c{k}-{s}-h")
             at, ok = find(names, q)
             if len(names):
-                t = load(f"c{s}-t")[at].astype(float)
-                n = load(f"c{s}-n")[at].astype(float)
+                t = load(f"c{k}-{s}-t")[at].astype(float)
+                n = load(f"c{k}-{s}-n")[at].astype(float)
                 total[pick] = np.where(ok, t, 0)
-                gamma[pick] = np.where(ok, (n @ np.array(d2)) / np.maximum(t, 1), 1.0)
+                gamma[pick] = np.where(ok, (n @ np.array(d)) / np.maximum(t, 1), 1.0)
         count = np.zeros(len(w), np.int64)
         for s, pick, q in self._by_shard(u, pair_hash(u, w)):
-            names = load(f"b{s}-h")
+            names = load(f"b{k}-{s}-h")
             at, ok = find(names, q)
             if len(names):
-                n = load(f"b{s}-n")[at].astype(np.int64)
+                n = load(f"b{k}-{s}-n")[at].astype(np.int64)
                 big = np.flatnonzero(ok & (n == 65535))
                 if len(big):
-                    spot, _ = find(load(f"b{s}-x"), q[big])
-                    n[big] = load(f"b{s}-xn")[spot]
+                    spot, _ = find(load(f"b{k}-{s}-x"), q[big])
+                    n[big] = load(f"b{k}-{s}-xn")[spot]
                 count[pick] = np.where(ok, n, 0)
-        high = np.maximum(count - np.take([0.0, *d2], np.minimum(count, 3)), 0) / np.maximum(total[of], 1)
-        return np.log10(np.maximum(high + gamma[of] * low, 1e-300)), raw
+        high = np.maximum(count - np.take([0.0, *d], np.minimum(count, 3)), 0) / np.maximum(total[of], 1)
+        return high + gamma[of] * low
 
 
-def train(texts: DataFrame, shards: int | None = None) -> Model:
+def train(texts: DataFrame, shards: int | None = None, order: int = 2) -> Model:
     """Counts every text of the one string column of texts and stores the model.
 
-    One shuffle brings each context's bigrams together (tasks send what they counted, summed over some million tokens, as sorted blobs: a
-    frequent context sends a row of its blob for each distinct bigram and task, not for each token); a second one, of what each shard has summed for a token,
+    One shuffle brings each longest context's n-grams together (tasks send what they counted, summed over some million tokens, as sorted blobs: a
+    frequent context sends a row of its blob for each distinct n-gram and task, not for each token); a further one for each lower order, of what each shard has summed for its n-grams,
     gives the continuation counts. Only count-of-count sums of each shard reach the driver."""
     spark = texts.sparkSession
     shards = shards or partitions(spark)
     store = Store(new_path(spark, "kneser-ney"))
+    kinds_of = (np.uint64, np.uint32, np.uint64, np.uint32, np.int64, np.uint32, np.int64, np.uint64)
+    cells = ["u", "run", "w", "many", "n", "often", "raw", "lower"]
+
+    def sent(u: np.ndarray, w: np.ndarray, n: np.ndarray, raw: np.ndarray | None, lower: list[np.ndarray]) -> list[tuple]:
+        """For each shard the n-grams (u, w), sorted: distinct contexts and how many n-grams each has, tokens, counts and raw counts that aren't 1 (None: raw counts are the counts), and the shorter contexts of each context."""
+        shard = (u % np.uint64(shards)).astype(np.int64)
+        order_ = np.argsort(shard, kind="stable")
+        cut = np.searchsorted(shard[order_], np.arange(shards + 1))
+        rows = []
+        for s in range(shards):
+            pick = order_[cut[s] : cut[s + 1]]
+            if not len(pick):
+                continue
+            first = np.ones(len(pick), bool)
+            first[1:] = u[pick][1:] != u[pick][:-1]
+            run = np.diff(np.append(np.flatnonzero(first), len(pick)))
+            counts = []
+            for c in (n, raw):
+                many = None if c is None else np.flatnonzero(c[pick] > 1)
+                counts += [None, None] if c is None else [many.astype(np.uint32).tobytes(), c[pick][many].astype(np.int64).tobytes()]
+            rows.append((s, u[pick][first].tobytes(), run.astype(np.uint32).tobytes(), w[pick].tobytes(), *counts, b"".join(v[pick][first].tobytes() for v in lower)))
+        return rows
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32())] + [pa.array([r[c] for r in rows], pa.binary()) for c in range(1, 9)], ["shard", *cells])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def send(us: list[np.ndarray], ws: list[np.ndarray]) -> pa.RecordBatch:
-            u, w = np.concatenate(us), np.concatenate(ws)
-            (u, w), (n,) = _summed([u, w], np.ones(len(u), np.int64))
-            shard = (u % np.uint64(shards)).astype(np.int64)
-            order = np.argsort(shard, kind="stable")
-            cut = np.searchsorted(shard[order], np.arange(shards + 1))
-            rows = []
-            for s in range(shards):
-                pick = order[cut[s] : cut[s + 1]]
-                if not len(pick):
-                    continue
-                first = np.ones(len(pick), bool)
-                first[1:] = u[pick][1:] != u[pick][:-1]
-                run = np.diff(np.append(np.flatnonzero(first), len(pick)))
-                many = np.flatnonzero(n[pick] > 1)
-                rows.append((s, u[pick][first].tobytes(), run.astype(np.uint32).tobytes(), w[pick].tobytes(), many.astype(np.uint32).tobytes(), n[pick][many].astype(np.int64).tobytes()))
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32())] + [pa.array([r[c] for r in rows], pa.binary()) for c in range(1, 6)], ["shard", "u", "run", "w", "many", "n"])
-
-        us, ws, held = [], [], 0
+        def send(held: list[tuple]) -> pa.RecordBatch:
+            w, *contexts = (np.concatenate(c) for c in zip(*held))
+            (u, w, *lower), (n,) = _summed([contexts[-1], w, *contexts[:-1]], np.ones(len(w), np.int64))
+            return batch(sent(u, w, n, None, lower))
+
+        kept: list[tuple] = []
+        held = 0
         for b in batches:
             data, off = K.raw(b.column(0))
             for i, j in K.chunks(off):
-                u, w, _ = bigrams(data, off, i, j)
-                us.append(u)
-                ws.append(w)
-                held += len(u)
+                contexts, w, _ = ngrams(data, off, i, j, order)
+                kept.append((w, *contexts))
+                held += len(w)
                 if held >= SEGMENT:
-                    yield send(us, ws)
-                    us, ws, held = [], [], 0
+                    yield send(kept)
+                    kept, held = [], 0
         if held:
-            yield send(us, ws)
+            yield send(kept)
+
+    def shard_model(k: int):
+        """Stores the n-grams of contexts of k words; gives those of the next lower order, or tokens, with how many distinct n-grams end in them."""
+
+        def run_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            got: dict[int, list] = {}
+            for b in batches:
+                for s, *blobs in zip(b.column(0).to_pylist(), *[b.column(c) for c in range(1, 9)]):
+                    u, run, w, many, n, often, raw, lower = (np.frombuffer(x.as_buffer(), t) if x.is_valid else None for x, t in zip(blobs, kinds_of))
+                    c = np.ones(len(w), np.int64)
+                    c[many] = n
+                    r = c
+                    if often is not None:
+                        r = np.ones(len(w), np.int64)
+                        r[often] = raw
+                    lower = lower.reshape(k - 1, len(u))
+                    got.setdefault(s, []).append((np.repeat(u, run), w.copy(), *(np.repeat(v, run) for v in lower), c, r))
+            for s, parts in got.items():
+                cols = [np.concatenate(c) for c in zip(*parts)]
+                parts.clear()
+                (u, w, *lower), (n, raw) = _summed(cols[:-2], *cols[-2:])
+                (c,), sums = _summed([u], n, (n == 1).astype(np.int64), (n == 2).astype(np.int64), (n > 2).astype(np.int64))
+                store.save(f"c{k}-{s}-h", c)
+                store.save(f"c{k}-{s}-t", sums[0])
+                store.save(f"c{k}-{s}-n", np.stack(sums[1:], 1).astype(np.uint32))
+                h = pair_hash(u, w)
+                by = np.argsort(h, kind="stable")
+                big = by[n[by] >= 65535]
+                store.save(f"b{k}-{s}-h", h[by])
+                store.save(f"b{k}-{s}-n", np.minimum(n[by], 65535).astype(np.uint16))
+                store.save(f"b{k}-{s}-x", h[big])
+                store.save(f"b{k}-{s}-xn", n[big])
+                store.save(f"f{k}-{s}", np.array([*(int((n == q).sum()) for q in (1, 2, 3, 4)), len(n), raw.sum()], np.int64))
+                one = np.ones(len(w), np.int64)
+                if k > 1:
+                    (u, w, *lower), (kinds, raw) = _summed([lower[-1], w, *lower[:-1]], one, raw)
+                    yield batch(sent(u, w, kinds, raw, lower))
+                    continue
+                (t,), (kinds, raw) = _summed([w], one, raw)
+                spot = (t % np.uint64(shards)).astype(np.int64)
+                by = np.argsort(spot, kind="stable")
+                cut = np.searchsorted(spot[by], np.arange(shards + 1))
+                rows = [(q, t[p].tobytes(), kinds[p].astype(np.uint32).tobytes(), raw[p].tobytes()) for q in range(shards) if len(p := by[cut[q] : cut[q + 1]])]
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32())] + [pa.array([r[c] for r in rows], pa.binary()) for c in (1, 2, 3)], ["shard", "t", "kinds", "raw"])
 
-    def shard_model(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got: dict[int, list] = {}
-        for b in batches:
-            for s, *blobs in zip(b.column(0).to_pylist(), *[b.column(c) for c in range(1, 6)]):
-                u, run, w, many, n = (np.frombuffer(x.as_buffer(), t) for x, t in zip(blobs, (np.uint64, np.uint32, np.uint64, np.uint32, np.int64)))
-                k = np.ones(len(w), np.int64)
-                k[many] = n
-                got.setdefault(s, []).append((np.repeat(u, run), w.copy(), k))
-        for s, parts in got.items():
-            (u, w), (n,) = _summed([np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])], np.concatenate([p[2] for p in parts]))
-            parts.clear()
-            (c,), sums = _summed([u], n, (n == 1).astype(np.int64), (n == 2).astype(np.int64), (n > 2).astype(np.int64))
-            store.save(f"c{s}-h", c)
-            store.save(f"c{s}-t", sums[0])
-            store.save(f"c{s}-n", np.stack(sums[1:], 1).astype(np.uint32))
-            h = pair_hash(u, w)
-            order = np.argsort(h, kind="stable")
-            big = order[n[order] >= 65535]
-            store.save(f"b{s}-h", h[order])
-            store.save(f"b{s}-n", np.minimum(n[order], 65535).astype(np.uint16))
-            store.save(f"b{s}-x", h[big])
-            store.save(f"b{s}-xn", n[big])
-            of = [int((n == k).sum()) for k in (1, 2, 3, 4)]
-            (t,), (kinds, raw) = _summed([w], np.ones(len(w), np.int64), n)
-            spot = (t % np.uint64(shards)).astype(np.int64)
-            order = np.argsort(spot, kind="stable")
-            cut = np.searchsorted(spot[order], np.arange(shards + 1))
-            rows = [(q, t[p].tobytes(), kinds[p].astype(np.uint32).tobytes(), raw[p].tobytes()) for q in range(shards) if len(p := order[cut[q] : cut[q + 1]])]
-            rows.append((s, None, np.array([*of, len(n), n.sum()], np.int64).tobytes(), None))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32())] + [pa.array([r[c] for r in rows], pa.binary()) for c in (1, 2, 3)], ["shard", "t", "kinds", "raw"])
+        return run_
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got: dict[int, list] = {}
-        facts = np.zeros(6, np.int64)
         for b in batches:
             for s, t, kinds, raw in zip(b.column(0).to_pylist(), b.column(1), b.column(2), b.column(3)):
-                if not t.is_valid:
-                    facts += np.frombuffer(kinds.as_buffer(), np.int64)
-                    continue
                 got.setdefault(s, []).append((np.frombuffer(t.as_buffer(), np.uint64).copy(), np.frombuffer(kinds.as_buffer(), np.uint32).astype(np.int64), np.frombuffer(raw.as_buffer(), np.int64).copy()))
         cont, n = np.zeros(4, np.int64), 0
         for s, parts in got.items():
@@ -269,19 +303,34 @@ def train(texts: DataFrame, shards: int | None = None) -> Model:
             n += len(t)
             # counts 1, 2 and 3 or more for the mass that is set aside; 3 and 4 alone for the discounts
             cont += [int((kinds == 1).sum()), int((kinds == 2).sum()), int((kinds == 3).sum()), int((kinds == 4).sum())]
-        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (*facts.tolist(), *cont.tolist(), n)], names)
-
-    names = ["n1", "n2", "n3", "n4", "bigrams", "total", "m1", "m2", "m3", "m4", "tokens"]
-    blobs = texts.mapInArrow(thrifty(count), "shard int, u binary, run binary, w binary, many binary, n binary").repartition(shards, "shard")
-    sums = blobs.mapInArrow(thrifty(shard_model), "shard int, t binary, kinds binary, raw binary").repartition(shards, "shard").mapInArrow(thrifty(tokens), ", ".join(f"{c} long" for c in names))
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (*cont.tolist(), n)], names)
+
+    names = ["m1", "m2", "m3", "m4", "tokens"]
+    blobs = ", ".join(["shard int", *(f"{c} binary" for c in cells)])
+    sums = texts.mapInArrow(thrifty(count), blobs)
+    for k in range(order - 1, 0, -1):
+        sums = sums.repartition(shards, "shard").mapInArrow(thrifty(shard_model(k)), blobs if k > 1 else "shard int, t binary, kinds binary, raw binary")
+    sums = sums.repartition(shards, "shard").mapInArrow(thrifty(tokens), ", ".join(f"{c} long" for c in names))
     f = sums.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]).first().asDict()
+    facts = np.zeros((order, 6), np.int64)
     for s in range(shards):  # shards that no row came to are empty arrays
-        for name, kind in (("c{}-h", np.uint64), ("b{}-h", np.uint64), ("u{}-h", np.uint64)):
-            _empty(store, name.format(s), kind)
-    about = {"d2": discounts([f["n1"], f["n2"], f["n3"], f["n4"]]), "d1": discounts([f["m1"], f["m2"], f["m3"], f["m4"]]), "cont": [f["m1"], f["m2"], f["tokens"] - f["m1"] - f["m2"]], "bigrams": f["bigrams"], "tokens": f["tokens"], "total": f["total"]}
+        _empty(store, f"u{s}-h", np.uint64)
+        for k in range(1, order):
+            for c in "cb":
+                _empty(store, f"{c}{k}-{s}-h", np.uint64)
+            facts[k] += _facts(store, f"f{k}-{s}")
+    about = {"d": [discounts(facts[k][:4].tolist()) for k in range(1, order)], "d1": discounts([f["m1"], f["m2"], f["m3"], f["m4"]]), "cont": [f["m1"], f["m2"], f["tokens"] - f["m1"] - f["m2"]], "bigrams": int(facts[1][4]), "tokens": f["tokens"], "total": int(facts[1][5])}
     return Model(store, shards, json.loads(json.dumps(about)))
 
 
+def _facts(store: Store, name: str) -> np.ndarray:
+    """Count-of-count sums of a shard, zeros if no row came to it."""
+    try:
+        return store.load(name)
+    except (FileNotFoundError, OSError):
+        return np.zeros(6, np.int64)
+
+
 def _empty(store: Store, name: str, kind) -> None:
     try:
         store.load(name)
@@ -292,14 +341,14 @@ def _empty(store: Store, name: str, kind) -> None:
             store.save(f"{name[:-1]}{more}", np.zeros((0, 3) if (name[0], more) == ("c", "n") else 0, np.int64))
 
 
-def _scored(model: Model):
+def _scored(model: Model, order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, v = model.about["total"], model.about["tokens"]
         for b in batches:
             data, off = K.raw(b.column(1))
             for i, j in K.chunks(off):
-                u, w, bound = bigrams(data, off, i, j)
-                p, raw = model.log_probs(u, w)
+                contexts, w, bound = ngrams(data, off, i, j, order)
+                p, raw = model.log_probs(contexts, w)
                 base = np.log10((raw + 0.5) / (n + 0.5 * (v + 1)))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(np.diff(bound)), pa.array(np.add.reduceat((raw > 0).astype(np.int64), bound[:-1])), pa.array(np.add.reduceat(base, bound[:-1])), pa.array(np.add.reduceat(p, bound[:-1]))], ["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
@@ -311,17 +360,17 @@ def held_out():
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 1
 
 
-def score_documents(docs: DataFrame) -> DataFrame:
-    """Perplexity scores of whole texts by an interpolated modified Kneser-Ney bigram model of the documents that are not held out.
+def score_documents(docs: DataFrame, order: int = 2) -> DataFrame:
+    """Perplexity scores of whole texts by an interpolated modified Kneser-Ney model of n-grams of up to ``order`` (2 or more) tokens of the documents that are not held out.
 
-    docs: doc_id long, text string; others are not read. Tokens are the words [^\\x20\\x09-\\x0D]+ (A-Z lowered) and one end. P(w|u) = max(c(u,w) - D(c(u,w)), 0) / c(u) + g(u) P1(w), P1 from
-    continuation counts, discounted in the same way, over a uniform share of V + 1 tokens; g(u) is the mass that discounts set aside, 1 for a context
-    not seen. The model grows with the training text; nothing is pruned.
+    docs: doc_id long, text string; others are not read. Tokens are the words [^\\x20\\x09-\\x0D]+ (A-Z lowered) and one end. P(w|u) = max(c(u,w) - D(c(u,w)), 0) / c(u) + g(u) P(w|u without its first word), lower orders from
+    continuation counts, discounted in the same way, the lowest over a uniform share of V + 1 tokens; g(u) is the mass that discounts set aside, 1 for a context
+    not seen. Before each text stand order-1 starts. The model grows with the training text; nothing is pruned.
 
     Returns a row for each of docs: doc_id, held_out, n_tokens, n_known (seen in training), train_tokens, base_score (add-half unigrams), score (log10 of the
     text's probability) and perplexity (10^(-score/n_tokens)). Null or empty text: its end alone. Without training text every token is unknown (P = 1). Repeated
     rows are each counted and each scored. An empty table gives an empty result."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    model = train(own.where(~held_out()).select("text"))
-    got = own.mapInArrow(thrifty(_scored(model)), "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    model = train(own.where(~held_out()).select("text"), order=order)
+    got = own.mapInArrow(thrifty(_scored(model, order)), "doc_id long, n_tokens long, n_known long, base_score double, score double")
     return got.select("doc_id", held_out().alias("held_out"), "n_tokens", "n_known", F.lit(model.about["total"]).cast("long").alias("train_tokens"), "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))

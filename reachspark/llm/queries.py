@@ -42,7 +42,7 @@ def op5_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_documents(_documents(spark, sf_dir))
+    return score_documents(_documents(spark, sf_dir), order=3)
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -183,6 +183,51 @@ def test_kneser_ney(spark):
     assert sum(r.score for r in got.values() if r.held_out) > sum(r.base_score for r in got.values() if r.held_out)
 
 
+def brute_kneser_ney(texts, order):
+    """P(context, w) by dictionaries."""
+    grams = Counter()
+    for w in texts:
+        full = ["\1"] * (order - 1) + w
+        grams.update(tuple(full[i : i + order]) for i in range(len(w)))
+    levels = [grams]
+    while len(next(iter(levels[0]))) > 1:
+        levels.insert(0, Counter(g[1:] for g in levels[0]))
+    tables = []
+    for c in levels:
+        d = kneser_ney.discounts([Counter(c.values())[k] for k in (1, 2, 3, 4)])
+        total, spare = Counter(), Counter()
+        for g, n in c.items():
+            total[g[:-1]] += n
+            spare[g[:-1]] += d[min(n, 3) - 1]
+        tables.append((c, d, total, spare))
+
+    def p(context, w):
+        q = 1 / (len(levels[0]) + 1)
+        for k, (c, d, total, spare) in enumerate(tables):
+            u = context[len(context) - k :]
+            if total[u]:
+                n = c[(*u, w)]
+                q = (n - d[min(n, 3) - 1] if n else 0) / total[u] + spare[u] / total[u] * q
+        return q
+
+    return p, levels
+
+
+@pytest.mark.parametrize("order", [3, 4])
+def test_kneser_ney_orders(spark, order):
+    docs = documents(spark)
+    frame = queries.op6_kneser_ney(spark, SMALL) if order == 3 else kneser_ney.score_documents(docs, order=order)
+    got = {r.doc_id: r.score for r in frame.collect()}
+    tok = {r.doc_id: [*re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), r.text or "")), "\0"] for r in docs.collect()}
+    p, levels = brute_kneser_ney([w for i, w in tok.items() if zlib.crc32(str(i).encode()) % 5 != 1], order)
+    seen = next(g[:-1] for g in levels[-1] if "\1" not in g)
+    assert abs(sum(p(seen, g[0]) for g in levels[0]) + p(seen, "\2") - 1) < 1e-9
+    for i, w in tok.items():
+        full = ["\1"] * (order - 1) + w
+        want = sum(math.log10(p(tuple(full[k : k + order - 1]), x)) for k, x in enumerate(w))
+        assert math.isclose(got[i], want, rel_tol=1e-9)
+
+
 def test_kneser_ney_odd(spark):
     rows = kneser_ney.score_documents(odd(spark)).collect()
     assert len(rows) == len(ODD) and all(np.isfinite(r.score) and r.score <= 0 for r in rows)
