@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reachspark.llm.session import discard, materialise
+from reachspark.llm.session import discard, materialise, partitions
 
 
 #: Up to so many distinct edges (some MB) one task finds the components; more of them take the distributed rounds.
@@ -76,3 +76,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
             break
         state = tuple(now)
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(e.select("v", "v").distinct())
+
+
+def least_by_root(rooted: DataFrame, value: str, name: str) -> DataFrame:
+    """rooted (root, value and others; a materialised table) with the least value of each root as name.
+
+    Roots with more rows than half a partition's share are few (twice the partitions at most), so these are broadcast: no task gets all rows of one."""
+    spark = rooted.sparkSession
+    hot = max(1, rooted.count() // (2 * partitions(spark)))
+    least = materialise(rooted.groupBy("root").agg(F.min(value).alias(name), F.count("*").alias("__n")), "least")
+    few, many = least.where(F.col("__n") > hot).drop("__n"), least.where(F.col("__n") <= hot).drop("__n")
+    a = rooted.join(F.broadcast(few), "root")
+    b = rooted.join(F.broadcast(few.select("root")), "root", "left_anti").join(many, "root")
+    return a.unionByName(b)

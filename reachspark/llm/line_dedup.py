@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reachspark.llm import textkernel as K
+from reachspark.llm.components import least_by_root
 from reachspark.llm.neardup import Linker
-from reachspark.llm.session import BROADCAST_ROWS, materialise, small, thrifty
+from reachspark.llm.session import Bloom, bounded_batches, discard, materialise, release_shuffles, small, thrifty
 
 CHARS = 5
 BANDS, ROWS = 36, 7  # at similarity 0.8 a pair of lines shares no band once in 4,800, at 0.85 once in 1,300,000
@@ -54,15 +55,44 @@ def _each(batches: Iterator[pa.RecordBatch], column: int):
                 yield b, i, flat, bound, text, number
 
 
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b, i, flat, bound, text, number in _each(batches, 2):
-        at = pa.array(text + i)
-        lines = pa.Array.from_buffers(pa.string(), len(text), [None, pa.py_buffer(bound.astype(np.int32)), pa.py_buffer(flat)])
-        yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(number.astype(np.int32)), K.longs(_line_ids(flat, bound)), lines], ["doc_id", "thash", "line", "sid", "text"])
+def _occurrences(wanted: Bloom):
+    """Every line of every text; with its own text where its id is wanted, once a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given = Fresh()
+        for b, i, flat, bound, text, number in _each(batches, 2):
+            ids = _line_ids(flat, bound)
+            want = np.flatnonzero(wanted.has(ids))
+            want = want[given.first(ids[want])]
+            own = np.full(len(ids), None, object)
+            for r in want.tolist():
+                own[r] = flat[bound[r] : bound[r + 1]].tobytes().decode("utf-8", "replace")
+            at = pa.array(text + i)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(number.astype(np.int32)), K.longs(ids), pa.array(own, pa.string())], ["doc_id", "thash", "line", "sid", "text"])
+
+    return run
+
+
+class Fresh:
+    """Ids that a task meets for the first time; it remembers some hundred thousand, then starts anew: a repeat does no harm."""
+
+    def __init__(self, most: int = 500_000):
+        self.seen: set[int] = set()
+        self.most = most
+
+    def first(self, ids: np.ndarray) -> np.ndarray:
+        """Rows of ids that are new, of equal ones the first."""
+        rows = np.unique(ids, return_index=True)[1]
+        new = [r for r, v in zip(rows.tolist(), ids[rows].tolist()) if v not in self.seen]
+        if len(self.seen) > self.most:
+            self.seen.clear()
+        self.seen.update(ids[new].tolist())
+        return np.array(new, np.int64)
 
 
 def _signed(k: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh = Fresh()
         for b in batches:
             data, off = K.raw(b.column(0))
             for i, j in K.chunks(off, SIGNED):
@@ -70,27 +100,37 @@ def _signed(k: int, width: int):
                 if not len(text):
                     continue
                 ids = _line_ids(flat, bound)
+                own = fresh.first(ids)
+                if not len(own):
+                    continue
+                flat, bound = K.take_sets(flat, bound, own)
+                ids = ids[own]
                 g, gb = K.char_grams(flat.tobytes(), bound, k)
+                # sets of few shingles get independent hashes, others one permutation; sizes between get both, so
+                # that two sets with sizes within a quarter of each other have one kind in common. Repeats don't count: lines with equal sets are of one size, however
+                # long they are. A set has at least as many shingles as bins that it fills; only where that leaves the kind open are they counted
                 size = np.diff(gb)
                 long = np.flatnonzero(size > SHORT)
-                if len(long):  # repeats don't count: lines with equal sets are of one size, however long they are
-                    long = long[np.unique(ids[long], return_index=True)[1]]
-                    own = np.diff(K.unique_sets(*K.take_sets(g, gb, long))[1])
-                    again = np.flatnonzero(size > SHORT)
-                    size[again] = own[np.searchsorted(ids[long], ids[again])]
-                # sets of few shingles get independent hashes, others one permutation; sizes between get both, so
-                # that two sets with sizes within a quarter of each other have one kind in common
-                for kind, pick in ((0, size <= SHORT * 5 // 4), (1, size > SHORT)):
-                    rows = np.flatnonzero(pick)
-                    if len(rows):
-                        rows = rows[np.unique(ids[rows], return_index=True)[1]]
-                        sub, sb = K.take_sets(g, gb, rows)
-                        sig = K.one_permutation(sub, sb, width) if kind else K.signatures(sub, sb, width)
-                        yield pa.RecordBatch.from_arrays([K.longs(ids[rows]), K.binary(np.hstack([sig, np.full((len(rows), 1), kind, np.uint8)]))], ["sid", "sig"])
+                if len(long):
+                    sub, sb = K.take_sets(g, gb, long)
+                    sig, filled = K.one_permutation(sub, sb, width)
+                    open_ = np.flatnonzero(filled <= SHORT * 5 // 4)
+                    size[long] = np.maximum(filled, SHORT + SHORT)
+                    if len(open_):
+                        size[long[open_]] = np.diff(K.unique_sets(*K.take_sets(sub, sb, open_))[1])
+                    keep = size[long] > SHORT
+                    yield _kinds(ids[long[keep]], sig[keep], 1)
+                rows = np.flatnonzero(size <= SHORT * 5 // 4)
+                if len(rows):
+                    yield _kinds(ids[rows], K.signatures(*K.take_sets(g, gb, rows), width), 0)
 
     return run
 
 
+def _kinds(ids: np.ndarray, sig: np.ndarray, kind: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([K.longs(ids), K.binary(np.hstack([sig, np.full((len(ids), 1), kind, np.uint8)]))], ["sid", "sig"])
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts, gone = b.column(1).to_pylist(), b.column(2).to_pylist()
@@ -125,30 +165,41 @@ def dedup_lines(docs: DataFrame, percent: int = 80, chars: int = CHARS, bands: i
     text stays null, with 0 lines; an empty one has one blank line. Rows equal in
     doc_id and text are one occurrence and lose the same lines. Columns of any name pass through inside row."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     text = F.col("text").cast("string")
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("thash"), text.alias("text"))
-    only = own.select("text")
-    seen = materialise(own.mapInArrow(thrifty(_occurrences), "doc_id long, thash long, line int, sid long, text string"), "lines")
+    thash = F.xxhash64(text)
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), thash.alias("thash"), text.alias("text"))
     shingles, width = K.Shingles("chars", chars), bands * rows
+    seen: list[DataFrame] = []
 
     def fetch(sids: DataFrame) -> DataFrame:
-        return seen.select("sid", "text").join(small(sids), "sid", "left_semi").dropDuplicates(["sid"])
+        # a second pass over the texts: all lines without their text, but for candidates
+        wanted = Bloom(sids, "sid")
+        seen.append(materialise(own.mapInArrow(thrifty(_occurrences(wanted)), "doc_id long, thash long, line int, sid long, text string"), "lines"))
+        return seen[0].where("text is not null").select("sid", "text").join(small(sids), "sid", "left_semi").dropDuplicates(["sid"])
 
     def signed(texts: DataFrame) -> DataFrame:
         return texts.select("text").mapInArrow(thrifty(_signed(chars, width)), "sid long, sig binary")
 
-    comps = Linker(spark, only, fetch, shingles, percent, bands, rows, None, signed, likeliest=False, prepare=_signed(chars, width)).components()
+    comps = Linker(spark, own.select("text"), fetch, shingles, percent, bands, rows, None, signed, likeliest=False, prepare=_signed(chars, width)).components()
     place = F.struct(F.col("doc_id").isNull().alias("last"), F.coalesce("doc_id", F.lit(0)).alias("doc"), "thash", "line")
-    first = seen.groupBy("sid").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    lines = seen[0].drop("text")
+    first = lines.groupBy("sid").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     # lines that are alone lose nothing and need no second look
     rooted = first.join(small(comps.withColumnRenamed("node", "sid")), "sid", "left").where("n > 1 or root is not null").withColumn("root", F.coalesce("root", "sid"))
     rooted = materialise(rooted, "rooted")
-    root = rooted.groupBy("root").agg(F.min("first").alias("keep"))
-    keep = small(rooted.join(root, "root").select("sid", "keep"), rooted.count(), 64)
-    gone = seen.join(keep, "sid").where(place != F.col("keep")).groupBy("doc_id", "thash").agg(F.collect_set("line").alias("gone"), F.count("*").alias("n"))
+    keep = materialise(least_by_root(rooted, "first", "keep").select("sid", "keep"), "keep")
+    gone = lines.join(small(keep, width=64), "sid").where(place != F.col("keep")).groupBy("doc_id", "thash").agg(F.collect_set("line").alias("gone"))
     gone = materialise(gone, "gone")
-    lost = gone.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    gone = small(gone.drop("n"), min(lost, BROADCAST_ROWS + 1)).withColumnRenamed("doc_id", "gone_id").withColumnRenamed("thash", "gone_hash")
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("thash"), text.alias("text"))
-    with_gone = keyed.join(gone, (keyed.thash == gone.gone_hash) & keyed.doc_id.eqNullSafe(gone.gone_id), "left").select("row", "text", "gone")
-    return with_gone.mapInArrow(thrifty(_cut), with_gone.select("row").schema.add("clean", "string").add("n_lines", "long").add("n_kept", "long"))
+    for done in (seen[0], rooted, keep):
+        discard(done)
+    release_shuffles(spark)
+    # most documents lose nothing: a filter lets them by, and only the others' texts travel to the join
+    loses = Bloom(gone.select(F.xxhash64("doc_id", "thash").alias("h")), "h")
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), thash.alias("thash"), text.alias("text"))
+    keyed = keyed.withColumn("may", loses.column(F.xxhash64("doc_id", "thash")))
+    n = F.when(F.col("text").isNull(), 0).otherwise(F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("long")
+    whole = keyed.where("not may").select("row", F.col("text").alias("clean"), n.alias("n_lines"), n.alias("n_kept"))
+    lists = gone.withColumnRenamed("doc_id", "gone_id").withColumnRenamed("thash", "gone_hash")
+    some = keyed.where("may").join(lists, (F.col("thash") == F.col("gone_hash")) & F.col("doc_id").eqNullSafe(F.col("gone_id")), "left").select("row", "text", "gone")
+    return whole.unionByName(some.mapInArrow(thrifty(_cut), some.select("row").schema.add("clean", "string").add("n_lines", "long").add("n_kept", "long")))

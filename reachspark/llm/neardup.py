@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from reachspark.llm import textkernel as K
 from reachspark.llm.components import connected_components
-from reachspark.llm.session import discard, materialise, partitions, small, thrifty
+from reachspark.llm.session import discard, materialise, partitions, release_shuffles, small, thrifty
 
 #: Signatures whose band keys are held at once before they are grouped.
 SEGMENT = 20_000
@@ -64,6 +64,27 @@ def grouped(key: np.ndarray, who: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return key, who, first, np.repeat(np.minimum.reduceat(who, at), np.diff(np.append(at, len(key)))) if len(at) else who
 
 
+def tile_pairs(members: DataFrame, tile: int = TILE) -> tuple[DataFrame, DataFrame]:
+    """Members (bkey, sid, comp, n) of buckets with their tile t, and the pairs of tiles (bkey, x, y) that hold all pairs of members in different components.
+
+    In a bucket of more than ``tile`` members a component of half as many or more has tiles of its own; smaller ones share tiles, each component whole in one. Two tiles of one
+    component never meet: a bucket of one component and a few strangers makes as many pairs as the strangers' tiles times its tiles, not the square of its size."""
+    spark = members.sparkSession
+    count = members.groupBy("bkey", "comp").agg(F.count("*").alias("c"), F.any_value("n").alias("n"))
+    own = (F.col("n") > tile) & (2 * F.col("c") >= tile)
+    kind = count.withColumn("own", own).withColumn("k", F.when(F.col("own"), F.ceil(F.col("c") / tile)).otherwise(F.ceil(F.col("n") / tile)).cast("int"))
+    kind = materialise(kind, "kinds")
+    which = F.when(F.col("own"), F.xxhash64("comp", F.pmod(F.xxhash64("sid"), "k"), F.lit(1))).when(F.col("n") > tile, F.xxhash64(F.pmod(F.xxhash64("comp"), "k"), F.lit(2))).otherwise(F.lit(0).cast("long"))
+    placed = members.drop("n").join(small(kind, width=40), ["bkey", "comp"]).withColumn("t", which).select("bkey", "sid", "comp", "t", "own")
+    tiles = materialise(placed.groupBy("bkey", "t").agg(F.any_value("own").alias("own"), F.min("comp").alias("comp")), "tilelist")
+    top = kind.where("own").groupBy("bkey").agg(F.max_by("comp", F.struct("c", "comp")).alias("top"))
+    marked = tiles.join(small(materialise(top, "tops")), "bkey", "left").withColumn("main", F.coalesce(F.col("own") & (F.col("comp") == F.col("top")), F.lit(False)))
+    a = marked.where("not main").select("bkey", F.col("t").alias("x"), F.col("own").alias("xo"), F.col("comp").alias("xc"))
+    b = marked.select("bkey", F.col("t").alias("y"), F.col("own").alias("yo"), F.col("comp").alias("yc"), "main")
+    meet = a.join(b, "bkey").where((F.col("main") | (F.col("x") <= F.col("y"))) & ~(F.col("xo") & F.col("yo") & (F.col("xc") == F.col("yc"))))
+    return placed, materialise(meet.select("bkey", "x", "y"), "tilepairs")
+
+
 class Linker:
     """Finds the components of nodes (sid long, sig binary) whose shingle sets have Jaccard similarity of at least percent/100.
 
@@ -207,8 +228,9 @@ class Linker:
             .mapInArrow(thrifty(exact), "a long, b long")
         )
         links = materialise(links, "links")
-        discard(pairs)
-        discard(ids)
+        for table in (pairs, ids):
+            discard(table)
+        release_shuffles(self.spark)
         return links
 
     def heads(self) -> DataFrame:
@@ -232,19 +254,18 @@ class Linker:
         return placed.join(small(several), "bkey")
 
     def tiles(self, members: DataFrame, blocks: DataFrame | None = None) -> DataFrame:
-        """Pairs of members of a bucket in different components, compared by signature in tiles of at most about TILE x TILE.
+        """Pairs of members of a bucket in different components, compared by signature in tiles of about TILE x TILE at most.
 
         Without blocks: for each component of a tile the pair whose signatures agree most, (a, b). With blocks (sid, block):
         all pairs that the signatures leave, one row (bx, by, pairs) for each two blocks of a tile."""
         rule, width, bands, rows, whole = self.rule, self.head, self.bands, self.rows, self.head == self.width
-        placed = members.join(small(self.heads(), self.n_nodes, width + 32), "sid")
+        placed, pairs = tile_pairs(members)
+        placed = placed.join(small(self.heads(), self.n_nodes, width + 32), "sid")
         if blocks is not None:
             placed = placed.join(small(blocks), "sid")
         item = ["sid", "comp", "sig"] + ["block"] * (blocks is not None)
-        # a member of tile t of n meets tiles x <= y with x = t or y = t
-        placed = placed.withColumn("n", F.expr(f"int(ceil(n / {TILE}))")).withColumn("t", F.expr("int(pmod(xxhash64(sid), n))")).withColumn("o", F.explode(F.expr("sequence(0, n - 1)")))
-        side = F.when(F.col("t") == F.col("o"), 0).when(F.col("t") < F.col("o"), 1).otherwise(2)
-        tile = placed.groupBy("bkey", F.least("t", "o").alias("x"), F.greatest("t", "o").alias("y")).agg(F.collect_list(F.struct(*item, side.alias("side"))).alias("m"))
+        sides = pairs.select("bkey", F.col("x").alias("t"), "x", "y", F.when(F.col("x") == F.col("y"), 0).otherwise(1).alias("side")).unionByName(pairs.where("x <> y").select("bkey", F.col("y").alias("t"), "x", "y", F.lit(2).alias("side")))
+        tile = placed.join(sides, ["bkey", "t"]).groupBy("bkey", "x", "y").agg(F.collect_list(F.struct(*item, "side")).alias("m"))
         pick = lambda *k: F.transform(F.filter("m", lambda v: v["side"].isin(*k)), lambda v: F.struct(*[v[c].alias(c) for c in item]))
         both = tile.select("bkey", pick(0, 1).alias("mx"), F.when(F.col("x") == F.col("y"), pick(0)).otherwise(pick(2)).alias("my"))
 
@@ -367,6 +388,9 @@ class Linker:
                     yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in (0, 1)], ["a", "b"])
 
         links = materialise(both.mapInArrow(thrifty(verify), "a long, b long"), "links")
+        for table in (home, blocks, tiles, used, wanted, content):
+            discard(table)
+        release_shuffles(self.spark)
         return links
 
     def components(self) -> DataFrame:
@@ -376,18 +400,26 @@ class Linker:
         another one that is likest by signature. Last, every pair of members of a bucket that
         are still in different components is compared, in tiles: no candidate pair between components is left out."""
         pairs = materialise(self.centre_pairs(), "centres")
+        release_shuffles(self.spark)  # the bands of all nodes, by far the largest shuffle
         sids = materialise(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), "sids")
         self.texts = materialise(self.fetch(sids), "texts")
         self.nodes = materialise(self.describe(self.texts), "nodes")
         self.n_nodes = self.nodes.count()
+        release_shuffles(self.spark)
         links = self.verified(pairs, True)
         discard(pairs)
+        found = [links]
         comps = connected_components(links)
         for last in (False, True) if self.likeliest else (True,):
             members = materialise(self.members(comps), "members")
-            found = self.exhausted(members) if last else self.verified(self.tiles(members), False)
-            if not found.isEmpty():
-                links = links.unionByName(found)
+            new = self.exhausted(members) if last else self.verified(self.tiles(members), False)
+            if not new.isEmpty():
+                found.append(new)
+                links = links.unionByName(new)
                 comps = connected_components(links)
             discard(members)
+        comps = materialise(comps, "comps")
+        for table in (sids, self.texts, self.nodes, *found):
+            discard(table)
+        release_shuffles(self.spark)
         return comps

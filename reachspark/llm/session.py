@@ -7,7 +7,8 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A side is broadcast only after its rows are counted and found to be at most this many (of a few longs each).
@@ -97,30 +98,75 @@ def small(df: DataFrame, rows: int | None = None, width: int = 16) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS and n * width <= BROADCAST_BYTES else df
 
 
-def bloom_filter(ids: DataFrame) -> tuple[bytes, int]:
-    """A Bloom filter of the one long column of ids, and the binary logarithm of its bits: 16 bits an id, of 2^16 to 2^27 (16 MB).
+def release_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete shuffle files that no plan refers to any more: it notices when the driver's JVM collects garbage, which can take half an hour by itself."""
+    import gc
 
-    Tasks fill filters of that fixed size and the driver unites them; false positives are left to the join that follows."""
-    import numpy as np
-    import pyarrow as pa
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+#: Bytes of a Bloom filter's block, and the largest filter's bits as a power of two (16 MB).
+BLOOM_BLOCK, BLOOM_BITS = 1 << 14, 27
+
+
+class Bloom:
+    """A Bloom filter of 64-bit ids: about 16 bits an id, 16 MB at most, so it may always be broadcast. Beyond 8 million ids more strangers pass; nothing is lost."""
+
+    def __init__(self, ids: DataFrame, column: str):
+        """Tasks fill filters and send the blocks that aren't empty; each block is united in one place."""
+        import numpy as np
+        import pyarrow as pa
+
+        from reachspark.llm.textkernel import bloom
+
+        spark, n = ids.sparkSession, ids.count()
+        bits = min(BLOOM_BITS, max(BLOOM_BLOCK.bit_length() + 2, int(16 * n).bit_length()))
+        blocks = (1 << bits) // 8 // BLOOM_BLOCK
+
+        def fill(batches):
+            out = np.zeros((1 << bits) // 8, np.uint8)
+            for b in batches:
+                for at in bloom(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64), bits):
+                    np.bitwise_or.at(out, at >> 3, (1 << (7 - (at & 7))).astype(np.uint8))
+            rows = out.reshape(blocks, BLOOM_BLOCK)
+            some = np.flatnonzero(rows.any(1))
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([rows[i].tobytes() for i in some], pa.binary())], ["block", "bits"])
+
+        def unite(batches):
+            have: dict[int, np.ndarray] = {}
+            for b in batches:
+                for k, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                    have[k] = have[k] | np.frombuffer(v, np.uint8) if k in have else np.frombuffer(v, np.uint8)
+            yield pa.RecordBatch.from_arrays([pa.array(list(have), pa.int32()), pa.array([v.tobytes() for v in have.values()], pa.binary())], ["block", "bits"])
+
+        got = ids.select(column).where(f"{column} is not null").mapInArrow(fill, "block int, bits binary").repartition(min(blocks, partitions(spark)), "block").mapInArrow(unite, "block int, bits binary").collect()
+        total = np.zeros((blocks, BLOOM_BLOCK), np.uint8)
+        for k, v in got:
+            total[k] = np.frombuffer(v, np.uint8)
+        self.bits, self.shared = bits, spark.sparkContext.broadcast(total.tobytes())
+
+    def has(self, ids):
+        """Which of an array of uint64 ids may be in it."""
+        import numpy as np
+
+        from reachspark.llm.textkernel import bloom
 
-    from reachspark.llm.textkernel import bloom
+        table = np.frombuffer(self.shared.value, np.uint8)
+        ok = np.ones(len(ids), bool)
+        for at in bloom(ids, self.bits):
+            ok &= (table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+        return ok
 
-    n = ids.count()
-    bits = min(27, max(16, int(16 * n).bit_length()))
+    def column(self, ids: Column) -> Column:
+        """The same as a column; only ids travel to Python, the rest of a row stays in Spark."""
+        import numpy as np
 
-    def fill(batches):
-        out = np.zeros(1 << bits, bool)
-        for b in batches:
-            for at in bloom(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64), bits):
-                out[at] = True
-        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(out).tobytes()], pa.binary())], ["bits"])
+        @F.pandas_udf("boolean")
+        def may(h: pd.Series) -> pd.Series:
+            return pd.Series(self.has(h.to_numpy(np.int64).view(np.uint64)))
 
-    got = ids.coalesce(4).mapInArrow(fill, "bits binary").collect()
-    total = np.zeros((1 << bits) // 8, np.uint8)
-    for r in got:
-        total |= np.frombuffer(r[0], np.uint8)
-    return total.tobytes(), bits
+        return may(ids)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -39,6 +39,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+with np.errstate(over="ignore"):
+    _CHAR = mix(np.arange(1 << 14, dtype=np.uint64) + U64(_BASE))  # of the first code points
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_pow["p"]) < n:
         m = max(n, CHUNK)
@@ -172,8 +176,8 @@ def signatures(x: np.ndarray, bound: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def one_permutation(x: np.ndarray, bound: np.ndarray, k: int) -> np.ndarray:
-    """k MinHash values (low bytes) of each set by one hash: its low bits choose one of k bins, each bin keeps its least value.
+def one_permutation(x: np.ndarray, bound: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """k MinHash values (low bytes) of each set by one hash, and how many of its bins are filled: the hash's low bits choose one of k bins, each bin keeps its least value.
 
     An empty bin takes the value of another bin of its set, the first filled one in a sequence that
     depends on the bin alone (optimal densification), so two sets agree in a place as often as their similarity.
@@ -183,24 +187,33 @@ def one_permutation(x: np.ndarray, bound: np.ndarray, k: int) -> np.ndarray:
         _probe[k] = np.random.default_rng(k).integers(0, k, (k, 256)).astype(np.int32)
     probe, none = _probe[k], np.uint32(0xFFFFFFFF)
     least = np.full(n * k, none, np.uint32)
-    row = np.repeat(np.arange(n) * k, np.diff(bound))
-    np.minimum.at(least, row + (((x & U64(0xFFFFFFFF)) * U64(k)) >> U64(32)).astype(np.int64), (x >> U64(32)).astype(np.uint32))
+    spot = (((x & U64(0xFFFFFFFF)) * U64(k)) >> U64(32)).astype(np.int64)
+    spot += np.repeat(np.arange(n) * k, np.diff(bound))
+    np.minimum.at(least, spot, (x >> U64(32)).astype(np.uint32))
     least = least.reshape(n, k)
     have = least != none
+    filled = have.sum(1)
     out = least.astype(np.uint8)
-    out[~have] = 0
-    r, c = np.nonzero(~have & have.any(1)[:, None])
-    for t in range(probe.shape[1]):
+    # the place is part of the value: a donor's other borrowers are not the same place
+    salt = np.arange(k, dtype=np.uint32) * np.uint32(37)
+    open_ = ~have & (filled > 0)[:, None]
+    out[(filled == 0), :] = 0
+    for t in range(2):  # most are filled by the first donors: whole columns at a time
+        donor = probe[:, t]
+        ok = open_ & have[:, donor]
+        np.copyto(out, (least[:, donor] * np.uint32(2654435769) + salt >> np.uint32(7)).astype(np.uint8), where=ok)
+        open_ &= ~ok
+    r, c = np.nonzero(open_)
+    for t in range(2, probe.shape[1]):
         if not len(r):
             break
         donor = probe[c, t]
         ok = have[r, donor]
-        # the place is part of the value: a donor's other borrowers are not the same place
-        out[r[ok], c[ok]] = least[r[ok], donor[ok]] * np.uint32(2654435769) + c[ok].astype(np.uint32) * np.uint32(37) >> np.uint32(7)
+        out[r[ok], c[ok]] = least[r[ok], donor[ok]] * np.uint32(2654435769) + salt[c[ok]] >> np.uint32(7)
         r, c = r[~ok], c[~ok]
     if len(r):  # after so many misses: the least value of the whole set
-        out[r, c] = least.min(1)[r] * np.uint32(2654435769) + c.astype(np.uint32) * np.uint32(37) >> np.uint32(7)
-    return out
+        out[r, c] = least.min(1)[r] * np.uint32(2654435769) + salt[c] >> np.uint32(7)
+    return out, filled
 
 
 def bloom(x: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -236,8 +249,11 @@ def char_grams(texts: bytes, bounds: np.ndarray, k: int) -> tuple[np.ndarray, np
     d = np.frombuffer(texts, np.uint8)
     lead = np.concatenate([[0], np.cumsum((d & 0xC0) != 0x80)])
     cp = np.frombuffer(texts.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
-    with np.errstate(over="ignore"):
-        h = mix(cp.astype(np.uint64) + U64(_BASE)) if len(cp) else np.zeros(0, np.uint64)
+    if len(cp) and int(cp.max()) < len(_CHAR):
+        h = _CHAR[cp]
+    else:
+        with np.errstate(over="ignore"):
+            h = mix(cp.astype(np.uint64) + U64(_BASE))
     return grams(h, lead[bounds], k)
 
 
