@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reachspark.llm import textkernel as K
+from reachspark.llm.components import least_by_root
 from reachspark.llm.neardup import Linker
-from reachspark.llm.session import materialise, small, thrifty
+from reachspark.llm.session import Bloom, discard, materialise, small, thrifty
 
 BANDS, ROWS = 28, 5  # at similarity 0.8 a pair shares no band once in 65,000
 
@@ -19,15 +20,45 @@ BANDS, ROWS = 28, 5  # at similarity 0.8 a pair shares no band once in 65,000
 def _described(shingles: K.Shingles, width: int, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            data, off = K.raw(b.column(1))
+            data, off = K.raw(b.column(2))
             for i, j in K.chunks(off):
                 u, bound = shingles.sets(data, off, i, j)
-                out = [b.column(0).slice(i, j - i), K.longs(K.set_ids(u, bound)), pa.array(np.diff(bound))]
-                yield pa.RecordBatch.from_arrays([out[1], b.column(1).slice(i, j - i)] if with_text else [*out, K.binary(K.signatures(u, bound, width))], ["sid", "text"] if with_text else ["doc_id", "sid", "n_shingles", "sig"])
+                own = [b.column(c).slice(i, j - i) for c in range(3)]
+                sid = K.longs(K.set_ids(u, bound))
+                if with_text:
+                    yield pa.RecordBatch.from_arrays([sid, own[2]], ["sid", "text"])
+                else:
+                    yield pa.RecordBatch.from_arrays([*own[:2], sid, pa.array(np.diff(bound)), K.binary(K.signatures(u, bound, width))], ["doc_id", "thash", "sid", "n_shingles", "sig"])
 
     return run
 
 
+def _rooted(docs: DataFrame, words: int, percent: int, miss: float, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of docs (doc_id, thash, sid, n_shingles), and of each set its root and the first of the root's rows, by (id, text's hash), rows without an id last: (sid, component)."""
+    spark = docs.sparkSession
+    shingles, text = K.Shingles("words", words), F.col("text").cast("string")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("thash"), text.alias("text"))
+    base = materialise(docs.mapInArrow(thrifty(_described(shingles, bands * rows, False)), "doc_id long, thash long, sid long, n_shingles long, sig binary"), "docs")
+    full = base.where("n_shingles > 0")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "thash")
+    first = materialise(full.groupBy("sid").agg(F.min(place).alias("first")), "first")
+
+    def fetch(sids: DataFrame) -> DataFrame:
+        ids = first.join(sids, "sid", "left_semi").select(F.col("first.doc_id").alias("least"))
+        # both sides of an equality of nulls: documents without an id can be candidates too
+        own = docs.join(small(materialise(ids, "least")), F.col("doc_id").eqNullSafe(F.col("least")), "left_semi")
+        return own.mapInArrow(thrifty(_described(shingles, 0, True)), "sid long, text string").join(sids, "sid", "left_semi").dropDuplicates(["sid"])
+
+    def describe(texts: DataFrame) -> DataFrame:
+        return full.select("sid", "sig").join(small(texts.select("sid")), "sid", "left_semi").dropDuplicates(["sid"])
+
+    comps = Linker(spark, full.select("sid", "sig"), fetch, shingles, percent, bands, rows, miss, describe).components()
+    rooted = materialise(first.join(comps.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid")), "rooted")
+    named = least_by_root(rooted, "first", "component").select("sid", "component")
+    discard(first)
+    return base, named
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: float = 1e-5, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Components of near-duplicate documents.
 
@@ -44,46 +75,30 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
     is the least doc_id of its component if there is one, and the row is kept only if there is none.
     An empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    shingles = K.Shingles("words", words)
-    base = materialise(docs.mapInArrow(thrifty(_described(shingles, bands * rows, False)), "doc_id long, sid long, n_shingles long, sig binary"), "docs")
-    full = base.where("n_shingles > 0")
-    first = full.groupBy("sid").agg(F.min("doc_id").alias("least"))
-
-    def fetch(sids: DataFrame) -> DataFrame:
-        ids = first.join(sids, "sid", "left_semi").select("least")
-        # both sides of an equality of nulls: documents without an id can be candidates too
-        own = docs.join(small(materialise(ids, "least")), F.col("doc_id").eqNullSafe(F.col("least")), "left_semi")
-        return own.select("doc_id", "text").mapInArrow(thrifty(_described(shingles, 0, True)), "sid long, text string").join(sids, "sid", "left_semi").dropDuplicates(["sid"])
-
-    def describe(texts: DataFrame) -> DataFrame:
-        return full.select("sid", "sig").join(small(texts.select("sid")), "sid", "left_semi").dropDuplicates(["sid"])
-
-    comps = Linker(spark, full.select("sid", "sig"), fetch, shingles, percent, bands, rows, miss, describe).components()
-    rooted = first.join(comps.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("sid", "component_id")
+    base, named = _rooted(docs, words, percent, miss, bands, rows)
     blank = base.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
-    linked = full.select("doc_id", "n_shingles", "sid").join(named, "sid")
-    return linked.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept")).unionByName(blank)
+    linked = base.where("n_shingles > 0").join(named, "sid").select("doc_id", "n_shingles", F.col("component.doc_id").alias("component_id"))
+    return linked.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())).unionByName(blank)
 
 
 def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """Rows of docs, with their own columns, without those that near_duplicates() doesn't keep.
-
-    Of rows equal in doc_id and text one stays. Rows of one doc_id with different texts are one document to this decision: they stay or go together."""
+    """Rows of docs, with their own columns: one of each component of near-duplicates.
+
+    Of a component the first row stays, by (doc_id, hash of the text), rows without an id last; rows that equal it in both are one. Each row is judged by its own text, so of two texts with one doc_id one can stay and the other go.
+    Rows without a word all stay, but for repeats in doc_id and text."""
+    base, named = _rooted(docs, words, percent, 1e-5, BANDS, ROWS)
+    key = ["doc_id", "thash"]
+    count = base.groupBy(*key).agg(F.any_value("sid").alias("sid"), F.max("n_shingles").alias("n_shingles"), F.count("*").alias("n"))
+    judged = count.join(named, "sid", "left").withColumn("goes", (F.col("n_shingles") > 0) & ~(F.col("doc_id").eqNullSafe(F.col("component.doc_id")) & (F.col("thash") == F.col("component.thash"))))
+    touched = materialise(judged.where("goes or n > 1").select(F.col("doc_id").alias("id"), F.col("thash").alias("th"), "goes"), "touched")
+    discard(base)
+    # most rows are not among those: a filter lets them by, only the others travel
+    some = Bloom(touched.select(F.xxhash64("id", "th").alias("h")), "h")
     text = F.col("text").cast("string")
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    result = materialise(near_duplicates(slim, words, percent), "decided")
-    gone = materialise(result.where("not kept and doc_id is not null").select(F.col("doc_id").alias("gone")).distinct(), "gone")
-    row = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("thash"))
-    # documents without an id go by their own text: only the first of equal ones can stay
-    left = row.join(small(gone), F.col("doc_id") == F.col("gone"), "left_anti")
-    again = row.select("doc_id", "thash").groupBy("doc_id", "thash").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("id"), F.col("thash").alias("th"))
-    again = materialise(again, "again")
-    if again.isEmpty():
-        return left.select("row.*")
-    same = (F.col("doc_id").eqNullSafe(F.col("id"))) & (F.col("thash") == F.col("th"))
-    few = small(again)
-    return left.join(few, same, "left_anti").select("row.*").unionByName(left.join(few, same, "left_semi").dropDuplicates(["doc_id", "thash"]).select("row.*"))
+    row = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("thash")).withColumn("may", some.column(F.xxhash64("doc_id", "thash")))
+    # found ones that go end here, without their texts; of repeats one stays
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("thash") == F.col("th"))
+    may = row.where("may")
+    goes, once = small(touched.where("goes")), small(touched.where("not goes"))
+    left = may.join(goes, same, "left_anti")
+    return row.where("not may").select("row.*").unionByName(left.join(once, same, "left_anti").select("row.*")).unionByName(left.join(once, same, "left_semi").dropDuplicates(key).select("row.*"))
