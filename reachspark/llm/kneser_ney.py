@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import os
 import tempfile
 from collections.abc import Iterator
@@ -14,11 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reachspark.llm import textkernel as K
-from reachspark.llm.session import new_path, partitions, thrifty
+from reachspark.llm.session import bounded_batches, discard, materialise, new_path, partitions, release_shuffles, thrifty
 
 START, END = np.uint64(0x1234567), np.uint64(0x7654321)
-#: N-grams that a task counts together before it sends them.
-SEGMENT = 3_000_000
+#: Tokens that a task counts together before it sends them; training tokens of a shard on average (some 200 MB while a worker makes it); bytes scored at once.
+SEGMENT, SHARD, SCORED = 3_000_000, 5_000_000, 4 << 20
 
 
 def pair_hash(u: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -26,8 +25,8 @@ def pair_hash(u: np.ndarray, w: np.ndarray) -> np.ndarray:
         return K.mix(u * np.uint64(0x9E3779B97F4A7C15) + w)
 
 
-def ngrams(data: np.ndarray, off: np.ndarray, i: int, j: int, order: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Hashes of the contexts of 1 to order-1 words and of the tokens of texts i to j-1 (each text's words, then its end; before its first word are order-1 starts), and where each text's begin."""
+def ngrams(data: np.ndarray, off: np.ndarray, i: int, j: int, order: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Hashes of the tokens of texts i to j-1 (each text's words, then its end), each with the order-1 tokens before it (first the furthest; before a text stand order-1 starts), and where each text's begin."""
     h, _, at = K.words(data, off, i, j)
     n = j - i
     last = at[1:] + np.arange(n)
@@ -37,73 +36,133 @@ def ngrams(data: np.ndarray, off: np.ndarray, i: int, j: int, order: int) -> tup
     w[word], w[last] = h, END
     bound = at + np.arange(n + 1)
     place = np.arange(len(w)) - np.repeat(bound[:-1], np.diff(bound))
-    contexts = []
+    out = [w]
     for k in range(1, order):
         u = np.full(len(w), START)
         u[k:] = np.where(place[k:] >= k, w[:-k], START)
-        contexts.append(pair_hash(contexts[-1], u) if contexts else u)
-    return contexts, w, bound
+        out.insert(0, u)
+    return out, bound
 
 
-def _summed(keys: list[np.ndarray], *values: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Distinct rows of keys, sorted by the first, then the second..., and the sums of values for each."""
-    if not len(keys[0]):
-        return keys, list(values)
-    order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0], kind="stable")
-    keys = [k[order] for k in keys]
-    first = np.ones(len(order), bool)
-    first[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
-    at = np.flatnonzero(first)
-    return [k[at] for k in keys], [np.add.reduceat(v[order], at) for v in values]
+def contexts_of(words: list[np.ndarray]) -> list[np.ndarray]:
+    """Hashes of the contexts of 1, 2, ... words before the last of words."""
+    out = [words[-2]]
+    for u in words[-3::-1]:
+        out.append(pair_hash(out[-1], u))
+    return out
+
+
+def shard_key(k: int, order: int) -> int:
+    """Words of the context by which n-grams of contexts of k words are dealt to shards: two lengths share one, so that a shard has all n-grams of both."""
+    while order > 3 and k < order - 2:
+        order -= 2
+    return max(1, order - 2)
+
+
+def _run(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of key, and where each value begins in it."""
+    order = np.argsort(key, kind="stable")
+    k = key[order]
+    first = np.ones(len(k), bool)
+    first[1:] = k[1:] != k[:-1]
+    return order, np.flatnonzero(first)
 
 
 class Store:
-    """Files of numpy arrays under a folder that driver and executors share. file: folders are used in place; others
-    are reached through pyarrow and a file is copied to the worker before it is mapped."""
+    """Files under a folder that driver and executors share. file: folders are used in place; others are reached through pyarrow and a file is copied to the worker before it is mapped."""
 
     def __init__(self, path: str):
         self.path = path
         self.local = urlparse(path).path if urlparse(path).scheme in ("", "file") else None
-        self._kept: dict[str, np.ndarray] = {}
+        self._kept: dict[str, Table] = {}
 
     def __getstate__(self):
         return {"path": self.path, "local": self.local, "_kept": {}}
 
-    def save(self, name: str, a: np.ndarray) -> None:
+    def save(self, name: str, parts: list[np.ndarray]) -> None:
         """Whole or not at all, and the same bytes if a task runs again."""
+        data = b"".join(p.tobytes() + bytes(-p.nbytes % 8) for p in parts)
         if self.local:
             os.makedirs(self.local, exist_ok=True)
             part = f"{self.local}/.{name}-{os.getpid()}-{os.urandom(4).hex()}"
             with open(part, "wb") as f:
-                np.save(f, np.ascontiguousarray(a))
-            os.replace(part, f"{self.local}/{name}.npy")
+                f.write(data)
+            os.replace(part, f"{self.local}/{name}.bin")
             return
         from pyarrow import fs
 
         where, root = fs.FileSystem.from_uri(self.path)
         where.create_dir(root, recursive=True)
-        with where.open_output_stream(f"{root}/{name}.npy") as f:
-            sink = pa.BufferOutputStream()
-            np.save(sink, np.ascontiguousarray(a))
-            f.write(sink.getvalue())
+        with where.open_output_stream(f"{root}/{name}.bin") as f:
+            f.write(data)
 
-    def load(self, name: str) -> np.ndarray:
+    def load(self, name: str) -> Table:
         if name not in self._kept:
             if self.local:
-                self._kept[name] = np.load(f"{self.local}/{name}.npy", mmap_mode="r")
+                self._kept[name] = Table(np.asarray(np.memmap(f"{self.local}/{name}.bin", np.uint8, "r")))
             else:
                 from pyarrow import fs
 
                 where, root = fs.FileSystem.from_uri(self.path)
-                with tempfile.NamedTemporaryFile(suffix=".npy") as out:  # its name goes at once, the mapping stays
-                    with where.open_input_stream(f"{root}/{name}.npy") as f:
+                with tempfile.NamedTemporaryFile(suffix=".bin") as out:  # its name goes at once, the mapping stays
+                    with where.open_input_stream(f"{root}/{name}.bin") as f:
                         while block := f.read(1 << 24):
                             out.write(block)
                     out.flush()
-                    self._kept[name] = np.load(out.name, mmap_mode="r")
+                    self._kept[name] = Table(np.asarray(np.memmap(out.name, np.uint8, "r")))
         return self._kept[name]
 
 
+class Table:
+    """A mapped file of counts by sorted hash. The first bits of a hash name a bucket of about eight, the next 32 are kept: a hash that isn't there is taken for one that
+    is once in 500 million times. Counts are bytes; rows with a larger one lie in a list of their own."""
+
+    def __init__(self, data: np.ndarray):
+        head = data[:32].view(np.int64)
+        self.bits, self.n, self.width, more = (int(x) for x in head)
+        at = 32
+        for name, size, kind, shape in (("start", (1 << self.bits) + 1, np.uint32, None), ("rest", self.n, np.uint32, None), ("value", self.n * self.width, np.uint8, self.width), ("big", more, np.uint64, None), ("large", more * self.width, np.int64, self.width)):
+            span = size * np.dtype(kind).itemsize
+            a = data[at : at + span].view(kind)
+            setattr(self, name, a.reshape(-1, shape) if shape else a)
+            at += span + -span % 8
+
+    @staticmethod
+    def parts(h: np.ndarray, values: np.ndarray) -> list[np.ndarray]:
+        """h: sorted distinct hashes; values: a row of counts for each."""
+        bits = min(30, (len(h) // 8).bit_length())
+        top = h >> np.uint64(64 - bits) if bits else np.zeros(len(h), np.uint64)
+        start = np.searchsorted(top, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.uint32)
+        rest = (h >> np.uint64(32 - bits)).astype(np.uint32)
+        wide = np.flatnonzero((values >= 255).any(1))
+        byte = np.minimum(values, 255).astype(np.uint8)
+        byte[wide] = 255
+        return [np.array([bits, len(h), values.shape[1], len(wide)], np.int64), start, rest, byte, h[wide], values[wide].astype(np.int64)]
+
+    def find(self, q: np.ndarray) -> np.ndarray:
+        """Rows of counts of hashes q, zeros where there is none."""
+        out = np.zeros((len(q), self.width), np.int64)
+        if not self.n or not len(q):
+            return out
+        bucket = (q >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(q), np.int64)
+        lo, end = self.start[bucket].astype(np.int64), self.start[bucket + 1].astype(np.int64)
+        hi, r = end.copy(), (q >> np.uint64(32 - self.bits)).astype(np.uint32)
+        for _ in range(int((end - lo).max()).bit_length()):
+            mid = (lo + hi) >> 1
+            less = (lo < hi) & (self.rest[np.minimum(mid, self.n - 1)] < r)
+            hi = np.where(less, hi, mid)
+            lo = np.where(less, mid + 1, lo)
+        at = np.minimum(lo, self.n - 1)
+        ok = np.flatnonzero((lo < end) & (self.rest[at] == r))
+        got = self.value[at[ok]].astype(np.int64)
+        wide = np.flatnonzero((got == 255).all(1))
+        if len(wide):
+            spot = np.minimum(np.searchsorted(self.big, q[ok[wide]]), len(self.big) - 1)
+            got[wide] = np.where((self.big[spot] == q[ok[wide]])[:, None], self.large[spot], got[wide])
+        out[ok] = got
+        return out
+
+
 def discounts(n: list[int]) -> list[float]:
     """Of counts 1, 2, 3 and more, from how many n-grams have counts 1 to 4; fixed fallbacks where those are too few to tell."""
     n1, n2, n3, n4 = n
@@ -114,241 +173,260 @@ def discounts(n: list[int]) -> list[float]:
     return [x if 0 < x < k else f for x, k, f in zip(d, (1, 2, 3), (0.5, 0.75, 0.9))]
 
 
-def find(names: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of queries in sorted names, and which are there."""
-    if not len(names):
-        return np.zeros(len(queries), np.int64), np.zeros(len(queries), bool)
-    at = np.searchsorted(names, queries)
-    at[at == len(names)] = 0
-    return at, names[at] == queries
-
-
 class Model:
-    """Sorted hash arrays in shards. For each length k of contexts: b{k}: n-grams of contexts of the shard (hashes; their counts as 16 bits, with the few larger
-    ones in a list of their own); c{k}: contexts with totals and numbers of n-grams of count 1, 2, more. u: tokens with raw and continuation counts. The longest n-grams have
-    raw counts, shorter ones the number of distinct words before them."""
+    """Tables in shards. For each length k of contexts: b{k}, counts of the n-grams of contexts of k words; c{k}, contexts with totals and numbers of n-grams of count 1, 2, more; and u,
+    tokens with raw and continuation counts. The longest n-grams have raw counts, shorter ones the number of distinct words before them."""
 
-    def __init__(self, store: Store, shards: int, about: dict):
-        self.store, self.shards, self.about = store, shards, about
+    def __init__(self, store: Store, shards: int, order: int, about: dict):
+        self.store, self.shards, self.order, self.about = store, shards, order, about
 
-    def _by_shard(self, key: np.ndarray, value: np.ndarray):
-        """Queries value in order of shard of key and value, so that lookups go through each array once."""
+    def lookup(self, name: str, key: np.ndarray, value: np.ndarray, width: int) -> np.ndarray:
+        """Counts of hashes value, each in the shard of its key: in order of both, so that lookups go through each table once."""
+        out = np.zeros((len(value), width), np.int64)
         shard = (key % np.uint64(self.shards)).astype(np.int64)
         order = np.lexsort((value, shard))
         cut = np.searchsorted(shard[order], np.arange(self.shards + 1))
-        for s in range(self.shards):
-            if cut[s] < cut[s + 1]:
-                pick = order[cut[s] : cut[s + 1]]
-                yield s, pick, value[pick]
-
-    def log_probs(self, contexts: list[np.ndarray], w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """log10 P(w|context), and the raw training count of w; contexts from the shortest on."""
-        a, load = self.about, self.store.load
+        for s in np.flatnonzero(cut[1:] > cut[:-1]).tolist():
+            pick = order[cut[s] : cut[s + 1]]
+            out[pick] = self.store.load(f"{name}-{s}").find(value[pick])
+        return out
+
+    def log_probs(self, words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """log10 P(w|context) of n-grams (words, the last of them w), and the raw training count of w."""
+        a, w, contexts = self.about, words[-1], contexts_of(words)
         d1 = a["d1"]
         tokens, back = np.unique(w, return_inverse=True)
-        cont, raw = np.zeros(len(tokens), np.int64), np.zeros(len(tokens), np.int64)
-        for s, pick, q in self._by_shard(tokens, tokens):
-            at, ok = find(load(f"u{s}-h"), q)
-            cont[pick] = np.where(ok, load(f"u{s}-n")[at], 0) if len(load(f"u{s}-n")) else 0
-            raw[pick] = np.where(ok, load(f"u{s}-c")[at], 0) if len(load(f"u{s}-c")) else 0
+        raw, cont = self.lookup("u", tokens, tokens, 2).T
         kinds = max(1, a["bigrams"])
         rest = (d1[0] * a["cont"][0] + d1[1] * a["cont"][1] + d1[2] * a["cont"][2]) / kinds if a["bigrams"] else 1.0
         low = np.maximum(cont - np.take([0.0, *d1], np.minimum(cont, 3)), 0) / kinds + rest / (a["tokens"] + 1)
         p, raw = low[back], raw[back]
         for k, (u, d) in enumerate(zip(contexts, a["d"]), 1):
-            p = self._raised(k, d, u, w, p)
+            key = contexts[shard_key(k, self.order) - 1]
+            some, at, of = np.unique(u, return_index=True, return_inverse=True)
+            t = self.lookup(f"c{k}", key[at], some, 4)
+            total = t[:, 0].astype(float)
+            gamma = np.where(total > 0, (t[:, 1:] @ np.array(d)) / np.maximum(total, 1), 1.0)
+            count = self.lookup(f"b{k}", key, pair_hash(u, w), 1)[:, 0]
+            high = np.maximum(count - np.take([0.0, *d], np.minimum(count, 3)), 0) / np.maximum(total[of], 1)
+            p = high + gamma[of] * p
         return np.log10(np.maximum(p, 1e-300)), raw
 
-    def _raised(self, k: int, d: list[float], u: np.ndarray, w: np.ndarray, low: np.ndarray) -> np.ndarray:
-        """P(w|u) of contexts u of k words from those of one word less."""
-        load = self.store.load
-        contexts, of = np.unique(u, return_inverse=True)
-        total, gamma = np.zeros(len(contexts)), np.ones(len(contexts))
-        for s, pick, q in self._by_shard(contexts, contexts):
-            names = load(f"c{k}-{s}-h")
-            at, ok = find(names, q)
-            if len(names):
-                t = load(f"c{k}-{s}-t")[at].astype(float)
-                n = load(f"c{k}-{s}-n")[at].astype(float)
-                total[pick] = np.where(ok, t, 0)
-                gamma[pick] = np.where(ok, (n @ np.array(d)) / np.maximum(t, 1), 1.0)
-        count = np.zeros(len(w), np.int64)
-        for s, pick, q in self._by_shard(u, pair_hash(u, w)):
-            names = load(f"b{k}-{s}-h")
-            at, ok = find(names, q)
-            if len(names):
-                n = load(f"b{k}-{s}-n")[at].astype(np.int64)
-                big = np.flatnonzero(ok & (n == 65535))
-                if len(big):
-                    spot, _ = find(load(f"b{k}-{s}-x"), q[big])
-                    n[big] = load(f"b{k}-{s}-xn")[spot]
-                count[pick] = np.where(ok, n, 0)
-        high = np.maximum(count - np.take([0.0, *d], np.minimum(count, 3)), 0) / np.maximum(total[of], 1)
-        return high + gamma[of] * low
-
 
-def train(texts: DataFrame, shards: int | None = None, order: int = 2) -> Model:
-    """Counts every text of the one string column of texts and stores the model.
+BLOBS = "shard int, n int, words int, names binary, cells binary"
+
+
+def _sent(words: list[np.ndarray], counts: np.ndarray, shards: int) -> list[tuple]:
+    """Distinct n-grams for each shard: the words that its n-grams have, the n-grams as numbers of those, sorted, and counts; compressed byte by byte."""
+    m = len(words)
+    key = contexts_of(words)[max(1, m - 2) - 1]
+    shard = (key % np.uint64(shards)).astype(np.int64)
+    by = np.lexsort((*[words[c] for c in (m - 1, 0, *range(m - 2, 0, -1))], shard)) if m > 2 else np.lexsort((words[1], words[0], shard))
+    cut = np.searchsorted(shard[by], np.arange(shards + 1))
+    rows = []
+    for s in np.flatnonzero(cut[1:] > cut[:-1]).tolist():
+        pick = by[cut[s] : cut[s + 1]]
+        names, cells = np.unique(np.concatenate([w[pick] for w in words]), return_inverse=True)
+        cells = np.concatenate([cells.ravel(), counts[pick]]).astype("<u4").view(np.uint8).reshape(m + 1, len(pick), 4)
+        rows.append((s, len(pick), len(names), names.tobytes(), pa.compress(np.ascontiguousarray(cells.transpose(0, 2, 1)).tobytes(), "zstd", asbytes=True)))
+    return rows
+
+
+def _received(batches: Iterator[pa.RecordBatch], m: int) -> dict[int, list[list[np.ndarray]]]:
+    got: dict[int, list] = {}
+    for b in batches:
+        for s, n, _, names, cells in zip(*[b.column(c).to_pylist() for c in range(5)]):
+            own = got.setdefault(s, [])
+            if n:
+                x = np.frombuffer(pa.decompress(cells, (m + 1) * n * 4, "zstd", asbytes=True), np.uint8).reshape(m + 1, 4, n)
+                x = np.ascontiguousarray(x.transpose(0, 2, 1)).view("<u4").reshape(m + 1, n)
+                own.append([*(np.frombuffer(names, np.uint64)[x[c]] for c in range(m)), x[m].astype(np.int64)])
+    return got
+
+
+def _blobs(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate((pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))], ["shard", "n", "words", "names", "cells"])
+
+
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(t, n): tokens of some texts and how often they are there."""
+
+    def counted(kept: list[np.ndarray]) -> pa.RecordBatch:
+        t, n = np.unique(np.concatenate(kept), return_counts=True)
+        return pa.RecordBatch.from_arrays([K.longs(t), pa.array(n)], ["t", "n"])
+
+    kept, held = [], 0
+    for b in batches:
+        data, off = K.raw(b.column(0))
+        for i, j in K.chunks(off):
+            kept.append(ngrams(data, off, i, j, 1)[0][0])
+            held += len(kept[-1])
+            if held >= SEGMENT:
+                yield counted(kept)
+                kept, held = [], 0
+    if held:
+        yield counted(kept)
+
+
+def _counted(order: int, shards: int):
+    """n-grams of some texts, counted together, as blobs for each shard."""
+
+    def distinct(held: list[list[np.ndarray]]) -> tuple[list[np.ndarray], np.ndarray]:
+        words = [np.concatenate(c) for c in zip(*held)]
+        names, w = np.unique(words[-1], return_inverse=True)
+        names = np.append(names, START)  # no word has this hash but by chance, and then it does no harm
+        of = [np.where(c == START, len(names) - 1, np.minimum(np.searchsorted(names[:-1], c), len(names) - 2)).astype(np.uint64) for c in words[:-1]] + [w.astype(np.uint64)]
+        bits = int(len(names)).bit_length()
+        if order * bits > 64:
+            by = np.lexsort(of)
+            change = np.any([c[by][1:] != c[by][:-1] for c in of], axis=0)
+            at = np.flatnonzero(np.append(True, change))
+            return [c[by[at]] for c in words], np.diff(np.append(at, len(by)))
+        key = np.zeros(len(w), np.uint64)
+        for c in of:
+            key = (key << np.uint64(bits)) | c
+        key, n = np.unique(key, return_counts=True)
+        return [names[(key >> np.uint64(bits * (order - 1 - c))) & np.uint64((1 << bits) - 1)] for c in range(order)], n
 
-    One shuffle brings each longest context's n-grams together (tasks send what they counted, summed over some million tokens, as sorted blobs: a
-    frequent context sends a row of its blob for each distinct n-gram and task, not for each token); a further one for each lower order, of what each shard has summed for its n-grams,
-    gives the continuation counts. Only count-of-count sums of each shard reach the driver."""
-    spark = texts.sparkSession
-    shards = shards or partitions(spark)
-    store = Store(new_path(spark, "kneser-ney"))
-    kinds_of = (np.uint64, np.uint32, np.uint64, np.uint32, np.int64, np.uint32, np.int64, np.uint64)
-    cells = ["u", "run", "w", "many", "n", "often", "raw", "lower"]
-
-    def sent(u: np.ndarray, w: np.ndarray, n: np.ndarray, raw: np.ndarray | None, lower: list[np.ndarray]) -> list[tuple]:
-        """For each shard the n-grams (u, w), sorted: distinct contexts and how many n-grams each has, tokens, counts and raw counts that aren't 1 (None: raw counts are the counts), and the shorter contexts of each context."""
-        shard = (u % np.uint64(shards)).astype(np.int64)
-        order_ = np.argsort(shard, kind="stable")
-        cut = np.searchsorted(shard[order_], np.arange(shards + 1))
-        rows = []
-        for s in range(shards):
-            pick = order_[cut[s] : cut[s + 1]]
-            if not len(pick):
-                continue
-            first = np.ones(len(pick), bool)
-            first[1:] = u[pick][1:] != u[pick][:-1]
-            run = np.diff(np.append(np.flatnonzero(first), len(pick)))
-            counts = []
-            for c in (n, raw):
-                many = None if c is None else np.flatnonzero(c[pick] > 1)
-                counts += [None, None] if c is None else [many.astype(np.uint32).tobytes(), c[pick][many].astype(np.int64).tobytes()]
-            rows.append((s, u[pick][first].tobytes(), run.astype(np.uint32).tobytes(), w[pick].tobytes(), *counts, b"".join(v[pick][first].tobytes() for v in lower)))
-        return rows
-
-    def batch(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32())] + [pa.array([r[c] for r in rows], pa.binary()) for c in range(1, 9)], ["shard", *cells])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def send(held: list[tuple]) -> pa.RecordBatch:
-            w, *contexts = (np.concatenate(c) for c in zip(*held))
-            (u, w, *lower), (n,) = _summed([contexts[-1], w, *contexts[:-1]], np.ones(len(w), np.int64))
-            return batch(sent(u, w, n, None, lower))
-
-        kept: list[tuple] = []
-        held = 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, held = [], 0
         for b in batches:
             data, off = K.raw(b.column(0))
             for i, j in K.chunks(off):
-                contexts, w, _ = ngrams(data, off, i, j, order)
-                kept.append((w, *contexts))
-                held += len(w)
+                kept.append(ngrams(data, off, i, j, order)[0])
+                held += len(kept[-1][0])
                 if held >= SEGMENT:
-                    yield send(kept)
+                    yield _blobs(_sent(*distinct(kept), shards))
                     kept, held = [], 0
         if held:
-            yield send(kept)
-
-    def shard_model(k: int):
-        """Stores the n-grams of contexts of k words; gives those of the next lower order, or tokens, with how many distinct n-grams end in them."""
-
-        def run_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            got: dict[int, list] = {}
-            for b in batches:
-                for s, *blobs in zip(b.column(0).to_pylist(), *[b.column(c) for c in range(1, 9)]):
-                    u, run, w, many, n, often, raw, lower = (np.frombuffer(x.as_buffer(), t) if x.is_valid else None for x, t in zip(blobs, kinds_of))
-                    c = np.ones(len(w), np.int64)
-                    c[many] = n
-                    r = c
-                    if often is not None:
-                        r = np.ones(len(w), np.int64)
-                        r[often] = raw
-                    lower = lower.reshape(k - 1, len(u))
-                    got.setdefault(s, []).append((np.repeat(u, run), w.copy(), *(np.repeat(v, run) for v in lower), c, r))
-            for s, parts in got.items():
-                cols = [np.concatenate(c) for c in zip(*parts)]
-                parts.clear()
-                (u, w, *lower), (n, raw) = _summed(cols[:-2], *cols[-2:])
-                (c,), sums = _summed([u], n, (n == 1).astype(np.int64), (n == 2).astype(np.int64), (n > 2).astype(np.int64))
-                store.save(f"c{k}-{s}-h", c)
-                store.save(f"c{k}-{s}-t", sums[0])
-                store.save(f"c{k}-{s}-n", np.stack(sums[1:], 1).astype(np.uint32))
-                h = pair_hash(u, w)
-                by = np.argsort(h, kind="stable")
-                big = by[n[by] >= 65535]
-                store.save(f"b{k}-{s}-h", h[by])
-                store.save(f"b{k}-{s}-n", np.minimum(n[by], 65535).astype(np.uint16))
-                store.save(f"b{k}-{s}-x", h[big])
-                store.save(f"b{k}-{s}-xn", n[big])
-                store.save(f"f{k}-{s}", np.array([*(int((n == q).sum()) for q in (1, 2, 3, 4)), len(n), raw.sum()], np.int64))
-                one = np.ones(len(w), np.int64)
-                if k > 1:
-                    (u, w, *lower), (kinds, raw) = _summed([lower[-1], w, *lower[:-1]], one, raw)
-                    yield batch(sent(u, w, kinds, raw, lower))
-                    continue
-                (t,), (kinds, raw) = _summed([w], one, raw)
-                spot = (t % np.uint64(shards)).astype(np.int64)
-                by = np.argsort(spot, kind="stable")
-                cut = np.searchsorted(spot[by], np.arange(shards + 1))
-                rows = [(q, t[p].tobytes(), kinds[p].astype(np.uint32).tobytes(), raw[p].tobytes()) for q in range(shards) if len(p := by[cut[q] : cut[q + 1]])]
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32())] + [pa.array([r[c] for r in rows], pa.binary()) for c in (1, 2, 3)], ["shard", "t", "kinds", "raw"])
-
-        return run_
-
-    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield _blobs(_sent(*distinct(kept), shards))
+
+    return run
+
+
+#: Facts of a level: n-grams of counts 1 to 4, and all. Token rows have level 0.
+SUMS = "level int, t long, n long"
+
+
+def _stored(store: Store, m: int, shards: int, further: bool):
+    """Takes n-grams of m words; stores those, and those of m-1 words, and their contexts, for its shards. Gives sums of counts (level, t, n), and for tokens how many
+    distinct bigrams end in them; or, if n-grams of two or more words are left, blobs of those."""
+
+    def contexts(k: int, s: int, u: np.ndarray, n: np.ndarray) -> None:
+        by, at = _run(u)
+        v = np.stack([n, n == 1, n == 2, n > 2], 1).astype(np.int64)[by]
+        store.save(f"c{k}-{s}", Table.parts(u[by][at], np.add.reduceat(v, at) if len(at) else v))
+
+    def facts(k: int, n: np.ndarray) -> list[tuple[int, int, int]]:
+        return [(k, q, int((n == q).sum())) for q in (1, 2, 3, 4)] + [(k, 5, len(n))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for s, parts in _received(batches, m).items():
+            cols = [np.concatenate(c) for c in zip(*parts)] if parts else [np.zeros(0, np.uint64)] * m + [np.zeros(0, np.int64)]
+            parts.clear()
+            words, n = cols[:-1], cols[-1]
+            u = contexts_of(words)
+            h = pair_hash(u[m - 2], words[-1])
+            by, at = _run(h)
+            n = np.add.reduceat(n[by], at) if len(at) else n
+            pick = by[at]
+            store.save(f"b{m - 1}-{s}", Table.parts(h[pick], n[:, None]))
+            contexts(m - 1, s, u[m - 2][pick], n)
+            words, sums = [w[pick] for w in words], facts(m - 1, n)
+            if m > 2:
+                u = u[m - 3][pick]
+                h = pair_hash(u, words[-1])
+                by, at = _run(h)
+                pick, n = by[at], np.diff(np.append(at, len(by)))
+                store.save(f"b{m - 2}-{s}", Table.parts(h[pick], n[:, None]))
+                contexts(m - 2, s, u[pick], n)
+                words, sums = [w[pick] for w in words[1:]], sums + facts(m - 2, n)
+            lower = words[1:]
+            one = pa.RecordBatch.from_arrays([pa.array([x[c] for x in sums], t) for c, t in enumerate((pa.int32(), pa.int64(), pa.int64()))], ["level", "t", "n"])
+            if not further:
+                t, n = np.unique(lower[0], return_counts=True)
+                yield one
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(t), np.int32)), K.longs(t), pa.array(n)], ["level", "t", "n"])
+                continue
+            c = contexts_of(lower)
+            by, at = _run(pair_hash(c[-1], lower[-1]))
+            rows = _sent([w[by[at]] for w in lower], np.diff(np.append(at, len(by))), shards)
+            none = pa.nulls(len(sums))
+            yield pa.RecordBatch.from_arrays([*one.columns, *(none.cast(t) for t in (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))], [*one.schema.names, "shard", "n_", "words", "names", "cells"])
+            if rows:
+                b = _blobs(rows)
+                none = pa.nulls(len(rows))
+                yield pa.RecordBatch.from_arrays([none.cast(pa.int32()), none.cast(pa.int64()), none.cast(pa.int64()), *b.columns], [*one.schema.names, "shard", "n_", "words", "names", "cells"])
+
+    return run
+
+
+def train(texts: DataFrame, shards: int | None = None, order: int = 2) -> Model:
+    """Counts every text of the one string column of texts and stores the model.
+
+    A first pass counts tokens, and with them how many shards the model needs. The second sends n-grams, summed over some million tokens of a task, to the shard of the words between first and last: there all
+    n-grams of these words and of one word less are complete, so two orders need one shuffle (higher orders one more for each two). A frequent word's shard is larger than others, by the distinct pairs of words around it.
+    Only sums of counts reach the driver."""
+    if order < 2:
+        raise ValueError("order must be at least 2")
+    spark = texts.sparkSession
+    tokens = materialise(texts.mapInArrow(thrifty(_tokens), "t long, n long").groupBy("t").agg(F.sum("n").alias("n")), "tokens")
+    release_shuffles(spark)
+    total, kinds = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    shards = shards or max(partitions(spark), -(-total // SHARD))
+    store = Store(new_path(spark, "kneser-ney"))
+    # every shard has a row, so that its tables are written even if they are empty
+    every = spark.range(shards).select(F.col("id").cast("int").alias("shard"), F.lit(0).alias("n"), F.lit(0).alias("words"), F.lit(b"").alias("names"), F.lit(b"").alias("cells"))
+    blobs, m, sums = texts.mapInArrow(thrifty(_counted(order, shards)), BLOBS), order, []
+    while True:
+        further = m > 3
+        made = blobs.unionByName(every).repartition(shards, "shard").mapInArrow(thrifty(_stored(store, m, shards, further)), f"{SUMS}, shard int, n_ int, words int, names binary, cells binary" if further else SUMS)
+        if not further:
+            break
+        made = materialise(made, "lower")
+        sums.append(made.where("level is not null").select("level", "t", "n"))
+        blobs, m = made.where("shard is not null").select("shard", F.col("n_").alias("n"), "words", "names", "cells"), m - 2
+    last = materialise(made.groupBy("level", "t").agg(F.sum("n").alias("n")), "continued")
+    release_shuffles(spark)
+    levels = last.where("level > 0")
+    for part in sums:
+        levels = levels.unionByName(part)
+    facts = {(r[0], r[1]): r[2] for r in levels.groupBy("level", "t").agg(F.sum("n")).collect()}
+    both = tokens.join(last.where("level = 0").select("t", F.col("n").alias("kinds")), "t").select(F.pmod(F.conv(F.hex("t"), 16, 10).cast("decimal(20,0)"), F.lit(shards).cast("decimal(20,0)")).cast("int").alias("shard"), "t", "n", "kinds")
+    every = spark.range(shards).select(F.col("id").cast("int").alias("shard"), F.lit(None).cast("long").alias("t"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("kinds"))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got: dict[int, list] = {}
         for b in batches:
-            for s, t, kinds, raw in zip(b.column(0).to_pylist(), b.column(1), b.column(2), b.column(3)):
-                got.setdefault(s, []).append((np.frombuffer(t.as_buffer(), np.uint64).copy(), np.frombuffer(kinds.as_buffer(), np.uint32).astype(np.int64), np.frombuffer(raw.as_buffer(), np.int64).copy()))
-        cont, n = np.zeros(4, np.int64), 0
+            s = b.column(0).to_numpy()
+            real = b.column(1).is_valid().to_numpy(zero_copy_only=False)
+            t, n = b.column(1).fill_null(0).to_numpy().view(np.uint64), np.stack([b.column(2).to_numpy(), b.column(3).to_numpy()], 1)
+            for q in np.unique(s).tolist():
+                pick = (s == q) & real
+                got.setdefault(q, []).append((t[pick], n[pick]))
+        cont = np.zeros(4, np.int64)
         for s, parts in got.items():
-            (t,), (kinds, raw) = _summed([np.concatenate([p[0] for p in parts])], np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts]))
-            parts.clear()
-            store.save(f"u{s}-h", t)
-            store.save(f"u{s}-n", kinds)
-            store.save(f"u{s}-c", raw)
-            n += len(t)
-            # counts 1, 2 and 3 or more for the mass that is set aside; 3 and 4 alone for the discounts
-            cont += [int((kinds == 1).sum()), int((kinds == 2).sum()), int((kinds == 3).sum()), int((kinds == 4).sum())]
-        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (*cont.tolist(), n)], names)
-
-    names = ["m1", "m2", "m3", "m4", "tokens"]
-    blobs = ", ".join(["shard int", *(f"{c} binary" for c in cells)])
-    sums = texts.mapInArrow(thrifty(count), blobs)
-    for k in range(order - 1, 0, -1):
-        sums = sums.repartition(shards, "shard").mapInArrow(thrifty(shard_model(k)), blobs if k > 1 else "shard int, t binary, kinds binary, raw binary")
-    sums = sums.repartition(shards, "shard").mapInArrow(thrifty(tokens), ", ".join(f"{c} long" for c in names))
-    f = sums.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]).first().asDict()
-    facts = np.zeros((order, 6), np.int64)
-    for s in range(shards):  # shards that no row came to are empty arrays
-        _empty(store, f"u{s}-h", np.uint64)
-        for k in range(1, order):
-            for c in "cb":
-                _empty(store, f"{c}{k}-{s}-h", np.uint64)
-            facts[k] += _facts(store, f"f{k}-{s}")
-    about = {"d": [discounts(facts[k][:4].tolist()) for k in range(1, order)], "d1": discounts([f["m1"], f["m2"], f["m3"], f["m4"]]), "cont": [f["m1"], f["m2"], f["tokens"] - f["m1"] - f["m2"]], "bigrams": int(facts[1][4]), "tokens": f["tokens"], "total": int(facts[1][5])}
-    return Model(store, shards, json.loads(json.dumps(about)))
-
-
-def _facts(store: Store, name: str) -> np.ndarray:
-    """Count-of-count sums of a shard, zeros if no row came to it."""
-    try:
-        return store.load(name)
-    except (FileNotFoundError, OSError):
-        return np.zeros(6, np.int64)
-
-
-def _empty(store: Store, name: str, kind) -> None:
-    try:
-        store.load(name)
-    except (FileNotFoundError, OSError):
-        store._kept.pop(name, None)
-        store.save(name, np.zeros(0, kind))
-        for more in {"c": ("t", "n"), "b": ("n", "x", "xn"), "u": ("n", "c")}[name[0]]:
-            store.save(f"{name[:-1]}{more}", np.zeros((0, 3) if (name[0], more) == ("c", "n") else 0, np.int64))
-
-
-def _scored(model: Model, order: int):
+            t, n = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+            by = np.argsort(t)
+            store.save(f"u-{s}", Table.parts(t[by], n[by]))
+            cont += [int((n[:, 1] == q).sum()) for q in (1, 2, 3, 4)]
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in cont.tolist()], ["m1", "m2", "m3", "m4"])
+
+    f = both.unionByName(every).repartition(shards, "shard").mapInArrow(thrifty(keep), "m1 long, m2 long, m3 long, m4 long").agg(*[F.sum(c) for c in ("m1", "m2", "m3", "m4")]).first()
+    for table in (tokens, last):
+        discard(table)
+    about = {"d": [discounts([facts.get((k, q), 0) for q in (1, 2, 3, 4)]) for k in range(1, order)], "d1": discounts(list(f)), "cont": [f[0], f[1], kinds - f[0] - f[1]], "bigrams": facts.get((1, 5), 0), "tokens": kinds, "total": total}
+    return Model(store, shards, order, about)
+
+
+def _scored(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, v = model.about["total"], model.about["tokens"]
         for b in batches:
             data, off = K.raw(b.column(1))
-            for i, j in K.chunks(off):
-                contexts, w, bound = ngrams(data, off, i, j, order)
-                p, raw = model.log_probs(contexts, w)
+            for i, j in K.chunks(off, SCORED):
+                words, bound = ngrams(data, off, i, j, model.order)
+                p, raw = model.log_probs(words)
                 base = np.log10((raw + 0.5) / (n + 0.5 * (v + 1)))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(np.diff(bound)), pa.array(np.add.reduceat((raw > 0).astype(np.int64), bound[:-1])), pa.array(np.add.reduceat(base, bound[:-1])), pa.array(np.add.reduceat(p, bound[:-1]))], ["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
@@ -370,7 +448,8 @@ def score_documents(docs: DataFrame, order: int = 2) -> DataFrame:
     Returns a row for each of docs: doc_id, held_out, n_tokens, n_known (seen in training), train_tokens, base_score (add-half unigrams), score (log10 of the
     text's probability) and perplexity (10^(-score/n_tokens)). Null or empty text: its end alone. Without training text every token is unknown (P = 1). Repeated
     rows are each counted and each scored. An empty table gives an empty result."""
+    bounded_batches(docs.sparkSession)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     model = train(own.where(~held_out()).select("text"), order=order)
-    got = own.mapInArrow(thrifty(_scored(model, order)), "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    got = own.mapInArrow(thrifty(_scored(model)), "doc_id long, n_tokens long, n_known long, base_score double, score double")
     return got.select("doc_id", held_out().alias("held_out"), "n_tokens", "n_known", F.lit(model.about["total"]).cast("long").alias("train_tokens"), "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
