@@ -9,11 +9,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reachspark.llm.components import connected_components
-from reachspark.llm.session import materialise, partitions
+from reachspark.llm.components import connected_components, least_by_root
+from reachspark.llm.session import discard, materialise, partitions, release_shuffles
 
-#: Trees, half width of the overlap at a split, vectors the splits are fitted on, vectors wanted in a leaf, rows of a tile's side.
-TREES, SPILL, SAMPLE, LEAF, TILE = 6, 0.02, 20_000, 256, 1024
+#: Trees, half width of the overlap at a split, vectors the splits are fitted on, vectors wanted in a leaf, rows of a tile's side, random directions of which a split takes the best.
+TREES, SPILL, SAMPLE, LEAF, TILE, TRIED = 3, 0.014, 20_000, 256, 1024, 4
 
 
 def vectors(col: pa.Array) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -39,7 +39,7 @@ def unit(m: np.ndarray) -> np.ndarray:
 
 
 class Forest:
-    """Trees whose nodes split at the median of a sample's projections on a random direction. A vector within
+    """Trees whose nodes split at the median of a sample's projections on a random direction: of TRIED ones that which fewest of the sample lie near the split of. A vector within
     ``spill`` of a split goes both ways. Two unit vectors of cosine 0.98 differ by 0.2 in length, so by about 0.2/sqrt(d) in projection."""
 
     def __init__(self, sample: np.ndarray, depth: int, trees: int, spill: float, seed: int = 7):
@@ -47,17 +47,24 @@ class Forest:
         rng = np.random.default_rng(seed)
         self.axes, self.cuts = [], []
         for _ in range(trees):
-            axes = rng.standard_normal((max(1, (1 << depth) - 1), self.dim))
-            axes /= np.sqrt((axes * axes).sum(1, keepdims=True))
+            axes = np.zeros((max(1, (1 << depth) - 1), self.dim))
             cuts, at = np.zeros(len(axes)), np.zeros(len(sample), int)
             for level in range(depth):
-                base = (1 << level) - 1
-                p = np.einsum("ij,ij->i", sample, axes[base + at])
+                base, n = (1 << level) - 1, 1 << level
                 order = np.argsort(at, kind="stable")
-                edge = np.searchsorted(at[order], np.arange((1 << level) + 1))
-                for node in range(1 << level):
-                    own = order[edge[node] : edge[node + 1]]
-                    cuts[base + node] = np.median(p[own]) if len(own) else 0.0
+                edge = np.searchsorted(at[order], np.arange(n + 1))
+                near = np.full(n, np.inf)
+                for _ in range(TRIED):
+                    tried = rng.standard_normal((n, self.dim))
+                    tried /= np.sqrt((tried * tried).sum(1, keepdims=True))
+                    p = np.einsum("ij,ij->i", sample, tried[at])
+                    for node in range(n):
+                        own = p[order[edge[node] : edge[node + 1]]]
+                        cut = np.median(own) if len(own) else 0.0
+                        close = (np.abs(own - cut) <= 2 * spill).sum()
+                        if close < near[node]:
+                            near[node], axes[base + node], cuts[base + node] = close, tried[node], cut
+                p = np.einsum("ij,ij->i", sample, axes[base + at])
                 at = 2 * at + (p > cuts[base + at])
             self.axes.append(axes)
             self.cuts.append(cuts)
@@ -142,7 +149,9 @@ def link_embeddings(table: DataFrame, cosine: float = 0.98, trees: int = TREES,
     Vectors of different lengths never link. Rows that repeat a vec_id are separate rows. A null vec_id: component_id is the least vec_id of its component if there is one,
     and the row is kept only if there is none. An empty table gives an empty result."""
     spark = table.sparkSession
-    own = table.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.col("label").cast("string").alias("label"))
+    # floats stay floats on their way; cosines are of doubles
+    kind = "float" if table.schema["embedding"].dataType.simpleString() == "array<float>" else "double"
+    own = table.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{kind}>").alias("embedding"), F.col("label").cast("string").alias("label"))
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -153,14 +162,14 @@ def link_embeddings(table: DataFrame, cosine: float = 0.98, trees: int = TREES,
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ok)], ["vec_id", "embedding", "label", "ok"])
 
     # one node for each vector and label; -0.0 equals 0.0
-    same = F.transform("embedding", lambda v: v + F.lit(0.0))
-    keyed = own.mapInArrow(clean, "vec_id long, embedding array<double>, label string, ok boolean").withColumn("sid", F.when(F.col("ok"), F.xxhash64("label", same)))
+    same = F.transform("embedding", lambda v: v.cast("double") + F.lit(0.0))
+    keyed = own.mapInArrow(clean, f"vec_id long, embedding array<{kind}>, label string, ok boolean").withColumn("sid", F.when(F.col("ok"), F.xxhash64("label", same)))
     keyed = materialise(keyed, "vectors")
     good = keyed.where("ok")
     nodes = good.groupBy("sid").agg(F.min("vec_id").alias("least"), F.count("*").alias("n"), F.any_value("label").alias("label"), F.any_value("embedding").alias("embedding"))
     nodes = materialise(nodes, "nodes")
     total = nodes.count()
-    found = None
+    found, written = None, []
     if total:
         dims = [r[0] for r in nodes.select(F.size("embedding").alias("d")).distinct().orderBy("d").collect()]
         for d in dims:
@@ -168,7 +177,7 @@ def link_embeddings(table: DataFrame, cosine: float = 0.98, trees: int = TREES,
             have = part.count()
             rate = min(1.0, sample / have)
             fit = part.where(F.pmod(F.xxhash64("sid", F.lit(3)), F.lit(1 << 30)) < int(rate * (1 << 30))).select("embedding").limit(sample).toArrow().column("embedding").combine_chunks()
-            fit = unit(np.sort(fit.flatten().to_numpy(zero_copy_only=False).reshape(len(fit), d).view([("", float)] * d), axis=0).view(float).reshape(-1, d)) if len(fit) else np.zeros((0, d))
+            fit = unit(np.sort(fit.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(fit), d).view([("", float)] * d), axis=0).view(float).reshape(-1, d)) if len(fit) else np.zeros((0, d))
             depth = max(0, min(int(np.ceil(np.log2(max(1, have / leaf)))), int(np.log2(max(1, len(fit) / 8)))))
             forest = Forest(fit, depth, trees if depth else 1, spill * np.sqrt(64 / d))
             # the hashed identity of a forest: its leaves of a label
@@ -178,14 +187,15 @@ def link_embeddings(table: DataFrame, cosine: float = 0.98, trees: int = TREES,
                 for b in batches:
                     for i in range(0, b.num_rows, 2048):
                         part = b.slice(i, 2048)
-                        x = unit(part.column(3).flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, d))
+                        x = unit(part.column(3).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(part.num_rows, d))
                         row, code = held.value.leaves(x)
                         lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(part.num_rows + 1)).astype(np.int32)), pa.array(code.astype(np.int64)))
                         at = pa.array(row)
                         yield pa.RecordBatch.from_arrays([pa.array(code.astype(np.int64)), part.column(2).take(at), part.column(0).take(at), part.column(1).take(at), part.column(3).take(at), lists.take(at)], ["code", "label", "sid", "n", "embedding", "codes"])
 
-            rows = part.select("sid", "n", "label", "embedding").repartition(partitions(spark)).mapInArrow(leaves, "code long, label string, sid long, n long, embedding array<double>, codes array<long>")
+            rows = part.select("sid", "n", "label", "embedding").repartition(partitions(spark)).mapInArrow(leaves, f"code long, label string, sid long, n long, embedding array<{kind}>, codes array<long>")
             rows = materialise(rows, "leaves")
+            written.append(rows)
             size = rows.groupBy("code", "label").agg(F.expr(f"int(ceil(count(*) / {TILE}))").alias("k"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
             block = rows.join(size, ["code", "label"]).withColumn("t", F.expr("int(pmod(xxhash64(sid, 11), k))")).groupBy("code", "label", "t").agg(F.collect_list(F.struct("sid", "n", "embedding", "codes")).alias("m"), F.any_value("k").alias("k"))
             u, v = block.alias("u"), block.select("code", "label", "t", "m").alias("v")
@@ -196,11 +206,13 @@ def link_embeddings(table: DataFrame, cosine: float = 0.98, trees: int = TREES,
     if found is None:
         found = spark.createDataFrame([], "sid long, n long, star long")
     found = materialise(found, "stars")
+    for table_ in written:
+        discard(table_)
+    release_shuffles(spark)
     comps = connected_components(found.select(F.col("sid").alias("a"), F.col("star").alias("b")))
     counts = found.groupBy("sid").agg(F.sum("n").alias("others"))
-    rooted = nodes.select("sid", "least", "n").join(comps.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").join(counts, "sid", "left").select("sid", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id")
+    rooted = materialise(nodes.select("sid", "least", "n").join(comps.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid")), "rooted")
+    named = least_by_root(rooted, "least", "component_id").join(counts, "sid", "left").select("sid", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id")
     linked = good.select("vec_id", "sid").join(named, "sid").select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
     alone = keyed.where("not ok").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     return linked.unionByName(alone)
