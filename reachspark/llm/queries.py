@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reachspark.llm import oracles
 from reachspark.llm.bfd_packing import pack_ids
 from reachspark.llm.embedding_forest import link_embeddings
 from reachspark.llm.exact_topk import exact_top_k
@@ -61,9 +62,28 @@ def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(_documents(spark, sf_dir)).select("row.doc_id", "n_lines", "n_kept", F.col("clean").alias("text"))
 
 
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can express of the mix: sizes and targets, not which documents are taken."""
+    return op3_mix_sources(spark, sf_dir).select("doc_id", "source", "size", "source_size", F.round("target", 6).alias("target"))
+
+
+def ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of the model to five decimals, as far as sums in another order agree."""
+    return op6_kneser_ney(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 5).alias("base_score"), F.round("score", 5).alias("score"))
+
+
+def license_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of the phrases and their labels, without those of the templates."""
+    return op9_license_scan(spark, sf_dir).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
 def queries() -> dict:
-    return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
+    ops = {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
+    return ops | {f.__name__: f for f in (mix_targets, ngram_scores, license_places)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_projection_forest": oracles.EMBEDDINGS, "op4_minhash_bayes": oracles.DOCUMENTS, "op8_exact_topk": oracles.TOP_K, "op10_fuzzy_lines": oracles.LINES,
+        "mix_targets": oracles.TARGETS, "ngram_scores": oracles.SCORES, "license_places": oracles.LICENSES,
+    }
