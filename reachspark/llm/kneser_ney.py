@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import urlparse
 
 import numpy as np
@@ -17,7 +17,9 @@ from reachspark.llm.session import bounded_batches, discard, materialise, new_pa
 
 START, END = np.uint64(0x1234567), np.uint64(0x7654321)
 #: Tokens that a task counts together before it sends them; training tokens of a shard on average (some 200 MB while a worker makes it); bytes scored at once.
-SEGMENT, SHARD, SCORED = 3_000_000, 5_000_000, 4 << 20
+SEGMENT, SHARD, SCORED = 1_500_000, 5_000_000, 4 << 20
+#: Number of the start token; others have numbers by how frequent they are.
+FIRST = np.uint32(0xFFFFFFFF)
 
 
 def pair_hash(u: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -96,32 +98,34 @@ class Store:
         with where.open_output_stream(f"{root}/{name}.bin") as f:
             f.write(data)
 
+    def map(self, name: str) -> np.ndarray:
+        if self.local:
+            return np.asarray(np.memmap(f"{self.local}/{name}.bin", np.uint8, "r"))
+        from pyarrow import fs
+
+        where, root = fs.FileSystem.from_uri(self.path)
+        with tempfile.NamedTemporaryFile(suffix=".bin") as out:  # its name goes at once, the mapping stays
+            with where.open_input_stream(f"{root}/{name}.bin") as f:
+                while block := f.read(1 << 24):
+                    out.write(block)
+            out.flush()
+            return np.asarray(np.memmap(out.name, np.uint8, "r"))
+
     def load(self, name: str) -> Table:
         if name not in self._kept:
-            if self.local:
-                self._kept[name] = Table(np.asarray(np.memmap(f"{self.local}/{name}.bin", np.uint8, "r")))
-            else:
-                from pyarrow import fs
-
-                where, root = fs.FileSystem.from_uri(self.path)
-                with tempfile.NamedTemporaryFile(suffix=".bin") as out:  # its name goes at once, the mapping stays
-                    with where.open_input_stream(f"{root}/{name}.bin") as f:
-                        while block := f.read(1 << 24):
-                            out.write(block)
-                    out.flush()
-                    self._kept[name] = Table(np.asarray(np.memmap(out.name, np.uint8, "r")))
+            self._kept[name] = Table(self.map(name))
         return self._kept[name]
 
 
 class Table:
-    """A mapped file of counts by sorted hash. The first bits of a hash name a bucket of about eight, the next 32 are kept: a hash that isn't there is taken for one that
-    is once in 500 million times. Counts are bytes; rows with a larger one lie in a list of their own."""
+    """A mapped file of rows of counts by sorted hash. The first bits of a hash name a bucket of about eight, the next 32 are kept: a hash that isn't there is taken for one that
+    is once in 500 million times. Of each row a byte is kept, the number of its counts in a list of the 255 most frequent rows; others lie in a list of their own."""
 
     def __init__(self, data: np.ndarray):
-        head = data[:32].view(np.int64)
-        self.bits, self.n, self.width, more = (int(x) for x in head)
-        at = 32
-        for name, size, kind, shape in (("start", (1 << self.bits) + 1, np.uint32, None), ("rest", self.n, np.uint32, None), ("value", self.n * self.width, np.uint8, self.width), ("big", more, np.uint64, None), ("large", more * self.width, np.int64, self.width)):
+        head = data[:40].view(np.int64)
+        self.bits, self.n, self.width, kinds, more = (int(x) for x in head)
+        at = 40
+        for name, size, kind, shape in (("start", (1 << self.bits) + 1, np.uint32, None), ("rest", self.n, np.uint32, None), ("code", self.n, np.uint8, None), ("value", kinds * self.width, np.int64, self.width), ("big", more, np.uint64, None), ("large", more * self.width, np.int64, self.width)):
             span = size * np.dtype(kind).itemsize
             a = data[at : at + span].view(kind)
             setattr(self, name, a.reshape(-1, shape) if shape else a)
@@ -134,10 +138,17 @@ class Table:
         top = h >> np.uint64(64 - bits) if bits else np.zeros(len(h), np.uint64)
         start = np.searchsorted(top, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.uint32)
         rest = (h >> np.uint64(32 - bits)).astype(np.uint32)
-        wide = np.flatnonzero((values >= 255).any(1))
-        byte = np.minimum(values, 255).astype(np.uint8)
-        byte[wide] = 255
-        return [np.array([bits, len(h), values.shape[1], len(wide)], np.int64), start, rest, byte, h[wide], values[wide].astype(np.int64)]
+        key = np.zeros(len(h), np.int64)
+        for c in range(values.shape[1]):
+            key = (key << 15) | np.minimum(values[:, c], 32767)
+        _, first, kind, often = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+        kept = np.argsort(-often, kind="stable")
+        kept = kept[(values[first[kept]] < 32767).all(1)][:255]
+        code = np.full(len(first), 255, np.uint8)
+        code[kept] = np.arange(len(kept))
+        code = code[kind.ravel()]
+        wide = np.flatnonzero(code == 255)
+        return [np.array([bits, len(h), values.shape[1], len(kept), len(wide)], np.int64), start, rest, code, values[first[kept]].astype(np.int64), h[wide], values[wide].astype(np.int64)]
 
     def find(self, q: np.ndarray) -> np.ndarray:
         """Rows of counts of hashes q, zeros where there is none."""
@@ -154,11 +165,14 @@ class Table:
             lo = np.where(less, mid + 1, lo)
         at = np.minimum(lo, self.n - 1)
         ok = np.flatnonzero((lo < end) & (self.rest[at] == r))
-        got = self.value[at[ok]].astype(np.int64)
-        wide = np.flatnonzero((got == 255).all(1))
+        code = self.code[at[ok]]
+        got = np.zeros((len(ok), self.width), np.int64)
+        short = np.flatnonzero(code < 255)
+        got[short] = self.value[code[short]]
+        wide = np.flatnonzero(code == 255)
         if len(wide):
             spot = np.minimum(np.searchsorted(self.big, q[ok[wide]]), len(self.big) - 1)
-            got[wide] = np.where((self.big[spot] == q[ok[wide]])[:, None], self.large[spot], got[wide])
+            got[wide] = np.where((self.big[spot] == q[ok[wide]])[:, None], self.large[spot], 0)
         out[ok] = got
         return out
 
@@ -213,39 +227,82 @@ class Model:
         return np.log10(np.maximum(p, 1e-300)), raw
 
 
-BLOBS = "shard int, n int, words int, names binary, cells binary"
+class Names:
+    """Numbers of tokens: in each shard they are sorted by descending count, and number = place x shards + shard, so frequent tokens have small numbers without a sort of all."""
+
+    def __init__(self, store: Store, shards: int):
+        self.store, self.shards = store, shards
+        self._kept: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def __getstate__(self):
+        return {"store": self.store, "shards": self.shards, "_kept": {}}
+
+    def save(self, s: int, t: np.ndarray, n: np.ndarray) -> None:
+        t = t[np.lexsort((t, -n))]
+        self.store.save(f"n-{s}", [np.array([len(t)], np.int64), t, np.argsort(t).astype(np.uint32)])
+
+    def _load(self, s: int) -> tuple[np.ndarray, np.ndarray]:
+        if s not in self._kept:
+            data = self.store.map(f"n-{s}")
+            n = int(data[:8].view(np.int64)[0])
+            self._kept[s] = data[8 : 8 + 8 * n].view(np.uint64), data[8 + 8 * n : 8 + 12 * n].view(np.uint32)
+        return self._kept[s]
+
+    def _each(self, shard: np.ndarray):
+        order = np.argsort(shard, kind="stable")
+        cut = np.searchsorted(shard[order], np.arange(self.shards + 1))
+        for s in np.flatnonzero(cut[1:] > cut[:-1]).tolist():
+            yield s, order[cut[s] : cut[s + 1]]
+
+    def numbers(self, t: np.ndarray) -> np.ndarray:
+        """Of distinct tokens, all of which were counted, or the start."""
+        out = np.full(len(t), FIRST)
+        real = np.flatnonzero(t != START)
+        for s, pick in self._each((t[real] % np.uint64(self.shards)).astype(np.int64)):
+            names, order = self._load(s)
+            out[real[pick]] = order[np.searchsorted(names, t[real[pick]], sorter=order)] * np.uint32(self.shards) + np.uint32(s)
+        return out
 
+    def tokens(self, numbers: np.ndarray) -> np.ndarray:
+        some, back = np.unique(numbers, return_inverse=True)
+        out = np.full(len(some), START)
+        real = np.flatnonzero(some != FIRST)
+        for s, pick in self._each((some[real] % np.uint32(self.shards)).astype(np.int64)):
+            out[real[pick]] = self._load(s)[0][some[real[pick]] // np.uint32(self.shards)]
+        return out[back]
 
-def _sent(words: list[np.ndarray], counts: np.ndarray, shards: int) -> list[tuple]:
-    """Distinct n-grams for each shard: the words that its n-grams have, the n-grams as numbers of those, sorted, and counts; compressed byte by byte."""
+
+BLOBS = "shard int, n int, cells binary"
+
+
+def _sent(words: list[np.ndarray], numbers: list[np.ndarray], counts: np.ndarray, shards: int) -> list[tuple]:
+    """n-grams (hashes of words, and their numbers) for each shard: numbers and counts, sorted and compressed byte by byte."""
     m = len(words)
-    key = contexts_of(words)[max(1, m - 2) - 1]
-    shard = (key % np.uint64(shards)).astype(np.int64)
-    by = np.lexsort((*[words[c] for c in (m - 1, 0, *range(m - 2, 0, -1))], shard)) if m > 2 else np.lexsort((words[1], words[0], shard))
+    shard = (contexts_of(words)[max(1, m - 2) - 1] % np.uint64(shards)).astype(np.int64)
+    by = np.lexsort((*[numbers[c] for c in ((m - 1, 0, *range(m - 2, 0, -1)) if m > 2 else (1, 0))], shard))
     cut = np.searchsorted(shard[by], np.arange(shards + 1))
     rows = []
     for s in np.flatnonzero(cut[1:] > cut[:-1]).tolist():
         pick = by[cut[s] : cut[s + 1]]
-        names, cells = np.unique(np.concatenate([w[pick] for w in words]), return_inverse=True)
-        cells = np.concatenate([cells.ravel(), counts[pick]]).astype("<u4").view(np.uint8).reshape(m + 1, len(pick), 4)
-        rows.append((s, len(pick), len(names), names.tobytes(), pa.compress(np.ascontiguousarray(cells.transpose(0, 2, 1)).tobytes(), "zstd", asbytes=True)))
+        cells = np.stack([*(c[pick] for c in numbers), counts[pick]]).astype("<u4").view(np.uint8).reshape(m + 1, len(pick), 4)
+        rows.append((s, len(pick), pa.compress(np.ascontiguousarray(cells.transpose(0, 2, 1)).tobytes(), "zstd", asbytes=True)))
     return rows
 
 
-def _received(batches: Iterator[pa.RecordBatch], m: int) -> dict[int, list[list[np.ndarray]]]:
+def _received(batches: Iterator[pa.RecordBatch], m: int) -> dict[int, np.ndarray]:
+    """Of each shard the numbers and counts (m + 1 rows)."""
     got: dict[int, list] = {}
     for b in batches:
-        for s, n, _, names, cells in zip(*[b.column(c).to_pylist() for c in range(5)]):
-            own = got.setdefault(s, [])
+        for s, n, cells in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+            own = got.setdefault(s, [np.zeros((m + 1, 0), "<u4")])
             if n:
-                x = np.frombuffer(pa.decompress(cells, (m + 1) * n * 4, "zstd", asbytes=True), np.uint8).reshape(m + 1, 4, n)
-                x = np.ascontiguousarray(x.transpose(0, 2, 1)).view("<u4").reshape(m + 1, n)
-                own.append([*(np.frombuffer(names, np.uint64)[x[c]] for c in range(m)), x[m].astype(np.int64)])
-    return got
+                x = np.frombuffer(pa.decompress(cells.as_buffer(), (m + 1) * n * 4, "zstd"), np.uint8).reshape(m + 1, 4, n)
+                own.append(np.ascontiguousarray(x.transpose(0, 2, 1)).view("<u4").reshape(m + 1, n))
+    return {s: np.concatenate(parts, axis=1) for s, parts in got.items()}
 
 
 def _blobs(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate((pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))], ["shard", "n", "words", "names", "cells"])
+    return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate((pa.int32(), pa.int32(), pa.binary()))], ["shard", "n", "cells"])
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,25 +325,30 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield counted(kept)
 
 
-def _counted(order: int, shards: int):
+def _counted(order: int, shards: int, vocabulary: Names):
     """n-grams of some texts, counted together, as blobs for each shard."""
 
-    def distinct(held: list[list[np.ndarray]]) -> tuple[list[np.ndarray], np.ndarray]:
-        words = [np.concatenate(c) for c in zip(*held)]
-        names, w = np.unique(words[-1], return_inverse=True)
+    def distinct(held: list[list[np.ndarray]]) -> list[tuple]:
+        last = np.concatenate([h[-1] for h in held])
+        names, w = np.unique(last, return_inverse=True)
+        of = [w.astype(np.uint32)]
+        for c in range(order - 1):
+            u = np.concatenate([h[c] for h in held])
+            of.insert(c, np.where(u == START, len(names), np.minimum(np.searchsorted(names, u), len(names) - 1)).astype(np.uint32))
         names = np.append(names, START)  # no word has this hash but by chance, and then it does no harm
-        of = [np.where(c == START, len(names) - 1, np.minimum(np.searchsorted(names[:-1], c), len(names) - 2)).astype(np.uint64) for c in words[:-1]] + [w.astype(np.uint64)]
         bits = int(len(names)).bit_length()
         if order * bits > 64:
             by = np.lexsort(of)
-            change = np.any([c[by][1:] != c[by][:-1] for c in of], axis=0)
-            at = np.flatnonzero(np.append(True, change))
-            return [c[by[at]] for c in words], np.diff(np.append(at, len(by)))
-        key = np.zeros(len(w), np.uint64)
-        for c in of:
-            key = (key << np.uint64(bits)) | c
-        key, n = np.unique(key, return_counts=True)
-        return [names[(key >> np.uint64(bits * (order - 1 - c))) & np.uint64((1 << bits) - 1)] for c in range(order)], n
+            at = np.flatnonzero(np.append(True, np.any([c[by][1:] != c[by][:-1] for c in of], axis=0)))
+            of, n = [c[by[at]] for c in of], np.diff(np.append(at, len(by)))
+        else:
+            key = np.zeros(len(w), np.uint64)
+            for c in of:
+                key = (key << np.uint64(bits)) | c
+            key, n = np.unique(key, return_counts=True)
+            of = [(key >> np.uint64(bits * (order - 1 - c))) & np.uint64((1 << bits) - 1) for c in range(order)]
+        numbers = vocabulary.numbers(names)
+        return _sent([names[c] for c in of], [numbers[c] for c in of], n, shards)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, held = [], 0
@@ -296,10 +358,10 @@ def _counted(order: int, shards: int):
                 kept.append(ngrams(data, off, i, j, order)[0])
                 held += len(kept[-1][0])
                 if held >= SEGMENT:
-                    yield _blobs(_sent(*distinct(kept), shards))
+                    yield _blobs(distinct(kept))
                     kept, held = [], 0
         if held:
-            yield _blobs(_sent(*distinct(kept), shards))
+            yield _blobs(distinct(kept))
 
     return run
 
@@ -308,7 +370,7 @@ def _counted(order: int, shards: int):
 SUMS = "level int, t long, n long"
 
 
-def _stored(store: Store, m: int, shards: int, further: bool):
+def _stored(store: Store, vocabulary: Names, m: int, shards: int, further: bool):
     """Takes n-grams of m words; stores those, and those of m-1 words, and their contexts, for its shards. Gives sums of counts (level, t, n), and for tokens how many
     distinct bigrams end in them; or, if n-grams of two or more words are left, blobs of those."""
 
@@ -321,10 +383,11 @@ def _stored(store: Store, m: int, shards: int, further: bool):
         return [(k, q, int((n == q).sum())) for q in (1, 2, 3, 4)] + [(k, 5, len(n))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s, parts in _received(batches, m).items():
-            cols = [np.concatenate(c) for c in zip(*parts)] if parts else [np.zeros(0, np.uint64)] * m + [np.zeros(0, np.int64)]
-            parts.clear()
-            words, n = cols[:-1], cols[-1]
+        got = _received(batches, m)
+        for s in list(got):
+            cells = got.pop(s)
+            words, n = [vocabulary.tokens(cells[c]) for c in range(m)], cells[m].astype(np.int64)
+            del cells
             u = contexts_of(words)
             h = pair_hash(u[m - 2], words[-1])
             by, at = _run(h)
@@ -350,13 +413,32 @@ def _stored(store: Store, m: int, shards: int, further: bool):
                 continue
             c = contexts_of(lower)
             by, at = _run(pair_hash(c[-1], lower[-1]))
-            rows = _sent([w[by[at]] for w in lower], np.diff(np.append(at, len(by))), shards)
-            none = pa.nulls(len(sums))
-            yield pa.RecordBatch.from_arrays([*one.columns, *(none.cast(t) for t in (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))], [*one.schema.names, "shard", "n_", "words", "names", "cells"])
+            lower = [w[by[at]] for w in lower]
+            names, cells = np.unique(np.concatenate(lower), return_inverse=True)
+            rows = _sent(lower, list(vocabulary.numbers(names)[cells].reshape(len(lower), -1)), np.diff(np.append(at, len(by))), shards)
+            head, tail = ["level", "t", "n"], ["shard", "n_", "cells"]
+            yield pa.RecordBatch.from_arrays([*one.columns, *(pa.nulls(len(sums), t) for t in (pa.int32(), pa.int32(), pa.binary()))], head + tail)
             if rows:
-                b = _blobs(rows)
-                none = pa.nulls(len(rows))
-                yield pa.RecordBatch.from_arrays([none.cast(pa.int32()), none.cast(pa.int64()), none.cast(pa.int64()), *b.columns], [*one.schema.names, "shard", "n_", "words", "names", "cells"])
+                yield pa.RecordBatch.from_arrays([*(pa.nulls(len(rows), t) for t in (pa.int32(), pa.int64(), pa.int64())), *_blobs(rows).columns], head + tail)
+
+    return run
+
+
+def _by_shard(shards: int, make: Callable[[int, np.ndarray, np.ndarray], list[int]], names: list[str]):
+    """Rows (shard, t, counts...) of each shard, a null t standing for none, go to make(shard, t, counts), whose numbers are summed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got: dict[int, list] = {}
+        for b in batches:
+            s, real = b.column(0).to_numpy(), b.column(1).is_valid().to_numpy(zero_copy_only=False)
+            t, n = b.column(1).fill_null(0).to_numpy().view(np.uint64), np.stack([c.to_numpy() for c in b.columns[2:]], 1)
+            for q in np.unique(s).tolist():
+                pick = (s == q) & real
+                got.setdefault(q, []).append((t[pick], n[pick]))
+        sums = np.zeros(len(names), np.int64)
+        for s, parts in got.items():
+            sums += make(s, np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in sums.tolist()], names)
 
     return run
 
@@ -375,44 +457,44 @@ def train(texts: DataFrame, shards: int | None = None, order: int = 2) -> Model:
     total, kinds = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     shards = shards or max(partitions(spark), -(-total // SHARD))
     store = Store(new_path(spark, "kneser-ney"))
+    vocabulary = Names(store, shards)
     # every shard has a row, so that its tables are written even if they are empty
-    every = spark.range(shards).select(F.col("id").cast("int").alias("shard"), F.lit(0).alias("n"), F.lit(0).alias("words"), F.lit(b"").alias("names"), F.lit(b"").alias("cells"))
-    blobs, m, sums = texts.mapInArrow(thrifty(_counted(order, shards)), BLOBS), order, []
+    ids = spark.range(shards).select(F.col("id").cast("int").alias("shard"))
+    shard = F.pmod(F.conv(F.hex("t"), 16, 10).cast("decimal(20,0)"), F.lit(shards).cast("decimal(20,0)")).cast("int").alias("shard")
+    zero = F.lit(0).cast("long")
+
+    def number(s: int, t: np.ndarray, n: np.ndarray) -> list[int]:
+        vocabulary.save(s, t, n[:, 0])
+        return [len(t)]
+
+    numbered = tokens.select(shard, "t", "n").unionByName(ids.select("shard", F.lit(None).cast("long").alias("t"), zero.alias("n"))).repartition(shards, "shard")
+    numbered.mapInArrow(thrifty(_by_shard(shards, number, ["n"])), "n long").agg(F.sum("n")).first()
+    every = ids.select("shard", F.lit(0).alias("n"), F.lit(b"").alias("cells"))
+    blobs, m, sums = texts.mapInArrow(thrifty(_counted(order, shards, vocabulary)), BLOBS), order, []
     while True:
         further = m > 3
-        made = blobs.unionByName(every).repartition(shards, "shard").mapInArrow(thrifty(_stored(store, m, shards, further)), f"{SUMS}, shard int, n_ int, words int, names binary, cells binary" if further else SUMS)
+        made = blobs.unionByName(every).repartition(shards, "shard").mapInArrow(thrifty(_stored(store, vocabulary, m, shards, further)), f"{SUMS}, shard int, n_ int, cells binary" if further else SUMS)
         if not further:
             break
         made = materialise(made, "lower")
         sums.append(made.where("level is not null").select("level", "t", "n"))
-        blobs, m = made.where("shard is not null").select("shard", F.col("n_").alias("n"), "words", "names", "cells"), m - 2
+        blobs, m = made.where("shard is not null").select("shard", F.col("n_").alias("n"), "cells"), m - 2
     last = materialise(made.groupBy("level", "t").agg(F.sum("n").alias("n")), "continued")
     release_shuffles(spark)
     levels = last.where("level > 0")
     for part in sums:
         levels = levels.unionByName(part)
     facts = {(r[0], r[1]): r[2] for r in levels.groupBy("level", "t").agg(F.sum("n")).collect()}
-    both = tokens.join(last.where("level = 0").select("t", F.col("n").alias("kinds")), "t").select(F.pmod(F.conv(F.hex("t"), 16, 10).cast("decimal(20,0)"), F.lit(shards).cast("decimal(20,0)")).cast("int").alias("shard"), "t", "n", "kinds")
-    every = spark.range(shards).select(F.col("id").cast("int").alias("shard"), F.lit(None).cast("long").alias("t"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("kinds"))
+    both = tokens.join(last.where("level = 0").select("t", F.col("n").alias("kinds")), "t").select(shard, "t", "n", "kinds")
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got: dict[int, list] = {}
-        for b in batches:
-            s = b.column(0).to_numpy()
-            real = b.column(1).is_valid().to_numpy(zero_copy_only=False)
-            t, n = b.column(1).fill_null(0).to_numpy().view(np.uint64), np.stack([b.column(2).to_numpy(), b.column(3).to_numpy()], 1)
-            for q in np.unique(s).tolist():
-                pick = (s == q) & real
-                got.setdefault(q, []).append((t[pick], n[pick]))
-        cont = np.zeros(4, np.int64)
-        for s, parts in got.items():
-            t, n = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-            by = np.argsort(t)
-            store.save(f"u-{s}", Table.parts(t[by], n[by]))
-            cont += [int((n[:, 1] == q).sum()) for q in (1, 2, 3, 4)]
-        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in cont.tolist()], ["m1", "m2", "m3", "m4"])
+    def keep(s: int, t: np.ndarray, n: np.ndarray) -> list[int]:
+        by = np.argsort(t)
+        store.save(f"u-{s}", Table.parts(t[by], n[by]))
+        return [int((n[:, 1] == q).sum()) for q in (1, 2, 3, 4)]
 
-    f = both.unionByName(every).repartition(shards, "shard").mapInArrow(thrifty(keep), "m1 long, m2 long, m3 long, m4 long").agg(*[F.sum(c) for c in ("m1", "m2", "m3", "m4")]).first()
+    marks = ["m1", "m2", "m3", "m4"]
+    both = both.unionByName(ids.select("shard", F.lit(None).cast("long").alias("t"), zero.alias("n"), zero.alias("kinds"))).repartition(shards, "shard")
+    f = both.mapInArrow(thrifty(_by_shard(shards, keep, marks)), ", ".join(f"{c} long" for c in marks)).agg(*[F.sum(c) for c in marks]).first()
     for table in (tokens, last):
         discard(table)
     about = {"d": [discounts([facts.get((k, q), 0) for q in (1, 2, 3, 4)]) for k in range(1, order)], "d1": discounts(list(f)), "cont": [f[0], f[1], kinds - f[0] - f[1]], "bigrams": facts.get((1, 5), 0), "tokens": kinds, "total": total}
