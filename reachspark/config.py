@@ -46,6 +46,8 @@ class TransitPolicy:
 @dataclass(frozen=True)
 class RoadPolicy:
     block: int = 50
+    snap_concurrency: int = 16
+    request_concurrency: int = 4
     attempts: int = 3
     timeout_s: float = 30.0
     sample_pairs: int = 100

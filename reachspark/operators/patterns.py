@@ -17,28 +17,25 @@ def grouped(concrete: DataFrame) -> DataFrame:
 
 def base_patterns(concrete: DataFrame) -> DataFrame:
     """(route_id, stop_ids, n_trips): trips by route and exact stop sequence."""
-    return grouped(concrete).groupBy("route_id", "stop_ids").agg(F.count("*").alias("n_trips"))
+    t = concrete.groupBy("uid", "route_id").agg(F.array_sort(F.collect_list(F.struct("pos", "stop_id"))).alias("at"))
+    return t.groupBy("route_id", F.transform("at", lambda x: x["stop_id"]).alias("stop_ids")).agg(F.count("*").alias("n_trips"))
 
 
 def _chains(pdf: pd.DataFrame) -> pd.DataFrame:
     """Trips in order of (first departure, uid) each join the chain that they follow everywhere and whose
     last trip leaves latest (the oldest such chain), or start a new one."""
     pdf = pdf.sort_values(["first_dep", "uid"], kind="stable")
-    last = np.zeros((0, len(pdf["key"].iloc[0]) if len(pdf) else 0))
-    leaves: list[int] = []
-    chain = []
-    for first, key in zip(pdf["first_dep"], pdf["key"]):
-        key = np.asarray(key)
-        fits = np.flatnonzero((last <= key).all(1)) if len(last) else []
-        if len(fits):
-            k = int(fits[np.argmax(np.asarray(leaves)[fits])])
-            last[k], leaves[k] = key, first
-        else:
-            k = len(leaves)
-            last = np.vstack([last, key[None, :]]) if len(leaves) else key[None, :].astype(float)
-            leaves.append(first)
-        chain.append(k)
-    return pd.DataFrame({"uid": pdf["uid"].to_numpy(), "chain": np.asarray(chain, np.int32)})
+    keys = np.array(pdf["key"].tolist(), np.int64).reshape(len(pdf), -1)
+    first = pdf["first_dep"].to_numpy()
+    chain, last, leaves, n = np.zeros(len(pdf), np.int32), np.zeros((16, keys.shape[1]), np.int64), np.zeros(16, np.int64), 0
+    for i, key in enumerate(keys):
+        fits = np.flatnonzero((last[:n] <= key).all(1))
+        k = int(fits[np.argmax(leaves[fits])]) if len(fits) else n
+        if k == len(last):
+            last, leaves = np.concatenate([last, np.zeros_like(last)]), np.concatenate([leaves, np.zeros_like(leaves)])
+        n = max(n, k + 1)
+        last[k], leaves[k], chain[i] = key, first[i], k
+    return pd.DataFrame({"uid": pdf["uid"].to_numpy(), "chain": chain})
 
 
 def trip_chains(concrete: DataFrame) -> DataFrame:

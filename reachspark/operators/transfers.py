@@ -71,3 +71,9 @@ def transfer_edges(rules: DataFrame, all_stops: DataFrame, stops: DataFrame) ->
     made = sibling_edges(all_stops, stops).join(allowed, ["from_idx", "to_idx"], "left_anti").join(forbidden, ["from_idx", "to_idx"], "left_anti")
     made = made.select("from_idx", "to_idx", F.lit(None).cast("long").alias("seconds"), F.lit(True).alias("access_eligible"))
     return allowed.unionByName(made)
+
+
+def adjacency(edges: DataFrame) -> DataFrame:
+    """(from_idx, walks): the edges of each stop in order of (to, seconds), the default time last."""
+    order = F.transform(F.array_sort(F.collect_list(F.struct("to_idx", F.coalesce("seconds", F.lit(MAX_TIME)).alias("at"), "access_eligible"))), lambda e: F.struct(e["to_idx"].alias("to_idx"), F.when(e["at"] != MAX_TIME, e["at"]).alias("seconds"), e["access_eligible"].alias("access_eligible")))
+    return edges.groupBy("from_idx").agg(order.alias("walks"))

@@ -47,14 +47,13 @@ def manifest_counts(stop_times: DataFrame, retained: DataFrame, windows: DataFra
 
 def concrete_trips(stop_times: DataFrame, trips: DataFrame, windows: DataFrame, scenario: Scenario) -> DataFrame:
     """(uid, route_id, pos, stop_id, arr, dep, pickup, drop_off) of scheduled trips, and of one trip for each
-    departure start + k * headway before a window's end, its times shifted. Those that can't be boarded from the window's start on are dropped."""
+    departure start + k * headway before a window's end, its times shifted. Those that can't be boarded from the window's start on are dropped,
+    by the last departure with boarding of the trip that they come from, before any stop time is copied."""
     own = stop_times.join(trips.select("trip_id", "route_id"), "trip_id")
+    each = own.groupBy("trip_id").agg(F.min(F.when(F.col("pos") == 0, F.col("dep"))).alias("first_dep"), F.max(F.when(F.col("pickup") != 1, F.col("dep"))).alias("last_dep"))
     by_start = Window.partitionBy("trip_id").orderBy("start", "end", "headway")
     starts = windows.withColumn("idx", F.row_number().over(by_start) - 1).select("trip_id", "idx", F.explode(F.sequence("start", F.col("end") - 1, "headway")).alias("departure"))
-    first = own.where("pos = 0").select("trip_id", F.col("dep").alias("first_dep"))
-    shifts = starts.join(first, "trip_id").select("trip_id", F.concat(F.lit(MARK), "idx", F.lit(":"), "departure").alias("suffix"), (F.col("departure") - F.col("first_dep")).alias("shift"))
-    plain = own.join(windows.select("trip_id").distinct(), "trip_id", "left_anti").withColumn("suffix", F.lit("")).withColumn("shift", F.lit(0).cast("long"))
-    made = own.join(shifts, "trip_id").unionByName(plain)
-    out = made.select(F.concat("trip_id", "suffix").alias("uid"), "route_id", "pos", "stop_id", (F.col("arr") + F.col("shift")).alias("arr"), (F.col("dep") + F.col("shift")).alias("dep"), "pickup", "drop_off")
-    can = F.max(((F.col("dep") >= scenario.window_start) & (F.col("pickup") != 1)).cast("int")).over(Window.partitionBy("uid"))
-    return out.withColumn("can", can).where("can = 1").drop("can")
+    made = starts.join(each, "trip_id").select("trip_id", F.concat(F.lit(MARK), "idx", F.lit(":"), "departure").alias("suffix"), (F.col("departure") - F.col("first_dep")).alias("shift"), "last_dep")
+    plain = each.join(windows.select("trip_id").distinct(), "trip_id", "left_anti").select("trip_id", F.lit("").alias("suffix"), F.lit(0).cast("long").alias("shift"), "last_dep")
+    kept = made.unionByName(plain).where(F.col("last_dep") + F.col("shift") >= scenario.window_start).drop("last_dep")
+    return own.join(kept, "trip_id").select(F.concat("trip_id", "suffix").alias("uid"), "route_id", "pos", "stop_id", (F.col("arr") + F.col("shift")).alias("arr"), (F.col("dep") + F.col("shift")).alias("dep"), "pickup", "drop_off")

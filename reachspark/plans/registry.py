@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 from reachspark.checks import frequency_violations, stop_time_violations
 from reachspark.config import HEX_DIAMETER_M, Scenario, TransitPolicy
 from reachspark.functions import geo, text
-from reachspark.operators import access, calendar, hexes, lookup, matrix, patterns, rounds, stops, transfers, trips
+from reachspark.operators import access, calendar, hexes, kernel, lookup, matrix, patterns, rounds, stops, transfers, trips
+from reachspark.plans import compile as build
 from reachspark.plans.cut import cut
 from reachspark.plans.testviews import Views, haversine_sql, with_views
 
 S, P = Scenario(), TransitPolicy()
+#: A window of one minute over the same timetable: every departure slot of the whole one is too much for SQL and for joins on one machine.
+EARLY = Scenario(window_end=S.window_start + 60)
 ORIGIN = 0
 MINUTES = 60
 
@@ -24,18 +27,15 @@ def _concrete(v: Views, no_overtaking: bool = True) -> DataFrame:
     return trips.concrete_trips(st.drop("route_id"), active, v.frequencies.join(active, "trip_id", "left_semi"), S)
 
 
-def _small_net(v: Views) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Scheduled trips of routes that never overtake, boardable within the window, as a network; and its transfers."""
-    st = v.stop_times_b.where("arr < 36000")
-    active = calendar.active_trips(v.trips, calendar.active_services(v.calendar, v.calendar_dates, S))
-    one = st.join(active.select("trip_id"), "trip_id", "left_semi").select(F.col("trip_id").alias("uid"), "route_id", "pos", "stop_id", "arr", "dep", "pickup", "drop_off")
-    whole = one.groupBy("uid").count().where("count = 8")
-    net = {k: cut(t) for k, t in patterns.patterns(cut(one.join(whole, "uid", "left_semi"))).items()}
+def _network(v: Views) -> tuple[dict[str, DataFrame], DataFrame]:
+    """All concrete trips as a network, and its transfers. The view's trips never overtake each other."""
+    net = {k: cut(t) for k, t in patterns.patterns(cut(_concrete(v))).items()}
     return net, cut(transfers.transfer_edges(transfers.generic_rules(v.transfers), v.stops, net["stops"]))
 
 
-def _origins(net: dict[str, DataFrame], n: int = 3) -> DataFrame:
-    return net["stops"].where(F.col("stop_idx") < n).select(F.col("stop_idx").cast("int").alias("key"), "stop_idx")
+def _origins(net: dict[str, DataFrame]) -> DataFrame:
+    """Every stop in use."""
+    return net["stops"].select(F.col("stop_idx").cast("int").alias("key"), "stop_idx")
 
 
 def _activity(v: Views) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -45,7 +45,7 @@ def _activity(v: Views) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def _localities(v: Views) -> DataFrame:
-    return v.localities.where("row_no < 150").select(F.col("row_no").alias("destination"), "latitude", "longitude")
+    return v.localities.select(F.col("row_no").alias("destination"), "latitude", "longitude")
 
 
 def _reach(v: Views) -> DataFrame:
@@ -137,45 +137,66 @@ def agg07_station_activity(v: Views) -> DataFrame:
 
 def join10_station_choice(v: Views) -> DataFrame:
     _, pl, act = _activity(v)
-    loc = v.localities.where("row_no < 500").select(F.col("row_no").cast("string").alias("locality_id"), "latitude", "longitude")
+    loc = v.localities.select(F.col("row_no").cast("string").alias("locality_id"), "latitude", "longitude")
     return access.station_choice(loc, pl, act, P).select("locality_id", "place_id", F.round("distance_m", 3).alias("distance_m"))
 
 
 def rp01_departure_slots(v: Views) -> DataFrame:
-    net, edges = _small_net(v)
+    net, edges = _network(v)
     return rounds.departure_slots(_origins(net), net, edges, S, P.min_transfer_seconds)
 
 
 def rp02_initial_access(v: Views) -> DataFrame:
-    net, edges = _small_net(v)
+    net, edges = _network(v)
     return rounds.access_stops(_origins(net), edges, P.min_transfer_seconds)
 
 
-def _runs(v: Views, max_transfers: int) -> DataFrame:
-    net, edges = _small_net(v)
-    return rounds.fastest_window(_origins(net), net, edges, S, P.min_transfer_seconds, max_transfers, 7200, cut)
+def _by_joins(v: Views, max_transfers: int) -> DataFrame:
+    """Fastest journeys from every stop within the early window, by joins and windows."""
+    net, edges = _network(v)
+    return rounds.fastest_window(_origins(net), net, edges, EARLY, P.min_transfer_seconds, max_transfers, 60 * P.max_minutes, cut)
+
+
+def _by_kernel(v: Views, scenario: Scenario) -> DataFrame:
+    """The same by the kernel, whole policy."""
+    net, edges = _network(v)
+    origins = net["stops"].select(F.col("stop_idx").cast("int").alias("key"), F.array("stop_idx").alias("stop_idxs"))
+    return kernel.fastest_window(origins.repartition(8), kernel.Network.collect(net, edges), scenario, P.min_transfer_seconds, P.max_transfers, 60 * P.max_minutes)
 
 
 def rp05_round1_arrivals(v: Views) -> DataFrame:
-    return _runs(v, 0)
+    return _by_joins(v, 0)
 
 
 def rp10_fastest_window(v: Views) -> DataFrame:
-    return _runs(v, 1)
+    return _by_joins(v, P.max_transfers)
+
+
+def rp09_shared_labels(v: Views) -> DataFrame:
+    return _by_kernel(v, EARLY)
+
+
+def rp10_whole_window(v: Views) -> DataFrame:
+    """The scenario's whole window; too many departures for SQL."""
+    return _by_kernel(v, S)
+
 
+def _locality_ids(v: Views, n_stops: int) -> DataFrame:
+    """Each locality with one of the stops in use."""
+    return v.localities.select(F.col("row_no").cast("string").alias("locality_id"), F.array((F.col("row_no") % n_stops).cast("int")).alias("stop_idxs"))
 
-def rp11_reachable_localities(v: Views) -> DataFrame:
-    net, edges = _small_net(v)
-    fast = rounds.fastest_window(_origins(net), net, edges, S, P.min_transfer_seconds, 1, 7200, cut)
-    at = v.localities.where("row_no < 150").select(F.col("row_no").cast("string").alias("locality_id"), (F.col("row_no") % 97).cast("int").alias("stop_idx"))
-    return rounds.reachable_localities(fast, at.groupBy("locality_id").agg(F.collect_list("stop_idx").alias("stop_idxs")), P.max_minutes)
+
+def rp11_reachable_localities(v: Views, scenario: Scenario = EARLY) -> DataFrame:
+    net, edges = _network(v)
+    built = build.TransitNetwork(net, edges, cut(_locality_ids(v, net["stops"].count())), scenario, P)
+    return build.reachable(built, built.locality_stops, P.max_minutes)
 
 
 def mx01_transit_rows(v: Views) -> DataFrame:
-    reach = rp11_reachable_localities(v).withColumn("origin", F.col("key").cast("string")).drop("key")
-    ids = matrix.index(v.localities.where("row_no < 150").select(F.col("row_no").cast("string").alias("locality_id")))
-    rows = matrix.byte_rows(matrix.transit_matrix(reach, ids), 150)
-    return matrix.long_form(rows, 150)
+    reach = cut(rp11_reachable_localities(v)).withColumnRenamed("key", "origin")
+    ids = cut(matrix.index(v.localities.select(F.col("row_no").cast("string").alias("locality_id"))))
+    n = ids.count()
+    return matrix.long_form(matrix.byte_rows(matrix.transit_matrix(reach, ids), n), n)
 
 
 def rd03_road_matrix(v: Views) -> DataFrame:
@@ -183,7 +204,8 @@ def rd03_road_matrix(v: Views) -> DataFrame:
 
 
 def rt01_travel_time(v: Views) -> DataFrame:
-    pairs = v.localities.where("row_no < 150").select(F.col("row_no").alias("origin"), ((F.col("row_no") * 7 + 3) % 150).alias("destination"))
+    n = v.localities.count()
+    pairs = v.localities.select(F.col("row_no").alias("origin"), ((F.col("row_no") * 7 + 3) % n).alias("destination"))
     return pairs.join(matrix.road_matrix(v.road_seconds), ["origin", "destination"], "left")
 
 
@@ -197,7 +219,7 @@ def agg01_locality_dedup(v: Views) -> DataFrame:
 
 def join19_resolve(v: Views) -> DataFrame:
     own = lookup.dedup(v.localities, text.ascii_city_key)
-    asked = v.localities.where("row_no % 3 = 0").select("row_no", "postal_code", F.concat(F.lit("  "), F.lower("city"), F.lit(" ")).alias("city"))
+    asked = v.localities.select("row_no", "postal_code", F.concat(F.lit("  "), F.lower("city"), F.lit(" ")).alias("city"))
     return lookup.resolve(asked, own, text.ascii_city_key).select("row_no", "locality_id")
 
 
@@ -207,7 +229,7 @@ def srt07_locality_search(v: Views) -> DataFrame:
 
 
 def mth01_haversine(v: Views) -> DataFrame:
-    a = v.localities.where("row_no < 150")
+    a = v.localities
     b = a.select(F.col("row_no").alias("other"), F.col("latitude").alias("lat2"), F.col("longitude").alias("lon2"))
     return a.join(b, how="cross").select("row_no", "other", F.round(geo.haversine_m(F.col("latitude"), F.col("longitude"), F.col("lat2"), F.col("lon2")), 3).alias("metres"))
 
@@ -235,12 +257,14 @@ def str01_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _A = "act AS (SELECT service_id FROM v_calendar WHERE monday = 1 AND start_date <= '20260907' AND end_date >= '20260907' UNION SELECT service_id FROM v_calendar_dates WHERE exception_type = 1), svc AS (SELECT service_id FROM act WHERE service_id NOT IN (SELECT service_id FROM v_calendar_dates WHERE exception_type = 2)), trip AS (SELECT trip_id, route_id FROM v_trips WHERE service_id IN (SELECT service_id FROM svc))"
+# A trip is copied for each departure of its windows that leaves it boardable from the window's start on.
 _C = (
     _A
     + """, fq AS (SELECT f.*, row_number() OVER (PARTITION BY trip_id ORDER BY start, "end", headway) - 1 AS idx FROM v_frequencies f WHERE trip_id IN (SELECT trip_id FROM trip)),
- made AS (SELECT s.trip_id || '|frequency:' || idx || ':' || d.dep0 AS uid, s.route_id, pos, stop_id, arr + d.dep0 - f0.dep AS arr, s.dep + d.dep0 - f0.dep AS dep, pickup, drop_off FROM (SELECT trip_id, idx, unnest(range(start, "end", headway)) AS dep0 FROM fq) d JOIN v_stop_times_b s USING (trip_id) JOIN (SELECT trip_id, dep FROM v_stop_times_b WHERE pos = 0) f0 USING (trip_id)
-   UNION ALL SELECT trip_id, route_id, pos, stop_id, arr, dep, pickup, drop_off FROM v_stop_times_b WHERE trip_id IN (SELECT trip_id FROM trip) AND trip_id NOT IN (SELECT trip_id FROM fq)),
- conc AS (SELECT * FROM made WHERE uid IN (SELECT uid FROM made WHERE dep >= 25200 AND pickup <> 1)), dense AS (SELECT stop_id, CAST(row_number() OVER (ORDER BY stop_id) - 1 AS INT) AS stop_idx FROM (SELECT DISTINCT stop_id FROM conc))"""
+ own AS MATERIALIZED (SELECT s.* FROM v_stop_times_b s JOIN trip USING (trip_id)), each AS (SELECT trip_id, min(dep) FILTER (WHERE pos = 0) AS first_dep, max(dep) FILTER (WHERE pickup <> 1) AS last_dep FROM own GROUP BY 1),
+ shifts AS (SELECT trip_id, '|frequency:' || idx || ':' || dep0 AS suffix, dep0 - first_dep AS shift FROM (SELECT trip_id, idx, unnest(range(start, "end", headway)) AS dep0 FROM fq) JOIN each USING (trip_id) WHERE last_dep + dep0 - first_dep >= 25200
+   UNION ALL SELECT trip_id, '', 0 FROM each WHERE last_dep >= 25200 AND trip_id NOT IN (SELECT trip_id FROM fq)),
+ conc AS MATERIALIZED (SELECT trip_id || suffix AS uid, route_id, pos, stop_id, arr + shift AS arr, dep + shift AS dep, pickup, drop_off FROM own JOIN shifts USING (trip_id)), dense AS MATERIALIZED (SELECT stop_id, CAST(row_number() OVER (ORDER BY stop_id) - 1 AS INT) AS stop_idx FROM (SELECT DISTINCT stop_id FROM conc))"""
 )
 _PL = """ch AS (SELECT parent_station_id AS place_id, string_agg(stop_id, ',' ORDER BY stop_id) AS stop_list FROM v_stops WHERE kind = 'STOP_OR_PLATFORM' AND parent_station_id IS NOT NULL GROUP BY 1),
  pl AS (SELECT place_id, stop_name AS place_name, latitude, longitude, stop_list FROM v_stops JOIN ch ON stop_id = place_id WHERE kind = 'STATION' UNION ALL SELECT stop_id, stop_name, latitude, longitude, stop_id FROM v_stops WHERE kind = 'STOP_OR_PLATFORM' AND parent_station_id IS NULL),
@@ -264,38 +288,50 @@ _REACH = f"{_ROAD}, rch AS (SELECT destination, minutes, latitude, longitude FRO
 _CORNER = "2000 * (sqrt(3.0) * q + sqrt(3.0) / 2 * r) AS cx, 2000 * 1.5 * r AS cy"
 _DEDUP = "ded AS (SELECT postal_code || ':' || lower(city) AS locality_id, row_no, share, postal_code, lower(city) AS city FROM (SELECT *, row_number() OVER (PARTITION BY postal_code, lower(city) ORDER BY share DESC NULLS LAST, row_no) AS rn FROM v_localities) WHERE rn = 1)"
 _NET = (
-    _A
-    + """, st0 AS (SELECT trip_id AS uid, route_id, pos, stop_id, arr, dep, pickup, drop_off FROM v_stop_times_b WHERE arr < 36000 AND trip_id IN (SELECT trip_id FROM trip)), conc AS (SELECT * FROM st0 WHERE uid IN (SELECT uid FROM st0 GROUP BY uid HAVING count(*) = 8)),
- dense AS (SELECT stop_id, CAST(row_number() OVER (ORDER BY stop_id) - 1 AS INT) AS stop_idx FROM (SELECT DISTINCT stop_id FROM conc)),
- seq AS (SELECT uid, route_id, list(stop_id ORDER BY pos) AS sl, min(dep) FILTER (WHERE pos = 0) AS d0 FROM conc GROUP BY 1, 2), nm AS (SELECT route_id, sl, row_number() OVER (ORDER BY route_id, sl) - 1 AS pattern_id FROM (SELECT DISTINCT route_id, sl FROM seq)),
+    _C
+    + """, seq AS (SELECT uid, route_id, list(stop_id ORDER BY pos) AS sl, min(dep) FILTER (WHERE pos = 0) AS d0 FROM conc GROUP BY 1, 2), nm AS (SELECT route_id, sl, row_number() OVER (ORDER BY route_id, sl) - 1 AS pattern_id FROM (SELECT DISTINCT route_id, sl FROM seq)),
  tr AS (SELECT uid, pattern_id, row_number() OVER (PARTITION BY pattern_id ORDER BY d0, uid) - 1 AS trip_idx FROM seq JOIN nm USING (route_id, sl)),
- pt AS (SELECT pattern_id, trip_idx, pos, stop_idx, arr, dep, pickup, drop_off FROM conc JOIN tr USING (uid) JOIN dense USING (stop_id)), psn AS (SELECT DISTINCT pattern_id, pos, stop_idx FROM pt)"""
+ pt AS MATERIALIZED (SELECT pattern_id, trip_idx, pos, stop_idx, arr, dep, pickup, drop_off FROM conc JOIN tr USING (uid) JOIN dense USING (stop_id)), psn AS MATERIALIZED (SELECT DISTINCT pattern_id, pos, stop_idx FROM pt),
+ bt AS MATERIALIZED (SELECT pattern_id, pos, dep, min(trip_idx) AS trip_idx FROM pt WHERE pickup <> 1 GROUP BY 1, 2, 3)"""
 )
 _EDGES = """rl AS (SELECT a.stop_idx AS from_idx, b.stop_idx AS to_idx, transfer_type, seconds FROM v_transfers JOIN dense a ON a.stop_id = from_stop_id JOIN dense b ON b.stop_id = to_stop_id WHERE transfer_type BETWEEN 0 AND 3),
  alw AS (SELECT from_idx, to_idx, max(seconds) AS seconds, bool_or(transfer_type = 2) AS access_eligible FROM rl WHERE transfer_type <> 3 GROUP BY 1, 2), fb AS (SELECT DISTINCT from_idx, to_idx FROM rl WHERE transfer_type = 3),
  sp AS (SELECT parent_station_id AS p, stop_idx FROM v_stops JOIN dense USING (stop_id) WHERE kind = 'STOP_OR_PLATFORM' AND parent_station_id IS NOT NULL), sib AS (SELECT a.stop_idx AS from_idx, b.stop_idx AS to_idx FROM sp a JOIN sp b ON a.p = b.p AND a.stop_idx <> b.stop_idx),
  edges AS (SELECT * FROM alw UNION ALL SELECT from_idx, to_idx, NULL, true FROM sib WHERE NOT EXISTS (SELECT 1 FROM alw x WHERE x.from_idx = sib.from_idx AND x.to_idx = sib.to_idx) AND NOT EXISTS (SELECT 1 FROM fb x WHERE x.from_idx = sib.from_idx AND x.to_idx = sib.to_idx))"""
-_ACC = """org AS (SELECT stop_idx AS key, stop_idx FROM dense WHERE stop_idx < 3), acc0 AS (SELECT key, stop_idx, CAST(0 AS BIGINT) AS seconds FROM org UNION ALL SELECT key, to_idx, CAST(coalesce(seconds, 120) AS BIGINT) FROM org JOIN edges ON from_idx = stop_idx AND access_eligible AND from_idx <> to_idx),
+def _access(window_end: int) -> str:
+    return f"""org AS (SELECT stop_idx AS key, stop_idx FROM dense), acc0 AS (SELECT key, stop_idx, CAST(0 AS BIGINT) AS seconds FROM org UNION ALL SELECT key, to_idx, CAST(coalesce(seconds, 120) AS BIGINT) FROM org JOIN edges ON from_idx = stop_idx AND access_eligible AND from_idx <> to_idx),
  acc AS (SELECT key, stop_idx, min(seconds) AS seconds FROM acc0 GROUP BY 1, 2),
- slots AS (SELECT DISTINCT key, dep - seconds AS departure FROM acc0 JOIN (SELECT DISTINCT stop_idx, dep FROM pt WHERE pickup <> 1) USING (stop_idx) WHERE dep - seconds >= 25200 AND dep - seconds < 43200 UNION SELECT key, CAST(25200 AS BIGINT) FROM org)"""
+ slots AS MATERIALIZED (SELECT DISTINCT key, dep - seconds AS departure FROM acc0 JOIN (SELECT DISTINCT stop_idx, dep FROM pt WHERE pickup <> 1) USING (stop_idx) WHERE dep - seconds >= 25200 AND dep - seconds < {window_end} UNION SELECT key, CAST(25200 AS BIGINT) FROM org)"""
+
+
+_ACC = _access(43200)
+_BUDGET = 60 * P.max_minutes
 
 
 def _round(k: int) -> str:
-    """CTEs of one ride from marked labels m{k} to vehicle arrivals v{k}, and what becomes ready next."""
-    return f"""b{k} AS (SELECT m.key, m.d, p.pattern_id, p.pos, min(t.trip_idx) AS trip FROM m{k} m JOIN psn p USING (stop_idx) JOIN pt t ON t.pattern_id = p.pattern_id AND t.pos = p.pos AND t.pickup <> 1 AND t.dep >= m.ready AND t.dep <= m.d + 7200 GROUP BY ALL),
+    """CTEs of one ride from marked labels m{k} to vehicle arrivals v{k}, transferred ones w{k}, the best ready times y{k} so far and what is marked next."""
+    within = lambda at: f"{at} <= v.d + {_BUDGET}"
+    stay, walk = "v.arr + coalesce(e.seconds, 120)", "v.arr + coalesce(e.seconds, 120)"
+    return f"""j{k} AS MATERIALIZED (SELECT m.key, m.d, p.pattern_id, p.pos, m.ready FROM m{k} m JOIN psn p USING (stop_idx)),
+ b{k} AS MATERIALIZED (SELECT m.key, m.d, m.pattern_id, m.pos, min(t.trip_idx) AS trip FROM j{k} m ASOF JOIN bt t ON t.pattern_id = m.pattern_id AND t.pos = m.pos AND m.ready <= t.dep WHERE t.dep <= m.d + {_BUDGET} GROUP BY ALL),
  o{k} AS (SELECT u.key, u.d, p.pattern_id, p.pos, p.stop_idx, min(b.trip) OVER (PARTITION BY u.key, u.d, p.pattern_id ORDER BY p.pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS trip_idx FROM (SELECT DISTINCT key, d, pattern_id FROM b{k}) u JOIN psn p USING (pattern_id) LEFT JOIN b{k} b ON b.key = u.key AND b.d = u.d AND b.pattern_id = p.pattern_id AND b.pos = p.pos),
- v{k} AS (SELECT o.key, o.d, o.stop_idx, min(t.arr) AS arr FROM o{k} o JOIN pt t ON t.pattern_id = o.pattern_id AND t.pos = o.pos AND t.trip_idx = o.trip_idx AND t.drop_off <> 1 AND t.arr <= o.d + 7200 GROUP BY ALL),
- w{k} AS (SELECT v.key, v.d, e.to_idx AS stop_idx, v.arr + coalesce(e.seconds, 120) AS arr FROM v{k} v JOIN edges e ON e.from_idx = v.stop_idx AND e.from_idx <> e.to_idx WHERE v.arr + coalesce(e.seconds, 120) <= v.d + 7200),
- r{k} AS (SELECT key, d, stop_idx, min(ready) AS ready FROM (SELECT key, d, stop_idx, arr AS ready FROM w{k} UNION ALL SELECT v.key, v.d, v.stop_idx, v.arr + coalesce(e.seconds, 120) FROM v{k} v LEFT JOIN edges e ON e.from_idx = v.stop_idx AND e.to_idx = v.stop_idx WHERE v.arr + coalesce(e.seconds, 120) <= v.d + 7200) GROUP BY ALL)"""
+ v{k} AS MATERIALIZED (SELECT o.key, o.d, o.stop_idx, min(t.arr) AS arr FROM o{k} o JOIN pt t ON t.pattern_id = o.pattern_id AND t.pos = o.pos AND t.trip_idx = o.trip_idx AND t.drop_off <> 1 AND t.arr <= o.d + {_BUDGET} GROUP BY ALL),
+ w{k} AS MATERIALIZED (SELECT v.key, v.d, e.to_idx AS stop_idx, min({walk}) AS arr FROM v{k} v JOIN edges e ON e.from_idx = v.stop_idx AND e.from_idx <> e.to_idx WHERE {within(walk)} GROUP BY ALL),
+ r{k} AS (SELECT key, d, stop_idx, min(ready) AS ready FROM (SELECT key, d, stop_idx, arr AS ready FROM w{k} UNION ALL SELECT v.key, v.d, v.stop_idx, {stay} FROM v{k} v LEFT JOIN edges e ON e.from_idx = v.stop_idx AND e.to_idx = v.stop_idx WHERE {within(stay)}) GROUP BY ALL),
+ m{k + 1} AS MATERIALIZED (SELECT n.* FROM r{k} n LEFT JOIN y{k} o ON o.key = n.key AND o.d = n.d AND o.stop_idx = n.stop_idx WHERE o.ready IS NULL OR n.ready < o.ready), y{k + 1} AS MATERIALIZED (SELECT key, d, stop_idx, min(ready) AS ready FROM (SELECT * FROM y{k} UNION ALL SELECT * FROM m{k + 1}) GROUP BY ALL)"""
 
 
-_M0 = "m0 AS (SELECT key, departure AS d, stop_idx, departure + seconds AS ready FROM slots JOIN acc USING (key) WHERE seconds <= 7200)"
-_R1 = f"{_NET}, {_EDGES}, {_ACC}, {_M0}, {_round(0)}"
-_R2 = f"{_R1}, m1 AS (SELECT n.* FROM r0 n LEFT JOIN m0 o ON o.key = n.key AND o.d = n.d AND o.stop_idx = n.stop_idx WHERE o.ready IS NULL OR n.ready < o.ready), {_round(1)}"
+_M0 = f"m0 AS MATERIALIZED (SELECT key, departure AS d, stop_idx, departure + seconds AS ready FROM slots JOIN acc USING (key) WHERE seconds <= {_BUDGET}), y0 AS (SELECT * FROM m0)"
 _BEST = "SELECT key, stop_idx, duration, departure, arrival FROM (SELECT key, stop_idx, arr - d AS duration, d AS departure, arr AS arrival, row_number() OVER (PARTITION BY key, stop_idx ORDER BY arr - d, d DESC, arr) AS rn FROM allr) WHERE rn = 1"
-_ALL1 = "allr AS (SELECT key, d, stop_idx, ready AS arr FROM m0 UNION ALL SELECT key, d, stop_idx, arr FROM v0 UNION ALL SELECT key, d, stop_idx, arr FROM w0)"
-_ALL2 = _ALL1[:-1] + " UNION ALL SELECT key, d, stop_idx, arr FROM v1 UNION ALL SELECT key, d, stop_idx, arr FROM w1)"
-_RL = f"{_R2}, {_ALL2}, best AS ({_BEST}), rl2 AS (SELECT key, CAST(row_no AS STRING) AS locality_id, CAST(ceil(min(duration) / 60) AS INT) AS minutes FROM best JOIN v_localities ON row_no < 150 AND row_no % 97 = stop_idx GROUP BY 1, 2)"
+
+
+def _rides(n: int) -> str:
+    """All arrivals after at most n rides from every stop in the early window, as allr."""
+    all_ = " ".join(f"UNION ALL SELECT key, d, stop_idx, arr FROM {t}{k}" for k in range(n) for t in "vw")
+    return f"{_NET}, {_EDGES}, {_access(EARLY.window_end)}, {_M0}, {', '.join(_round(k) for k in range(n))}, allr AS (SELECT key, d, stop_idx, ready AS arr FROM m0 {all_})"
+
+
+_RL = f"{_rides(P.max_transfers + 1)}, best AS MATERIALIZED ({_BEST}), loc AS (SELECT row_no, row_no % (SELECT count(*) FROM dense) AS spot FROM v_localities), rl2 AS MATERIALIZED (SELECT CAST(o.row_no AS STRING) AS key, CAST(d.row_no AS STRING) AS locality_id, CAST(ceil(duration / 60) AS INT) AS minutes FROM best JOIN loc o ON o.spot = key JOIN loc d ON d.spot = stop_idx WHERE ceil(duration / 60) <= 240)"
 _VAL02 = """f AS (SELECT trip_id, CAST(substr(trip_id, 2, 8) AS BIGINT) AS k, pos, stop_id, arr, dep FROM v_stop_times_a), g AS (SELECT trip_id, stop_id, arr, pos AS ordinal, CASE WHEN k % 499 = 7 AND pos = 3 THEN 2 WHEN k % 503 = 9 AND pos = 4 THEN 1 ELSE pos END AS seq, CASE WHEN k % 509 = 11 AND pos = 2 THEN arr - 1 WHEN k % 521 = 3 AND pos = 5 THEN NULL ELSE dep END AS dep FROM f WHERE k % 997 <> 5 OR pos = 0),
  h AS (SELECT *, trip_id || '/' || seq AS spot, lag(seq) OVER (PARTITION BY trip_id ORDER BY ordinal) AS ps, lag(dep) OVER (PARTITION BY trip_id ORDER BY seq, ordinal) AS pd, lag(seq) OVER (PARTITION BY trip_id ORDER BY seq, ordinal) AS po FROM g),
  x AS (SELECT 'VAL-02.rows' AS rule, trip_id AS key FROM g GROUP BY trip_id HAVING count(*) < 2 UNION ALL SELECT 'VAL-02.repeated', spot FROM h WHERE seq = po UNION ALL SELECT 'VAL-02.falling', spot FROM h WHERE seq < ps UNION ALL SELECT 'VAL-02.blank', spot FROM h WHERE arr IS NULL OR dep IS NULL UNION ALL SELECT 'VAL-02.dwell', spot FROM h WHERE arr > dep UNION ALL SELECT 'VAL-02.backwards', spot FROM h WHERE arr < pd)"""
@@ -317,21 +353,22 @@ SQL = {
     "join07_sibling_edges": f"WITH {_C}, {_EDGES} SELECT * FROM sib",
     "xf01_transfer_edges": f"WITH {_C}, {_EDGES} SELECT * FROM edges",
     "agg07_station_activity": f"WITH {_C}, {_PL}, {_RAIL}, {_ACT} SELECT * FROM acty",
-    "join10_station_choice": f"""WITH {_C}, {_PL}, {_RAIL}, {_ACT}, pr AS (SELECT CAST(row_no AS STRING) AS locality_id, place_id, departures + rail_departures * 0.25 AS score, {haversine_sql("l.latitude", "l.longitude", "p.latitude", "p.longitude")} AS d FROM v_localities l CROSS JOIN (SELECT * FROM pl JOIN acty USING (place_id)) p WHERE row_no < 500),
+    "join10_station_choice": f"""WITH {_C}, {_PL}, {_RAIL}, {_ACT}, pr AS (SELECT CAST(row_no AS STRING) AS locality_id, place_id, departures + rail_departures * 0.25 AS score, {haversine_sql("l.latitude", "l.longitude", "p.latitude", "p.longitude")} AS d FROM v_localities l CROSS JOIN (SELECT * FROM pl JOIN acty USING (place_id)) p ),
       b AS (SELECT *, row_number() OVER (PARTITION BY locality_id ORDER BY d > 500, CASE WHEN d <= 500 THEN -score END, d, place_id) AS rn FROM pr) SELECT locality_id, place_id, round(d, 3) AS distance_m FROM b WHERE rn = 1""",
     "rp01_departure_slots": f"WITH {_NET}, {_EDGES}, {_ACC} SELECT key, departure FROM slots",
     "rp02_initial_access": f"WITH {_NET}, {_EDGES}, {_ACC} SELECT key, stop_idx, seconds FROM acc",
-    "rp05_round1_arrivals": f"WITH {_R1}, {_ALL1} {_BEST}",
-    "rp10_fastest_window": f"WITH {_R2}, {_ALL2} {_BEST}",
-    "rp11_reachable_localities": f"WITH {_RL} SELECT key, locality_id, minutes FROM rl2 WHERE minutes <= 240",
-    "mx01_transit_rows": f"WITH {_RL}, ids AS (SELECT CAST(row_no AS STRING) AS locality_id, CAST(row_number() OVER (ORDER BY CAST(row_no AS STRING)) - 1 AS INT) AS idx FROM v_localities WHERE row_no < 150) SELECT o.idx AS origin_idx, d.idx AS dest_idx, CASE WHEN o.idx = d.idx THEN 0 ELSE x.minutes END AS minutes FROM ids o CROSS JOIN ids d LEFT JOIN rl2 x ON CAST(x.key AS STRING) = o.locality_id AND x.locality_id = d.locality_id AND x.minutes <= 240",
+    "rp05_round1_arrivals": f"WITH {_rides(1)} {_BEST}",
+    "rp09_shared_labels": f"WITH {_rides(P.max_transfers + 1)} {_BEST}",
+    "rp10_fastest_window": f"WITH {_rides(P.max_transfers + 1)} {_BEST}",
+    "rp11_reachable_localities": f"WITH {_RL} SELECT key, locality_id, minutes FROM rl2",
+    "mx01_transit_rows": f"WITH {_RL}, ids AS (SELECT CAST(row_no AS STRING) AS locality_id, CAST(row_number() OVER (ORDER BY CAST(row_no AS STRING)) - 1 AS INT) AS idx FROM v_localities) SELECT o.idx AS origin_idx, d.idx AS dest_idx, CASE WHEN o.idx = d.idx THEN 0 ELSE x.minutes END AS minutes FROM ids o CROSS JOIN ids d LEFT JOIN rl2 x ON x.key = o.locality_id AND x.locality_id = d.locality_id",
     "rd03_road_matrix": f"WITH {_ROAD} SELECT * FROM road",
-    "rt01_travel_time": f"WITH {_ROAD} SELECT row_no AS origin, (row_no * 7 + 3) % 150 AS destination, minutes FROM v_localities LEFT JOIN road ON origin = row_no AND destination = (row_no * 7 + 3) % 150 WHERE row_no < 150",
+    "rt01_travel_time": f"WITH {_ROAD} SELECT row_no AS origin, (row_no * 7 + 3) % n AS destination, minutes FROM v_localities CROSS JOIN (SELECT count(*) AS n FROM v_localities) LEFT JOIN road ON origin = row_no AND destination = (row_no * 7 + 3) % n",
     "flt10_reachable": f"WITH {_ROAD} SELECT destination, minutes FROM road WHERE origin = {ORIGIN} AND minutes <= {MINUTES}",
     "agg01_locality_dedup": f"WITH {_DEDUP} SELECT locality_id, row_no, share FROM ded",
-    "join19_resolve": f"WITH {_DEDUP} SELECT l.row_no, d.locality_id FROM v_localities l LEFT JOIN ded d ON d.locality_id = l.postal_code || ':' || lower(l.city) WHERE l.row_no % 3 = 0",
+    "join19_resolve": f"WITH {_DEDUP} SELECT l.row_no, d.locality_id FROM v_localities l LEFT JOIN ded d ON d.locality_id = l.postal_code || ':' || lower(l.city)",
     "srt07_locality_search": f"WITH {_DEDUP}, k AS (SELECT locality_id, CASE WHEN postal_code || ' ' || city = '10' THEN 0 WHEN postal_code = '10' THEN 1 WHEN city = '10' THEN 2 WHEN starts_with(postal_code || ' ' || city, '10') THEN 3 WHEN starts_with(postal_code, '10') THEN 4 WHEN starts_with(city, '10') THEN 5 WHEN contains(postal_code || ' ' || city, '10') THEN 6 END AS rank FROM ded) SELECT locality_id, rank FROM k WHERE rank IS NOT NULL ORDER BY rank, locality_id LIMIT 20",
-    "mth01_haversine": f"SELECT a.row_no, b.row_no AS other, round({haversine_sql('a.latitude', 'a.longitude', 'b.latitude', 'b.longitude')}, 3) AS metres FROM v_localities a CROSS JOIN v_localities b WHERE a.row_no < 150 AND b.row_no < 150",
+    "mth01_haversine": f"SELECT a.row_no, b.row_no AS other, round({haversine_sql('a.latitude', 'a.longitude', 'b.latitude', 'b.longitude')}, 3) AS metres FROM v_localities a CROSS JOIN v_localities b",
     "mth05_hex_cells": f"WITH {_hex_sql('v_localities')} SELECT row_no, q, r FROM hx",
     "agg11_hex_min": f"WITH {_REACH} SELECT q, r, minutes FROM hm",
     "agg12_bounds": f"WITH {_REACH}, c AS (SELECT {_CORNER}, unnest(range(6)) AS k FROM hm), p AS (SELECT degrees((cx + 1800 * cos(radians(60.0 * k - 30))) / 6378137.0) AS lon, degrees(2 * atan(exp((cy + 1800 * sin(radians(60.0 * k - 30))) / 6378137.0)) - pi() / 2) AS lat FROM c) SELECT round(min(lon), 6) AS min_lon, round(min(lat), 6) AS min_lat, round(max(lon), 6) AS max_lon, round(max(lat), 6) AS max_lat FROM p",
@@ -341,7 +378,7 @@ SQL = {
 OVER_VIEWS = [
     flt01_active_services, src06_active_trips, src07_rail_routes, flt04_retained_trips, agg04_manifest_counts, val02_stop_time_violations, val05_window_overlaps, agg02_routing_trips, tt01_frequency_instances,
     agg05_route_patterns, tt03_chains, tt04_dense_stops, tt06_pattern_times, join06_places, join07_sibling_edges, xf01_transfer_edges, agg07_station_activity, join10_station_choice, rp01_departure_slots, rp02_initial_access,
-    rp05_round1_arrivals, rp10_fastest_window, rp11_reachable_localities, mx01_transit_rows, rd03_road_matrix, rt01_travel_time, flt10_reachable, agg01_locality_dedup, join19_resolve, srt07_locality_search,
+    rp05_round1_arrivals, rp09_shared_labels, rp10_fastest_window, rp10_whole_window, rp11_reachable_localities, mx01_transit_rows, rd03_road_matrix, rt01_travel_time, flt10_reachable, agg01_locality_dedup, join19_resolve, srt07_locality_search,
     mth01_haversine, mth05_hex_cells, agg11_hex_min, agg12_bounds, geo01_features,
 ]
 

@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from reachspark.checks import duplicates, enforce, union, violation
 from reachspark.config import Scenario
 from reachspark.operators.matrix import write_atomic
+from reachspark.operators.stops import stop_violations
 from reachspark.schemas import ROUTING_TRIPS, STOPS
 
 
-def write_trips(routing_trips: DataFrame, folder: str, scenario: Scenario, order: str = "trip_id") -> dict:
+def write_trips(routing_trips: DataFrame, folder: str, scenario: Scenario, order: str = "trip_id", feed_version: str | None = None) -> dict:
     """trips.ndjson in the given order and its manifest (counts and SHA-256), the manifest last."""
     os.makedirs(folder, exist_ok=True)
     lines = routing_trips.select(order, F.to_json(F.struct("trip_id", "route_id", "stop_times", "frequency_windows")).alias("line"), F.size("stop_times").alias("n"), F.size("frequency_windows").alias("w")).orderBy(order)
@@ -32,15 +33,28 @@ def write_trips(routing_trips: DataFrame, folder: str, scenario: Scenario, order
     finally:
         if os.path.exists(part):
             os.remove(part)
-    manifest = {"service_date": scenario.service_date.isoformat(), "window": [scenario.window_start, scenario.window_end], "sha256": digest.hexdigest(), **counts}
+    manifest = {"service_date": scenario.service_date.isoformat(), "window": [scenario.window_start, scenario.window_end], "sha256": digest.hexdigest(), "feed_version": feed_version, **counts}
     write_atomic(f"{folder}/manifest.json", json.dumps(manifest, sort_keys=True))
     return manifest
 
 
+# Fields of a trips manifest.
+TRIPS_MANIFEST = {"service_date", "window", "sha256", "feed_version", "trips", "scheduled", "frequency", "stop_times", "windows"}
+
+
+def read_trips_manifest(folder: str) -> dict:
+    """The manifest of trips, with exactly its fields, counts from 0 and a window in order."""
+    out = read_manifest(f"{folder}/manifest.json", TRIPS_MANIFEST)
+    count = lambda v: isinstance(v, int) and not isinstance(v, bool) and v >= 0
+    bad = [k for k in ("trips", "scheduled", "frequency", "stop_times", "windows") if not count(out[k])]
+    if bad or len(out["window"]) != 2 or not all(map(count, out["window"])) or out["window"][0] >= out["window"][1] or out["scheduled"] + out["frequency"] != out["trips"] or len(out["sha256"]) != 64:
+        raise ValueError(f"trips manifest: bad {', '.join(bad) or 'window, digest or counts'}")
+    return out
+
+
 def read_trips(spark: SparkSession, folder: str, scenario: Scenario | None = None) -> DataFrame:
     """Trips whose digest and counts are the manifest's; a blank line, a broken one or a repeated trip is an error."""
-    with open(f"{folder}/manifest.json") as f:
-        manifest = json.load(f)
+    manifest = read_trips_manifest(folder)
     if scenario and manifest["service_date"] != scenario.service_date.isoformat():
         raise ValueError("prepared for another service date")
     digest = hashlib.sha256()
@@ -65,7 +79,10 @@ def write_stops(stops: DataFrame, path: str) -> None:
 
 
 def read_stops(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(STOPS).json(path, multiLine=True, mode="FAILFAST")
+    """Stops of a JSON array; ids, kinds and coordinates are checked as those of a feed are."""
+    df = spark.read.schema(STOPS).json(path, multiLine=True, mode="FAILFAST")
+    enforce(stop_violations(df), "stops")
+    return df
 
 
 def read_matrix(spark: SparkSession, path: str, n: int) -> DataFrame:

@@ -16,17 +16,21 @@ class HeaderError(ValueError):
     pass
 
 
-def read_table(spark: SparkSession, folder: str, name: str, ordinal: bool = False, sep: str = ",", required: list[str] | None = None, suffix: str = ".txt") -> DataFrame:
+def read_table(spark: SparkSession, folder: str, name: str, ordinal: bool = False, sep: str = ",", required: list[str] | None = None, suffix: str = ".txt", split: bool = True) -> DataFrame:
     """One file with a header. UTF-8 byte order marks and blank lines are skipped by the reader; nothing is inferred. ordinal: adds the
-    row's place in the file (the file is then read by one task, as feeds define order by lines)."""
-    df = spark.read.option("header", True).option("sep", sep).option("encoding", "UTF-8").option("enforceSchema", False).option("multiLine", ordinal).csv(f"{folder}/{name}{suffix}", inferSchema=False)
+    row's place in the file, rising but not gapless. split: the file is read by many tasks, each row on a line of its own; else by one, and quoted fields may hold line feeds (directories)."""
+    df = spark.read.option("header", True).option("sep", sep).option("encoding", "UTF-8").option("enforceSchema", False).option("multiLine", not split).csv(f"{folder}/{name}{suffix}", inferSchema=False)
     need = FEED[name] if required is None else required
     lacking = [c for c in need if c not in df.columns]
     if lacking:
         raise HeaderError(f"{name}: no column {', '.join(lacking)}")
     keep = need + [c for c in FEED_OPTIONAL.get(name, []) if c in df.columns]
-    df = df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in keep])
-    return df.coalesce(1).withColumn("ordinal", F.monotonically_increasing_id()) if ordinal else df
+    own = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in keep]
+    if not ordinal:
+        return df.select(*own)
+    # a split's rows are numbered where they are read; splits are numbered by where they begin
+    row = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    return df.select(*own, F.col("_metadata.file_block_start").alias("block"), row.alias("row")).withColumn("ordinal", F.struct("block", "row")).drop("block", "row")
 
 
 def present(name: str):
@@ -102,8 +106,11 @@ class Feed:
 
     def contiguity_violations(self) -> DataFrame:
         """Trips whose rows come back after another trip's rows."""
-        w = Window.orderBy("ordinal")
-        starts = self.raw_stop_times.withColumn("before", F.lag("trip_id").over(w)).where("before is null or before <> trip_id")
+        rows = self.raw_stop_times.select("trip_id", "ordinal", F.col("ordinal.block").alias("block"))
+        inside = rows.withColumn("before", F.lag("trip_id").over(Window.partitionBy("block").orderBy("ordinal")))
+        # a row for each split of the file: the trip that it ends with comes before the next split's first
+        ends = rows.groupBy("block").agg(F.max_by("trip_id", "ordinal").alias("last")).withColumn("ahead", F.lag("last").over(Window.orderBy("block"))).select("block", "ahead")
+        starts = inside.join(F.broadcast(ends), "block").withColumn("before", F.coalesce("before", "ahead")).where("before is null or before <> trip_id")
         return violation(starts.groupBy("trip_id").count().where("count > 1"), "SRC-09.contiguity", "trip_id", "its rows are not together")
 
     def violations(self) -> DataFrame:

@@ -14,8 +14,8 @@ from reachspark.sources.feed import read_table
 
 def read_directory(spark: SparkSession, folder: str, name: str, suffix: str = ".csv") -> DataFrame:
     """A semicolon-separated directory: (row_no, postal_code, city, share, latitude, longitude), one row for each locality."""
-    raw = read_table(spark, folder, name, ordinal=True, sep=";", required=LOCALITY_COLUMNS, suffix=suffix)
-    typed = raw.select(F.col("ordinal").alias("row_no"), F.col("PLZ4").alias("postal_code"), F.trim("Ortschaftsname").alias("city"), text.address_share(F.col("Adressenanteil")).alias("share"), coordinate(F.col("N"), 90).alias("latitude"), coordinate(F.col("E"), 180).alias("longitude"))
+    raw = read_table(spark, folder, name, ordinal=True, sep=";", required=LOCALITY_COLUMNS, suffix=suffix, split=False)
+    typed = raw.select(F.col("ordinal.row").alias("row_no"), F.col("PLZ4").alias("postal_code"), F.trim("Ortschaftsname").alias("city"), text.address_share(F.col("Adressenanteil")).alias("share"), coordinate(F.col("N"), 90).alias("latitude"), coordinate(F.col("E"), 180).alias("longitude"))
     enforce(
         union(
             violation(typed, "SRC-12.postal", "row_no", "postal code is not four digits", text.postal_key(F.col("postal_code")).isNull()),

@@ -12,7 +12,7 @@ def spark():
 
     s = (
         SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "4g").config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC").getOrCreate()
+        .config("spark.sql.session.timeZone", "UTC").config("spark.sql.codegen.wholeStage", "false").getOrCreate()  # tiny tables: compiling plans takes longer than running them
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s

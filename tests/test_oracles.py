@@ -1,6 +1,7 @@
 """Every query with SQL gives the rows that DuckDB gives."""
 
 import duckdb
+import pandas as pd
 import pytest
 
 from reachspark.plans import registry
@@ -18,7 +19,7 @@ def duck():
 
 
 def rows(frame):
-    clean = lambda v: None if v is None or v != v else round(float(v), 6) if not isinstance(v, str) else v
+    clean = lambda v: None if pd.isna(v) else round(float(v), 6) if not isinstance(v, str) else v
     return sorted(repr([clean(v) for v in r]) for r in frame[sorted(frame.columns)].itertuples(index=False))
 
 
