@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reachspark.llm import textkernel as K
+from reachspark.llm.license_texts import TEMPLATES
 from reachspark.llm.session import materialise, thrifty
 
 K_WORDS = 4
@@ -21,38 +22,6 @@ PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 
-# Public license texts and notices, by label.
-TEMPLATES = {
-    "mit": [
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
-        "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
-        "Released under the MIT License.",
-    ],
-    "isc": [
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
-    ],
-    "bsd": [
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
-    ],
-    "apache-2": [
-        "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
-        "Licensed under the Apache License, Version 2.0.",
-    ],
-    "gpl-3": [
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
-        "This work is licensed under the GNU General Public License, version 3.",
-    ],
-    "mpl-2": [
-        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
-    ],
-    "unlicense": [
-        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."
-    ],
-    "cc-by-nc": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
-    "cc-by": ["This work is licensed under a Creative Commons Attribution 4.0 International License."],
-}
-
-
 def _hashes(texts: list[str]) -> list[np.ndarray]:
     data, off = K.raw(pa.array(texts, pa.string()))
     h, _, at = K.words(data, off, 0, len(texts), K.ALNUM)
@@ -111,27 +80,47 @@ def _scan(phrases: dict[str, str], known: np.ndarray, k: int):
                         if hits[d] is None:
                             hits[d] = []
                         hits[d].append({"h": int(roll[s : s + 1].view(np.int64)[0]), "p": s - int(at[d])})
+                own = [h[a:e].tobytes() if x else None for x, a, e in zip(hits, at[:-1].tolist(), at[1:].tolist())]
                 none = first < 0
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.arange(row, row + n)), b.column(0).slice(i, n), pa.array(np.diff(at)), pa.array(n_base), pa.array(first, mask=none), pa.array(last, mask=none),
-                        pa.array([sorted(x) for x in labels], pa.list_(pa.string())), pa.array(hits, pa.list_(pa.struct([("h", pa.int64()), ("p", pa.int64())]))),
+                        pa.array([sorted(x) for x in labels], pa.list_(pa.string())), pa.array(hits, pa.list_(pa.struct([("h", pa.int64()), ("p", pa.int64())]))), pa.array(own, pa.binary()),
                     ],
-                    ["row_no", "doc_id", "n_words", "n_base", "first_word", "last_word", "base", "hits"],
+                    ["row_no", "doc_id", "n_words", "n_base", "first_word", "last_word", "base", "hits", "own"],
                 )
                 row += n
 
     return run
 
 
+def _verified(words: list[np.ndarray]):
+    """How many words of its template each merged diagonal covers, compared word by word: a template's word counts if the text has it at one of the group's offsets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = []
+            for template, offsets, start, stop, own in zip(*[b.column(c).to_pylist() for c in range(1, 6)]):
+                text, want = np.frombuffer(own, np.uint64), words[template]
+                hit = np.zeros(len(want), bool)
+                for d in offsets:
+                    lo, hi = max(0, start - d), min(len(want), stop - d)
+                    if lo < hi:
+                        hit[lo:hi] |= want[lo:hi] == text[lo + d : hi + d]
+                n.append(int(hit.sum()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), b.column(4), pa.array(n, pa.int64())], ["row_no", "template", "start", "stop", "covered"])
+
+    return run
+
+
 def scan_licenses(docs: DataFrame, phrases: dict[str, str] | None = None, templates: dict[str, list[str]] | None = None, k: int = K_WORDS, drift: int = 3, share: float = 0.8, words: int = 30) -> DataFrame:
     """License labels of documents by phrases and by diagonals of template matches.
 
     docs: doc_id long, text string; others are not read. Words are [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+ after A-Z is lowered. Base: places where a phrase's words stand one
     after another. Beyond it, the rolling hashes of k words of every text are joined with the positions
     of the templates' k-grams (hashes that no template has are dropped at the scan, before the join); matches vote for their
-    diagonal (place in the text less place in the template); diagonals at most ``drift`` apart merge; a merged diagonal counts if it
-    covers at least ``share`` of the template or of ``words`` words, whichever is less, in a stretch of the text at most
+    diagonal (place in the text less place in the template); diagonals at most ``drift`` apart merge; merged ones are verified word by word: one counts if it
+    covers at least ``share`` of the template's words or of ``words`` words, whichever is less, in a stretch of the text at most
     1.5 times as long as what it covers.
 
     Returns a row for each row of docs: doc_id, n_words, n_base (all places), first_word and last_word (least and largest
@@ -142,7 +131,7 @@ def scan_licenses(docs: DataFrame, phrases: dict[str, str] | None = None, templa
     phrases, templates = PHRASES if phrases is None else phrases, TEMPLATES if templates is None else templates
     rows = template_positions(templates, k)
     known = np.unique(np.array([r[0] for r in rows], np.int64).view(np.uint64))
-    schema = "row_no long, doc_id long, n_words long, n_base long, first_word long, last_word long, base array<string>, hits array<struct<h:long,p:long>>"
+    schema = "row_no long, doc_id long, n_words long, n_base long, first_word long, last_word long, base array<string>, hits array<struct<h:long,p:long>>, own binary"
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(thrifty(_scan(phrases, known, k)), schema)
     found = materialise(found, "scan")
     # a row for each word of the fixed templates: a proven bound, so broadcast
@@ -152,14 +141,19 @@ def scan_licenses(docs: DataFrame, phrases: dict[str, str] | None = None, templa
     beside = Window.partitionBy("row_no", "template").orderBy("diagonal")
     lines = lines.withColumn("new", F.when(F.col("diagonal") - F.lag("diagonal").over(beside) <= drift, 0).otherwise(1)).withColumn("group", F.sum("new").over(beside))
     merged = lines.groupBy("row_no", "template", "label", "size", "group").agg(F.array_sort(F.flatten(F.collect_list("at"))).alias("at"))
-    # words of the template that the group's k-grams cover, and the stretch of the text they lie in
+    # an edited word spoils k k-grams: half of what is asked for suffices to be verified
     q = F.array_sort(F.array_distinct(F.transform("at", lambda x: x["q"])))
-    merged = merged.withColumn("qs", q).withColumn("covered", F.aggregate("qs", F.struct(F.lit(0).alias("n"), F.lit(-(10**6)).alias("end")), lambda a, x: F.struct((a["n"] + F.least(F.lit(k), x + k - a["end"])).alias("n"), (x + k).alias("end")), lambda a: a["n"]))
+    rough = F.aggregate(q, F.struct(F.lit(0).alias("n"), F.lit(-(10**6)).alias("end")), lambda a, x: F.struct((a["n"] + F.least(F.lit(k), x + k - a["end"])).alias("n"), (x + k).alias("end")), lambda a: a["n"])
     merged = merged.withColumn("start", F.array_min(F.transform("at", lambda x: x["p"]))).withColumn("stop", F.array_max(F.transform("at", lambda x: x["p"])) + k)
-    good = merged.where((F.col("covered") >= F.lit(share) * F.least("size", F.lit(words))) & (F.col("stop") - F.col("start") <= 1.5 * F.col("covered")))
+    merged = merged.where(rough >= F.lit(share / 2) * F.least("size", F.lit(words))).select("row_no", "template", F.array_distinct(F.transform("at", lambda x: (x["p"] - x["q"]).cast("long"))).alias("offsets"), "start", "stop")
+    flat = [(label, t) for label, texts in templates.items() for t in texts]
+    sizes = F.broadcast(spark.createDataFrame([(n, label, len(h)) for n, ((label, _), h) in enumerate(zip(flat, _hashes([t for _, t in flat])))] or [(-1, "", 1)], "template int, label string, size int"))
+    checked = merged.join(found.where("own is not null").select("row_no", "own"), "row_no").select("row_no", "template", "offsets", "start", "stop", "own")
+    checked = checked.mapInArrow(thrifty(_verified(_hashes([t for _, t in flat]))), "row_no long, template int, start long, stop long, covered long").join(sizes, "template")
+    good = checked.where((F.col("covered") >= F.lit(share) * F.least("size", F.lit(words))) & (F.col("stop") - F.col("start") <= 1.5 * F.col("covered")))
     spans = good.groupBy("row_no").agg(F.array_sort(F.collect_list(F.struct("start", "stop", "label", "template", (F.col("covered") / F.col("size")).alias("part")))).alias("spans"))
     none = F.array().cast("array<struct<start:long,stop:long,label:string,template:int,part:double>>")
-    both = found.drop("hits").join(spans, "row_no", "left").withColumn("spans", F.coalesce("spans", none))
+    both = found.drop("hits", "own").join(spans, "row_no", "left").withColumn("spans", F.coalesce("spans", none))
     labels = F.array_sort(F.array_distinct(F.concat("base", F.transform("spans", lambda x: x["label"]))))
     score = F.when(F.size("base") > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max(F.transform("spans", lambda x: F.least(x["part"], F.lit(1.0)))), F.lit(0.0)))
     return both.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base", ",").alias("base_labels"), F.array_join(labels, ",").alias("labels"), score.alias("score"), "spans")
