@@ -17,7 +17,7 @@ from reachspark.llm.session import bounded_batches, discard, materialise, new_pa
 
 START, END = np.uint64(0x1234567), np.uint64(0x7654321)
 #: Tokens that a task counts together before it sends them; training tokens of a shard on average (some 200 MB while a worker makes it); bytes scored at once.
-SEGMENT, SHARD, SCORED = 1_500_000, 5_000_000, 4 << 20
+SEGMENT, SHARD, SCORED = 1_500_000, 5_000_000, 2 << 20
 #: Number of the start token; others have numbers by how frequent they are.
 FIRST = np.uint32(0xFFFFFFFF)
 
@@ -318,7 +318,7 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, j in K.chunks(off):
             kept.append(ngrams(data, off, i, j, 1)[0][0])
             held += len(kept[-1])
-            if held >= SEGMENT:
+            if held >= 4 * SEGMENT:
                 yield counted(kept)
                 kept, held = [], 0
     if held:
@@ -395,9 +395,10 @@ def _stored(store: Store, vocabulary: Names, m: int, shards: int, further: bool)
             pick = by[at]
             store.save(f"b{m - 1}-{s}", Table.parts(h[pick], n[:, None]))
             contexts(m - 1, s, u[m - 2][pick], n)
-            words, sums = [w[pick] for w in words], facts(m - 1, n)
+            words, u, sums = [w[pick] for w in words], [v[pick] for v in u[: m - 2]], facts(m - 1, n)
+            del h, by, at, pick
             if m > 2:
-                u = u[m - 3][pick]
+                u = u[m - 3]
                 h = pair_hash(u, words[-1])
                 by, at = _run(h)
                 pick, n = by[at], np.diff(np.append(at, len(by)))
