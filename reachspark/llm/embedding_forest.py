@@ -140,7 +140,7 @@ def link_embeddings(table: DataFrame, cosine: float = 0.98, trees: int = TREES,
     """Links between vectors of one label with cosine of at least ``cosine``, and their components.
 
     table: vec_id long, embedding array of floats or doubles, label; others are not read. Equal vectors of a label are one
-    node with a count. A forest (its splits fitted on at most ``sample`` distinct vectors, a documented bound; every vector is
+    node with a count. A forest (its splits fitted on about ``sample`` distinct vectors, those of least hash, a documented bound; every vector is
     indexed) puts each vector into one or more leaves of each tree; leaves of one label are compared exactly in double precision, in tiles of about
     TILE rows a side where a leaf is large, so dense leaves are whole too. A pair counts in the first leaf that it shares.
 
@@ -176,7 +176,7 @@ def link_embeddings(table: DataFrame, cosine: float = 0.98, trees: int = TREES,
             part = nodes.where(F.size("embedding") == d)
             have = part.count()
             rate = min(1.0, sample / have)
-            fit = part.where(F.pmod(F.xxhash64("sid", F.lit(3)), F.lit(1 << 30)) < int(rate * (1 << 30))).select("embedding").limit(sample).toArrow().column("embedding").combine_chunks()
+            fit = part.where(F.pmod(F.xxhash64("sid", F.lit(3)), F.lit(1 << 30)) < int(rate * (1 << 30))).select("embedding").toArrow().column("embedding").combine_chunks()
             fit = unit(np.sort(fit.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(fit), d).view([("", float)] * d), axis=0).view(float).reshape(-1, d)) if len(fit) else np.zeros((0, d))
             depth = max(0, min(int(np.ceil(np.log2(max(1, have / leaf)))), int(np.log2(max(1, len(fit) / 8)))))
             forest = Forest(fit, depth, trees if depth else 1, spill * np.sqrt(64 / d))

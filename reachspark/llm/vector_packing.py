@@ -14,8 +14,8 @@ from reachspark.llm.session import bounded_batches, thrifty
 
 from reachspark.llm.tokens import encoder
 
-#: Pieces that wait to be placed: packing starts at the first number and goes on down to the second.
-POOL, LOW = 1024, 512
+#: Pieces that wait to be placed before a sequence is filled.
+POOL = 1024
 
 
 class Packer:
