@@ -12,24 +12,19 @@ from reachspark.llm.language_id import UNKNOWN, fit, identify
 from reachspark.llm.line_dedup import dedup_lines
 from reachspark.llm.minhash_dedup import keep_first
 from reachspark.llm.mixing import mixed
-from reachspark.llm.session import materialise
+from reachspark.llm.session import discard, materialise, release_shuffles
 from reachspark.llm.vector_packing import document_examples, pack
 
-#: A document whose predicted language has a lower score is not taken for text of any learned language.
-LEAST_SCORE = 0.1
-
 #: No stage is expressible in SQL as a whole (models, MinHash, hash functions of the engine, a tokenizer): tested against brute force instead.
 ORACLE_SQL = None
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents go whose text has no letter or none of the learned languages. With nothing to learn from, those without letters go."""
+    """Documents go that no language is found for: those whose text is null or has no letter. With nothing to learn from, the same ones go."""
     model = fit(docs)
-    found = identify(docs, model)
-    sure = F.col("score") >= LEAST_SCORE if model else F.lit(True)
     if model is None:
         return docs.where(F.col("text").cast("string").rlike(r"\p{L}"))
-    return found.where((F.col("lang_pred") != UNKNOWN) & sure).select("row.*")
+    return identify(docs, model).where(F.col("lang_pred") != UNKNOWN).select("row.*")
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,7 +64,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of sf_dir; each stage's result is written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = materialise(docs, "stage")
+            discard(before)  # nothing reads the stage before last
+            release_shuffles(spark)
     return docs
