@@ -13,7 +13,7 @@ from reachspark.llm.components import connected_components, least_by_root
 from reachspark.llm.session import discard, materialise, partitions, release_shuffles
 
 #: Trees, half width of the overlap at a split, vectors the splits are fitted on, vectors wanted in a leaf, rows of a tile's side, random directions of which a split takes the best.
-TREES, SPILL, SAMPLE, LEAF, TILE, TRIED = 3, 0.014, 20_000, 256, 1024, 4
+TREES, SPILL, SAMPLE, LEAF, TILE, TRIED = 3, 0.014, 80_000, 256, 1024, 4
 
 
 def vectors(col: pa.Array) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -178,10 +178,10 @@ def link_embeddings(table: DataFrame, cosine: float = 0.98, trees: int = TREES,
             rate = min(1.0, sample / have)
             fit = part.where(F.pmod(F.xxhash64("sid", F.lit(3)), F.lit(1 << 30)) < int(rate * (1 << 30))).select("embedding").toArrow().column("embedding").combine_chunks()
             fit = unit(np.sort(fit.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(fit), d).view([("", float)] * d), axis=0).view(float).reshape(-1, d)) if len(fit) else np.zeros((0, d))
-            depth = max(0, min(int(np.ceil(np.log2(max(1, have / leaf)))), int(np.log2(max(1, len(fit) / 8)))))
+            depth = max(0, min(int(np.ceil(np.log2(max(1, have / leaf)))), int(np.log2(max(1, len(fit) / 4)))))
             forest = Forest(fit, depth, trees if depth else 1, spill * np.sqrt(64 / d))
             # the hashed identity of a forest: its leaves of a label
-            held = spark.sparkContext.broadcast(forest)  # trees x 2^depth directions: at most trees x sample / 8 of them
+            held = spark.sparkContext.broadcast(forest)  # trees x 2^depth directions: at most trees x sample / 4 of them, some 30 MB of 64 dimensions
 
             def leaves(batches: Iterator[pa.RecordBatch], held=held, d=d) -> Iterator[pa.RecordBatch]:
                 for b in batches:

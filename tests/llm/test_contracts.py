@@ -195,3 +195,29 @@ def test_without_the_folders_the_rest_works(tmp_path):
     code = "import __spark_entry__ as e; from pyspark.sql import SparkSession as S; s = S.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate(); q = e.queries(); assert not any(k.startswith('op') or k == 'pipeline' for k in q); print('rows', q['src07_rail_routes'](s, '/root/testdata/sf0.001').count(), len(e.oracle_sql()) > 30)"
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
     assert "rows 5 True" in out.stdout, out.stderr[-2000:]
+
+
+CLASH = ("row", "lang_pred", "score", "size", "h", "n", "sid", "thash", "word", "shard", "gone", "root", "level", "t")
+
+
+def test_odd_rows_and_clashing_columns(spark):
+    """Nulls, empty and very long texts, one very long line, repeated rows and columns named like the operators' own."""
+    long_line = " ".join(f"w{i % 977}" for i in range(40_000))
+    base = [(1, "plain words of a text", "en", "a"), (1, "plain words of a text", "en", "a"), (2, None, None, None), (None, "", "de", "b"), (3, long_line, "en", "a"), (4, long_line + " x", None, "b"), (5, "ein kurzer deutscher Satz", "de", None)]
+    df = spark.createDataFrame(base, "doc_id long, text string, lang string, source string")
+    for c in CLASH:
+        df = df.withColumn(c, F.lit(c))
+    n = len(base)
+    scores = queries.score_documents(df, order=3).collect()
+    assert len(scores) == n and {r.n_tokens for r in scores} == {6, 1, 40_001, 40_002, 5} and all(r.score < 0 for r in scores)
+    assert queries.languages(df).count() == n
+    lines = {r.row.doc_id: r for r in queries.dedup_lines(df).collect()}
+    assert lines[3].n_kept == 1 and lines[4].n_kept == 0 and lines[3].row.gone == "gone" and lines[3].clean == long_line
+    packed = queries.pack_ids(df, capacity=512).collect()
+    assert sum(r.n_tokens for r in packed) == sum(len(encoder().ids(t or "")) + 1 for _, t, _, _ in base)
+    assert {i for r in packed for i in r.doc_ids} == {1, 2, None, 3, 4, 5}
+    assert sum(r.size for r in queries.mix(df).collect()) == 5 + 5 + 40_000 + 40_001 + 4
+    assert queries.scan_licenses(df).count() == n and queries.near_duplicates(df).where("not kept").count() >= 1
+    empty = df.limit(0)
+    for op in (queries.score_documents, queries.languages, queries.dedup_lines, queries.pack_ids, queries.mix, queries.scan_licenses, queries.near_duplicates):
+        assert op(empty).count() == 0, op
