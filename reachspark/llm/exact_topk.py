@@ -181,7 +181,7 @@ def exact_top_k(table: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
         found = materialise(both.mapInArrow(_search(turns, k), "query_id long, vec_id long, score long"), "wave")
         discard(groups)
         # the k best so far of each query: nothing else can rank
-        all_ = found if reached is None else reached.unionByName(found)
+        all_ = found if reached is None else reached.drop("pos").unionByName(found)
         top = all_.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("minus"), "vec_id"))), 1, k).alias("top"))
         last, reached = reached, materialise(top.select("query_id", F.posexplode("top").alias("pos", "t")).select("query_id", F.col("t.vec_id").alias("vec_id"), (-F.col("t.minus")).alias("score"), "pos"), "best")
         for table_ in (found, last):

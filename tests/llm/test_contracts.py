@@ -75,6 +75,22 @@ def test_huge_products_are_exact(spark):
         assert [got[query, r + 1] for r in range(5)] == [(i, -m) for m, i in want]
 
 
+def test_waves_of_blocks(spark, monkeypatch):
+    """Many blocks and groups of queries, met in several waves, with equal vectors and ties."""
+    monkeypatch.setattr("reachspark.llm.exact_topk.BLOCK", 16)
+    monkeypatch.setattr("reachspark.llm.exact_topk.QUERIES", 8)
+    rng = np.random.default_rng(5)
+    x = np.round(rng.standard_normal((600, 6)) * rng.choice([0.2, 1, 3], 600)[:, None], 1)
+    x[300:330] = x[0]
+    got = {}
+    for r in exact_top_k(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"), k=5, every=20).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    whole = np.floor(256 * x).astype(np.int64)
+    for q in range(0, 600, 20):
+        dots = sorted((-int(whole[q] @ whole[i]), i) for i in range(600) if i != q)[:5]
+        assert sorted(got[q]) == [(k + 1, i, -m) for k, (m, i) in enumerate(dots)]
+
+
 def test_votes_against_brute_force():
     rng = np.random.default_rng(3)
     langs = [c for c in ("en", "de", "nl", "fr", "es", "xx") for _ in range(12)]
