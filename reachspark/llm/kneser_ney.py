@@ -195,10 +195,10 @@ class Model:
         self.store, self.shards, self.order, self.about = store, shards, order, about
 
     def lookup(self, name: str, key: np.ndarray, value: np.ndarray, width: int) -> np.ndarray:
-        """Counts of hashes value, each in the shard of its key: in order of both, so that lookups go through each table once."""
+        """Counts of hashes value, each in the shard of its key: shard by shard, so that each table is in cache while it is searched."""
         out = np.zeros((len(value), width), np.int64)
-        shard = (key % np.uint64(self.shards)).astype(np.int64)
-        order = np.lexsort((value, shard))
+        shard = (key % np.uint64(self.shards)).astype(np.uint16 if self.shards <= 1 << 16 else np.int64)
+        order = np.argsort(shard, kind="stable")
         cut = np.searchsorted(shard[order], np.arange(self.shards + 1))
         for s in np.flatnonzero(cut[1:] > cut[:-1]).tolist():
             pick = order[cut[s] : cut[s + 1]]
