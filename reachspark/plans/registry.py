@@ -229,8 +229,8 @@ def srt07_locality_search(v: Views) -> DataFrame:
 
 
 def mth01_haversine(v: Views) -> DataFrame:
-    a = v.localities
-    b = a.select(F.col("row_no").alias("other"), F.col("latitude").alias("lat2"), F.col("longitude").alias("lon2"))
+    a = v.localities.repartition(32)
+    b = v.localities.select(F.col("row_no").alias("other"), F.col("latitude").alias("lat2"), F.col("longitude").alias("lon2"))
     return a.join(b, how="cross").select("row_no", "other", F.round(geo.haversine_m(F.col("latitude"), F.col("longitude"), F.col("lat2"), F.col("lon2")), 3).alias("metres"))
 
 
