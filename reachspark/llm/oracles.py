@@ -83,3 +83,24 @@ SCORES = f"""WITH {_HELD}, k AS (SELECT doc_id, held_out, list_append(regexp_ext
   CASE WHEN h1.total IS NULL THEN l0 ELSE (coalesce(q1.over, 0) + h1.spare * l0) / h1.total END AS l1, CASE WHEN h2.total IS NULL THEN l1 ELSE (coalesce(q2.over, 0) + h2.spare * l1) / h2.total END AS l2
   FROM t LEFT JOIN raw ON raw.w = t.w LEFT JOIN low ON low.w = t.w LEFT JOIN h1 ON h1.p1 = t.p1 LEFT JOIN q1 ON q1.p1 = t.p1 AND q1.w = t.w LEFT JOIN h2 ON h2.p1 = t.p1 AND h2.p2 = t.p2 LEFT JOIN q2 ON q2.p1 = t.p1 AND q2.p2 = t.p2 AND q2.w = t.w, tot, none)
  SELECT doc_id, held_out, count(*) AS n_tokens, count(*) FILTER (WHERE c > 0) AS n_known, any_value(n) AS train_tokens, round(sum(base), 5) AS base_score, round(sum(log10(l2)), 5) AS score FROM b, tot GROUP BY doc_id, held_out"""
+
+_PART = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR) END"
+_leaf = lambda text: "sha256(" + " || ".join(_PART.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+_CRC = "xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split({0}, ''), lambda ch: CAST(ascii(ch) AS BIGINT))), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+_TABLE = _HELD.split(",\n")[0]
+
+
+def _tree(name: str, base: str) -> str:
+    """CTEs of the trees over nodes (g, i, n, h): {name}(g, level, i, n, h), and {name}_run with what stands before and after each node in its run."""
+    side = "coalesce(string_agg(h, '') OVER (PARTITION BY g, level, i // 16 ORDER BY i ROWS BETWEEN {}), '')"
+    return f"""{name}(g, level, i, n, h) AS (SELECT g, 0, i, n, h FROM {base} UNION ALL SELECT g, level + 1, i // 16, (any_value(n) + 15) // 16, sha256(string_agg(h, '' ORDER BY i)) FROM {name} WHERE n > 1 GROUP BY g, level, i // 16),
+ {name}_run AS (SELECT g, level, i, {side.format('UNBOUNDED PRECEDING AND 1 PRECEDING')} AS a, {side.format('1 FOLLOWING AND UNBOUNDED FOLLOWING')} AS b FROM {name} WHERE n > 1), {name}_top AS (SELECT g, h FROM {name} WHERE n = 1)"""
+
+
+# A path has the levels of the source's tree first, then (from level 100) those of the tree over sources.
+MANIFEST = f"""WITH RECURSIVE {_TABLE}, x AS (SELECT doc_id, coalesce('=' || source, '') AS g, {_leaf('text')} AS h, CASE WHEN doc_id IS NOT NULL AND {_CRC.format('CAST(doc_id AS VARCHAR)')} % 5 = 0 THEN {_leaf(f"translate(text, '{_UPPER}', '{_LOWER}')")} END AS claim FROM documents, crc),
+ l AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM x), {_tree('s', 'l')}, o AS (SELECT '' AS g, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n, h, g AS source FROM s_top), {_tree('r', 'o')},
+ p AS (SELECT l.g, l.i, level, a, b FROM l JOIN s_run ON s_run.g = l.g AND s_run.i = l.i // (16 ** level)::BIGINT UNION ALL SELECT l.g, l.i, 100 + level, a, b FROM l JOIN o ON o.source = l.g JOIN r_run ON r_run.i = o.i // (16 ** level)::BIGINT),
+ k AS (SELECT *, row_number() OVER (PARTITION BY g, i ORDER BY level) AS step FROM p), q AS (SELECT g, i, sha256(string_agg(a || b, '' ORDER BY step)) AS proof FROM k GROUP BY g, i),
+ f(g, i, step, h) AS (SELECT g, i, 0, coalesce(claim, h) FROM l UNION ALL SELECT f.g, f.i, k.step, sha256(k.a || f.h || k.b) FROM f JOIN k ON k.g = f.g AND k.i = f.i AND k.step = f.step + 1), e AS (SELECT g, i, max_by(h, step) AS folded_root FROM f GROUP BY g, i)
+ SELECT doc_id, l.h AS leaf, s_top.h AS subroot, r_top.h AS root, coalesce(proof, sha256('')) AS proof_sha256, folded_root, folded_root = r_top.h AS verified FROM l JOIN e ON e.g = l.g AND e.i = l.i JOIN s_top ON s_top.g = l.g LEFT JOIN q ON q.g = l.g AND q.i = l.i, r_top"""

@@ -13,6 +13,7 @@ from reachspark.llm.kneser_ney import score_documents
 from reachspark.llm.language_id import languages
 from reachspark.llm.license_scan import scan_licenses
 from reachspark.llm.line_dedup import dedup_lines
+from reachspark.llm.merkle_manifest import lower_cased, verify
 from reachspark.llm.minhash_dedup import near_duplicates
 from reachspark.llm.mixing import mix
 from reachspark.llm.vector_packing import document_examples, pack
@@ -62,6 +63,11 @@ def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(_documents(spark, sf_dir)).select("row.doc_id", "n_lines", "n_kept", F.col("clean").alias("text"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return verify(docs, lower_cased(docs)).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What SQL can express of the mix: sizes and targets, not which documents are taken."""
     return op3_mix_sources(spark, sf_dir).select("doc_id", "source", "size", "source_size", F.round("target", 6).alias("target"))
@@ -86,4 +92,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_projection_forest": oracles.EMBEDDINGS, "op4_minhash_bayes": oracles.DOCUMENTS, "op8_exact_topk": oracles.TOP_K, "op10_fuzzy_lines": oracles.LINES,
         "mix_targets": oracles.TARGETS, "ngram_scores": oracles.SCORES, "license_places": oracles.LICENSES,
+        "op11_merkle_manifest": oracles.MANIFEST,
     }
