@@ -104,3 +104,32 @@ MANIFEST = f"""WITH RECURSIVE {_TABLE}, x AS (SELECT doc_id, coalesce('=' || sou
  k AS (SELECT *, row_number() OVER (PARTITION BY g, i ORDER BY level) AS step FROM p), q AS (SELECT g, i, sha256(string_agg(a || b, '' ORDER BY step)) AS proof FROM k GROUP BY g, i),
  f(g, i, step, h) AS (SELECT g, i, 0, coalesce(claim, h) FROM l UNION ALL SELECT f.g, f.i, k.step, sha256(k.a || f.h || k.b) FROM f JOIN k ON k.g = f.g AND k.i = f.i AND k.step = f.step + 1), e AS (SELECT g, i, max_by(h, step) AS folded_root FROM f GROUP BY g, i)
  SELECT doc_id, l.h AS leaf, s_top.h AS subroot, r_top.h AS root, coalesce(proof, sha256('')) AS proof_sha256, folded_root, folded_root = r_top.h AS verified FROM l JOIN e ON e.g = l.g AND e.i = l.i JOIN s_top ON s_top.g = l.g LEFT JOIN q ON q.g = l.g AND q.i = l.i, r_top"""
+
+# Words are numbered, so a window is compared as a list of numbers.
+WINDOWS = f"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORD}) AS w FROM documents), v AS (SELECT doc_id, w, len(w) AS n FROM w),
+ x AS (SELECT doc_id, unnest(range(1, n - 48)) AS i, w FROM v WHERE n >= 50 AND doc_id IS NOT NULL), s AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS s FROM x), f AS (SELECT s, min(doc_id) AS a FROM s GROUP BY s HAVING min(doc_id) < max(doc_id)),
+ g AS (SELECT DISTINCT doc_id, i + k AS p FROM s JOIN f USING (s), (SELECT unnest(range(50)) AS k) WHERE a < doc_id), r AS (SELECT doc_id, list(p) AS p FROM g GROUP BY doc_id)
+ SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(coalesce(len(p), 0) AS BIGINT) AS n_removed, sha256(CASE WHEN p IS NULL THEN array_to_string(w, ' ') ELSE coalesce(array_to_string(list_transform(list_filter(list_zip(w, range(1, n + 1)), lambda z: NOT list_contains(p, z[2])), lambda z: z[1]), ' '), '') END) AS kept_sha256 FROM v LEFT JOIN r USING (doc_id)"""
+
+_MOVE = ", ".join(f"('{a}', '{i}', {ini}, '{x}', {c}, '{b}')" for a, i, ini, x, c, b in [
+    ("0", "", "'s'", "K", 0, "s"), ("0", "", "'u'", "K", 0, "u"), ("s", "", "'u'", "K", 0, "u"), ("a", "", "'u'", "K", 0, "u"), ("u", "", "'a'", "K", 0, "a"),
+    ("0", "", "NULL", "R", 2, "u"), ("s", "", "NULL", "R", 2, "u"), ("a", "", "NULL", "R", 2, "u"), ("u", "", "NULL", "R", 2, "a"),
+    ("0", "", "NULL", "D", 3, "0"), ("s", "", "NULL", "D", 3, "s"), ("u", "", "NULL", "D", 3, "u"), ("a", "", "NULL", "D", 3, "a"),
+])
+_INS = "('0', 'u'), ('s', 'u'), ('u', 'a'), ('a', 'u')"
+
+# Rows one after another: each state's least (cost, audit); a step may insert twice before its row. The repaired roles follow from the audit: after the system's turn users and assistants take turns.
+REPAIR = f"""WITH RECURSIVE {_TABLE}, ins(a, b) AS (VALUES {_INS}), mv(a, i, ini, x, c, b) AS (VALUES {_MOVE}),
+ mm AS (SELECT a, ini, x, c, b FROM mv UNION ALL SELECT ins.a, ini, 'I' || x, c + 2, mv.b FROM ins JOIN mv ON mv.a = ins.b UNION ALL SELECT i.a, ini, 'II' || x, c + 4, mv.b FROM ins i JOIN ins j ON j.a = i.b JOIN mv ON mv.a = j.b),
+ c AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_CRC.format("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS k FROM conversations, crc),
+ d AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role, CASE WHEN k = 1 THEN '' WHEN k = 2 THEN translate(text, '.!?', '') ELSE text END AS text FROM (SELECT * FROM c UNION ALL SELECT * FROM c WHERE k = 3) WHERE k <> 0),
+ id AS (SELECT conv_id, row_number() OVER (ORDER BY conv_id NULLS FIRST) AS g FROM (SELECT DISTINCT conv_id FROM conversations)),
+ o AS (SELECT g, turn, role, text, row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role, text) AS p FROM d JOIN id ON id.conv_id IS NOT DISTINCT FROM d.conv_id),
+ f AS (SELECT *, left(role, 1) AS ini, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1 WHEN row_number() OVER (PARTITION BY g, role, text ORDER BY p) > 1 THEN 2 WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 3 ELSE 0 END AS fault, lag(left(role, 1)) OVER (PARTITION BY g ORDER BY p) || left(role, 1) AS two FROM o),
+ st(g, p, q, cost, audit) AS (SELECT g, 0, '0', 0, '' FROM id UNION ALL SELECT g, p + 1, b, z.cost, z.audit FROM (SELECT st.g, st.p, mm.b, min({{'cost': st.cost + mm.c + CASE WHEN fault = 3 AND right(x, 1) <> 'D' THEN 1 ELSE 0 END, 'audit': st.audit || x}}) AS z
+   FROM st JOIN f ON f.g = st.g AND f.p = st.p + 1 JOIN mm ON mm.a = st.q AND (mm.ini IS NULL OR mm.ini = f.ini) AND (right(x, 1) = 'D' OR fault NOT IN (1, 2)) GROUP BY st.g, st.p, mm.b)),
+ n AS (SELECT id.g, count(f.p) AS n FROM id LEFT JOIN f ON f.g = id.g GROUP BY id.g), e AS (SELECT g, z.cost AS cost, z.audit AS audit FROM (SELECT st.g, min({{'cost': st.cost + CASE q WHEN 's' THEN 4 WHEN 'u' THEN 2 ELSE 0 END, 'audit': st.audit || CASE q WHEN 's' THEN 'II' WHEN 'u' THEN 'I' ELSE '' END}}) AS z FROM st JOIN n ON n.g = st.g AND n.n = st.p GROUP BY st.g)),
+ l AS (SELECT g, j, substr(audit, j, 1) AS x, j - len(replace(left(audit, j), 'I', '')) AS ins FROM (SELECT g, audit, unnest(range(1, len(audit) + 1)) AS j FROM e)), m AS (SELECT l.g, j, x, role, text, ini, row_number() OVER (PARTITION BY l.g ORDER BY j) AS k FROM l LEFT JOIN f ON x <> 'I' AND f.g = l.g AND f.p = j - ins WHERE x <> 'D'),
+ y AS (SELECT m.*, coalesce(max(CASE WHEN k = 1 AND x = 'K' AND ini = 's' THEN 1 END) OVER (PARTITION BY g), 0) AS sys FROM m), h AS (SELECT g, string_agg(CASE WHEN x = 'K' THEN role WHEN (k - sys) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN x = 'I' THEN '' ELSE text END, chr(10) ORDER BY k) AS t FROM y GROUP BY g),
+ a AS (SELECT g, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 1) AS blank, count(*) FILTER (WHERE fault = 2) AS duplicate, count(*) FILTER (WHERE fault = 3) AS truncated, count(*) FILTER (WHERE two NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY g)
+ SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(cost AS BIGINT) AS cost, audit, sha256(coalesce(t, '')) AS repaired_sha256 FROM id JOIN e USING (g) LEFT JOIN a USING (g) LEFT JOIN h USING (g)"""

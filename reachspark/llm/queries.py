@@ -16,6 +16,8 @@ from reachspark.llm.line_dedup import dedup_lines
 from reachspark.llm.merkle_manifest import lower_cased, verify
 from reachspark.llm.minhash_dedup import near_duplicates
 from reachspark.llm.mixing import mix
+from reachspark.llm.superkmers import dedup_windows
+from reachspark.llm.turn_repair import damaged, repair
 from reachspark.llm.vector_packing import document_examples, pack
 
 
@@ -68,6 +70,14 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify(docs, lower_cased(docs)).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
+def op13_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_windows(_documents(spark, sf_dir), window=50).select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What SQL can express of the mix: sizes and targets, not which documents are taken."""
     return op3_mix_sources(spark, sf_dir).select("doc_id", "source", "size", "source_size", F.round("target", 6).alias("target"))
@@ -92,5 +102,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_projection_forest": oracles.EMBEDDINGS, "op4_minhash_bayes": oracles.DOCUMENTS, "op8_exact_topk": oracles.TOP_K, "op10_fuzzy_lines": oracles.LINES,
         "mix_targets": oracles.TARGETS, "ngram_scores": oracles.SCORES, "license_places": oracles.LICENSES,
-        "op11_merkle_manifest": oracles.MANIFEST,
+        "op11_merkle_manifest": oracles.MANIFEST, "op12_turn_repair": oracles.REPAIR, "op13_super_kmers": oracles.WINDOWS,
     }

@@ -73,8 +73,8 @@ def chunks(off: np.ndarray, most: int = CHUNK) -> Iterator[tuple[int, int]]:
         i = min(j, n)
 
 
-def words(data: np.ndarray, off: np.ndarray, i: int, j: int, table: np.ndarray = SPACED) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of texts i to j-1: 64-bit hash of every word (A-Z as a-z), start of each word in bytes
+def words(data: np.ndarray, off: np.ndarray, i: int, j: int, table: np.ndarray = SPACED, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts i to j-1: 64-bit hash of every word (A-Z as a-z, if lower), start of each word in bytes
     after off[i], and where each text's words begin (j-i+1 positions)."""
     lo, hi = int(off[i]), int(off[j])
     d = data[lo:hi]
@@ -91,7 +91,7 @@ def words(data: np.ndarray, off: np.ndarray, i: int, j: int, table: np.ndarray =
     if not len(s):
         return np.zeros(0, np.uint64), s, at
     p, inv = powers(n)
-    value = np.where(table, _BYTE[_LOWER], U64(0))
+    value = np.where(table, _BYTE[_LOWER] if lower else _BYTE, U64(0))
     with np.errstate(over="ignore"):
         h = np.add.reduceat(value[d] * p[:n], s) * inv[s]
     return mix(h), s, at
