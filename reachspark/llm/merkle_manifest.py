@@ -105,32 +105,43 @@ def paths(leaves: list[str], levels: int) -> Iterator[list[tuple[str, str]]]:
                 desired[j].add(leaves[i + span[j]])
 
 
-def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        roots = [block_root(x.values.field("leaf").to_pylist(), min(DEPTH, height(n))) for x, n in zip(b.column("rows"), b.column("size").to_pylist())]
-        yield pa.RecordBatch.from_arrays([b.column("skey"), b.column("block"), b.column("size"), pa.array(roots, pa.string())], ["skey", "block", "size", "hash"])
+def _roots(depth: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            roots = [block_root(x.values.field("leaf").to_pylist(), min(depth, height(n))) for x, n in zip(b.column("rows"), b.column("size").to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column("skey"), b.column("block"), b.column("size"), _strings(roots)], ["skey", "block", "size", "hash"])
+
+    return run
 
 
 def _strings(texts: list[str]) -> pa.Array:
     return pa.array(texts, pa.string())
 
 
-def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for k in range(b.num_rows):
-            rows = b.column("rows")[k].values
-            above = [(x["before"], x["after"]) for x in b.column("above")[k].as_py()]
-            top = [b.column(c)[k].as_py() for c in ("subroot", "root")]
-            leaves = rows.field("leaf").to_pylist()
-            walk = paths(leaves, min(DEPTH, height(b.column("size")[k].as_py())))
-            for i in range(0, len(leaves), EMIT):
-                part = rows.slice(i, EMIT)
-                steps = [next(walk) + above for _ in range(len(part))]
-                flat = [s for p in steps for s in p]
-                pairs = pa.StructArray.from_arrays([_strings([s[0] for s in flat]), _strings([s[1] for s in flat])], ["before", "after"])
-                ends = np.concatenate([[0], np.cumsum([len(p) for p in steps])]).astype(np.int32)
-                same = [pa.array([x] * len(part), pa.string()) for x in top]
-                yield pa.RecordBatch.from_arrays([part.field("doc_id"), part.field("leaf"), part.field("claim"), *same, pa.ListArray.from_arrays(pa.array(ends), pairs)], ["doc_id", "leaf", "claim", "subroot", "root", "path"])
+def _emit(depth: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(b.num_rows):
+                yield from _paths(b, k, depth)
+
+    return run
+
+
+def _paths(b: pa.RecordBatch, k: int, depth: int) -> Iterator[pa.RecordBatch]:
+    """A block's leaves with their paths, those above the block appended."""
+    rows = b.column("rows")[k].values
+    above = [(x["before"], x["after"]) for x in b.column("above")[k].as_py()]
+    top = [b.column(c)[k].as_py() for c in ("subroot", "root")]
+    leaves = rows.field("leaf").to_pylist()
+    walk = paths(leaves, min(depth, height(b.column("size")[k].as_py())))
+    for i in range(0, len(leaves), EMIT):
+        part = rows.slice(i, EMIT)
+        steps = [next(walk) + above for _ in range(len(part))]
+        flat = [s for p in steps for s in p]
+        pairs = pa.StructArray.from_arrays([_strings([s[0] for s in flat]), _strings([s[1] for s in flat])], ["before", "after"])
+        ends = np.concatenate([[0], np.cumsum([len(p) for p in steps])]).astype(np.int32)
+        same = [pa.array([x] * len(part), pa.string()) for x in top]
+        yield pa.RecordBatch.from_arrays([part.field("doc_id"), part.field("leaf"), part.field("claim"), *same, pa.ListArray.from_arrays(pa.array(ends), pairs)], ["doc_id", "leaf", "claim", "subroot", "root", "path"])
 
 
 def raised(nodes: DataFrame) -> DataFrame:
@@ -168,9 +179,9 @@ def path_digest(path: Column) -> Column:
     return F.sha2(F.array_join(F.transform(path, lambda s: F.concat(s["before"], s["after"])), ""), 256)
 
 
-def authenticate(docs: DataFrame, claim: Column | None = None) -> DataFrame:
+def authenticate(docs: DataFrame, claim: Column | None = None, depth: int = DEPTH) -> DataFrame:
     """Manifest of documents (doc_id, source, lang, n_chars, text; other columns count for nothing): one row each with doc_id, leaf, claim, subroot, root and
-    path (array of (before, after), siblings as concatenated hex: of the leaf's level first, the top over sources last).
+    path (array of (before, after), siblings as concatenated hex: of the leaf's level first, the top over sources last). depth: levels of a block, which has 16^depth leaves.
 
     claim: a column over docs, a leaf that is to be proven instead of the row's own (null: its own). Leaves of a source ascend by doc_id (null first), then by
     leaf: equal rows are leaves of their own, side by side. A null source is a source, before all others. A source with one row has its leaf as subroot, and a
@@ -182,25 +193,25 @@ def authenticate(docs: DataFrame, claim: Column | None = None) -> DataFrame:
     leaves = materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.when(source.isNull(), "").otherwise(F.concat(F.lit("="), source)).alias("skey"), own.alias("leaf"), (F.lit(None) if claim is None else claim).cast("string").alias("claim")), "leaves")
     placed = ranked(leaves, ["skey"], ["doc_id", "leaf"])
     discard(leaves)
-    blocks = placed.groupBy("skey", (F.col("idx") / ARITY**DEPTH).cast("long").alias("block"), "size").agg(F.sort_array(F.collect_list(F.struct("idx", "doc_id", "leaf", "claim"))).alias("rows"))
+    blocks = placed.groupBy("skey", (F.col("idx") / ARITY**depth).cast("long").alias("block"), "size").agg(F.sort_array(F.collect_list(F.struct("idx", "doc_id", "leaf", "claim"))).alias("rows"))
     blocks = materialise(blocks, "blocks")
     discard(placed)
-    roots = blocks.mapInArrow(_roots, "skey string, block long, size long, hash string")
-    of_source = raised(roots.select(F.col("skey").alias("key"), F.col("block").alias("idx"), F.ceil(F.col("size") / ARITY**DEPTH).alias("size"), "hash"))
+    roots = blocks.mapInArrow(_roots(depth), "skey string, block long, size long, hash string")
+    of_source = raised(roots.select(F.col("skey").alias("key"), F.col("block").alias("idx"), F.ceil(F.col("size") / ARITY**depth).alias("size"), "hash"))
     sources = ranked(of_source.where("idx = 0").select(F.col("key").alias("skey"), F.col("top").alias("hash")), [], ["skey"])
     over = raised(sources.select(F.lit("").alias("key"), "idx", "size", "hash"))
     above = sources.join(over.select("idx", F.col("top").alias("root"), F.col("path").alias("rest")), "idx").select("skey", F.col("hash").alias("subroot"), "root", "rest")
     above = of_source.select(F.col("key").alias("skey"), F.col("idx").alias("block"), "path").join(above, "skey").select("skey", "block", "subroot", "root", F.concat("path", "rest").alias("above"))
     above = materialise(above, "above")
-    out = blocks.join(small(above, width=8000), ["skey", "block"]).mapInArrow(_emit, f"doc_id long, leaf string, claim string, subroot string, root string, path array<{STEP}>")
+    out = blocks.join(small(above, width=8000), ["skey", "block"]).mapInArrow(_emit(depth), f"doc_id long, leaf string, claim string, subroot string, root string, path array<{STEP}>")
     for used in (of_source, sources, over):
         discard(used)
     return out
 
 
-def verify(docs: DataFrame, claim: Column | None = None) -> DataFrame:
+def verify(docs: DataFrame, claim: Column | None = None, depth: int = DEPTH) -> DataFrame:
     """authenticate(), and what follows from each claim: proof_sha256 (of the path's siblings), folded_root and verified."""
-    got = authenticate(docs, claim)
+    got = authenticate(docs, claim, depth)
     got = got.withColumn("proof_sha256", path_digest(F.col("path"))).withColumn("folded_root", fold(F.coalesce("claim", "leaf"), F.col("path")))
     return got.withColumn("verified", F.col("folded_root") == F.col("root"))
 

@@ -132,23 +132,26 @@ class Conversation:
         return (self.key, gaps, *[self.counts[c] for c in COUNTS[1:]], cost, audit, path.sha.hexdigest())
 
 
-def _repair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _repair(slice_: int, most: int):
     """Rows sorted by conversation and turn (conv_id, turn, role, text, gone, fault, fresh_turn, illegal) to a row for each conversation."""
-    solver, open_ = Solver(), None  # open_: the last conversation, which can go on in the next batch
-    for b in batches:
-        for i in range(0, b.num_rows, SLICE):
-            t = b.slice(i, SLICE)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        solver, open_ = Solver(), None  # open_: the last conversation, which can go on in the next slice
+        for t in (b.slice(i, slice_) for b in batches for i in range(0, b.num_rows, slice_)):
             key, gone = t.column(0).to_pylist(), t.column(4).to_numpy(zero_copy_only=False)
             new = [k for k in range(len(key)) if k == 0 or key[k] != key[k - 1]]
-            convs = [open_ if n == 0 and open_ is not None and open_.key == key[k] else Conversation(key[k]) for n, k in enumerate(new)]
-            done = [open_] if open_ is not None and convs[0] is not open_ else []
+            goes_on = open_ is not None and open_.key == key[0]
+            convs = [open_ if n == 0 and goes_on else Conversation(key[k]) for n, k in enumerate(new)]
+            done = [] if open_ is None or goes_on else [open_]
             ends = [*new[1:], len(key)]
-            for lo in range(0, max(e - k for k, e in zip(new, ends)), TURNS):
-                _advance(solver, t, gone, [(c, k + lo, min(e, k + lo + TURNS)) for c, k, e in zip(convs, new, ends) if k + lo < e])
+            for lo in range(0, max(e - k for k, e in zip(new, ends)), most):
+                _advance(solver, t, gone, [(c, k + lo, min(e, k + lo + most)) for c, k, e in zip(convs, new, ends) if k + lo < e])
             yield _rows([*done, *convs[:-1]])
             open_ = convs[-1]
-    if open_ is not None:
-        yield _rows([open_])
+        if open_ is not None:
+            yield _rows([open_])
+
+    return run
 
 
 def _rows(convs: list[Conversation]) -> pa.RecordBatch:
@@ -212,7 +215,7 @@ def marked(rows: DataFrame) -> DataFrame:
     return rows.select("conv_id", "turn", "role", "text", "gone", (fault * live.cast("int")).alias("fault"), (fresh & live).alias("fresh_turn"), (live & F.coalesce(~pair.isin("su", "ua", "au"), F.lit(False))).alias("illegal"), "copy").sortWithinPartitions(F.col("conv_id").asc_nulls_first(), "gone", F.col("turn").asc_nulls_first(), "role", "text", "copy").drop("copy")
 
 
-def repair(rows: DataFrame) -> DataFrame:
+def repair(rows: DataFrame, slice_: int = SLICE, turns: int = TURNS) -> DataFrame:
     """The cheapest repair of each conversation: (conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256).
 
     rows: conv_id, turn long; role, text string; gone boolean (true: the row isn't there, but its conversation has a result). Other columns are not read. A null role or text is one space, a null conv_id a conversation of its own.
@@ -220,11 +223,11 @@ def repair(rows: DataFrame) -> DataFrame:
     the grammar takes, so a row with another role, or an empty one, is reroled or deleted; Rerole costs 2, Delete 3 (blank and duplicate rows must go), an insert of an empty turn 2; a truncated row that isn't deleted adds 1. audit: the edits' initials
     in order; of the cheapest the ASCII-least. illegal: adjacent rows whose initials aren't su, ua or au, before the repair. A conversation without rows has zeros, an empty audit and the hash of an empty text.
 
-    A conversation is solved in one task, as the hash of its text goes through it in order, but in slices: for each state its cost, audit and running hash are kept, not its rows."""
+    A conversation is solved in one task, as the hash of its text goes through it in order, but in slices of slice_ rows, ``turns`` of one conversation: for each state its cost, audit and running hash are kept, not its rows."""
     bounded_batches(rows.sparkSession)
     space = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" ")).alias(c)
     rows = rows.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), space("role"), space("text"), F.col("gone"))
-    return marked(rows).mapInArrow(thrifty(_repair), OUT)
+    return marked(rows).mapInArrow(thrifty(_repair(slice_, turns)), OUT)
 
 
 def damaged(conversations: DataFrame, kinds: int = 20) -> DataFrame:
