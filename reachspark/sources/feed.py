@@ -1,4 +1,4 @@
-"""Timetable feed files as DataFrames: every column text, required headers checked, further ones ignored."""
+"""Timetable feed files as DataFrames, and the checks of a whole feed."""
 
 from __future__ import annotations
 
@@ -10,27 +10,13 @@ from reachspark.config import Scenario
 from reachspark.functions.timefn import seconds, valid_date
 from reachspark.operators import calendar, stops, transfers, trips
 from reachspark.schemas import FEED, FEED_OPTIONAL, WEEKDAYS
+from reachspark.sources.records import HeaderError, read_records  # noqa: F401
 
 
-class HeaderError(ValueError):
-    pass
-
-
-def read_table(spark: SparkSession, folder: str, name: str, ordinal: bool = False, sep: str = ",", required: list[str] | None = None, suffix: str = ".txt", split: bool = True) -> DataFrame:
-    """One file with a header. UTF-8 byte order marks and blank lines are skipped by the reader; nothing is inferred. ordinal: adds the
-    row's place in the file, rising but not gapless. split: the file is read by many tasks, each row on a line of its own; else by one, and quoted fields may hold line feeds (directories)."""
-    df = spark.read.option("header", True).option("sep", sep).option("encoding", "UTF-8").option("enforceSchema", False).option("multiLine", not split).csv(f"{folder}/{name}{suffix}", inferSchema=False)
-    need = FEED[name] if required is None else required
-    lacking = [c for c in need if c not in df.columns]
-    if lacking:
-        raise HeaderError(f"{name}: no column {', '.join(lacking)}")
-    keep = need + [c for c in FEED_OPTIONAL.get(name, []) if c in df.columns]
-    own = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in keep]
-    if not ordinal:
-        return df.select(*own)
-    # a split's rows are numbered where they are read; splits are numbered by where they begin
-    row = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    return df.select(*own, F.col("_metadata.file_block_start").alias("block"), row.alias("row")).withColumn("ordinal", F.struct("block", "row")).drop("block", "row")
+def read_table(spark: SparkSession, folder: str, name: str, ordinal: bool = False, sep: str = ",", required: list[str] | None = None, suffix: str = ".txt") -> DataFrame:
+    """A file's required columns and the optional ones that it has, as text; further ones are ignored. ordinal: adds the record's number in the file, gapless, the header being 1."""
+    df = read_records(spark, f"{folder}/{name}{suffix}", FEED[name] if required is None else required, FEED_OPTIONAL.get(name, []), sep)
+    return df.withColumnRenamed("row", "ordinal") if ordinal else df.drop("row")
 
 
 def present(name: str):
@@ -38,6 +24,14 @@ def present(name: str):
     return F.when(F.trim(name) != "", F.col(name))
 
 
+def contiguity_violations(stop_times: DataFrame, trips: DataFrame) -> DataFrame:
+    """Trips (trip_id) whose rows in stop_times (ordinal, trip_id; all trips of the file) are not together.
+
+    Records are numbered without gaps, so a trip's rows are together exactly if its numbers span as many records as it has: one partial aggregation, no order over the file."""
+    spans = stop_times.groupBy("trip_id").agg(F.min("ordinal").alias("first"), F.max("ordinal").alias("last"), F.count("*").alias("n"))
+    return violation(spans.where("last - first + 1 <> n").join(trips.select("trip_id"), "trip_id", "left_semi"), "SRC-09.contiguity", "trip_id", "its rows are not together")
+
+
 class Feed:
     """A feed folder for one scenario. Properties are lazy DataFrames; check() raises with the first faults of the whole feed."""
 
@@ -105,13 +99,8 @@ class Feed:
         return trips.rail_routes(self.routes)
 
     def contiguity_violations(self) -> DataFrame:
-        """Trips whose rows come back after another trip's rows."""
-        rows = self.raw_stop_times.select("trip_id", "ordinal", F.col("ordinal.block").alias("block"))
-        inside = rows.withColumn("before", F.lag("trip_id").over(Window.partitionBy("block").orderBy("ordinal")))
-        # a row for each split of the file: the trip that it ends with comes before the next split's first
-        ends = rows.groupBy("block").agg(F.max_by("trip_id", "ordinal").alias("last")).withColumn("ahead", F.lag("last").over(Window.orderBy("block"))).select("block", "ahead")
-        starts = inside.join(F.broadcast(ends), "block").withColumn("before", F.coalesce("before", "ahead")).where("before is null or before <> trip_id")
-        return violation(starts.groupBy("trip_id").count().where("count > 1"), "SRC-09.contiguity", "trip_id", "its rows are not together")
+        """Active trips whose rows come back after another trip's rows, whatever that trip's service."""
+        return contiguity_violations(self._raw("stop_times", ordinal=True), self.trips)
 
     def violations(self) -> DataFrame:
         from reachspark.checks import frequency_violations, missing, stop_time_violations
