@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from reachspark.checks import frequency_violations, stop_time_violations
 from reachspark.config import HEX_DIAMETER_M, Scenario, TransitPolicy
 from reachspark.functions import geo, text
-from reachspark.operators import access, calendar, hexes, kernel, lookup, matrix, patterns, rounds, stops, transfers, trips
+from reachspark.operators import access, calendar, hexes, kernel, lookup, matrix, network, patterns, rounds, stops, transfers, trips
 from reachspark.plans import compile as build
 from reachspark.plans.cut import cut
+from reachspark.plans.runtime import TravelTimes
 from reachspark.plans.testviews import Views, haversine_sql, with_views
 
 S, P = Scenario(), TransitPolicy()
@@ -44,13 +45,23 @@ def _activity(v: Views) -> tuple[DataFrame, DataFrame, DataFrame]:
     return c, pl, access.station_activity(c, stops.place_stops(pl), trips.rail_routes(v.routes), S)
 
 
-def _localities(v: Views) -> DataFrame:
-    return v.localities.select(F.col("row_no").alias("destination"), "latitude", "longitude")
+def _name(row_no) -> F.Column:
+    """Ids whose order is that of the numbers."""
+    return F.lpad(F.col(row_no).cast("string"), 9, "0")
 
 
-def _reach(v: Views) -> DataFrame:
+def _times(v: Views) -> TravelTimes:
+    """Lookups over the road matrix. Its rows are made of the view's pairs; a lookup of one origin reaches the pairs of that origin alone."""
+    named = v.localities.select(_name("row_no").alias("locality_id"), "latitude", "longitude")
+    first, last, n = v.localities.agg(F.min("row_no"), F.max("row_no"), F.count("*")).first()
+    assert last - first + 1 == n  # the view's numbers have no gaps, so places in the matrix are numbers less the first
+    place = lambda c: (F.col(c) - first).cast("int")
     m = matrix.road_matrix(v.road_seconds)
-    return m.where((F.col("origin") == ORIGIN) & (F.col("minutes") <= MINUTES)).join(_localities(v), "destination")
+    return TravelTimes(named, {"road": matrix.dense_rows(m.select(place("origin").alias("origin_idx"), place("destination").alias("dest_idx"), "minutes"))})
+
+
+def _reach(v: Views) -> DataFrame:
+    return _times(v).reachable(f"{ORIGIN:09d}", MINUTES, "road")
 
 
 def _saved_uid(df: DataFrame) -> DataFrame:
@@ -161,7 +172,7 @@ def _by_kernel(v: Views, scenario: Scenario) -> DataFrame:
     """The same by the kernel, whole policy."""
     net, edges = _network(v)
     origins = net["stops"].select(F.col("stop_idx").cast("int").alias("key"), F.array("stop_idx").alias("stop_idxs"))
-    return kernel.fastest_window(origins.repartition(8), kernel.Network.collect(net, edges), scenario, P.min_transfer_seconds, P.max_transfers, 60 * P.max_minutes)
+    return kernel.fastest_window(origins.repartition(max(1, min(origins.count(), 1000))), network.share(net, edges), scenario, P.min_transfer_seconds, P.max_transfers, 60 * P.max_minutes)
 
 
 def rp05_round1_arrivals(v: Views) -> DataFrame:
@@ -205,12 +216,13 @@ def rd03_road_matrix(v: Views) -> DataFrame:
 
 def rt01_travel_time(v: Views) -> DataFrame:
     n = v.localities.count()
-    pairs = v.localities.select(F.col("row_no").alias("origin"), ((F.col("row_no") * 7 + 3) % n).alias("destination"))
-    return pairs.join(matrix.road_matrix(v.road_seconds), ["origin", "destination"], "left")
+    pairs = v.localities.select(_name("row_no").alias("origin"), F.lpad(((F.col("row_no") * 7 + 3) % n).cast("string"), 9, "0").alias("destination"))
+    whole = lambda c: F.col(c).cast("long").alias(c)
+    return pairs.join(_times(v).travel_times(pairs, "road"), ["origin", "destination"], "left").select(whole("origin"), whole("destination"), "minutes")
 
 
 def flt10_reachable(v: Views) -> DataFrame:
-    return matrix.road_matrix(v.road_seconds).where((F.col("origin") == ORIGIN) & (F.col("minutes") <= MINUTES)).select("destination", "minutes").orderBy("minutes", "destination")
+    return _reach(v).select(F.col("locality_id").cast("long").alias("destination"), "minutes")
 
 
 def agg01_locality_dedup(v: Views) -> DataFrame:
@@ -298,8 +310,8 @@ _EDGES = """rl AS (SELECT a.stop_idx AS from_idx, b.stop_idx AS to_idx, transfer
  alw AS (SELECT from_idx, to_idx, max(seconds) AS seconds, bool_or(transfer_type = 2) AS access_eligible FROM rl WHERE transfer_type <> 3 GROUP BY 1, 2), fb AS (SELECT DISTINCT from_idx, to_idx FROM rl WHERE transfer_type = 3),
  sp AS (SELECT parent_station_id AS p, stop_idx FROM v_stops JOIN dense USING (stop_id) WHERE kind = 'STOP_OR_PLATFORM' AND parent_station_id IS NOT NULL), sib AS (SELECT a.stop_idx AS from_idx, b.stop_idx AS to_idx FROM sp a JOIN sp b ON a.p = b.p AND a.stop_idx <> b.stop_idx),
  edges AS (SELECT * FROM alw UNION ALL SELECT from_idx, to_idx, NULL, true FROM sib WHERE NOT EXISTS (SELECT 1 FROM alw x WHERE x.from_idx = sib.from_idx AND x.to_idx = sib.to_idx) AND NOT EXISTS (SELECT 1 FROM fb x WHERE x.from_idx = sib.from_idx AND x.to_idx = sib.to_idx))"""
-def _access(window_end: int) -> str:
-    return f"""org AS (SELECT stop_idx AS key, stop_idx FROM dense), acc0 AS (SELECT key, stop_idx, CAST(0 AS BIGINT) AS seconds FROM org UNION ALL SELECT key, to_idx, CAST(coalesce(seconds, 120) AS BIGINT) FROM org JOIN edges ON from_idx = stop_idx AND access_eligible AND from_idx <> to_idx),
+def _access(window_end: int, origins: str = "SELECT stop_idx AS key, stop_idx FROM dense") -> str:
+    return f"""org AS ({origins}), acc0 AS (SELECT key, stop_idx, CAST(0 AS BIGINT) AS seconds FROM org UNION ALL SELECT key, to_idx, CAST(coalesce(seconds, 120) AS BIGINT) FROM org JOIN edges ON from_idx = stop_idx AND access_eligible AND from_idx <> to_idx),
  acc AS (SELECT key, stop_idx, min(seconds) AS seconds FROM acc0 GROUP BY 1, 2),
  slots AS MATERIALIZED (SELECT DISTINCT key, dep - seconds AS departure FROM acc0 JOIN (SELECT DISTINCT stop_idx, dep FROM pt WHERE pickup <> 1) USING (stop_idx) WHERE dep - seconds >= 25200 AND dep - seconds < {window_end} UNION SELECT key, CAST(25200 AS BIGINT) FROM org)"""
 
@@ -325,10 +337,11 @@ _M0 = f"m0 AS MATERIALIZED (SELECT key, departure AS d, stop_idx, departure + se
 _BEST = "SELECT key, stop_idx, duration, departure, arrival FROM (SELECT key, stop_idx, arr - d AS duration, d AS departure, arr AS arrival, row_number() OVER (PARTITION BY key, stop_idx ORDER BY arr - d, d DESC, arr) AS rn FROM allr) WHERE rn = 1"
 
 
-def _rides(n: int) -> str:
-    """All arrivals after at most n rides from every stop in the early window, as allr."""
+def _rides(n: int, window_end: int = EARLY.window_end, origins: str | None = None, before: str = "") -> str:
+    """All arrivals after at most n rides from every stop (or from origins: key, stop_idx; before: CTEs that these need) in the early window, as allr."""
     all_ = " ".join(f"UNION ALL SELECT key, d, stop_idx, arr FROM {t}{k}" for k in range(n) for t in "vw")
-    return f"{_NET}, {_EDGES}, {_access(EARLY.window_end)}, {_M0}, {', '.join(_round(k) for k in range(n))}, allr AS (SELECT key, d, stop_idx, ready AS arr FROM m0 {all_})"
+    access_ = _access(window_end, origins) if origins else _access(window_end)
+    return f"{_NET}, {_EDGES}, {before}{access_}, {_M0}, {', '.join(_round(k) for k in range(n))}, allr AS (SELECT key, d, stop_idx, ready AS arr FROM m0 {all_})"
 
 
 _RL = f"{_rides(P.max_transfers + 1)}, best AS MATERIALIZED ({_BEST}), loc AS (SELECT row_no, row_no % (SELECT count(*) FROM dense) AS spot FROM v_localities), rl2 AS MATERIALIZED (SELECT CAST(o.row_no AS STRING) AS key, CAST(d.row_no AS STRING) AS locality_id, CAST(ceil(duration / 60) AS INT) AS minutes FROM best JOIN loc o ON o.spot = key JOIN loc d ON d.spot = stop_idx WHERE ceil(duration / 60) <= 240)"
@@ -384,12 +397,16 @@ OVER_VIEWS = [
 
 
 def queries() -> dict:
-    out = {f.__name__: (lambda spark, sf_dir, f=f: f(Views(spark, sf_dir))) for f in OVER_VIEWS}
+    from reachspark.plans import products  # it builds on this module
+
+    out = {f.__name__: (lambda spark, sf_dir, f=f: f(Views(spark, sf_dir))) for f in [*OVER_VIEWS, *products.OVER_VIEWS]}
     return out | {"str01_normalise": str01_normalise}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: with_views(sql) for name, sql in SQL.items()}
+    from reachspark.plans import products
+
+    return {name: with_views(sql) for name, sql in (SQL | products.SQL).items()}
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,28 +14,18 @@ from reachspark.config import Scenario
 from reachspark.operators.matrix import write_atomic
 from reachspark.operators.stops import stop_violations
 from reachspark.schemas import ROUTING_TRIPS, STOPS
+from reachspark.sources import bytefiles
+from reachspark.sources.bytefiles import read_matrix  # noqa: F401
 
 
 def write_trips(routing_trips: DataFrame, folder: str, scenario: Scenario, order: str = "trip_id", feed_version: str | None = None) -> dict:
-    """trips.ndjson in the given order and its manifest (counts and SHA-256), the manifest last."""
-    os.makedirs(folder, exist_ok=True)
-    lines = routing_trips.select(order, F.to_json(F.struct("trip_id", "route_id", "stop_times", "frequency_windows")).alias("line"), F.size("stop_times").alias("n"), F.size("frequency_windows").alias("w")).orderBy(order)
-    digest, counts, part = hashlib.sha256(), {"trips": 0, "scheduled": 0, "frequency": 0, "stop_times": 0, "windows": 0}, f"{folder}/trips.ndjson.tmp"
-    try:
-        with open(part, "wb") as f:
-            for r in lines.toLocalIterator():
-                data = (r["line"] + "\n").encode()
-                f.write(data)
-                digest.update(data)
-                for k, v in (("trips", 1), ("frequency" if r["w"] else "scheduled", 1), ("stop_times", r["n"]), ("windows", r["w"])):
-                    counts[k] += v
-        os.replace(part, f"{folder}/trips.ndjson")
-    finally:
-        if os.path.exists(part):
-            os.remove(part)
-    manifest = {"service_date": scenario.service_date.isoformat(), "window": [scenario.window_start, scenario.window_end], "sha256": digest.hexdigest(), "feed_version": feed_version, **counts}
-    write_atomic(f"{folder}/manifest.json", json.dumps(manifest, sort_keys=True))
-    return manifest
+    """trips.ndjson in the given order (a column whose values are all different) and its manifest (counts and SHA-256), the manifest last: tasks write ranges of trips, see bytefiles.publish."""
+    n, w = F.size("stop_times"), F.size("frequency_windows")
+    counts = routing_trips.agg(F.count("*").alias("trips"), F.count_if(w == 0).alias("scheduled"), F.count_if(w > 0).alias("frequency"), F.coalesce(F.sum(n), F.lit(0)).alias("stop_times"), F.coalesce(F.sum(w), F.lit(0)).alias("windows")).first().asDict()
+    line = F.concat(F.to_json(F.struct("trip_id", "route_id", "stop_times", "frequency_windows")), F.lit("\n")).cast("binary")
+    manifest = {"service_date": scenario.service_date.isoformat(), "window": [scenario.window_start, scenario.window_end], "feed_version": feed_version, **counts}
+    digest = bytefiles.publish(routing_trips.select(F.col(order).alias("key"), line.alias("data")), f"{folder}/trips.ndjson", f"{folder}/manifest.json", manifest, counts["trips"])
+    return {**manifest, "sha256": digest}
 
 
 # Fields of a trips manifest.
@@ -85,15 +75,6 @@ def read_stops(spark: SparkSession, path: str) -> DataFrame:
     return df
 
 
-def read_matrix(spark: SparkSession, path: str, n: int) -> DataFrame:
-    """(origin_idx, row binary) of a file of n x n bytes."""
-    df = spark.read.format("binaryFile").load(path).select("content", "length")
-    size = df.first()["length"]
-    if size != n * n:
-        raise ValueError(f"matrix has {size} bytes, not {n * n}")
-    return df.select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.struct(i.alias("origin_idx"), F.substring("content", i * n + 1, n).alias("row")))).alias("r")).select("r.*")
-
-
 def read_manifest(path: str, keys: set[str]) -> dict:
     """A manifest with exactly these keys."""
     with open(path) as f:

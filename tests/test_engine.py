@@ -144,10 +144,10 @@ def test_places_and_hexes(spark):
 def test_matrix_checks(spark, tmp_path):
     cells = spark.createDataFrame([(0, 0, 0), (0, 1, 10), (1, 0, 10), (1, 0, 11), (1, 1, 3)], "origin_idx int, dest_idx int, minutes int")
     assert {r.rule for r in matrix.block_violations(cells, 2).collect()} == {"RD-03.twice", "RD-03.diagonal"}
-    a = matrix.Blocks(spark, str(tmp_path / "b"), {"v": 1}, 1)
+    a = matrix.Build(spark, str(tmp_path / "b"), {"v": 1})
     with pytest.raises(ValueError):
-        matrix.Blocks(spark, str(tmp_path / "b"), {"v": 2}, 1)
-    assert a.done() == [] and len(set(matrix.sample_pairs(5, 8, 3))) == 8 and matrix.sample_indexes(100, 3) == [0, 49, 99]
+        matrix.Build(spark, str(tmp_path / "b"), {"v": 2})
+    assert a.rows().count() == 0 and len(set(matrix.sample_pairs(5, 8, 3))) == 8 and matrix.sample_indexes(100, 3) == [0, 49, 99]
     calls = []
 
     def flaky():

@@ -48,13 +48,13 @@ def test_identity_of_a_transit_build(spark):
 
 def test_a_folder_of_another_build_is_refused(spark, tmp_path):
     path = f"file://{tmp_path}/b"
-    matrix.Blocks(spark, path, {"localities": 2, "x_sha256": "a" * 64}, 1)
-    matrix.Blocks(spark, path, {"localities": 2, "x_sha256": "a" * 64}, 1)
+    matrix.Build(spark, path, {"localities": 2, "x_sha256": "a" * 64})
+    matrix.Build(spark, path, {"localities": 2, "x_sha256": "a" * 64})
     with pytest.raises(ValueError, match="x_sha256"):
-        matrix.Blocks(spark, path, {"localities": 2, "x_sha256": "b" * 64}, 1)
+        matrix.Build(spark, path, {"localities": 2, "x_sha256": "b" * 64})
     for bad in ({"localities": 0}, {"x_sha256": "A" * 64}, {"max_minutes": True}):
         with pytest.raises(ValueError):
-            matrix.Blocks(spark, f"file://{tmp_path}/c", bad, 1)
+            matrix.Build(spark, f"file://{tmp_path}/c", bad)
 
 
 def test_rows_that_no_matrix_may_have(spark):
@@ -66,7 +66,7 @@ def test_rows_that_no_matrix_may_have(spark):
 def test_publication_is_whole_or_not_at_all(spark, tmp_path):
     rows = spark.createDataFrame([(0, bytes([0, 1])), (1, bytes([1, 0]))], "origin_idx int, row binary")
     matrix.publish(rows, 2, str(tmp_path), "m", {"v": 1})
-    with pytest.raises(ValueError):
+    with pytest.raises(Exception, match="1 rows, not 2"):
         matrix.publish(rows.limit(1), 2, str(tmp_path), "m", {"v": 2})
     assert sorted(os.listdir(tmp_path)) == ["m.bin", "m.json"] and json.load(open(tmp_path / "m.json"))["v"] == 1
 
