@@ -172,7 +172,7 @@ def _by_kernel(v: Views, scenario: Scenario) -> DataFrame:
     """The same by the kernel, whole policy."""
     net, edges = _network(v)
     origins = net["stops"].select(F.col("stop_idx").cast("int").alias("key"), F.array("stop_idx").alias("stop_idxs"))
-    return kernel.fastest_window(origins.repartition(max(1, min(origins.count(), 1000))), network.share(net, edges), scenario, P.min_transfer_seconds, P.max_transfers, 60 * P.max_minutes)
+    return kernel.fastest_window(origins.repartition(max(1, min(origins.count(), 1000))), network.share(net, edges), scenario, P.min_transfer_seconds, P.max_transfers, 60 * P.max_minutes, share=True)
 
 
 def rp05_round1_arrivals(v: Views) -> DataFrame:
