@@ -18,7 +18,7 @@ from reachspark.llm.minhash_dedup import near_duplicates
 from reachspark.llm.mixing import mix
 from reachspark.llm.superkmers import dedup_windows
 from reachspark.llm.turn_repair import damaged, repair
-from reachspark.llm.vector_packing import document_examples, pack
+from reachspark.llm.vector_packing import conversation_examples, document_examples, pack
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +88,11 @@ def ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_kneser_ney(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 5).alias("base_score"), F.round("score", 5).alias("score"))
 
 
+def instruction_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations packed as instruction data: limits on tokens, segments and loss-bearing tokens (those of the assistant's turns) at once."""
+    return pack(conversation_examples(spark.read.parquet(f"{sf_dir}/conversations.parquet")), capacity=1024, segments=3, loss=640, with_ids=False)
+
+
 def license_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places of the phrases and their labels, without those of the templates."""
     return op9_license_scan(spark, sf_dir).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
@@ -95,7 +100,7 @@ def license_places(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     ops = {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
-    return ops | {f.__name__: f for f in (mix_targets, ngram_scores, license_places)}
+    return ops | {f.__name__: f for f in (mix_targets, ngram_scores, license_places, instruction_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
