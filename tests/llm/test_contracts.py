@@ -30,7 +30,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_same_rows_as_sql(spark, name):
     c = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "conversations"):
         c.execute(f"create view {t} as select * from '{SMALL}/{t}.parquet'")
     ours, theirs = queries.queries()[name](spark, SMALL).toPandas(), c.execute(queries.oracle_sql()[name]).df()
     assert sorted(ours.columns) == sorted(theirs.columns)
