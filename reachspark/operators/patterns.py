@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reachspark.operators import chains
+
 
 def grouped(concrete: DataFrame) -> DataFrame:
     """(uid, route_id, stop_ids, times): one row for each trip, positions in order."""
@@ -21,32 +21,9 @@ def base_patterns(concrete: DataFrame) -> DataFrame:
     return t.groupBy("route_id", F.transform("at", lambda x: x["stop_id"]).alias("stop_ids")).agg(F.count("*").alias("n_trips"))
 
 
-def _chains(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Trips in order of (first departure, uid) each join the chain that they follow everywhere and whose
-    last trip leaves latest (the oldest such chain), or start a new one."""
-    pdf = pdf.sort_values(["first_dep", "uid"], kind="stable")
-    keys = np.array(pdf["key"].tolist(), np.int64).reshape(len(pdf), -1)
-    first = pdf["first_dep"].to_numpy()
-    chain, last, leaves, n = np.zeros(len(pdf), np.int32), np.zeros((16, keys.shape[1]), np.int64), np.zeros(16, np.int64), 0
-    for i, key in enumerate(keys):
-        fits = np.flatnonzero((last[:n] <= key).all(1))
-        k = int(fits[np.argmax(leaves[fits])]) if len(fits) else n
-        if k == len(last):
-            last, leaves = np.concatenate([last, np.zeros_like(last)]), np.concatenate([leaves, np.zeros_like(leaves)])
-        n = max(n, k + 1)
-        last[k], leaves[k], chain[i] = key, first[i], k
-    return pd.DataFrame({"uid": pdf["uid"].to_numpy(), "chain": chain})
-
-
-def trip_chains(concrete: DataFrame) -> DataFrame:
-    """(uid, chain) within each route and stop sequence. A group is the trips of one route with one sequence on one day."""
-    g = grouped(concrete)
-    keyed = g.select(
-        "uid", F.xxhash64("route_id", "stop_ids").alias("base"),
-        F.element_at("times", 1)["dep"].alias("first_dep"),
-        F.concat(F.transform("times", lambda x: x["arr"]), F.transform("times", lambda x: x["dep"])).alias("key"),
-    )
-    return keyed.groupBy("base").applyInPandas(lambda pdf: _chains(pdf), "uid string, chain int")
+def trip_chains(concrete: DataFrame, part: int = chains.PART) -> DataFrame:
+    """(uid, chain) within each route and stop sequence, see chains."""
+    return chains.trip_chains(grouped(concrete), part)
 
 
 def dense_stops(concrete: DataFrame) -> DataFrame:
@@ -54,14 +31,14 @@ def dense_stops(concrete: DataFrame) -> DataFrame:
     return concrete.select("stop_id").distinct().withColumn("stop_idx", F.row_number().over(Window.orderBy("stop_id")) - 1)
 
 
-def patterns(concrete: DataFrame, chains: DataFrame | None = None) -> dict[str, DataFrame]:
+def patterns(concrete: DataFrame, dealt: DataFrame | None = None) -> dict[str, DataFrame]:
     """stops (stop_id, stop_idx), trips (uid, pattern_id, trip_idx, route_id), pattern_stop and pattern_time tables.
 
-    Patterns are numbered by route, stop sequence and chain; trips in a pattern by (first departure, uid). Without chains each base pattern is one chain
+    Patterns are numbered by route, stop sequence and chain; trips in a pattern by (first departure, uid). Without (uid, chain) in dealt each base pattern is one chain
     (for timetables known never to overtake)."""
     stops = dense_stops(concrete)
     g = grouped(concrete).withColumn("first_dep", F.element_at("times", 1)["dep"])
-    g = g.join(chains, "uid") if chains is not None else g.withColumn("chain", F.lit(0))
+    g = g.join(dealt, "uid") if dealt is not None else g.withColumn("chain", F.lit(0))
     names = g.select("route_id", "stop_ids", "chain").distinct()
     names = names.withColumn("pattern_id", F.row_number().over(Window.orderBy("route_id", "stop_ids", "chain")) - 1)
     in_order = Window.partitionBy("pattern_id").orderBy("first_dep", "uid")

@@ -278,6 +278,16 @@ _C = (
    UNION ALL SELECT trip_id, '', 0 FROM each WHERE last_dep >= 25200 AND trip_id NOT IN (SELECT trip_id FROM fq)),
  conc AS MATERIALIZED (SELECT trip_id || suffix AS uid, route_id, pos, stop_id, arr + shift AS arr, dep + shift AS dep, pickup, drop_off FROM own JOIN shifts USING (trip_id)), dense AS MATERIALIZED (SELECT stop_id, CAST(row_number() OVER (ORDER BY stop_id) - 1 AS INT) AS stop_idx FROM (SELECT DISTINCT stop_id FROM conc))"""
 )
+#: The rule of chains as it stands: each step takes the next trip of every route; state holds the last trip of each chain.
+_CHAINS = (
+    _C.replace("v_stop_times_b", "v_stop_times_a")
+    + """, seq AS (SELECT uid, route_id, list(stop_id ORDER BY pos) AS sl, list(arr ORDER BY pos) || list(dep ORDER BY pos) AS key, min(dep) FILTER (WHERE pos = 0) AS d0 FROM conc GROUP BY 1, 2),
+ turn AS MATERIALIZED (SELECT uid, d0, key, dense_rank() OVER (ORDER BY route_id, sl) AS base, row_number() OVER (PARTITION BY route_id, sl ORDER BY d0, uid) AS rn FROM seq)
+ SELECT uid, chain FROM (WITH RECURSIVE r AS (SELECT base, rn, uid, CAST(0 AS INT) AS chain, [{'k': key, 'd': d0}] AS state FROM turn WHERE rn = 1
+   UNION ALL SELECT base, rn, uid, CAST(c - 1 AS INT), list_transform(range(1, greatest(len(state), c) + 1), lambda i: CASE WHEN i = c THEN {'k': key, 'd': d0} ELSE state[i] END)
+   FROM (SELECT t.*, state, coalesce(list_sort(list_transform(list_filter(range(1, len(state) + 1), lambda i: list_bool_and(list_transform(range(1, len(t.key) + 1), lambda p: state[i].k[p] <= t.key[p]))),
+     lambda i: {'d': -state[i].d, 'i': i}))[1].i, len(state) + 1) AS c FROM r JOIN turn t ON t.base = r.base AND t.rn = r.rn + 1) x) SELECT uid, chain FROM r)"""
+)
 _PL = """ch AS (SELECT parent_station_id AS place_id, string_agg(stop_id, ',' ORDER BY stop_id) AS stop_list FROM v_stops WHERE kind = 'STOP_OR_PLATFORM' AND parent_station_id IS NOT NULL GROUP BY 1),
  pl AS (SELECT place_id, stop_name AS place_name, latitude, longitude, stop_list FROM v_stops JOIN ch ON stop_id = place_id WHERE kind = 'STATION' UNION ALL SELECT stop_id, stop_name, latitude, longitude, stop_id FROM v_stops WHERE kind = 'STOP_OR_PLATFORM' AND parent_station_id IS NULL),
  ps AS (SELECT place_id, unnest(string_split(stop_list, ',')) AS stop_id FROM pl)"""
@@ -360,6 +370,7 @@ SQL = {
     "agg02_routing_trips": "SELECT s.trip_id, t.route_id, string_agg(s.stop_id || '/' || s.arr, ' ' ORDER BY pos) AS times, CAST((SELECT count(*) FROM v_frequencies f WHERE f.trip_id = s.trip_id) AS INT) AS n_windows FROM v_stop_times_a s JOIN v_trips t ON t.trip_id = s.trip_id GROUP BY 1, 2",
     "tt01_frequency_instances": f"WITH {_C} SELECT uid, pos, arr, dep FROM conc WHERE uid LIKE '%|%'",
     "agg05_route_patterns": f"WITH {_C}, s AS (SELECT uid, route_id, string_agg(stop_id, ',' ORDER BY pos) AS stop_list FROM conc GROUP BY 1, 2) SELECT route_id, stop_list, count(*) AS n_trips FROM s GROUP BY 1, 2",
+    "tt03_chains": f"WITH {_CHAINS}",
     "tt04_dense_stops": f"WITH {_C} SELECT stop_id, stop_idx FROM dense",
     "tt06_pattern_times": f"WITH {_C}, seq AS (SELECT uid, route_id, list(stop_id ORDER BY pos) AS sl, min(dep) FILTER (WHERE pos = 0) AS d0 FROM conc GROUP BY 1, 2), nm AS (SELECT route_id, sl, CAST(row_number() OVER (ORDER BY route_id, sl) - 1 AS INT) AS pattern_id FROM (SELECT DISTINCT route_id, sl FROM seq)), tr AS (SELECT uid, pattern_id, row_number() OVER (PARTITION BY pattern_id ORDER BY d0, uid) - 1 AS trip_idx FROM seq JOIN nm USING (route_id, sl)) SELECT pattern_id, pos, count(*) AS n, min(arr) AS first_arr, max(dep) AS last_dep, CAST(sum(trip_idx * dep) AS BIGINT) AS weighted FROM conc JOIN tr USING (uid) GROUP BY 1, 2",
     "join06_places": f"WITH {_PL} SELECT * FROM pl",
