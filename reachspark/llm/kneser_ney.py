@@ -119,21 +119,21 @@ class Store:
 
 class Table:
     """A mapped file of rows of counts by sorted hash. The first bits of a hash name a bucket of about eight, the next 32 are kept: a hash that isn't there is taken for one that
-    is once in 500 million times. Of each row a byte is kept, the number of its counts in a list of the 255 most frequent rows; others lie in a list of their own."""
+    is once in 500 million times, unless the table was made ``whole``: then all 64 bits are compared. Of each row a byte is kept, the number of its counts in a list of the 255 most frequent rows; others lie in a list of their own."""
 
     def __init__(self, data: np.ndarray):
-        head = data[:40].view(np.int64)
-        self.bits, self.n, self.width, kinds, more = (int(x) for x in head)
-        at = 40
-        for name, size, kind, shape in (("start", (1 << self.bits) + 1, np.uint32, None), ("rest", self.n, np.uint32, None), ("code", self.n, np.uint8, None), ("value", kinds * self.width, np.int64, self.width), ("big", more, np.uint64, None), ("large", more * self.width, np.int64, self.width)):
+        head = data[:48].view(np.int64)
+        self.bits, self.n, self.width, kinds, more, whole = (int(x) for x in head)
+        at = 48
+        for name, size, kind, shape in (("start", (1 << self.bits) + 1, np.uint32, None), ("rest", self.n, np.uint32, None), ("code", self.n, np.uint8, None), ("value", kinds * self.width, np.int64, self.width), ("big", more, np.uint64, None), ("large", more * self.width, np.int64, self.width), ("whole", whole, np.uint64, None)):
             span = size * np.dtype(kind).itemsize
             a = data[at : at + span].view(kind)
             setattr(self, name, a.reshape(-1, shape) if shape else a)
             at += span + -span % 8
 
     @staticmethod
-    def parts(h: np.ndarray, values: np.ndarray) -> list[np.ndarray]:
-        """h: sorted distinct hashes; values: a row of counts for each."""
+    def parts(h: np.ndarray, values: np.ndarray, whole: bool = False) -> list[np.ndarray]:
+        """h: sorted distinct hashes; values: a row of counts for each; whole: keep the hashes themselves too."""
         bits = min(30, (len(h) // 8).bit_length())
         top = h >> np.uint64(64 - bits) if bits else np.zeros(len(h), np.uint64)
         start = np.searchsorted(top, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.uint32)
@@ -148,7 +148,7 @@ class Table:
         code[kept] = np.arange(len(kept))
         code = code[kind.ravel()]
         wide = np.flatnonzero(code == 255)
-        return [np.array([bits, len(h), values.shape[1], len(kept), len(wide)], np.int64), start, rest, code, values[first[kept]].astype(np.int64), h[wide], values[wide].astype(np.int64)]
+        return [np.array([bits, len(h), values.shape[1], len(kept), len(wide), len(h) if whole else 0], np.int64), start, rest, code, values[first[kept]].astype(np.int64), h[wide], values[wide].astype(np.int64), h if whole else h[:0]]
 
     def find(self, q: np.ndarray) -> np.ndarray:
         """Rows of counts of hashes q, zeros where there is none."""
@@ -157,14 +157,15 @@ class Table:
             return out
         bucket = (q >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(q), np.int64)
         lo, end = self.start[bucket].astype(np.int64), self.start[bucket + 1].astype(np.int64)
-        hi, r = end.copy(), (q >> np.uint64(32 - self.bits)).astype(np.uint32)
+        kept, r = (self.whole, q) if len(self.whole) else (self.rest, (q >> np.uint64(32 - self.bits)).astype(np.uint32))
+        hi = end.copy()
         for _ in range(int((end - lo).max()).bit_length()):
             mid = (lo + hi) >> 1
-            less = (lo < hi) & (self.rest[np.minimum(mid, self.n - 1)] < r)
+            less = (lo < hi) & (kept[np.minimum(mid, self.n - 1)] < r)
             hi = np.where(less, hi, mid)
             lo = np.where(less, mid + 1, lo)
         at = np.minimum(lo, self.n - 1)
-        ok = np.flatnonzero((lo < end) & (self.rest[at] == r))
+        ok = np.flatnonzero((lo < end) & (kept[at] == r))
         code = self.code[at[ok]]
         got = np.zeros((len(ok), self.width), np.int64)
         short = np.flatnonzero(code < 255)
@@ -490,7 +491,7 @@ def train(texts: DataFrame, shards: int | None = None, order: int = 2) -> Model:
 
     def keep(s: int, t: np.ndarray, n: np.ndarray) -> list[int]:
         by = np.argsort(t)
-        store.save(f"u-{s}", Table.parts(t[by], n[by]))
+        store.save(f"u-{s}", Table.parts(t[by], n[by], whole=True))
         return [int((n[:, 1] == q).sum()) for q in (1, 2, 3, 4)]
 
     marks = ["m1", "m2", "m3", "m4"]
