@@ -48,13 +48,12 @@ def address_share(text: Column) -> Column:
     return number(F.regexp_replace(F.trim(text), "%$", ""))
 
 
-def search_rank(query: str, postal: Column, city: Column) -> Column:
-    """0 to 6, or null for no match: label, postal code and city equal the query, then start with it, then label contains it."""
-    q = normalize_city(query) or ""
-    label = F.concat(postal, F.lit(" "), city)
-    if not q:
-        return F.lit(None).cast("int")
-    return F.when(label == q, 0).when(postal == q, 1).when(city == q, 2).when(label.startswith(q), 3).when(postal.startswith(q), 4).when(city.startswith(q), 5).when(label.contains(q), 6)
+def search_rank(query: str | Column, postal: Column, city: Column) -> Column:
+    """0 to 6, or null for no match: label, postal code and city equal the query, then start with it, then label contains it. A column holds queries that are normalised already."""
+    q = query if isinstance(query, Column) else F.lit(normalize_city(query) or "")
+    label = locality_label(postal, city)
+    found = F.when(label == q, 0).when(postal == q, 1).when(city == q, 2).when(label.startswith(q), 3).when(postal.startswith(q), 4).when(city.startswith(q), 5).when(label.contains(q), 6)
+    return F.when(q != "", found)
 
 
 def locality_label(postal: Column, city: Column) -> Column:

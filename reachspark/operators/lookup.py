@@ -1,4 +1,4 @@
-"""Localities: dedup, resolution, search."""
+"""Localities: dedup, resolution, search (one query by a scan, many by an index of runs of characters)."""
 
 from __future__ import annotations
 
@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from reachspark.config import SEARCH_LIMIT
 from reachspark.functions import text
 
+#: Longest run of characters under which a label can be found.
+GRAM = 3
+
 
 def dedup(localities: DataFrame, city_key=text.city_key) -> DataFrame:
     """One row for each (postal code, normalised city): the largest address share, then the first row (row_no); a missing share comes last. Rows without a
@@ -29,3 +32,32 @@ def search(localities: DataFrame, query: str, limit: int = SEARCH_LIMIT, city_ke
     """The best matches in order of (rank, locality_id)."""
     rank = text.search_rank(query, F.col("postal_code"), F.col("ck"))
     return localities.withColumn("ck", city_key(F.col("city"))).withColumn("rank", rank).where("rank is not null").drop("ck").orderBy("rank", "locality_id").limit(limit)
+
+
+def _runs(label: str, least: str) -> str:
+    """SQL: distinct runs of characters of a label, of each length from least to GRAM (a shorter label is its own run)."""
+    return f"array_distinct(flatten(transform(sequence({least}, {GRAM}), n -> transform(sequence(1, greatest(length({label}) - n + 1, 1)), i -> substr({label}, i, n)))))"
+
+
+def search_index(localities: DataFrame, city_key=text.city_key) -> DataFrame:
+    """(gram, locality_id, postal_code, ck): each locality under every run of 1 to GRAM characters of its label. Localities without a postal code or city are under none."""
+    keyed = localities.select("locality_id", "postal_code", city_key(F.col("city")).alias("ck"))
+    labelled = keyed.withColumn("label", text.locality_label(F.col("postal_code"), F.col("ck"))).where("label is not null")
+    return labelled.select(F.explode(F.expr(_runs("label", "1"))).alias("gram"), "locality_id", "postal_code", "ck")
+
+
+def search_many(requests: DataFrame, index: DataFrame, limit: int = SEARCH_LIMIT, city_key=text.city_key) -> DataFrame:
+    """(request_id, place, locality_id, rank): of each request (request_id, query) the best matches in order of (rank, locality_id), place from 1; what search() gives for each.
+
+    All matches hold the query in their label, so they lie under each of its runs of GRAM characters (a shorter query is a run itself): those under its rarest run are ranked. Equal queries are
+    searched once. Requests whose query is null or blank have no rows. The best of a query are kept in each task before they are shuffled, so a query that nearly all localities match is no hot key."""
+    asked = requests.select("request_id", city_key(F.col("query")).alias("q")).where("q != ''")
+    queries = asked.select("q").distinct()
+    runs = queries.select("q", F.explode(F.expr(_runs("q", f"least(length(q), {GRAM})"))).alias("gram"))
+    runs = runs.where(f"length(gram) = least(length(q), {GRAM})")
+    often = runs.join(index.groupBy("gram").agg(F.count("*").alias("n")), "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    rarest = often.groupBy("q").agg(F.min(F.struct("n", "gram"))["gram"].alias("gram"))
+    ranked = rarest.join(index, "gram").withColumn("rank", text.search_rank(F.col("q"), F.col("postal_code"), F.col("ck"))).where("rank is not null")
+    best = Window.partitionBy("q").orderBy("rank", "locality_id")
+    top = ranked.select("q", "locality_id", "rank").withColumn("place", F.row_number().over(best)).where(F.col("place") <= limit)
+    return asked.join(top, "q").select("request_id", "place", "locality_id", "rank")

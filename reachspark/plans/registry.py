@@ -240,6 +240,13 @@ def srt07_locality_search(v: Views) -> DataFrame:
     return lookup.search(own, "10", city_key=text.ascii_city_key).select("locality_id", "rank")
 
 
+def srt07_batch_search(v: Views) -> DataFrame:
+    """A search for each locality: a piece of its label, of one to seven characters."""
+    index = cut(lookup.search_index(lookup.dedup(v.localities, text.ascii_city_key), text.ascii_city_key))
+    piece = F.expr("substr(concat(postal_code, ' ', city), int(1 + row_no % 10), int(1 + row_no % 7))")
+    return lookup.search_many(v.localities.select(F.col("row_no").alias("request_id"), piece.alias("query")), index, city_key=text.ascii_city_key)
+
+
 def mth01_haversine(v: Views) -> DataFrame:
     a = v.localities.repartition(32)
     b = v.localities.select(F.col("row_no").alias("other"), F.col("latitude").alias("lat2"), F.col("longitude").alias("lon2"))
@@ -393,6 +400,9 @@ SQL = {
     "join19_resolve": f"WITH {_DEDUP} SELECT l.row_no, d.locality_id FROM v_localities l LEFT JOIN ded d ON d.locality_id = l.postal_code || ':' || lower(l.city)",
     "srt07_locality_search": f"WITH {_DEDUP}, k AS (SELECT locality_id, CASE WHEN postal_code || ' ' || city = '10' THEN 0 WHEN postal_code = '10' THEN 1 WHEN city = '10' THEN 2 WHEN starts_with(postal_code || ' ' || city, '10') THEN 3 WHEN starts_with(postal_code, '10') THEN 4 WHEN starts_with(city, '10') THEN 5 WHEN contains(postal_code || ' ' || city, '10') THEN 6 END AS rank FROM ded) SELECT locality_id, rank FROM k WHERE rank IS NOT NULL ORDER BY rank, locality_id LIMIT 20",
     "mth01_haversine": f"SELECT a.row_no, b.row_no AS other, round({haversine_sql('a.latitude', 'a.longitude', 'b.latitude', 'b.longitude')}, 3) AS metres FROM v_localities a CROSS JOIN v_localities b",
+    "srt07_batch_search": f"""WITH {_DEDUP}, asked AS (SELECT row_no AS request_id, lower(trim(substr(postal_code || ' ' || city, CAST(1 + row_no % 10 AS INT), CAST(1 + row_no % 7 AS INT)))) AS q FROM v_localities), qs AS (SELECT DISTINCT q FROM asked WHERE q <> ''),
+ k AS (SELECT q, locality_id, CASE WHEN postal_code || ' ' || city = q THEN 0 WHEN postal_code = q THEN 1 WHEN city = q THEN 2 WHEN starts_with(postal_code || ' ' || city, q) THEN 3 WHEN starts_with(postal_code, q) THEN 4 WHEN starts_with(city, q) THEN 5 WHEN contains(postal_code || ' ' || city, q) THEN 6 END AS rank FROM qs CROSS JOIN ded),
+ top AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY rank, locality_id) AS place FROM k WHERE rank IS NOT NULL) SELECT request_id, CAST(place AS INT) AS place, locality_id, rank FROM asked JOIN top USING (q) WHERE place <= 20""",
     "mth05_hex_cells": f"WITH {_hex_sql('v_localities')} SELECT row_no, q, r FROM hx",
     "agg11_hex_min": f"WITH {_REACH} SELECT q, r, minutes FROM hm",
     "agg12_bounds": f"WITH {_REACH}, c AS (SELECT {_CORNER}, unnest(range(6)) AS k FROM hm), p AS (SELECT degrees((cx + 1800 * cos(radians(60.0 * k - 30))) / 6378137.0) AS lon, degrees(2 * atan(exp((cy + 1800 * sin(radians(60.0 * k - 30))) / 6378137.0)) - pi() / 2) AS lat FROM c) SELECT round(min(lon), 6) AS min_lon, round(min(lat), 6) AS min_lat, round(max(lon), 6) AS max_lon, round(max(lat), 6) AS max_lat FROM p",
@@ -402,7 +412,7 @@ SQL = {
 OVER_VIEWS = [
     flt01_active_services, src06_active_trips, src07_rail_routes, flt04_retained_trips, agg04_manifest_counts, val02_stop_time_violations, val05_window_overlaps, agg02_routing_trips, tt01_frequency_instances,
     agg05_route_patterns, tt03_chains, tt04_dense_stops, tt06_pattern_times, join06_places, join07_sibling_edges, xf01_transfer_edges, agg07_station_activity, join10_station_choice, rp01_departure_slots, rp02_initial_access,
-    rp05_round1_arrivals, rp09_shared_labels, rp10_fastest_window, rp10_whole_window, rp11_reachable_localities, mx01_transit_rows, rd03_road_matrix, rt01_travel_time, flt10_reachable, agg01_locality_dedup, join19_resolve, srt07_locality_search,
+    rp05_round1_arrivals, rp09_shared_labels, rp10_fastest_window, rp10_whole_window, rp11_reachable_localities, mx01_transit_rows, rd03_road_matrix, rt01_travel_time, flt10_reachable, agg01_locality_dedup, join19_resolve, srt07_locality_search, srt07_batch_search,
     mth01_haversine, mth05_hex_cells, agg11_hex_min, agg12_bounds, geo01_features,
 ]
 
