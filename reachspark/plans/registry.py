@@ -418,16 +418,16 @@ OVER_VIEWS = [
 
 
 def queries() -> dict:
-    from reachspark.plans import products  # it builds on this module
+    from reachspark.plans import faults, products  # they build on this module
 
-    out = {f.__name__: (lambda spark, sf_dir, f=f: f(Views(spark, sf_dir))) for f in [*OVER_VIEWS, *products.OVER_VIEWS]}
+    out = {f.__name__: (lambda spark, sf_dir, f=f: f(Views(spark, sf_dir))) for f in [*OVER_VIEWS, *products.OVER_VIEWS, *faults.OVER_VIEWS]}
     return out | {"str01_normalise": str01_normalise}
 
 
 def oracle_sql() -> dict[str, str]:
-    from reachspark.plans import products
+    from reachspark.plans import faults, products
 
-    return {name: with_views(sql) for name, sql in (SQL | products.SQL).items()}
+    return {name: with_views(sql) for name, sql in (SQL | products.SQL | faults.SQL).items()}
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
