@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reachspark.checks import duplicates, union, violation
+from reachspark.checks import duplicates, found, union, violation
 from reachspark.config import Scenario
 from reachspark.functions.timefn import valid_date
 
@@ -30,9 +30,12 @@ def calendar_violations(calendar: DataFrame, exceptions: DataFrame, start: str,
     return union(
         duplicates(calendar, ["service_id"], "SRC-04.repeated"),
         violation(calendar, "SRC-04.date", "service_id", "period is not two dates in order", ~valid_date(F.col("start_date")) | ~valid_date(F.col("end_date")) | (F.col("start_date") > F.col("end_date"))),
-        violation(exceptions, "SRC-05.date", at, "not a date", ~valid_date(F.col("date"))),
-        violation(exceptions, "SRC-05.range", at, "outside the feed's period", ~F.col("date").between(start, end)),
-        violation(exceptions, "SRC-05.type", at, "exception type is not 1 or 2", ~F.coalesce(F.col("exception_type").isin(1, 2), F.lit(False))),
+        found(
+            exceptions,
+            ("SRC-05.date", at, "not a date", ~valid_date(F.col("date"))),
+            ("SRC-05.range", at, "outside the feed's period", ~F.col("date").between(start, end)),
+            ("SRC-05.type", at, "exception type is not 1 or 2", ~F.coalesce(F.col("exception_type").isin(1, 2), F.lit(False))),
+        ),
         duplicates(exceptions, ["service_id", "date"], "SRC-05.repeated"),
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reachspark.checks import union, violation
+from reachspark.checks import found, violation
 from reachspark.schemas import MAX_TIME
 
 
@@ -23,9 +23,10 @@ def typed_rules(raw: DataFrame) -> DataFrame:
 
 def rule_violations(rules: DataFrame) -> DataFrame:
     at = F.concat_ws("->", "from_stop_id", "to_stop_id")
-    return union(
-        violation(rules, "VAL-06.type", at, "unknown transfer type", F.col("transfer_type").isNull()),
-        violation(rules, "VAL-06.time", at, "bad transfer time", F.col("has_time") & (F.col("seconds").isNull() | (F.col("seconds") > MAX_TIME))),
+    return found(
+        rules,
+        ("VAL-06.type", at, "unknown transfer type", F.col("transfer_type").isNull()),
+        ("VAL-06.time", at, "bad transfer time", F.col("has_time") & (F.col("seconds").isNull() | (F.col("seconds") > MAX_TIME))),
     )
 
 

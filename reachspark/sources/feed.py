@@ -9,6 +9,7 @@ from reachspark.checks import duplicates, enforce, integer, union, violation
 from reachspark.config import Scenario
 from reachspark.functions.timefn import seconds, valid_date
 from reachspark.operators import calendar, stops, transfers, trips
+from reachspark.plans.cut import cut
 from reachspark.schemas import FEED, FEED_OPTIONAL, WEEKDAYS
 from reachspark.sources.records import HeaderError, read_records  # noqa: F401
 
@@ -28,8 +29,16 @@ def contiguity_violations(stop_times: DataFrame, trips: DataFrame) -> DataFrame:
     """Trips (trip_id) whose rows in stop_times (ordinal, trip_id; all trips of the file) are not together.
 
     Records are numbered without gaps, so a trip's rows are together exactly if its numbers span as many records as it has: one partial aggregation, no order over the file."""
-    spans = stop_times.groupBy("trip_id").agg(F.min("ordinal").alias("first"), F.max("ordinal").alias("last"), F.count("*").alias("n"))
-    return violation(spans.where("last - first + 1 <> n").join(trips.select("trip_id"), "trip_id", "left_semi"), "SRC-09.contiguity", "trip_id", "its rows are not together")
+    return span_violations(spans(stop_times), trips)
+
+
+def spans(stop_times: DataFrame) -> DataFrame:
+    """(trip_id, first, last, n): of each trip its first and last place in the file, and its rows."""
+    return stop_times.groupBy("trip_id").agg(F.min("ordinal").alias("first"), F.max("ordinal").alias("last"), F.count("*").alias("n"))
+
+
+def span_violations(spans_: DataFrame, trips: DataFrame) -> DataFrame:
+    return violation(spans_.where("last - first + 1 <> n").join(trips.select("trip_id"), "trip_id", "left_semi"), "SRC-09.contiguity", "trip_id", "its rows are not together")
 
 
 class Feed:
@@ -37,6 +46,8 @@ class Feed:
 
     def __init__(self, spark: SparkSession, folder: str, scenario: Scenario):
         self.spark, self.folder, self.scenario = spark, folder, scenario
+        self._read: dict[str, DataFrame] = {}
+        self._kept: set[str] = set()
         info = read_table(spark, folder, "feed_info").take(2)
         if len(info) != 1:
             raise ValueError("feed_info must have one row")
@@ -46,7 +57,10 @@ class Feed:
             raise ValueError(f"{scenario.gtfs_date} is outside the feed's period {self.start} to {self.end}")
 
     def _raw(self, name: str, ordinal: bool = False) -> DataFrame:
-        return read_table(self.spark, self.folder, name, ordinal)
+        """A file as text. Its header and the quotes of its splits are looked at once, and plans that read it twice can share its shuffles."""
+        if name not in self._read:
+            self._read[name] = read_table(self.spark, self.folder, name, ordinal=True)
+        return self._read[name] if ordinal else self._read[name].drop("ordinal")
 
     @property
     def calendar(self) -> DataFrame:
@@ -100,14 +114,27 @@ class Feed:
 
     def contiguity_violations(self) -> DataFrame:
         """Active trips whose rows come back after another trip's rows, whatever that trip's service."""
-        return contiguity_violations(self._raw("stop_times", ordinal=True), self.trips)
+        return span_violations(self._spans, self.trips)
+
+    @property
+    def _spans(self) -> DataFrame:
+        return spans(self._raw("stop_times", ordinal=True))
+
+    def keep(self) -> Feed:
+        """Parses every file once: its records lie as a table in the shared folder from then on, and whatever is asked next reads only the columns it needs."""
+        for name in FEED:
+            if name != "feed_info" and name not in self._kept:
+                self._read[name] = cut(self._raw(name, ordinal=True))
+                self._kept.add(name)
+        return self
 
     def violations(self) -> DataFrame:
         from reachspark.checks import frequency_violations, missing, stop_time_violations
 
-        raw_trips, st, cal = self._raw("trips"), self.raw_stop_times, self.calendar
+        self.keep()
+        # of stop times one pass judges the rows and one counts them by trip; all that is asked of trips as such is asked of those counts
+        raw_trips, st, cal, in_file = self._raw("trips"), self.raw_stop_times, self.calendar, self._spans
         flags = violation(cal, "SRC-04.flag", "service_id", "weekday flag is not 0 or 1", F.lit(False) if not WEEKDAYS else F.greatest(*[F.col(d).isNull().cast("int") for d in WEEKDAYS]) == 1)
-        kinds = violation(st, "VAL-02.kind", "trip_id", "pickup or drop-off type is not 0 to 3", F.col("pickup_type").isNull() | F.col("drop_off_type").isNull())
         rules = transfers.typed_rules(self._raw("transfers"))
         return union(
             calendar.calendar_violations(cal, self.calendar_dates, self.start, self.end),
@@ -117,12 +144,11 @@ class Feed:
             duplicates(raw_trips, ["trip_id"], "SRC-06.repeated"),
             stops.stop_violations(self.stops),
             stop_time_violations(st, self.stops.where("kind is not null")),
-            kinds,
-            missing(self._raw("stop_times"), raw_trips, "trip_id", "VAL-04.stop_times"),
+            missing(in_file, raw_trips, "trip_id", "VAL-04.stop_times"),
             missing(self._raw("frequencies"), raw_trips, "trip_id", "VAL-04.frequencies"),
-            missing(self.trips, st, "trip_id", "VAL-04.no_stop_times"),
+            missing(self.trips, in_file, "trip_id", "VAL-04.no_stop_times"),
             frequency_violations(self.frequencies),
-            self.contiguity_violations(),
+            span_violations(in_file, self.trips),
             transfers.rule_violations(rules),
             transfers.untimed_violations(self.transfers),
         )
