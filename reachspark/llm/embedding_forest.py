@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reachspark.llm.components import connected_components, least_by_root
-from reachspark.llm.session import discard, materialise, partitions, release_shuffles
+from reachspark.llm.session import discard, join_skewed, materialise, partitions, release_shuffles
 
 #: Trees, half width of the overlap at a split, vectors the splits are fitted on, vectors wanted in a leaf, rows of a tile's side, random directions of which a split takes the best.
 TREES, SPILL, SAMPLE, LEAF, TILE, TRIED = 3, 0.014, 80_000, 256, 1024, 4
@@ -212,7 +212,7 @@ def link_embeddings(table: DataFrame, cosine: float = 0.98, trees: int = TREES,
     comps = connected_components(found.select(F.col("sid").alias("a"), F.col("star").alias("b")))
     counts = found.groupBy("sid").agg(F.sum("n").alias("others"))
     rooted = materialise(nodes.select("sid", "least", "n").join(comps.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid")), "rooted")
-    named = least_by_root(rooted, "least", "component_id").join(counts, "sid", "left").select("sid", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id")
-    linked = good.select("vec_id", "sid").join(named, "sid").select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
+    named = least_by_root(rooted, "least", "component_id").join(counts, "sid", "left").select("sid", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id", "n")
+    linked = join_skewed(good.select("vec_id", "sid"), materialise(named, "named"), "sid").select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
     alone = keyed.where("not ok").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     return linked.unionByName(alone)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from reachspark.llm import textkernel as K
 from reachspark.llm.components import least_by_root
 from reachspark.llm.neardup import Linker
-from reachspark.llm.session import Bloom, bounded_batches, discard, materialise, release_shuffles, small, thrifty
+from reachspark.llm.session import Bloom, bounded_batches, discard, join_skewed, materialise, release_shuffles, small, thrifty
 
 CHARS = 5
 BANDS, ROWS = 36, 7  # at similarity 0.8 a pair of lines shares no band once in 4,800, at 0.85 once in 1,300,000
@@ -188,8 +188,8 @@ def dedup_lines(docs: DataFrame, percent: int = 80, chars: int = CHARS, bands: i
     # lines that are alone lose nothing and need no second look
     rooted = first.join(small(comps.withColumnRenamed("node", "sid")), "sid", "left").where("n > 1 or root is not null").withColumn("root", F.coalesce("root", "sid"))
     rooted = materialise(rooted, "rooted")
-    keep = materialise(least_by_root(rooted, "first", "keep").select("sid", "keep"), "keep")
-    gone = lines.join(small(keep, width=64), "sid").where(place != F.col("keep")).groupBy("doc_id", "thash").agg(F.collect_set("line").alias("gone"))
+    keep = materialise(least_by_root(rooted, "first", "keep").select("sid", "keep", "n"), "keep")
+    gone = join_skewed(lines, keep, "sid", width=64).where(place != F.col("keep")).groupBy("doc_id", "thash").agg(F.collect_set("line").alias("gone"))
     gone = materialise(gone, "gone")
     for done in (seen[0], rooted, keep):
         discard(done)

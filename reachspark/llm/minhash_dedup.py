@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from reachspark.llm import textkernel as K
 from reachspark.llm.components import least_by_root
 from reachspark.llm.neardup import Linker
-from reachspark.llm.session import Bloom, discard, materialise, small, thrifty
+from reachspark.llm.session import Bloom, discard, join_skewed, materialise, small, thrifty
 
 BANDS, ROWS = 28, 5  # at similarity 0.8 a pair shares no band once in 65,000
 
@@ -34,14 +34,14 @@ def _described(shingles: K.Shingles, width: int, with_text: bool):
 
 
 def _rooted(docs: DataFrame, words: int, percent: int, miss: float, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
-    """Rows of docs (doc_id, thash, sid, n_shingles), and of each set its root and the first of the root's rows, by (id, text's hash), rows without an id last: (sid, component)."""
+    """Rows of docs (doc_id, thash, sid, n_shingles), and of each set its root and the first of the root's rows, by (id, text's hash), rows without an id last: (sid, component, n), n being the number of the set's rows."""
     spark = docs.sparkSession
     shingles, text = K.Shingles("words", words), F.col("text").cast("string")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("thash"), text.alias("text"))
     base = materialise(docs.mapInArrow(thrifty(_described(shingles, bands * rows, False)), "doc_id long, thash long, sid long, n_shingles long, sig binary"), "docs")
     full = base.where("n_shingles > 0")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "thash")
-    first = materialise(full.groupBy("sid").agg(F.min(place).alias("first")), "first")
+    first = materialise(full.groupBy("sid").agg(F.min(place).alias("first"), F.count("*").alias("n")), "first")
 
     def fetch(sids: DataFrame) -> DataFrame:
         ids = first.join(sids, "sid", "left_semi").select(F.col("first.doc_id").alias("least"))
@@ -54,7 +54,8 @@ def _rooted(docs: DataFrame, words: int, percent: int, miss: float, bands: int,
 
     comps = Linker(spark, full.select("sid", "sig"), fetch, shingles, percent, bands, rows, miss, describe).components()
     rooted = materialise(first.join(comps.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid")), "rooted")
-    named = least_by_root(rooted, "first", "component").select("sid", "component")
+    named = materialise(least_by_root(rooted, "first", "component").select("sid", "component", "n"), "named")
+    discard(rooted)
     discard(first)
     return base, named
 
@@ -77,7 +78,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
     """
     base, named = _rooted(docs, words, percent, miss, bands, rows)
     blank = base.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
-    linked = base.where("n_shingles > 0").join(named, "sid").select("doc_id", "n_shingles", F.col("component.doc_id").alias("component_id"))
+    linked = join_skewed(base.where("n_shingles > 0").select("doc_id", "sid", "n_shingles"), named, "sid").select("doc_id", "n_shingles", F.col("component.doc_id").alias("component_id"))
     return linked.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())).unionByName(blank)
 
 
@@ -89,7 +90,7 @@ def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     base, named = _rooted(docs, words, percent, 1e-5, BANDS, ROWS)
     key = ["doc_id", "thash"]
     count = base.groupBy(*key).agg(F.any_value("sid").alias("sid"), F.max("n_shingles").alias("n_shingles"), F.count("*").alias("n"))
-    judged = count.join(named, "sid", "left").withColumn("goes", (F.col("n_shingles") > 0) & ~(F.col("doc_id").eqNullSafe(F.col("component.doc_id")) & (F.col("thash") == F.col("component.thash"))))
+    judged = join_skewed(count.where("n_shingles > 0"), named, "sid").unionByName(count.where("n_shingles = 0"), allowMissingColumns=True).withColumn("goes", (F.col("n_shingles") > 0) & ~(F.col("doc_id").eqNullSafe(F.col("component.doc_id")) & (F.col("thash") == F.col("component.thash"))))
     touched = materialise(judged.where("goes or n > 1").select(F.col("doc_id").alias("id"), F.col("thash").alias("th"), "goes"), "touched")
     discard(base)
     # most rows are not among those: a filter lets them by, only the others travel

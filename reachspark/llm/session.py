@@ -98,6 +98,27 @@ def small(df: DataFrame, rows: int | None = None, width: int = 16) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS and n * width <= BROADCAST_BYTES else df
 
 
+#: A key that holds more than one of HEAVY rows is a heavy one: fewer than HEAVY keys can be, whatever the data, so what is known of them may always be broadcast.
+HEAVY = 4096
+
+
+def join_skewed(rows: DataFrame, named: DataFrame, key: str, n: str = "n", least: int = 1000, width: int = 0) -> DataFrame:
+    """rows joined with named on key. named: one row for each key, written already, with the number of its rows in ``n``, which the result lacks.
+
+    Rows of heavy keys (more than ``least`` of them, too) stay where they are and meet a broadcast of fewer than HEAVY rows of named; only the others are shuffled, so
+    no task gets more than one of HEAVY rows by one key. With a width (bytes of a row of named), a table that ``small`` lets by is broadcast whole instead. Null keys join with nothing."""
+    if width:
+        count = named.count()
+        if count <= BROADCAST_ROWS and count * width <= BROADCAST_BYTES:
+            return rows.join(F.broadcast(named.drop(n)), key)
+    total = named.agg(F.sum(n)).first()[0] or 0
+    limit = max(least, total // HEAVY)
+    heavy, rest = named.where(F.col(n) > limit).drop(n), named.where(F.col(n) <= limit).drop(n)
+    if heavy.isEmpty():
+        return rows.join(rest, key)
+    return rows.join(F.broadcast(heavy), key).unionByName(rows.join(F.broadcast(heavy.select(key)), key, "left_anti").join(rest, key))
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Lets Spark delete shuffle files that no plan refers to any more: it notices when the driver's JVM collects garbage, which can take half an hour by itself."""
     import gc
