@@ -19,7 +19,9 @@ BANDS, ROWS = 36, 7  # at similarity 0.8 a pair of lines shares no band once in
 #: Lines of up to so many distinct shingles have MinHash values of independent hashes: one permutation varies too much for them.
 SHORT = 64
 #: Bytes of text whose signatures are made at once.
-SIGNED = 1 << 18
+SIGNED = 1 << 19
+#: Blanks at the ends of lines that are taken off one by one; where lines have more, all bytes of their texts are looked at.
+TRIMS = 6
 LOW = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 
 
@@ -27,17 +29,31 @@ def _lines(data: np.ndarray, off: np.ndarray, i: int, j: int) -> tuple[np.ndarra
     """Non-blank lines of texts i to j-1, trimmed and A-Z lowered: joined bytes, their bounds, text of each line, number of each in its text."""
     d = data[off[i] : off[j]]
     start, end, first = K.line_spans(d, off[i : j + 1] - off[i])
-    solid = np.flatnonzero(K.SPACED[d])
-    a, b = np.searchsorted(solid, start), np.searchsorted(solid, end)
-    some = b > a
-    if not some.any():
+    some = np.flatnonzero(end > start)
+    s, e = start[some], end[some]
+    for step in range(TRIMS):  # few lines begin or end in more than a blank or two
+        if not len(s):
+            break
+        left, right = ~K.SPACED[d[s]], ~K.SPACED[d[e - 1]]
+        if not left.any() and not right.any():
+            break
+        s, e = s + left, e - right
+        keep = e > s
+        if not keep.all():
+            some, s, e = some[keep], s[keep], e[keep]
+    else:
+        solid = np.flatnonzero(K.SPACED[d])
+        at, to = np.searchsorted(solid, s), np.searchsorted(solid, e)
+        keep = to > at
+        some, s, e = some[keep], solid[at[keep]], solid[to[keep] - 1] + 1
+    if not len(some):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    s, e = solid[a[some]], solid[b[some] - 1] + 1
-    inside = np.zeros(len(d) + 1, np.int8)
-    inside[s] += 1
-    np.subtract.at(inside, e, 1)
-    text = np.searchsorted(first, np.flatnonzero(some), side="right") - 1
-    return LOW[d[np.cumsum(inside)[:-1] > 0]], np.concatenate([[0], np.cumsum(e - s)]), text, np.flatnonzero(some) - first[text]
+    edge = np.empty(2 * len(s) + 1, np.int64)
+    edge[0], edge[1::2], edge[2::2] = 0, s, e
+    inside = np.zeros(2 * len(s), bool)
+    inside[1::2] = True
+    text = np.searchsorted(first, some, side="right") - 1
+    return LOW[d[: e[-1]][np.repeat(inside, np.diff(edge))]], np.concatenate([[0], np.cumsum(e - s)]), text, some - first[text]
 
 
 def _line_ids(flat: np.ndarray, bound: np.ndarray) -> np.ndarray:
@@ -90,6 +106,15 @@ class Fresh:
         return np.array(new, np.int64)
 
 
+def _some(cp: np.ndarray, size: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Characters of the given lines (in order) alone, and their bounds."""
+    if len(rows) < len(size):
+        chosen = np.zeros(len(size), bool)
+        chosen[rows] = True
+        cp = cp[np.repeat(chosen, size)]
+    return cp, np.concatenate([[0], np.cumsum(size[rows])])
+
+
 def _signed(k: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh = Fresh()
@@ -103,26 +128,32 @@ def _signed(k: int, width: int):
                 own = fresh.first(ids)
                 if not len(own):
                     continue
-                flat, bound = K.take_sets(flat, bound, own)
+                own.sort()
                 ids = ids[own]
-                g, gb = K.char_grams(flat.tobytes(), bound, k)
+                cp, bound = K.characters(*_some(flat, np.diff(bound), own))
                 # sets of few shingles get independent hashes, others one permutation; sizes between get both, so
                 # that two sets with sizes within a quarter of each other have one kind in common. Repeats don't count: lines with equal sets are of one size, however
-                # long they are. A set has at least as many shingles as bins that it fills; only where that leaves the kind open are they counted
-                size = np.diff(gb)
+                # long they are. A set has at least as many shingles as bins that it fills; only where that leaves the kind open are they counted.
+                # A line of fewer than k characters is its own only shingle: it is like no other line
+                chars = np.diff(bound)
+                size = chars - k + 1
                 long = np.flatnonzero(size > SHORT)
                 if len(long):
-                    sub, sb = K.take_sets(g, gb, long)
-                    sig, filled = K.one_permutation(sub, sb, width)
+                    sub, sb = _some(cp, chars, long)
+                    g = K.run_hashes(sub, k)
+                    sig, filled = K.one_permutation_of_runs(g, sb, k, width)
                     open_ = np.flatnonzero(filled <= SHORT * 5 // 4)
                     size[long] = np.maximum(filled, SHORT + SHORT)
-                    if len(open_):
-                        size[long[open_]] = np.diff(K.unique_sets(*K.take_sets(sub, sb, open_))[1])
+                    for r in open_.tolist():
+                        x = np.sort(g[sb[r] : sb[r + 1] - k + 1])
+                        size[long[r]] = 1 + np.count_nonzero(x[1:] != x[:-1])
                     keep = size[long] > SHORT
                     yield _kinds(ids[long[keep]], sig[keep], 1)
-                rows = np.flatnonzero(size <= SHORT * 5 // 4)
+                rows = np.flatnonzero((size > 0) & (size <= SHORT * 5 // 4))
                 if len(rows):
-                    yield _kinds(ids[rows], K.signatures(*K.take_sets(g, gb, rows), width), 0)
+                    sub, sb = _some(cp, chars, rows)
+                    g = K.run_hashes(sub, k)
+                    yield _kinds(ids[rows], K.signatures(*K.within(g, sb, k), width), 0)
 
     return run
 
@@ -131,27 +162,6 @@ def _kinds(ids: np.ndarray, sig: np.ndarray, kind: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([K.longs(ids), K.binary(np.hstack([sig, np.full((len(ids), 1), kind, np.uint8)]))], ["sid", "sig"])
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        texts, gone = b.column(1).to_pylist(), b.column(2).to_pylist()
-        out, lines, kept = [], [], []
-        for t, g in zip(texts, gone):
-            if t is None:
-                out.append(None)
-                lines.append(0)
-                kept.append(0)
-                continue
-            part = t.split("\n")
-            lines.append(len(part))
-            if g:
-                drop = set(g)
-                part = [x for n, x in enumerate(part) if n not in drop]
-                t = "\n".join(part)
-            kept.append(len(part))
-            out.append(t)
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string()), pa.array(lines, pa.int64()), pa.array(kept, pa.int64())], ["row", "clean", "n_lines", "n_kept"])
-
-
 def dedup_lines(docs: DataFrame, percent: int = 80, chars: int = CHARS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Documents without the lines that nearly equal an earlier line.
 
@@ -202,4 +212,7 @@ def dedup_lines(docs: DataFrame, percent: int = 80, chars: int = CHARS, bands: i
     whole = keyed.where("not may").select("row", F.col("text").alias("clean"), n.alias("n_lines"), n.alias("n_kept"))
     lists = gone.withColumnRenamed("doc_id", "gone_id").withColumnRenamed("thash", "gone_hash")
     some = keyed.where("may").join(lists, (F.col("thash") == F.col("gone_hash")) & F.col("doc_id").eqNullSafe(F.col("gone_id")), "left").select("row", "text", "gone")
-    return whole.unionByName(some.mapInArrow(thrifty(_cut), some.select("row").schema.add("clean", "string").add("n_lines", "long").add("n_kept", "long")))
+    parts = F.split("text", "\n", -1)
+    left = F.when(F.col("gone").isNull(), parts).otherwise(F.filter(parts, lambda x, i: ~F.array_contains("gone", i)))
+    cut = some.select("row", "text", n.alias("n_lines"), left.alias("left"))
+    return whole.unionByName(cut.select("row", F.array_join("left", "\n").alias("clean"), "n_lines", F.coalesce(F.size("left"), F.lit(0)).cast("long").alias("n_kept")))

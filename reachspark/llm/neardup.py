@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from reachspark.llm import textkernel as K
 from reachspark.llm.components import connected_components
-from reachspark.llm.session import discard, materialise, partitions, release_shuffles, small, thrifty
+from reachspark.llm.session import Bloom, discard, materialise, partitions, release_shuffles, small, thrifty
 
 #: Signatures whose band keys are held at once before they are grouped.
 SEGMENT = 20_000
@@ -55,15 +55,47 @@ def survives(sa: np.ndarray, sb: np.ndarray, rule: list[tuple[int, int]]) -> np.
 
 
 def grouped(key: np.ndarray, who: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Rows in order of key: keys, members, where a key begins, and the least member of each row's key."""
-    order = np.argsort(key)
-    key, who = key[order], who[order]
+    """Rows in order of key: keys, members, where a key begins, and the least member of each row's key.
+
+    Keys are compared by their upper bits, 32 or more: as many as leave room for a row's number beside them, so that plain numbers are sorted; the others are zero in the result."""
+    low = max(len(key) - 1, 1).bit_length()
+    if low <= 32:
+        mask = np.uint64((1 << low) - 1)
+        key = key & ~mask | np.arange(len(key), dtype=np.uint64)
+        key.sort()
+        who = who[(key & mask).view(np.int64)]
+        key &= ~mask
+    else:
+        order = np.argsort(key)
+        key, who = key[order], who[order]
     first = np.ones(len(key), bool)
     first[1:] = key[1:] != key[:-1]
     at = np.flatnonzero(first)
     return key, who, first, np.repeat(np.minimum.reduceat(who, at), np.diff(np.append(at, len(key)))) if len(at) else who
 
 
+def shard_bounds(shards: int) -> np.ndarray:
+    """Where the ranges of a key's upper 32 bits begin that are the shards, and where the last ends."""
+    return np.array([-(-s * (1 << 32) // shards) for s in range(shards + 1)], np.uint64)
+
+
+def bucket_ids(key: np.ndarray, shards: int) -> np.ndarray:
+    """What band keys are told apart by: their shard, and 32 of the bits below those that a shard has in common. Rounds use the same ids, so their buckets are the same ones."""
+    spare = min(10, shards.bit_length() - 1)
+    shard = (key >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)
+    return shard << np.uint64(32) | key >> np.uint64(32 - spare) & np.uint64(0xFFFFFFFF)
+
+
+def distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs without repeats."""
+    with np.errstate(over="ignore"):
+        order = np.argsort(K.mix(a.view(np.uint64) * np.uint64(K._BASE) ^ b.view(np.uint64)))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return a[new], b[new]
+
+
 def tile_pairs(members: DataFrame, tile: int = TILE) -> tuple[DataFrame, DataFrame]:
     """Members (bkey, sid, comp, n) of buckets with their tile t, and the pairs of tiles (bkey, x, y) that hold all pairs of members in different components.
 
@@ -121,18 +153,16 @@ class Linker:
                 _, at = np.unique(sids ^ (kind << 56), return_index=True)
                 sids = sids[at]
                 key, who, first, lead = grouped(K.band_keys(sig[at], bands, rows).ravel(), np.repeat(sids, bands))
-                rest = lead != who
-                pair = np.unique(np.stack([lead[rest], who[rest]], 1), axis=0)
-                shard = (key[first] % np.uint64(shards)).astype(np.int64)
-                order = np.argsort(shard, kind="stable")
-                cut = np.searchsorted(shard[order], np.arange(shards + 1))
-                k1, w1 = key[first][order], lead[first][order]
-                k1 = (k1 >> np.uint64(32)).astype(np.uint32)  # with the shard, about 40 bits or more of a key
-                out = [(s, 0, k1[a:b].tobytes(), w1[a:b].tobytes()) for s, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())) if b > a]
-                spot = pair[:, 0].view(np.uint64) % np.uint64(shards)
+                rest = np.flatnonzero(lead != who)
+                p, q = distinct_pairs(lead[rest], who[rest])
+                # keys are sorted, and a shard is a range of them
+                key, lead = key[first], lead[first]
+                cut = np.searchsorted(key >> np.uint64(32), shard_bounds(shards))
+                k1 = bucket_ids(key, shards).astype(np.uint32)
+                out = [(s, 0, k1[a:b].tobytes(), lead[a:b].tobytes()) for s, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())) if b > a]
+                spot = p.view(np.uint64) % np.uint64(shards)
                 for s in np.unique(spot).tolist():
-                    p = pair[spot == s]
-                    out.append((s, 1, np.ascontiguousarray(p[:, 0]).tobytes(), np.ascontiguousarray(p[:, 1]).tobytes()))
+                    out.append((s, 1, p[spot == s].tobytes(), q[spot == s].tobytes()))
                 return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary(), pa.binary()))], ["shard", "kind", "x", "y"])
 
             have: list[tuple[np.ndarray, np.ndarray]] = []
@@ -149,7 +179,7 @@ class Linker:
                 yield flush(np.concatenate([h[0] for h in have]), np.concatenate([h[1] for h in have]))
 
         def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            keys, whos = [], []
+            parts: dict[int, list[tuple]] = {}
             for b in batches:
                 for shard, kind, x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3)):
                     y = np.frombuffer(y.as_buffer(), np.int64)
@@ -157,18 +187,15 @@ class Linker:
                         x = np.frombuffer(x.as_buffer(), np.int64)
                         yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["a", "b"])
                     else:
-                        keys.append(np.frombuffer(x.as_buffer(), np.uint32).astype(np.uint64) | np.uint64(shard << 32))
-                        whos.append(y.copy())
-            if not keys:
-                return
-            key, who = np.concatenate(keys), np.concatenate(whos)
-            keys.clear()
-            whos.clear()
-            key, who, first, lead = grouped(key, who)
-            rest = lead != who
-            pair = np.unique(np.stack([lead[rest], who[rest]], 1), axis=0)
-            for i in range(0, len(pair), 50_000):
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pair[i : i + 50_000, c])) for c in (0, 1)], ["a", "b"])
+                        parts.setdefault(shard, []).append((np.frombuffer(x.as_buffer(), np.uint32).copy(), y.copy()))
+            for shard in list(parts):
+                have = parts.pop(shard)
+                key = np.concatenate([h[0] for h in have]).astype(np.uint64) << np.uint64(32)
+                _, who, _, lead = grouped(key, np.concatenate([h[1] for h in have]))
+                rest = np.flatnonzero(lead != who)
+                p, q = distinct_pairs(lead[rest], who[rest])
+                for i in range(0, len(p), 50_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(p[i : i + 50_000]), pa.array(q[i : i + 50_000])], ["a", "b"])
 
         prepare = self.prepare
         blobs = self.nodes.mapInArrow(thrifty((lambda batches: group(prepare(batches))) if prepare else group), "shard int, kind int, x binary, y binary")
@@ -186,29 +213,15 @@ class Linker:
                 yield b.select(["a", "b"]).take(pa.array(left))
 
         def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known: tuple[int, np.ndarray] | None = None
             for whole in batches:
                 for i in range(0, whole.num_rows, 200):
                     b = whole.slice(i, 200)
                     a_ids = b.column(0).to_numpy(zero_copy_only=False)
                     fresh = np.ones(len(a_ids), bool)  # rows come sorted by a: its set is made once
                     fresh[1:] = a_ids[1:] != a_ids[:-1]
-                    if known is not None and len(a_ids) and known[0] == a_ids[0]:
-                        fresh[0] = False
-                    made = iter(shingles.all_sets(b.column(2).filter(pa.array(fresh))))
-                    sets_b = shingles.all_sets(b.column(3))
-                    ok = np.zeros(len(a_ids), bool)
-                    for r in range(len(a_ids)):
-                        if fresh[r]:
-                            known = (a_ids[r], next(made))
-                        x, y = known[1], sets_b[r]
-                        if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                            continue
-                        both = np.concatenate([x, y])
-                        both.sort()
-                        inter = int((both[1:] == both[:-1]).sum())
-                        ok[r] = 100 * inter >= percent * (len(x) + len(y) - inter)
-                    yield b.select(["a", "b"]).filter(pa.array(ok))
+                    x = np.cumsum(fresh) - 1
+                    judge = shingles.alike(pa.concat_arrays([b.column(2).filter(pa.array(fresh)), b.column(3)]), x, x[-1] + 1 + np.arange(len(x)), percent)
+                    yield b.select(["a", "b"]).filter(pa.array([judge(r) for r in range(len(x))], pa.bool_()))
 
         if prune_first:
             sig = small(self.heads(), self.n_nodes, self.head + 32)
@@ -240,25 +253,57 @@ class Linker:
         return self.nodes.select("sid", F.concat(F.substring("sig", 1, self.head - 1), F.substring("sig", self.width, 1)).alias("sig"))
 
     def members(self, comps: DataFrame) -> DataFrame:
-        """(bkey, sid, comp, n) of the buckets whose n members are in two or more components so far."""
-        width, bands, rows = self.width, self.bands, self.rows
+        """(bkey, sid, comp, n) of the buckets whose n members are in two or more components so far.
 
-        def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        The one pair of a bucket of two was judged as its centre pair, so such buckets are left out."""
+        width, bands, rows, shards = self.width, self.bands, self.rows, 4 * partitions(self.spark)
+
+        def united(key: np.ndarray, lo: np.ndarray, hi: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+            order = np.argsort(key)
+            key = key[order]
+            at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            return key[at], np.minimum.reduceat(lo[order], at), np.maximum.reduceat(hi[order], at), np.add.reduceat(n[order], at)
+
+        def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            # of each bucket the least and the greatest component and the number of members; blobs for each shard, not a row for each bucket
+            for whole in batches:
+                for i in range(0, whole.num_rows, SEGMENT):
+                    b = whole.slice(i, SEGMENT)
+                    comp = np.repeat(b.column(2).to_numpy(zero_copy_only=False), bands)
+                    found = united(bucket_ids(K.band_keys(K.matrix(b.column(1), width), bands, rows).ravel(), shards), comp, comp, np.ones(len(comp), np.int64))
+                    cut = np.searchsorted(found[0] >> np.uint64(32), np.arange(shards + 1, dtype=np.uint64)).tolist()
+                    some = [s for s in range(shards) if cut[s + 1] > cut[s]]
+                    yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32())] + [pa.array([v[cut[s] : cut[s + 1]].tobytes() for s in some], pa.binary()) for v in found], ["shard", "key", "lo", "hi", "n"])
+
+        def mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            parts: dict[int, list[list[np.ndarray]]] = {}
             for b in batches:
-                key = K.band_keys(K.matrix(b.column(1), width), bands, rows)
-                yield pa.RecordBatch.from_arrays([K.longs(key.ravel())] + [pa.array(np.repeat(b.column(c).to_numpy(zero_copy_only=False), bands)) for c in (0, 2)], ["bkey", "sid", "comp"])
+                for r, shard in enumerate(b.column(0).to_pylist()):
+                    parts.setdefault(shard, []).append([np.frombuffer(b.column(c)[r].as_py(), t) for c, t in ((1, np.uint64), (2, np.int64), (3, np.int64), (4, np.int64))])
+            for shard in list(parts):
+                key, lo, hi, n = united(*(np.concatenate(v) for v in zip(*parts.pop(shard))))
+                several = (lo != hi) & (n > 2)
+                yield pa.RecordBatch.from_arrays([K.longs(key[several]), pa.array(n[several])], ["bkey", "n"])
 
         own = self.nodes.join(small(comps.select(F.col("node").alias("sid"), "root")), "sid", "left").select("sid", "sig", F.coalesce("root", "sid").alias("comp"))
-        placed = own.mapInArrow(thrifty(keyed), "bkey long, sid long, comp long")
-        several = materialise(placed.groupBy("bkey").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).where("lo != hi").select("bkey", "n"), "several")
-        return placed.join(small(several), "bkey")
+        blobs = own.mapInArrow(thrifty(spans), "shard int, key binary, lo binary, hi binary, n binary").repartition("shard")
+        several = materialise(blobs.mapInArrow(thrifty(mixed), "bkey long, n long"), "several")
+        wanted = Bloom(several, "bkey")
+
+        def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                key = bucket_ids(K.band_keys(K.matrix(b.column(1), width), bands, rows).ravel(), shards)
+                at = np.flatnonzero(wanted.has(key))
+                yield pa.RecordBatch.from_arrays([K.longs(key[at])] + [b.column(c).take(pa.array(at // bands)) for c in (0, 2)], ["bkey", "sid", "comp"])
+
+        return own.mapInArrow(thrifty(keyed), "bkey long, sid long, comp long").join(small(several), "bkey")
 
     def tiles(self, members: DataFrame, blocks: DataFrame | None = None) -> DataFrame:
         """Pairs of members of a bucket in different components, compared by signature in tiles of about TILE x TILE at most.
 
         Without blocks: for each component of a tile the pair whose signatures agree most, (a, b). With blocks (sid, block):
         all pairs that the signatures leave, one row (bx, by, pairs) for each two blocks of a tile."""
-        rule, width, bands, rows, whole = self.rule, self.head, self.bands, self.rows, self.head == self.width
+        rule, width, bands, rows, whole, shards = self.rule, self.head, self.bands, self.rows, self.head == self.width, 4 * partitions(self.spark)
         placed, pairs = tile_pairs(members)
         placed = placed.join(small(self.heads(), self.n_nodes, width + 32), "sid")
         if blocks is not None:
@@ -311,7 +356,7 @@ class Linker:
                     row, i, j = row[left], i[left], j[left]
                     ok = np.ones(len(i), bool)
                     if whole:  # a pair is listed in the first bucket that it shares; else once for each, and verified once for each two blocks
-                        kx, ky = K.band_keys(x[2], bands, rows), K.band_keys(y[2], bands, rows)
+                        kx, ky = (bucket_ids(K.band_keys(v[2], bands, rows), shards) for v in (x, y))
                         for s in range(0, len(i), 50_000):
                             part = slice(s, s + 50_000)
                             both_ = kx[i[part]] == ky[j[part]]
@@ -352,39 +397,42 @@ class Linker:
 
         def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in (whole.slice(s, 100) for whole in batches for s in range(0, whole.num_rows, 100)):
-                side = []
-                for c in (1, 2):
-                    m = b.column(c).flatten()
-                    n = pc.fill_null(b.column(c).value_lengths(), 0).to_numpy(zero_copy_only=False)
-                    side.append((np.concatenate([[0], np.cumsum(n)]).tolist(), m.field(0).to_pylist(), m.field(1).to_pylist(), shingles.all_sets(m.field(2))))
-                for r in range(b.num_rows):
-                    sets: dict[int, np.ndarray] = {}
-                    top: dict[int, int] = {}  # component, and what it is joined with in this tile
-                    comp: dict[int, int] = {}
-                    for at, ids, comps_, own in side:
-                        comp.update(zip(ids[at[r] : at[r + 1]], comps_[at[r] : at[r + 1]]))
-                        sets.update(zip(ids[at[r] : at[r + 1]], own[at[r] : at[r + 1]]))
-
-                    def root(v: int) -> int:
-                        while top.get(v, v) != v:
-                            v = top[v]
-                        return v
-
-                    out = []
-                    pairs = np.frombuffer(b"".join(b.column(0)[r].as_py()), np.int64).reshape(-1, 2)
-                    for p, q in (np.unique(pairs, axis=0) if len(pairs) > 1 else pairs).tolist():
-                        u, v = root(comp[p]), root(comp[q])
-                        if u == v:
-                            continue
-                        x, y = sets[p], sets[q]
-                        if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                            continue
-                        both = np.concatenate([x, y])
-                        both.sort()
-                        inter = int((both[1:] == both[:-1]).sum())
-                        if 100 * inter >= percent * (len(x) + len(y) - inter):
-                            out.append((p, q))
-                            top[max(u, v)] = min(u, v)
+                side = [b.column(c).flatten() for c in (1, 2)]
+                sid, comp = (np.concatenate([m.field(q).to_numpy(zero_copy_only=False) for m in side]) for q in (0, 1))
+                tile = np.concatenate([np.repeat(np.arange(b.num_rows), pc.fill_null(b.column(c).value_lengths(), 0).to_numpy(zero_copy_only=False)) for c in (1, 2)])
+                listed = [np.frombuffer(b"".join(v), np.int64).reshape(-1, 2) for v in b.column(0).to_pylist()]
+                row, pairs = np.repeat(np.arange(b.num_rows), [len(v) for v in listed]), np.concatenate(listed)
+                # where the members of each pair are, by tile and id
+                known, code = np.unique(sid, return_inverse=True)
+                place = tile * len(known) + code
+                order = np.argsort(place)
+                x, y = (order[np.searchsorted(place[order], row * len(known) + np.searchsorted(known, pairs[:, q]))] for q in (0, 1))
+                order = np.lexsort((y, x, row))
+                row, x, y = row[order], x[order], y[order]
+                new = np.ones(len(x), bool)
+                new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+                row, x, y = row[new], x[new], y[new]
+                # only texts that are in a pair are looked at
+                used, inv = np.unique(np.concatenate([x, y]), return_inverse=True)
+                texts = pa.concat_arrays([m.field(2) for m in side]).take(pa.array(used))
+                judge = shingles.alike(texts, inv[: len(x)], inv[len(x) :], percent)
+                top: dict[int, int] = {}  # component, and what it is joined with in this tile
+
+                def root(v: int) -> int:
+                    while top.get(v, v) != v:
+                        v = top[v]
+                    return v
+
+                out, now = [], -1
+                for k, (r, i, j) in enumerate(zip(row.tolist(), x.tolist(), y.tolist())):
+                    if r != now:
+                        now = r
+                        top.clear()
+                    u, v = root(int(comp[i])), root(int(comp[j]))
+                    if u != v and judge(k):
+                        out.append((int(sid[i]), int(sid[j])))
+                        top[max(u, v)] = min(u, v)
+                if out:
                     yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in (0, 1)], ["a", "b"])
 
         links = materialise(both.mapInArrow(thrifty(verify), "a long, b long"), "links")

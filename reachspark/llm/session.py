@@ -52,6 +52,8 @@ def release() -> None:
     import pyarrow as pa
 
     gc.collect()
+    if not gc.get_freeze_count():
+        gc.freeze()  # modules stay: later collections need not look through them
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)

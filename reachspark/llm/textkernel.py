@@ -5,7 +5,7 @@ All work on UTF-8 bytes in chunks of a few MB; one text is never cut, however lo
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +39,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-with np.errstate(over="ignore"):
-    _CHAR = mix(np.arange(1 << 14, dtype=np.uint64) + U64(_BASE))  # of the first code points
-
-
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_pow["p"]) < n:
         m = max(n, CHUNK)
@@ -183,36 +179,107 @@ def one_permutation(x: np.ndarray, bound: np.ndarray, k: int) -> tuple[np.ndarra
     depends on the bin alone (optimal densification), so two sets agree in a place as often as their similarity.
     Work for each item doesn't depend on k. Repeats in x do no harm; rows of zeros for empty sets."""
     n = len(bound) - 1
+    spot = (((x & U64(0xFFFFFFFF)) * U64(k)) >> U64(32)).astype(np.int64)
+    spot += np.repeat(np.arange(n) * k, np.diff(bound))
+    return _densified((x >> U64(32)).astype(np.uint32), spot, n, k)
+
+
+def characters(flat: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of joined UTF-8 texts, as bytes where all are below 256, and the texts' bounds in characters."""
+    if not len(flat) or int(flat.max()) < 128:
+        return flat, bound
+    more = np.flatnonzero((flat & 0xC0) == 0x80)  # bytes that begin no character
+    text = flat.tobytes().decode("utf-8", "replace")
+    try:
+        cp = np.frombuffer(text.encode("latin-1"), np.uint8)
+    except UnicodeEncodeError:
+        cp = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    return cp, bound - np.searchsorted(more, bound)
+
+
+def run_hashes(cp: np.ndarray, k: int) -> np.ndarray:
+    """A 64-bit hash of the k characters from each place on, whatever the type of cp; runs of up to 8 characters below 256 never collide."""
+    n = max(0, len(cp) - k + 1)
+    with np.errstate(over="ignore"):
+        if k > 8:
+            h = mix(cp.astype(np.uint64) + U64(_BASE))
+            v = h[:n] * _COMB[0]
+            for t in range(1, k):
+                v += h[t : t + n] * _COMB[t % 64]
+        elif cp.dtype == np.uint8:
+            eight = np.zeros(n + 8 + k, np.uint8)
+            eight[: len(cp)] = cp
+            v = np.ndarray((n,), "<u8", eight, 0, (1,)) & U64((1 << 8 * k) - 1)
+        else:
+            c = cp.astype(np.uint64)
+            wide = np.flatnonzero(cp > 255)
+            c[wide] = mix(c[wide] + U64(_BASE))
+            v = c[:n].copy()
+            for t in range(1, k):
+                v += c[t : t + n] << U64(8 * t)
+        # a finalizer as mix(), in place
+        v *= U64(0xFF51AFD7ED558CCD)
+        v ^= v >> U64(32)
+        v *= U64(0xC4CEB9FE1A85EC53)
+        v ^= v >> U64(29)
+    return v
+
+
+def _across(bound: np.ndarray, k: int, n: int) -> np.ndarray:
+    """Of n runs of k characters of joined texts, those that go on into the next text."""
+    at = (bound[1:-1, None] - np.arange(1, k)).ravel()
+    return at[(at >= np.repeat(bound[:-2], k - 1)) & (at < n)]
+
+
+def within(h: np.ndarray, bound: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the hashes of all runs of joined texts of k characters or more those that lie in one text, and their bounds."""
+    keep = np.ones(len(h), bool)
+    keep[_across(bound, k, len(h))] = False
+    return h[keep], np.concatenate([[0], np.cumsum(np.diff(bound) - k + 1)])
+
+
+def one_permutation_of_runs(h: np.ndarray, bound: np.ndarray, k: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """As one_permutation(*within(h, bound, k), width), for texts of k characters or more."""
+    value = (h >> U64(32)).astype(np.uint32)
+    value[_across(bound, k, len(h))] = 0xFFFFFFFF  # counts in no bin
+    spot = h & U64(0xFFFFFFFF)
+    spot *= U64(width)
+    spot >>= U64(32)
+    spot = spot.view(np.int64)
+    spot += np.repeat(np.arange(len(bound) - 1) * width, np.diff(bound))[: len(h)]
+    return _densified(value, spot, len(bound) - 1, width)
+
+
+def _densified(value: np.ndarray, spot: np.ndarray, n: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of n sets by k bins, and how many bins are filled, from values and their bins."""
     if k not in _probe:
-        _probe[k] = np.random.default_rng(k).integers(0, k, (k, 256)).astype(np.int32)
+        _probe[k] = np.ascontiguousarray(np.random.default_rng(k).integers(0, k, (k, 256)).astype(np.int32).T)
     probe, none = _probe[k], np.uint32(0xFFFFFFFF)
     least = np.full(n * k, none, np.uint32)
-    spot = (((x & U64(0xFFFFFFFF)) * U64(k)) >> U64(32)).astype(np.int64)
-    spot += np.repeat(np.arange(n) * k, np.diff(bound))
-    np.minimum.at(least, spot, (x >> U64(32)).astype(np.uint32))
+    np.minimum.at(least, spot, value)
     least = least.reshape(n, k)
-    have = least != none
-    filled = have.sum(1)
-    out = least.astype(np.uint8)
-    # the place is part of the value: a donor's other borrowers are not the same place
-    salt = np.arange(k, dtype=np.uint32) * np.uint32(37)
-    open_ = ~have & (filled > 0)[:, None]
-    out[(filled == 0), :] = 0
-    for t in range(2):  # most are filled by the first donors: whole columns at a time
-        donor = probe[:, t]
-        ok = open_ & have[:, donor]
-        np.copyto(out, (least[:, donor] * np.uint32(2654435769) + salt >> np.uint32(7)).astype(np.uint8), where=ok)
-        open_ &= ~ok
-    r, c = np.nonzero(open_)
-    for t in range(2, probe.shape[1]):
-        if not len(r):
+    empty = least == none
+    filled = k - np.count_nonzero(empty, axis=1)
+    full = least.copy()
+    for donor in probe[:3]:  # most are filled by the first donors: whole columns at a time
+        np.copyto(full, np.take(least, donor, axis=1), where=full == none)
+    at = np.flatnonzero((full == none) & (filled > 0)[:, None])
+    row = at // k
+    c = at - row * k
+    row *= k
+    for donor in probe[3:]:
+        if not len(at):
             break
-        donor = probe[c, t]
-        ok = have[r, donor]
-        out[r[ok], c[ok]] = least[r[ok], donor[ok]] * np.uint32(2654435769) + salt[c[ok]] >> np.uint32(7)
-        r, c = r[~ok], c[~ok]
-    if len(r):  # after so many misses: the least value of the whole set
-        out[r, c] = least.min(1)[r] * np.uint32(2654435769) + salt[c] >> np.uint32(7)
+        v = least.ravel()[row + donor[c]]
+        full.ravel()[at] = v
+        left = np.flatnonzero(v == none)
+        at, c, row = at[left], c[left], row[left]
+    if len(at):  # after so many misses: the least value of the whole set
+        full.ravel()[at] = least.min(1)[row // k]
+    # the place is part of the value: a donor's other borrowers are not the same place
+    lent = full * np.uint32(2654435769) + np.arange(k, dtype=np.uint32) * np.uint32(37) >> np.uint32(7)
+    out = np.where(empty, lent, least).astype(np.uint8)
+    out[filled == 0, :] = 0
     return out, filled
 
 
@@ -224,11 +291,16 @@ def bloom(x: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """A 64-bit key for each signature and band."""
-    v = sig[:, : bands * rows].reshape(len(sig), bands, rows).astype(np.uint64)
     kind = sig[:, bands * rows :].sum(1, dtype=np.uint64)[:, None]  # signatures of different kinds share no key
-    key = np.zeros((len(sig), bands), np.uint64)
-    for r in range(rows):
-        key |= v[:, :, r] << U64(8 * r)
+    v = sig[:, : bands * rows].reshape(len(sig), bands, rows)
+    if rows <= 8:
+        eight = np.zeros((len(sig), bands, 8), np.uint8)
+        eight[:, :, :rows] = v
+        key = eight.reshape(len(sig), 8 * bands).view("<u8")
+    else:
+        key = np.zeros((len(sig), bands), np.uint64)
+        for r in range(rows):
+            key |= v[:, :, r].astype(np.uint64) << U64(8 * r)
     with np.errstate(over="ignore"):
         return mix(mix(key) + (np.arange(1, bands + 1, dtype=np.uint64) + kind * U64(1000)) * U64(_BASE))
 
@@ -246,15 +318,21 @@ def line_spans(d: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 def char_grams(texts: bytes, bounds: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles of k characters of each UTF-8 text lying between two consecutive bounds; shorter ones give one."""
-    d = np.frombuffer(texts, np.uint8)
-    lead = np.concatenate([[0], np.cumsum((d & 0xC0) != 0x80)])
-    cp = np.frombuffer(texts.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
-    if len(cp) and int(cp.max()) < len(_CHAR):
-        h = _CHAR[cp]
-    else:
-        with np.errstate(over="ignore"):
-            h = mix(cp.astype(np.uint64) + U64(_BASE))
-    return grams(h, lead[bounds], k)
+    cp, bound = characters(np.frombuffer(texts, np.uint8), bounds)
+    count = np.diff(bound)
+    short = np.flatnonzero(count < k)
+    if not len(short):
+        return within(run_hashes(cp, k), bound, k)
+    made = np.where(count >= k, count - k + 1, np.minimum(count, 1))
+    is_long = count >= k
+    out = np.empty(int(made.sum()), np.uint64)
+    where = np.repeat(is_long, made)
+    long = cp[np.repeat(is_long, count)]
+    out[where] = within(run_hashes(long, k), np.concatenate([[0], np.cumsum(count[is_long])]), k)[0]
+    with np.errstate(over="ignore"):
+        h = mix(cp[np.repeat(~is_long, count)].astype(np.uint64) + U64(_BASE))
+    out[~where] = grams(h, np.concatenate([[0], np.cumsum(count[short])]), k)[0]
+    return out, np.concatenate([[0], np.cumsum(made)])
 
 
 def binary(m: np.ndarray) -> pa.Array:
@@ -286,12 +364,64 @@ class Shingles:
     def __init__(self, kind: str, k: int):
         self.kind, self.k = kind, k
 
-    def sets(self, data: np.ndarray, off: np.ndarray, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
+    def loose(self, data: np.ndarray, off: np.ndarray, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the shingles of texts i to j-1, with repeats, and their bounds."""
         if self.kind == "words":
             h, _, at = words(data, off, i, j)
-            return unique_sets(*grams(h, at, self.k))
+            return grams(h, at, self.k)
         low = _LOWER.astype(np.uint8)[data[off[i] : off[j]]]
-        return unique_sets(*char_grams(low.tobytes(), off[i : j + 1] - off[i], self.k))
+        return char_grams(low.tobytes(), off[i : j + 1] - off[i], self.k)
+
+    def sets(self, data: np.ndarray, off: np.ndarray, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
+        return unique_sets(*self.loose(data, off, i, j))
+
+    def alike(self, col: pa.Array, x: np.ndarray, y: np.ndarray, percent: int) -> Callable[[int], bool]:
+        """Whether the texts in rows x[r] and y[r] of col have sets with a similarity of at least percent/100: a function of r. Exact.
+
+        Each set's hashes are marked in a short row of bits. A bit that one of two rows has alone is a shingle of one set alone: most pairs that are
+        unlike have too many of them, and their sets are never made."""
+        data, off = raw(col)
+        bits = 1 << min(13, max(8, (4 * (int(off[-1] - off[0]) // max(len(col), 1) + 1)).bit_length()))
+        loose: list[np.ndarray] = []
+        marks = np.zeros((len(col), bits // 64), np.uint64)
+        for i, j in chunks(off):
+            g, b = self.loose(data, off, i, j)
+            loose += [g[s:e] for s, e in zip(b[:-1].tolist(), b[1:].tolist())]
+            for r in range(i, j, 256):
+                q = min(r + 256, j)
+                lo, hi = b[r - i], b[q - i]
+                spot = (g[lo:hi] >> U64(65 - bits.bit_length())).view(np.int64) + np.repeat(np.arange(q - r) * bits, np.diff(b[r - i : q - i + 1]))
+                flags = np.zeros((q - r) * bits, np.uint8)
+                flags[spot] = 1
+                marks[r:q] = np.packbits(flags.reshape(q - r, bits), axis=1).view(np.uint64)
+        n = np.array([len(g) for g in loose], np.int64)
+        # |A ^ B| (100 + p) <= (100 - p) (|A| + |B|) says the same as similarity >= p/100
+        may = np.empty(len(x), bool)
+        for s in range(0, len(x), 4096):
+            e = slice(s, s + 4096)
+            may[e] = np.bitwise_count(marks[x[e]] ^ marks[y[e]]).sum(1, dtype=np.int64) * (100 + percent) <= (100 - percent) * (n[x[e]] + n[y[e]])
+        own: dict[int, np.ndarray] = {}
+
+        def one(r: int) -> np.ndarray:
+            if r not in own:
+                v = np.sort(loose[r])
+                new = np.ones(len(v), bool)
+                new[1:] = v[1:] != v[:-1]
+                own[r] = v[new]
+            return own[r]
+
+        def judge(r: int) -> bool:
+            if not may[r]:
+                return False
+            u, v = one(int(x[r])), one(int(y[r]))
+            if 100 * min(len(u), len(v)) < percent * max(len(u), len(v)):
+                return False
+            both = np.concatenate([u, v])
+            both.sort()
+            inter = int(np.count_nonzero(both[1:] == both[:-1]))
+            return 100 * inter >= percent * (len(u) + len(v) - inter)
+
+        return judge
 
     def all_sets(self, col: pa.Array) -> list[np.ndarray]:
         data, off = raw(col)
