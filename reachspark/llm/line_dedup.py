@@ -162,6 +162,27 @@ def _kinds(ids: np.ndarray, sig: np.ndarray, kind: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([K.longs(ids), K.binary(np.hstack([sig, np.full((len(ids), 1), kind, np.uint8)]))], ["sid", "sig"])
 
 
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        texts, gone = b.column(1).to_pylist(), b.column(2).to_pylist()
+        out, lines, kept = [], [], []
+        for t, g in zip(texts, gone):
+            if t is None:
+                out.append(None)
+                lines.append(0)
+                kept.append(0)
+                continue
+            part = t.split("\n")
+            lines.append(len(part))
+            if g:
+                drop = set(g)
+                part = [x for n, x in enumerate(part) if n not in drop]
+                t = "\n".join(part)
+            kept.append(len(part))
+            out.append(t)
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string()), pa.array(lines, pa.int64()), pa.array(kept, pa.int64())], ["row", "clean", "n_lines", "n_kept"])
+
+
 def dedup_lines(docs: DataFrame, percent: int = 80, chars: int = CHARS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Documents without the lines that nearly equal an earlier line.
 
@@ -212,7 +233,4 @@ def dedup_lines(docs: DataFrame, percent: int = 80, chars: int = CHARS, bands: i
     whole = keyed.where("not may").select("row", F.col("text").alias("clean"), n.alias("n_lines"), n.alias("n_kept"))
     lists = gone.withColumnRenamed("doc_id", "gone_id").withColumnRenamed("thash", "gone_hash")
     some = keyed.where("may").join(lists, (F.col("thash") == F.col("gone_hash")) & F.col("doc_id").eqNullSafe(F.col("gone_id")), "left").select("row", "text", "gone")
-    parts = F.split("text", "\n", -1)
-    left = F.when(F.col("gone").isNull(), parts).otherwise(F.filter(parts, lambda x, i: ~F.array_contains("gone", i)))
-    cut = some.select("row", "text", n.alias("n_lines"), left.alias("left"))
-    return whole.unionByName(cut.select("row", F.array_join("left", "\n").alias("clean"), "n_lines", F.coalesce(F.size("left"), F.lit(0)).cast("long").alias("n_kept")))
+    return whole.unionByName(some.mapInArrow(thrifty(_cut), some.select("row").schema.add("clean", "string").add("n_lines", "long").add("n_kept", "long")))
