@@ -18,8 +18,8 @@ from reachspark.llm.session import Bloom, discard, materialise, partitions, rele
 
 #: Signatures whose band keys are held at once before they are grouped.
 SEGMENT = 20_000
-#: Rows of a side of a tile of the exhaustive round.
-TILE = 1024
+#: Members of a tile; buckets of more are large ones.
+TILE = 256
 #: Pairs of signatures that are compared at once.
 PAIRS = 300_000
 #: Texts of a block in which pairs are verified.
@@ -96,6 +96,38 @@ def distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return a[new], b[new]
 
 
+def merged_buckets(members: DataFrame, tile: int = TILE) -> DataFrame:
+    """Members (bkey, sid, comp, n) of buckets, those of large buckets that are much the same ones once only, in the buckets' union.
+
+    Near copies share most of their bands, so they meet in many large buckets. A bucket joins the one that is the largest for most of its members, in chains up to a root; where
+    a root's members make no more pairs than its buckets do together, their union takes the buckets' place: with a negative key, each member once. No pair of a bucket is lost by it."""
+    large = members.where(F.col("n") > tile)
+    if large.isEmpty():
+        return members
+    own = large.groupBy("sid").agg(F.collect_list(F.struct("n", "bkey")).alias("own"), F.any_value("comp").alias("comp"))  # a bucket for each band at most
+    own = materialise(own.withColumn("home", F.array_max("own")["bkey"]), "own")
+    each = own.select("sid", "comp", "home", F.explode("own").alias("b")).select("sid", "comp", "home", "b.bkey", "b.n")
+    share = materialise(each.groupBy("bkey", "n", "home").agg(F.count("*").alias("c")), "share")
+    parent = materialise(share.groupBy("bkey", "n").agg(F.max_by("home", F.struct("c", "home")).alias("home")), "parent")
+    roots = connected_components(parent.select(F.col("bkey").alias("a"), F.col("home").alias("b"))).withColumnRenamed("node", "bkey")
+    rooted = materialise(parent.join(roots, "bkey", "left").select("bkey", "n", F.coalesce("root", "bkey").alias("root")), "rooted")
+    # most members are in buckets of their home's root only: of these no row for each bucket is joined
+    root, at_home = small(rooted.select("bkey", "root")), small(rooted.select(F.col("bkey").alias("home"), F.col("root").alias("at")))
+    strays = materialise(share.join(root, "bkey").join(at_home, "home").where("root <> at").select("bkey", "home", "root"), "strays")
+    union = own.join(at_home, "home").select(F.expr("-1 - at").alias("bkey"), "sid", "comp")
+    union = union.unionByName(each.join(small(strays, width=24), ["bkey", "home"]).select(F.expr("-1 - root").alias("bkey"), "sid", "comp"))
+    union = materialise(union.distinct(), "union")
+    pairs = rooted.groupBy(F.expr("-1 - root").alias("key")).agg(F.sum(F.expr("double(n) * n")).alias("pairs"), F.count("*").alias("buckets")).where("buckets > 1")
+    fewer = union.groupBy(F.col("bkey").alias("key")).agg(F.count("*").alias("n")).join(pairs, "key").where("double(n) * n <= pairs").select("key", "n")
+    fewer = materialise(fewer, "fewer")
+    gone = materialise(rooted.join(fewer, F.expr("-1 - root") == F.col("key"), "left_semi").select("bkey"), "gone")
+    out = members.join(small(gone), "bkey", "left_anti").select("bkey", "sid", "comp", "n").unionByName(union.join(small(fewer.withColumnRenamed("key", "bkey")), "bkey").select("bkey", "sid", "comp", "n"))
+    out = materialise(out, "members")
+    for table in (own, share, parent, rooted, strays, union, fewer, gone, members):
+        discard(table)
+    return out
+
+
 def tile_pairs(members: DataFrame, tile: int = TILE) -> tuple[DataFrame, DataFrame]:
     """Members (bkey, sid, comp, n) of buckets with their tile t, and the pairs of tiles (bkey, x, y) that hold all pairs of members in different components.
 
@@ -138,6 +170,7 @@ class Linker:
         if not miss:
             self.rule = [(k // 4, k // 12)]
         self.describe, self.prepare = describe, prepare
+        self.scrap: list[DataFrame] = []
 
     def centre_pairs(self) -> DataFrame:
         """For each band bucket the pairs of its least member with each other one, each pair once.
@@ -299,7 +332,7 @@ class Linker:
         return own.mapInArrow(thrifty(keyed), "bkey long, sid long, comp long").join(small(several), "bkey")
 
     def tiles(self, members: DataFrame, blocks: DataFrame | None = None) -> DataFrame:
-        """Pairs of members of a bucket in different components, compared by signature in tiles of about TILE x TILE at most.
+        """Pairs of members of a bucket in different components, compared by signature in tiles of about TILE x TILE at most. A tile's members are packed into one row before tiles meet.
 
         Without blocks: for each component of a tile the pair whose signatures agree most, (a, b). With blocks (sid, block):
         all pairs that the signatures leave, one row (bx, by, pairs) for each two blocks of a tile."""
@@ -309,10 +342,11 @@ class Linker:
         if blocks is not None:
             placed = placed.join(small(blocks), "sid")
         item = ["sid", "comp", "sig"] + ["block"] * (blocks is not None)
-        sides = pairs.select("bkey", F.col("x").alias("t"), "x", "y", F.when(F.col("x") == F.col("y"), 0).otherwise(1).alias("side")).unionByName(pairs.where("x <> y").select("bkey", F.col("y").alias("t"), "x", "y", F.lit(2).alias("side")))
-        tile = placed.join(sides, ["bkey", "t"]).groupBy("bkey", "x", "y").agg(F.collect_list(F.struct(*item, "side")).alias("m"))
-        pick = lambda *k: F.transform(F.filter("m", lambda v: v["side"].isin(*k)), lambda v: F.struct(*[v[c].alias(c) for c in item]))
-        both = tile.select("bkey", pick(0, 1).alias("mx"), F.when(F.col("x") == F.col("y"), pick(0)).otherwise(pick(2)).alias("my"))
+        content = materialise(placed.groupBy("bkey", "t").agg(F.collect_list(F.struct(*item)).alias("m")), "tilecontent")
+        self.scrap.append(content)
+        own = pairs.where("x = y").join(content.select("bkey", F.col("t").alias("x"), F.col("m").alias("mx")), ["bkey", "x"]).select("bkey", "mx", F.col("mx").alias("my"))
+        met = pairs.where("x <> y").repartition(partitions(self.spark)).join(content.select("bkey", F.col("t").alias("x"), F.col("m").alias("mx")), ["bkey", "x"]).join(content.select("bkey", F.col("t").alias("y"), F.col("m").alias("my")), ["bkey", "y"])
+        both = own.unionByName(met.select("bkey", "mx", "my"))
 
         def crossed(b: pa.RecordBatch) -> Iterator[tuple]:
             """For some rows at a time: columns of both sides, and row, x and y of every pair of members in different components."""
@@ -355,12 +389,12 @@ class Linker:
                     left = survives(x[2][i], y[2][j], rule)
                     row, i, j = row[left], i[left], j[left]
                     ok = np.ones(len(i), bool)
-                    if whole:  # a pair is listed in the first bucket that it shares; else once for each, and verified once for each two blocks
+                    if whole:  # a pair is listed in the first bucket that it shares, and in merged ones (negative keys); else once for each. It is verified once for each two blocks
                         kx, ky = (bucket_ids(K.band_keys(v[2], bands, rows), shards) for v in (x, y))
                         for s in range(0, len(i), 50_000):
                             part = slice(s, s + 50_000)
                             both_ = kx[i[part]] == ky[j[part]]
-                            ok[part] = kx[i[part], both_.argmax(1)] == bkey[row[part]]
+                            ok[part] = (kx[i[part], both_.argmax(1)] == bkey[row[part]]) | (bkey[row[part]] >> np.uint64(63) > 0)
                     i, j = i[ok], j[ok]
                     if not len(i):
                         continue
@@ -459,13 +493,15 @@ class Linker:
         found = [links]
         comps = connected_components(links)
         for last in (False, True) if self.likeliest else (True,):
-            members = materialise(self.members(comps), "members")
+            members = merged_buckets(materialise(self.members(comps), "members"))
             new = self.exhausted(members) if last else self.verified(self.tiles(members), False)
             if not new.isEmpty():
                 found.append(new)
                 links = links.unionByName(new)
                 comps = connected_components(links)
-            discard(members)
+            for table in (members, *self.scrap):
+                discard(table)
+            self.scrap = []
         comps = materialise(comps, "comps")
         for table in (sids, self.texts, self.nodes, *found):
             discard(table)
