@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reachspark.functions import text, timefn
-from reachspark.operators import matrix, patterns, stops, transfers, trips
+from reachspark.operators import foot, matrix, patterns, stops, transfers, trips
+from reachspark.plans.cut import cut
 from reachspark.plans.products import _feed, _new, _write
-from reachspark.plans.registry import _C, _EDGES, _PL, _ROAD, ORIGIN, _concrete, _network
+from reachspark.plans.registry import _C, _EDGES, _PL, _ROAD, ORIGIN, _concrete, _feet
 from reachspark.plans.testviews import Views
 from reachspark.schemas import FEED, MAX_TIME
 from reachspark.sources.localities import read_directory
@@ -70,7 +71,7 @@ def agg03_trip_windows(v: Views) -> DataFrame:
 def srt05_walks(v: Views) -> DataFrame:
     """The walks of each stop in order of (stop, seconds), default times last."""
     shown = F.transform("walks", lambda w: F.concat_ws(":", w["to_idx"].cast("string"), F.coalesce(w["seconds"].cast("string"), F.lit("-")), w["access_eligible"].cast("string")))
-    return transfers.adjacency(_network(v)[1]).select("from_idx", F.array_join(shown, " ").alias("walks"))
+    return foot.adjacency(_feet(v, cut(patterns.dense_stops(_concrete(v))))).select("from_idx", F.array_join(shown, " ").alias("walks"))
 
 
 def dat03_days(v: Views) -> DataFrame:
